@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The pipeline this package re-expresses has no stream source, no event-time
+window, no streaming state and no late-data handling: it is a daily batch
+refresh. Its "watermark" is a batch high-water mark read from the audit log
+(``tallyward.operators.control.latest_watermarks``), not an event-time
+watermark, so nothing here needs Structured Streaming.
+"""
