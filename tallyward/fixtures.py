@@ -272,3 +272,36 @@ def landing_paths(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "concat('landing/hospital-a/orders/orders_', date_format(o_orderdate, 'ddMMyyyy'), '.json') AS path"
     )
+
+
+# ---- file drops: the CSV inputs of the pipeline, written by Spark from the tables ----
+
+CLAIM_FILES = ("hospital1_claim_data.csv", "hospital2_claim_data.csv")
+
+
+def stage_claim_files(spark, sf_dir, claims_dir: str) -> str:
+    """Write the claim rows as the hospitals' claim CSV files (one folder per
+    file name, header first) and return the glob the loader reads."""
+    rows = claims_rows(spark, sf_dir)
+    for name in CLAIM_FILES:
+        (
+            rows.where(rows.claim_file == name)
+            .drop("claim_file")
+            .write.mode("overwrite")
+            .option("header", True)
+            .option("dateFormat", "yyyy-MM-dd")
+            .csv(f"{claims_dir.rstrip('/')}/{name}")
+        )
+    return f"{claims_dir.rstrip('/')}/hospital*_claim_data.csv"
+
+
+def stage_cpt_file(spark, sf_dir, path: str) -> str:
+    cpt_raw(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
+def stage_load_config(spark, sf_dir, path: str, config=None) -> str:
+    (config if config is not None else load_config_rows(spark, sf_dir)).coalesce(1).write.mode("overwrite").option(
+        "header", True
+    ).csv(path)
+    return path

@@ -320,3 +320,126 @@ def medallion_sql(body: str) -> str:
 
 def silver_sql(table: str) -> str:
     return medallion_sql(f"SELECT * FROM {table}")
+
+
+# ---- sources, sinks and control ------------------------------------------------------
+
+LOAD_DATE = "'30062024'"  # ddMMyyyy of the run date
+ENTITIES = ("departments", "encounters", "patients", "providers", "transactions")
+FULL_TABLES = ("departments", "providers")
+
+_CONFIG = """SELECT db AS database, db || '_db' AS datasource, tbl AS tablename, lt AS loadtype,
+        'modifieddate' AS watermark, CASE WHEN s_suppkey % 3 <> 0 THEN '1' ELSE '0' END AS is_active,
+        'landing/' || replace(db, '_', '-') || '/' || tbl AS targetpath
+    FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'hospital_a' ELSE 'hospital_b' END AS db,
+                 ['view', 'click', 'signup', 'purchase', 'error', 'encounters'][s_suppkey % 6 + 1] AS tbl,
+                 ['full', 'Incremental', 'incremental', 'FULL'][s_suppkey % 4 + 1] AS lt
+          FROM supplier)"""
+
+_AUDIT = """SELECT CASE WHEN user_id % 2 = 0 THEN 'hospital_a_db' ELSE 'hospital_b_db' END AS data_source,
+        event_type AS tablename, 'incremental' AS load_type, CAST(user_id AS BIGINT) AS record_count,
+        CAST(ts AS TIMESTAMP) AS load_timestamp, 'SUCCESS' AS status
+    FROM events"""
+
+_CONTROL_CTES = {"load_config": _CONFIG, "audit_log": _AUDIT}
+
+
+def _events_sql() -> str:
+    parts = []
+    for t in ENTITIES:
+        mark = "None" if t in FULL_TABLES else "1900-01-01 00:00:00"
+        for e, m in (
+            ("INFO", f"No existing files for table {t}"),
+            ("INFO", f"Latest watermark for {t}: {mark}"),
+            ("SUCCESS", f"Successfully extracted data from {t}"),
+            ("SUCCESS", f"JSON files written to hospital-a/{t}"),
+            ("SUCCESS", f"Audit log updated for {t}"),
+        ):
+            parts.append(f"('{e}', '{m}', '{t}')")
+    return "SELECT * FROM (VALUES " + ", ".join(parts) + ') AS v(event_type, message, "table")'
+
+
+def _count_union(items) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM ({src}) AS x"
+        for layer, name, src in items
+    )
+
+
+_GOLD_NAMES = {
+    "gold_charge_by_provider_dept": "total_charge_amount_per_provider_by_department",
+    "gold_patient_history": "patient_history",
+    "gold_provider_performance": "provider_performance_summary",
+    "gold_department_performance": "department_performance_analytics",
+    "gold_financial_metrics": "financial_metrics",
+}
+
+
+def _refresh_counts_sql() -> str:
+    items = []
+    for h, name in (("a", "hospital-a"), ("b", "hospital-b")):
+        for t in ENTITIES:
+            items.append(("landing", f"{name}/{t}", f"SELECT * FROM {h}_{t}"))
+    items += [("bronze", "claims", "SELECT * FROM bronze_claims"), ("bronze", "cptcodes", "SELECT * FROM bronze_cptcodes")]
+    items += [("silver", t, f"SELECT * FROM {t}") for t in SILVER_CTES]
+    items += [("gold", _GOLD_NAMES[k], GOLD_SQL[k].strip()) for k in _GOLD_NAMES]
+    return medallion_sql(_count_union(items))
+
+
+def io_sql() -> dict[str, str]:
+    fixtures_only = lambda body: with_ctes(body, FIXTURE_CTES)
+    control = lambda body: with_ctes(body, _CONTROL_CTES)
+    landing_counts = "\nUNION ALL ".join(
+        f"SELECT '{'hospital_a_db' if h == 'a' else 'hospital_b_db'}' AS data_source, '{t}' AS tablename, "
+        f"CAST(count(*) AS BIGINT) AS record_count FROM {h}_{t}"
+        for h in ("a", "b")
+        for t in ENTITIES
+    )
+    return {
+        "csv_claims_scan": f"SELECT {CLAIM_COLUMNS} FROM lineitem WHERE l_linenumber = 1",
+        "csv_cptcodes_scan": f"""SELECT p_type AS procedure_code_category, {CPT_CODE} AS cpt_codes,
+            {CPT_DESC} AS procedure_code_descriptions, p_brand AS code_status FROM part""",
+        "load_config_scan": control("SELECT * FROM load_config"),
+        "bronze_json_roundtrip": fixtures_only(f"SELECT *, {LOAD_DATE} AS load_date FROM b_patients"),
+        "landing_json_roundtrip": fixtures_only(
+            f"""SELECT *, {LOAD_DATE} AS load_date, 'hospital-a' AS datasource FROM a_transactions
+            UNION ALL SELECT *, {LOAD_DATE} AS load_date, 'hospital-b' AS datasource FROM b_transactions"""
+        ),
+        "bronze_overwrite_idempotent": fixtures_only("SELECT * FROM bronze_claims"),
+        "audit_append": control("SELECT * FROM audit_log"),
+        "event_log_append": _events_sql(),
+        "event_log_json": _events_sql(),
+        "active_load_specs": control(
+            "SELECT * FROM load_config WHERE is_active = '1' AND datasource = 'hospital_a_db'"
+        ),
+        "latest_watermark": control(
+            "SELECT data_source, tablename, max(load_timestamp) AS latest_timestamp FROM audit_log GROUP BY 1, 2"
+        ),
+        "latest_watermark_default": control(
+            """SELECT c.datasource, c.tablename, c.loadtype, c.watermark AS watermark_column,
+                   COALESCE(m.latest_timestamp, TIMESTAMP '1900-01-01 00:00:00') AS last_watermark
+            FROM (SELECT * FROM load_config WHERE is_active = '1') c
+            LEFT JOIN (SELECT data_source, tablename, max(load_timestamp) AS latest_timestamp
+                       FROM audit_log GROUP BY 1, 2) m
+              ON c.datasource = m.data_source AND c.tablename = m.tablename"""
+        ),
+        "incremental_filter": fixtures_only(
+            "SELECT * FROM a_transactions WHERE modifieddate > epoch_ms(TIMESTAMP '1998-06-30 00:00:00')"
+        ),
+        "archive_path_parse": """SELECT path, right(dp, 4) AS year, substr(dp, 3, 2) AS month, left(dp, 2) AS day,
+                   fname AS filename
+            FROM (SELECT path, split_part(string_split(path, '_')[-1], '.', 1) AS dp,
+                         string_split(path, '/')[-1] AS fname
+                  FROM (SELECT 'landing/hospital-a/orders/orders_' || strftime(o_orderdate, '%d%m%Y') || '.json'
+                               AS path FROM orders))""",
+        "archive_partitioned_roundtrip": fixtures_only(
+            "SELECT *, '2024' AS year, '06' AS month, '30' AS day, '000000000000' AS run_ts FROM a_encounters"
+        ),
+        "audit_record_count": fixtures_only(landing_counts),
+        "bronze_claims_lineage": f"""SELECT 'CL' || {s('l_orderkey')} || '-' || {s('l_linenumber')} AS claimid,
+                   {CLAIM_FILE} AS claim_file,
+                   CASE WHEN l_orderkey % 2 = 0 THEN 'hospital-a' ELSE 'hospital-b' END AS datasource,
+                   {TS} AS extraction_timestamp
+            FROM lineitem WHERE l_linenumber = 1""",
+        "medallion_refresh_counts": _refresh_counts_sql(),
+    }

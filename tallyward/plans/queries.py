@@ -64,4 +64,6 @@ GOLD_QUERIES: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**SILVER_QUERIES, **GOLD_QUERIES}
+    from tallyward.plans.io_queries import IO_QUERIES
+
+    return {**SILVER_QUERIES, **GOLD_QUERIES, **IO_QUERIES}
