@@ -5,105 +5,121 @@ Every table is a projection of each hospital's bronze table followed by a
 with no shuffle. Snapshot semantics: each refresh replaces the tables; the
 slowly-changing-dimension columns are filled (valid_from / valid_to NULL /
 is_current TRUE) but no history is merged.
+
+Projections are SQL expression lists (``selectExpr``) built from the hospital
+spec: one analysis call per projection.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tallyward.functions import (
-    claims_hospital_name,
-    claims_hospital_prefix,
-    millis_to_date,
-    provider_key,
-    run_date,
-    run_timestamp,
-    surrogate_key,
-    union_all,
-)
+
+from tallyward.functions import sql as X
+from tallyward.functions.frames import union_all
 from tallyward.operators.layers import BronzeLayer, SilverLayer
+from tallyward.specs import HOSPITALS, Hospital
 
 
-def _per_hospital(bronze: BronzeLayer, entity: str, project) -> DataFrame:
-    return union_all(project(h, bronze.conformed(h, entity)) for h in bronze.hospitals)
+def _per_hospital(bronze: BronzeLayer, entity: str, exprs) -> DataFrame:
+    return union_all(bronze.conformed(h, entity).selectExpr(*exprs(h)) for h in bronze.hospitals)
 
 
-def dim_departments(bronze: BronzeLayer, as_of: str) -> DataFrame:
-    def project(h, d):
-        return d.select(
-            surrogate_key(h.key_prefix, F.col("deptid")).alias("dept_key"),
-            F.col("deptid").alias("dept_id"),
-            F.col("name").alias("dept_name"),
-            F.lit(h.name).alias("datasource"),
-            run_timestamp(as_of).alias("ingestion_at"),
-        )
+def _key(h: Hospital, column: str, alias: str) -> str:
+    return f"{X.surrogate_key(X.quote(h.key_prefix), column)} AS {alias}"
+
+
+def _day(column: str, alias: str) -> str:
+    return f"{X.millis_to_date(column)} AS {alias}"
 
-    return _per_hospital(bronze, "departments", project)
+
+def _source(h: Hospital) -> str:
+    return f"{X.quote(h.name)} AS datasource"
+
+
+def _ingested(as_of: str, alias: str = "ingestion_at") -> str:
+    return f"{X.run_timestamp(as_of)} AS {alias}"
+
+
+def dim_departments(bronze: BronzeLayer, as_of: str) -> DataFrame:
+    return _per_hospital(
+        bronze,
+        "departments",
+        lambda h: [
+            _key(h, "deptid", "dept_key"),
+            "deptid AS dept_id",
+            "name AS dept_name",
+            _source(h),
+            _ingested(as_of),
+        ],
+    )
 
 
 def fact_encounters(bronze: BronzeLayer, as_of: str) -> DataFrame:
-    def project(h, e):
-        p = h.key_prefix
-        return e.select(
-            surrogate_key(p, F.col("encounterid")).alias("encounter_key"),
-            surrogate_key(p, F.col("patientid")).alias("patient_key"),
-            surrogate_key(p, F.col("departmentid")).alias("dept_key"),
-            surrogate_key(p, F.col("providerid")).alias("provider_key"),
+    return _per_hospital(
+        bronze,
+        "encounters",
+        lambda h: [
+            _key(h, "encounterid", "encounter_key"),
+            _key(h, "patientid", "patient_key"),
+            _key(h, "departmentid", "dept_key"),
+            _key(h, "providerid", "provider_key"),
             "encounterid",
             "encountertype",
             "procedurecode",
-            millis_to_date(F.col("encounterdate")).alias("encounter_date"),
-            millis_to_date(F.col("inserteddate")).alias("inserted_date"),
-            millis_to_date(F.col("modifieddate")).alias("modified_date"),
-            F.lit(h.name).alias("datasource"),
-            run_timestamp(as_of).alias("ingestion_at"),
-        )
-
-    return _per_hospital(bronze, "encounters", project)
+            _day("encounterdate", "encounter_date"),
+            _day("inserteddate", "inserted_date"),
+            _day("modifieddate", "modified_date"),
+            _source(h),
+            _ingested(as_of),
+        ],
+    )
 
 
 def dim_patients(bronze: BronzeLayer, as_of: str) -> DataFrame:
-    def project(h, p):
-        return p.select(
-            surrogate_key(h.key_prefix, F.col("patientid")).alias("patient_key"),
-            F.col("patientid").alias("source_patient_id"),
+    return _per_hospital(
+        bronze,
+        "patients",
+        lambda h: [
+            _key(h, "patientid", "patient_key"),
+            "patientid AS source_patient_id",
             "firstname",
             "lastname",
             "middlename",
             "ssn",
             "phonenumber",
             "gender",
-            millis_to_date(F.col("dob")).alias("dob"),
+            _day("dob", "dob"),
             "address",
-            F.lit(h.name).alias("datasource"),
-            millis_to_date(F.col("modifieddate")).alias("valid_from"),
-            F.lit(None).cast("date").alias("valid_to"),
-            F.lit(True).alias("is_current"),
-            run_timestamp(as_of).alias("ingestion_at"),
-        )
-
-    return _per_hospital(bronze, "patients", project)
+            _source(h),
+            _day("modifieddate", "valid_from"),
+            "CAST(NULL AS DATE) AS valid_to",
+            "TRUE AS is_current",
+            _ingested(as_of),
+        ],
+    )
 
 
 def dim_providers(bronze: BronzeLayer, as_of: str) -> DataFrame:
-    def project(h, p):
-        return p.select(
-            provider_key(h.key_prefix, F.col("providerid")).alias("provider_key"),
-            surrogate_key(h.key_prefix, F.col("deptid")).alias("dept_key"),
-            F.col("providerid").alias("source_provider_id"),
+    """Provider key = prefix + the part of the id from ``PROV`` on (NULL when the
+    id has none); facts keep the raw id, so such providers never join."""
+    return _per_hospital(
+        bronze,
+        "providers",
+        lambda h: [
+            f"{X.provider_key(h.key_prefix, 'providerid')} AS provider_key",
+            _key(h, "deptid", "dept_key"),
+            "providerid AS source_provider_id",
             "firstname",
             "lastname",
             "specialization",
             "npi",
-            F.lit(h.name).alias("datasource"),
-            run_date(as_of).alias("valid_from"),
-            F.lit(None).cast("date").alias("valid_to"),
-            F.lit(True).alias("is_current"),
-            run_timestamp(as_of).alias("ingestion_at"),
-        )
-
-    return _per_hospital(bronze, "providers", project)
+            _source(h),
+            f"{X.run_date(as_of)} AS valid_from",
+            "CAST(NULL AS DATE) AS valid_to",
+            "TRUE AS is_current",
+            _ingested(as_of),
+        ],
+    )
 
 
 _TXN_PASS_THROUGH = (
@@ -113,25 +129,25 @@ _TXN_PASS_THROUGH = (
 
 
 def fact_transactions(bronze: BronzeLayer, as_of: str) -> DataFrame:
-    def project(h, t):
-        p = h.key_prefix
-        return t.select(
-            surrogate_key(p, F.col("transactionid")).alias("transaction_key"),
-            surrogate_key(p, F.col("encounterid")).alias("encounter_key"),
-            surrogate_key(p, F.col("patientid")).alias("patient_key"),
-            surrogate_key(p, F.col("providerid")).alias("provider_key"),
-            surrogate_key(p, F.col("deptid")).alias("dept_key"),
-            millis_to_date(F.col("visitdate")).alias("visit_date"),
-            millis_to_date(F.col("servicedate")).alias("service_date"),
-            millis_to_date(F.col("paiddate")).alias("paid_date"),
-            millis_to_date(F.col("insertdate")).alias("insert_date"),
-            millis_to_date(F.col("modifieddate")).alias("modified_date"),
+    return _per_hospital(
+        bronze,
+        "transactions",
+        lambda h: [
+            _key(h, "transactionid", "transaction_key"),
+            _key(h, "encounterid", "encounter_key"),
+            _key(h, "patientid", "patient_key"),
+            _key(h, "providerid", "provider_key"),
+            _key(h, "deptid", "dept_key"),
+            _day("visitdate", "visit_date"),
+            _day("servicedate", "service_date"),
+            _day("paiddate", "paid_date"),
+            _day("insertdate", "insert_date"),
+            _day("modifieddate", "modified_date"),
             *_TXN_PASS_THROUGH,
-            F.lit(h.name).alias("datasource"),
-            run_timestamp(as_of).alias("ingestion_at"),
-        )
-
-    return _per_hospital(bronze, "transactions", project)
+            _source(h),
+            _ingested(as_of),
+        ],
+    )
 
 
 def dim_cptcodes(cptcodes: DataFrame) -> DataFrame:
@@ -140,23 +156,33 @@ def dim_cptcodes(cptcodes: DataFrame) -> DataFrame:
     )
 
 
-def fact_claims(claims: DataFrame, hospitals=None) -> DataFrame:
+_CLAIM_PASS_THROUGH = (
+    "servicedate", "claimdate", "payorid", "claimamount", "paidamount", "claimstatus",
+    "payortype", "deductible", "coinsurance", "copay", "insertdate", "modifieddate",
+)
+
+
+def fact_claims(claims: DataFrame, hospitals=HOSPITALS) -> DataFrame:
     """Claims arrive in one table for all hospitals; the file a claim came from
-    tells its hospital."""
-    kw = {} if hospitals is None else {"hospitals": hospitals}
-    prefix = claims_hospital_prefix(F.col("source_file_path"), **kw)
-    return claims.select(
+    tells its hospital (a path without a known tag, NULL included, goes to the
+    default hospital)."""
+    prefix = X.claims_hospital("source_file_path", lambda h: h.key_prefix, hospitals)
+    return claims.selectExpr(
         "claimid",
-        surrogate_key(prefix, F.col("transactionid")).alias("transaction_key"),
-        surrogate_key(prefix, F.col("patientid")).alias("patient_key"),
-        surrogate_key(prefix, F.col("encounterid")).alias("encounter_key"),
-        surrogate_key(prefix, F.col("providerid")).alias("provider_key"),
-        surrogate_key(prefix, F.col("deptid")).alias("dept_key"),
-        "servicedate", "claimdate", "payorid", "claimamount", "paidamount", "claimstatus",
-        "payortype", "deductible", "coinsurance", "copay", "insertdate", "modifieddate",
+        *(
+            f"{X.surrogate_key(prefix, col)} AS {alias}"
+            for col, alias in (
+                ("transactionid", "transaction_key"),
+                ("patientid", "patient_key"),
+                ("encounterid", "encounter_key"),
+                ("providerid", "provider_key"),
+                ("deptid", "dept_key"),
+            )
+        ),
+        *_CLAIM_PASS_THROUGH,
         "source_file_path",
-        claims_hospital_name(F.col("source_file_path"), **kw).alias("datasource"),
-        F.col("extraction_timestamp").alias("ingestion_at"),
+        f"{X.claims_hospital('source_file_path', lambda h: h.name, hospitals)} AS datasource",
+        "extraction_timestamp AS ingestion_at",
     )
 
 

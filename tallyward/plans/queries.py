@@ -27,7 +27,7 @@ def _silver(spark: SparkSession, sf_dir: str):
 
 def _silver_table(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _silver(spark, sf_dir).tables()[name]
+        return _silver(spark, sf_dir).table(name)
 
     run.__name__ = name
     return run
