@@ -301,7 +301,7 @@ def stage_cpt_file(spark, sf_dir, path: str) -> str:
 
 
 def stage_load_config(spark, sf_dir, path: str, config=None) -> str:
-    (config if config is not None else load_config_rows(spark, sf_dir)).coalesce(1).write.mode("overwrite").option(
+    (config if config is not None else load_config_rows(spark, sf_dir)).write.mode("overwrite").option(
         "header", True
     ).csv(path)
     return path

@@ -1,4 +1,4 @@
-"""Date conversions between operational types and the landing form."""
+"""Date conversions between operational types and the landing form (Column API)."""
 
 from __future__ import annotations
 
@@ -6,34 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DAY_MS = 86_400_000
+from tallyward.functions import sql as X
 
+DAY_MS = X.DAY_MS
 
-def millis_to_date(millis: Column) -> Column:
-    """UTC calendar date of an epoch-millisecond value.
+
+def millis_to_date(column: str) -> Column:
+    """UTC calendar date of an epoch-millisecond column.
 
     Day arithmetic instead of ``to_date(timestamp_millis(x))`` keeps the result
     independent of the session time zone.
     """
-    return F.date_from_unix_date(F.floor(millis / F.lit(DAY_MS)).cast("int"))
+    return F.expr(X.millis_to_date(column))
 
 
-def epoch_millis(c: Column, dtype: T.DataType) -> Column:
+def epoch_millis(column: str, dtype: T.DataType) -> Column:
     """Epoch milliseconds of a DATE / TIMESTAMP / TIMESTAMP_NTZ column (landing form)."""
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long") * F.lit(DAY_MS)
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_millis(c.cast("timestamp"))
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_millis(c)
-    return c
+    return F.expr(X.epoch_millis(column, dtype))
 
 
 def run_timestamp(as_of: str) -> Column:
     """The run's timestamp (``CURRENT_TIMESTAMP()`` of the refresh), injected so
     that a refresh is reproducible."""
-    return F.lit(as_of).cast("timestamp")
+    return F.expr(X.run_timestamp(as_of))
 
 
 def run_date(as_of: str) -> Column:
-    return F.lit(as_of[:10]).cast("date")
+    return F.expr(X.run_date(as_of))

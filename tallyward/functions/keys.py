@@ -1,4 +1,4 @@
-"""Surrogate keys shared by all silver tables."""
+"""Surrogate keys shared by all silver tables (Column API over ``functions.sql``)."""
 
 from __future__ import annotations
 
@@ -7,43 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyward.specs import DEFAULT_CLAIMS_HOSPITAL, HOSPITALS, PROVIDER_KEY_PATTERN, Hospital
+from tallyward.functions import sql as X
+from tallyward.specs import HOSPITALS, Hospital
 
 
-def surrogate_key(prefix: str | Column, source_id: Column) -> Column:
+def surrogate_key(prefix: str, column: str) -> Column:
     """``prefix || id``; a NULL id gives a NULL key (``concat`` is NULL-strict)."""
-    head = F.lit(prefix) if isinstance(prefix, str) else prefix
-    return F.concat(head, source_id.cast("string"))
+    return F.expr(X.surrogate_key(X.quote(prefix), column))
 
 
-def provider_key(prefix: str, provider_id: Column) -> Column:
+def provider_key(prefix: str, column: str) -> Column:
     """Key of ``dim_providers``: only the part of the id from ``PROV`` on.
 
     No match gives NULL (``regexp_substr``), so such providers get a NULL key and
     never join. Facts keep the raw id (see ``surrogate_key``); the asymmetry is the
     source pipeline's and is kept.
     """
-    return F.concat(F.lit(prefix), F.regexp_substr(provider_id, F.lit(PROVIDER_KEY_PATTERN)))
+    return F.expr(X.provider_key(prefix, column))
 
 
-def _claims_hospital(path: Column, hospitals: Sequence[Hospital], pick) -> Column:
-    expr = None
-    for h in hospitals:
-        if h is DEFAULT_CLAIMS_HOSPITAL:
-            continue
-        cond = path.like(f"%{h.claim_file_tag}%")
-        expr = F.when(cond, F.lit(pick(h))) if expr is None else expr.when(cond, F.lit(pick(h)))
-    fallback = F.lit(pick(DEFAULT_CLAIMS_HOSPITAL))
-    return fallback if expr is None else expr.otherwise(fallback)
-
-
-def claims_hospital_prefix(path: Column, hospitals: Sequence[Hospital] = HOSPITALS) -> Column:
+def claims_hospital_prefix(path_column: str, hospitals: Sequence[Hospital] = HOSPITALS) -> Column:
     """Key prefix of the hospital a claims file belongs to (by its path).
 
     A path without a known tag, NULL included, belongs to the default hospital.
     """
-    return _claims_hospital(path, hospitals, lambda h: h.key_prefix)
+    return F.expr(X.claims_hospital(path_column, lambda h: h.key_prefix, hospitals))
 
 
-def claims_hospital_name(path: Column, hospitals: Sequence[Hospital] = HOSPITALS) -> Column:
-    return _claims_hospital(path, hospitals, lambda h: h.name)
+def claims_hospital_name(path_column: str, hospitals: Sequence[Hospital] = HOSPITALS) -> Column:
+    return F.expr(X.claims_hospital(path_column, lambda h: h.name, hospitals))

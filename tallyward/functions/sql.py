@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from tallyward.functions.dates import DAY_MS
+from pyspark.sql import types as T
+
 from tallyward.specs import DEFAULT_CLAIMS_HOSPITAL, HOSPITALS, PROVIDER_KEY_PATTERN, Hospital
 
+DAY_MS = 86_400_000
+
 
 def quote(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -33,6 +36,19 @@ def millis_to_date(column: str) -> str:
     return f"date_from_unix_date(CAST(floor({ident(column)} / {DAY_MS}) AS INT))"
 
 
+def epoch_millis(column: str, dtype: T.DataType) -> str:
+    """Epoch milliseconds of a DATE / TIMESTAMP / TIMESTAMP_NTZ column (the landing form);
+    other types pass through."""
+    q = ident(column)
+    if isinstance(dtype, T.DateType):
+        return f"CAST(unix_date({q}) AS BIGINT) * {DAY_MS}"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"unix_millis(CAST({q} AS TIMESTAMP))"
+    if isinstance(dtype, T.TimestampType):
+        return f"unix_millis({q})"
+    return q
+
+
 def run_timestamp(as_of: str) -> str:
     return f"CAST({quote(as_of)} AS TIMESTAMP)"
 

@@ -205,7 +205,7 @@ def bronze_claims_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select(
         "claimid",
         F.regexp_extract("source_file_path", r"(hospital[0-9]+_claim_data\.csv)", 1).alias("claim_file"),
-        claims_hospital_name(F.col("source_file_path")).alias("datasource"),
+        claims_hospital_name("source_file_path").alias("datasource"),
         "extraction_timestamp",
     )
 

@@ -23,7 +23,7 @@ from tallyward.sinks.landing import write_landing
 from tallyward.sinks.logs import EventLog, append_audit, read_audit
 from tallyward.sources.files import landing_dir
 from tallyward.sources.tables import Lake
-from tallyward.specs import Hospital
+from tallyward.specs import MSG_AUDITED, MSG_ERROR, MSG_EXTRACTED, MSG_NO_FILES, MSG_WATERMARK, Hospital
 
 
 class Source:
@@ -92,17 +92,17 @@ def land_hospital(
             if archived:
                 log.log("INFO", f"Archived {archived} rows of {hospital.name}/{table}", table)
             else:
-                log.log("INFO", f"No existing files for table {table}", table)
+                log.log("INFO", MSG_NO_FILES.format(table=table), table)
             mark = spec["last_watermark"] if kind == INCREMENTAL else None
-            log.log("INFO", f"Latest watermark for {table}: {mark}", table)
+            log.log("INFO", MSG_WATERMARK.format(table=table, watermark=mark), table)
             batch = select_batch(read(table), kind, spec["watermark_column"], mark)
-            log.log("SUCCESS", f"Successfully extracted data from {table}", table)
+            log.log("SUCCESS", MSG_EXTRACTED.format(table=table), table)
             rows = write_landing(batch, table_dir, load_date_of(run_ts))
             log.log("SUCCESS", f"JSON files written to {hospital.name}/{table}", table)
             row = (hospital.database, table, spec["loadtype"], rows, run_ts, "SUCCESS")
             append_audit(spark, [row], audit_path(lake))
             audit_rows.append(row)
-            log.log("SUCCESS", f"Audit log updated for {table}", table)
+            log.log("SUCCESS", MSG_AUDITED.format(table=table), table)
         except Exception as exc:  # one table's failure must not stop the others
-            log.log("ERROR", f"Error processing {table}: {type(exc).__name__}: {exc}", table)
+            log.log("ERROR", MSG_ERROR.format(table=table, error=f"{type(exc).__name__}: {exc}"), table)
     return audit_rows

@@ -14,26 +14,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyward.functions.dates import DAY_MS
+from tallyward.functions import sql as X
 from tallyward.schemas import LOAD_DATE
 
 
-def _millis_sql(name: str, dtype: T.DataType) -> str:
-    q = f"`{name}`"
-    if isinstance(dtype, T.DateType):
-        return f"CAST(unix_date({q}) AS BIGINT) * {DAY_MS} AS {q}"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"unix_millis(CAST({q} AS TIMESTAMP)) AS {q}"
-    if isinstance(dtype, T.TimestampType):
-        return f"unix_millis({q}) AS {q}"
-    return q
-
-
 def landing_form(df: DataFrame) -> DataFrame:
     """Operational table → landing columns (temporal columns as epoch millis)."""
-    return df.selectExpr(*(_millis_sql(f.name, f.dataType) for f in df.schema.fields))
+    return df.selectExpr(*(f"{X.epoch_millis(f.name, f.dataType)} AS {X.ident(f.name)}" for f in df.schema.fields))
 
 
 def write_landing(df: DataFrame, table_dir: str, load_date: str) -> int:

@@ -35,6 +35,12 @@ class Hospital:
 # Default high-water mark:           "1900-01-01 00:00:00"
 # Landing file date format:          ddMMyyyy ; archive run id: HHmmssSSSSSS
 # Approved claim status:             "Approved"
+# Landing-job event messages (as the pipeline logs them):
+#   "No existing files for table {table}"
+#   "Latest watermark for {table}: {watermark}"
+#   "Successfully extracted data from {table}"
+#   "Audit log updated for {table}"
+#   "Error processing {table}: {error}"
 HOSPITAL_A = Hospital(
     name="hospital-a",
     key_prefix="HOSP-A-",
@@ -58,6 +64,11 @@ PROVIDER_KEY_PATTERN = "PROV.*"
 DEFAULT_WATERMARK = "1900-01-01 00:00:00"
 LANDING_DATE_FORMAT = "ddMMyyyy"
 APPROVED = "Approved"
+MSG_NO_FILES = "No existing files for table {table}"
+MSG_WATERMARK = "Latest watermark for {table}: {watermark}"
+MSG_EXTRACTED = "Successfully extracted data from {table}"
+MSG_AUDITED = "Audit log updated for {table}"
+MSG_ERROR = "Error processing {table}: {error}"
 # --- end of fixed values ---
 
 HOSPITALS: tuple[Hospital, ...] = (HOSPITAL_A, HOSPITAL_B)
