@@ -161,3 +161,29 @@ def test_patient_history_keeps_encounters_without_transactions(spark, bronze):
     assert len(e3) == 1 and e3[0].charged_amount is None and e3[0].provider_name is None
     assert e3[0].patient_full_name is None  # NULL last name → NULL full name
     assert by_enc["HOSP-A-E1"][0].provider_name == "Ann Lee"
+
+
+def test_financial_metrics_null_months_never_match(spark):
+    from tallyward.operators.layers import SilverLayer
+
+    txn = spark.createDataFrame(
+        [("hospital-a", None, 10.0, 9.0, "K1"), ("hospital-a", dt.date(2024, 1, 3), 5.0, 5.0, "K2")],
+        "datasource string, visit_date date, amount double, paidamount double, transaction_key string",
+    )
+    claims = spark.createDataFrame(
+        [("hospital-a", None, "C1", "Approved"), ("hospital-a", dt.date(2024, 1, 9), "C2", "Denied")],
+        "datasource string, servicedate date, claimid string, claimstatus string",
+    )
+    s = SilverLayer({"transactions": lambda: txn, "claims": lambda: claims})
+    rows = gold.financial_metrics(s, AS_OF).collect()
+    assert [(r.reporting_month, r.transaction_count, r.total_claims) for r in rows] == [
+        (dt.date(2024, 1, 31), 1, 1),
+        (None, 1, None),
+        (None, None, 1),
+    ] or [(r.reporting_month, r.transaction_count, r.total_claims) for r in rows] == [
+        (dt.date(2024, 1, 31), 1, 1),
+        (None, None, 1),
+        (None, 1, None),
+    ]
+    jan = rows[0]
+    assert jan.claim_success_rate_percentage == 0.0 and jan.outstanding_balance == 0.0
