@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.operators.layers import BronzeLayer, LazyFrames
 from tallyward.sinks.landing import landing_form
+from tallyward.sources.files import CLAIMS_GLOB
 from tallyward.specs import HOSPITAL_A, HOSPITAL_B, HOSPITALS, Hospital
 
 CLAIMS_DIR = "landing/claims"
@@ -292,7 +293,7 @@ def stage_claim_files(spark, sf_dir, claims_dir: str) -> str:
             .option("dateFormat", "yyyy-MM-dd")
             .csv(f"{claims_dir.rstrip('/')}/{name}")
         )
-    return f"{claims_dir.rstrip('/')}/hospital*_claim_data.csv"
+    return f"{claims_dir.rstrip('/')}/{CLAIMS_GLOB}"
 
 
 def stage_cpt_file(spark, sf_dir, path: str) -> str:

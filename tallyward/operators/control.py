@@ -74,6 +74,3 @@ def select_batch(df: DataFrame, load_type: str, watermark_column: str | None = N
     mark = F.lit(str(watermark if watermark is not None else DEFAULT_WATERMARK)).cast("timestamp")
     return df.where(F.col(watermark_column) > mark)
 
-
-def audit_row(data_source: str, table: str, load_type: str, record_count: int, load_timestamp, status: str) -> tuple:
-    return (data_source, table, load_type, int(record_count), load_timestamp, status)

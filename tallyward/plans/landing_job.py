@@ -23,7 +23,16 @@ from tallyward.sinks.landing import write_landing
 from tallyward.sinks.logs import EventLog, append_audit, read_audit
 from tallyward.sources.files import landing_dir
 from tallyward.sources.tables import Lake
-from tallyward.specs import MSG_AUDITED, MSG_ERROR, MSG_EXTRACTED, MSG_NO_FILES, MSG_WATERMARK, Hospital
+from tallyward.specs import (
+    LANDING_DATE_FORMAT,
+    MSG_AUDITED,
+    MSG_ERROR,
+    MSG_EXTRACTED,
+    MSG_NO_FILES,
+    MSG_WATERMARK,
+    RUN_ID_FORMAT,
+    Hospital,
+)
 
 
 class Source:
@@ -50,11 +59,11 @@ class FixtureSource(Source):
 
 
 def load_date_of(run_ts: dt.datetime) -> str:
-    return run_ts.strftime("%d%m%Y")
+    return run_ts.strftime(LANDING_DATE_FORMAT)
 
 
 def run_id_of(run_ts: dt.datetime) -> str:
-    return run_ts.strftime("%H%M%S%f")
+    return run_ts.strftime(RUN_ID_FORMAT)
 
 
 def audit_path(lake: Lake) -> str:

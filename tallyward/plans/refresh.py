@@ -22,7 +22,7 @@ from tallyward.plans.landing_job import Source, land_hospital
 from tallyward.sinks.logs import EventLog, append_event_log, write_event_log_json
 from tallyward.sources.files import bronze_from_landing
 from tallyward.sources.tables import Lake
-from tallyward.specs import ENTITIES, HOSPITALS, Hospital
+from tallyward.specs import ENTITIES, HOSPITALS, Hospital, hospital_by_database
 
 COUNTS_SCHEMA = T.StructType(
     [
@@ -90,36 +90,39 @@ def refresh(
     log = EventLog(clock=lambda: run_ts)
     result = RefreshResult(log=log)
 
-    # landing: one job per hospital (archive, extract, write, audit)
-    for h in hospitals:
-        result.audit_rows += land_hospital(spark, h, sources[h.name], config, lake, run_ts, log)
-    for row in result.audit_rows:
-        db, table, rows = row[0], row[1], row[3]
-        name = next(h.name for h in hospitals if h.database == db)
-        result.counts.append(("landing", f"{name}/{table}", rows))
-
-    # bronze: claims and procedure codes from their files
-    result.counts.append(("bronze", "claims", load_claims(spark, claims_glob, lake, as_of)))
-    result.counts.append(("bronze", "cptcodes", load_cptcodes(spark, cpt_path, lake, as_of)))
-
-    # silver: conformed tables over the landing folders and bronze tables
-    bronze = bronze_from_landing(
-        spark,
-        lake.landing,
-        claims=lambda: lake.read(spark, "bronze", "claims"),
-        cptcodes=lambda: lake.read(spark, "bronze", "cptcodes"),
-        hospitals=hospitals,
-    )
-    silver = build_silver(bronze, as_of)
-    for name, df in silver.tables().items():
-        result.counts.append(("silver", name, lake.overwrite(df, "silver", name)))
-
-    # gold: KPI tables over the written silver tables
-    written = read_silver(spark, lake)
-    for name, fn in GOLD_TABLES.items():
-        result.counts.append(("gold", name, lake.overwrite(fn(written, as_of), "gold", name)))
-    log.log("SUCCESS", "Medallion refresh finished")
-
-    append_event_log(spark, log, lake.path("control", "pipeline_logs"))
-    write_event_log_json(spark, log, f"{lake.root}/logs", run_ts.strftime("%Y%m%d%H%M%S"))
+    try:
+        # landing: one job per hospital (archive, extract, write, audit)
+        for h in hospitals:
+            result.audit_rows += land_hospital(spark, h, sources[h.name], config, lake, run_ts, log)
+        for row in result.audit_rows:
+            db, table, rows = row[0], row[1], row[3]
+            result.counts.append(("landing", f"{hospital_by_database(db).name}/{table}", rows))
+
+        # bronze: claims and procedure codes from their files
+        result.counts.append(("bronze", "claims", load_claims(spark, claims_glob, lake, as_of)))
+        result.counts.append(("bronze", "cptcodes", load_cptcodes(spark, cpt_path, lake, as_of)))
+
+        # silver: conformed tables over the landing folders and bronze tables
+        bronze = bronze_from_landing(
+            spark,
+            lake.landing,
+            claims=lambda: lake.read(spark, "bronze", "claims"),
+            cptcodes=lambda: lake.read(spark, "bronze", "cptcodes"),
+            hospitals=hospitals,
+        )
+        silver = build_silver(bronze, as_of)
+        for name, df in silver.tables().items():
+            result.counts.append(("silver", name, lake.overwrite(df, "silver", name)))
+
+        # gold: KPI tables over the written silver tables
+        written = read_silver(spark, lake)
+        for name, fn in GOLD_TABLES.items():
+            result.counts.append(("gold", name, lake.overwrite(fn(written, as_of), "gold", name)))
+        log.log("SUCCESS", "Medallion refresh finished")
+    except Exception as exc:
+        log.log("ERROR", f"Medallion refresh failed: {type(exc).__name__}: {exc}")
+        raise
+    finally:  # the run's events are kept whatever happened
+        append_event_log(spark, log, lake.path("control", "pipeline_logs"))
+        write_event_log_json(spark, log, f"{lake.root}/logs", run_ts.strftime("%Y%m%d%H%M%S"))
     return result

@@ -62,7 +62,8 @@ HOSPITAL_B = Hospital(
 )
 PROVIDER_KEY_PATTERN = "PROV.*"
 DEFAULT_WATERMARK = "1900-01-01 00:00:00"
-LANDING_DATE_FORMAT = "ddMMyyyy"
+LANDING_DATE_FORMAT = "%d%m%Y"  # ddMMyyyy
+RUN_ID_FORMAT = "%H%M%S%f"  # HHmmss + microseconds
 APPROVED = "Approved"
 MSG_NO_FILES = "No existing files for table {table}"
 MSG_WATERMARK = "Latest watermark for {table}: {watermark}"
