@@ -89,7 +89,12 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
-    spark = build_session()
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").getOrCreate()
+    else:
+        spark = build_session()
     con = duck(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
