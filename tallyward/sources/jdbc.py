@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyward.operators.control import select_batch
 
@@ -50,6 +51,25 @@ class ParallelRead:
         }
 
 
+def discover_bounds(
+    spark: SparkSession, conn: JdbcConnection, table: str, column: str, num_partitions: int
+) -> ParallelRead | None:
+    """Range bounds for a parallel read, from one ``min``/``max`` query that the
+    JDBC source pushes into the database (``pushDownAggregate``); one row comes
+    back. ``None`` for an empty table."""
+    opts = {**reader_options(conn, table), "pushDownAggregate": "true"}
+    row = (
+        spark.read.format("jdbc")
+        .options(**opts)
+        .load()
+        .agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+        .first()
+    )
+    if row is None or row["lo"] is None:
+        return None
+    return ParallelRead(column, str(row["lo"]), str(row["hi"]), num_partitions)
+
+
 def reader_options(conn: JdbcConnection, table: str, parallel: ParallelRead | None = None) -> dict[str, str]:
     opts = {**conn.options(), "dbtable": table}
     if parallel is not None:
