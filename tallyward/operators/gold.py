@@ -15,7 +15,8 @@ Plan shape, chosen for large inputs:
 * G2 is row level. Its encounter→transaction outer join is split into an inner
   join (whose skewed partitions AQE may split on either side) plus an anti join
   against the *distinct* encounter keys of transactions, because Spark cannot
-  split the non-preserved side of an outer join.
+  split the non-preserved side of an outer join. Dimension lookups happen on
+  encounter rows, before the transaction fan-out.
 """
 
 from __future__ import annotations
@@ -72,7 +73,11 @@ _TXN_HISTORY_COLUMNS = {
 
 def patient_history(silver: SilverLayer, as_of: str) -> DataFrame:
     """G2 ``patient_history``: one row per encounter x transaction (an encounter
-    without transactions appears once, with NULL transaction columns)."""
+    without transactions appears once, with NULL transaction columns).
+
+    The provider and department lookups depend only on the encounter, so they run
+    on encounter rows, before the transaction fan-out multiplies them.
+    """
     patients = _current(silver.patients).select(
         "patient_key",
         "source_patient_id",
@@ -89,7 +94,18 @@ def patient_history(silver: SilverLayer, as_of: str) -> DataFrame:
         F.col("provider_key").alias("enc_provider_key"),
         F.col("dept_key").alias("enc_dept_key"),
     )
-    visits = patients.join(encounters, "patient_key", "inner")
+    providers = silver.providers.select(
+        F.col("provider_key").alias("enc_provider_key"),
+        F.concat(F.col("firstname"), F.lit(" "), F.col("lastname")).alias("provider_name"),
+    )
+    departments = silver.departments.select(
+        F.col("dept_key").alias("enc_dept_key"), F.col("dept_name").alias("department_name")
+    )
+    visits = (
+        patients.join(encounters, "patient_key", "inner")
+        .join(providers, "enc_provider_key", "left")
+        .join(departments, "enc_dept_key", "left")
+    )
 
     txn = silver.transactions.select(
         "encounter_key", *(F.col(src).alias(dst) for src, dst in _TXN_HISTORY_COLUMNS.items())
@@ -100,17 +116,7 @@ def patient_history(silver: SilverLayer, as_of: str) -> DataFrame:
     without_txn = visits.join(billed_encounters, "encounter_key", "left_anti").select(
         "*", *(F.lit(None).cast(txn_types[c]).alias(c) for c in _TXN_HISTORY_COLUMNS.values())
     )
-    rows = with_txn.unionByName(without_txn)
-
-    providers = silver.providers.select(
-        F.col("provider_key").alias("enc_provider_key"),
-        F.concat(F.col("firstname"), F.lit(" "), F.col("lastname")).alias("provider_name"),
-    )
-    departments = silver.departments.select(
-        F.col("dept_key").alias("enc_dept_key"), F.col("dept_name").alias("department_name")
-    )
-    rows = rows.join(providers, "enc_provider_key", "left").join(departments, "enc_dept_key", "left")
-    return rows.select(
+    return with_txn.unionByName(without_txn).select(
         "patient_key",
         "source_patient_id",
         "patient_full_name",
