@@ -55,8 +55,9 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    A folder of our own is made only when the session names none, as in a bare
-    local test session.
+    A folder of our own is made only when the session names none *and* runs in
+    local mode, as a bare test session does; on a cluster a machine-local folder
+    would not be visible to other executors, so an unset setting is an error.
     """
     root = None
     try:
@@ -66,6 +67,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tallyward-")
         try:
             spark.sparkContext.setCheckpointDir(root)
