@@ -70,3 +70,19 @@ def test_second_incremental_run_holds_only_the_delta(spark, scratch):
     # the audit log has both runs; the second run's marks are the first run's load time
     audit = read_audit(spark, lake.path("control", "audit_log"))
     assert audit.count() == 20
+
+
+def test_jobs_cli_runs_land_then_bronze(spark, scratch):
+    from tallyward.plans import jobs
+
+    claims = fixtures.stage_claim_files(spark, SF_SMALL, f"{scratch}/drops/claims")
+    cpt = fixtures.stage_cpt_file(spark, SF_SMALL, f"{scratch}/drops/cpt.csv")
+    cfg = fixtures.stage_load_config(spark, SF_SMALL, f"{scratch}/configs/load_config.csv", default_load_config(spark))
+    out = jobs.main(
+        ["land", "--lake", f"{scratch}/lake", "--config", cfg, "--hospital", "hospital-b", "--sf-dir", SF_SMALL,
+         "--run-ts", "2024-06-30T00:00:00"],
+        spark=spark,
+    )
+    assert sorted(t["table"] for t in out["landed"]) == sorted(fixtures.OPERATIONAL)
+    out = jobs.main(["bronze", "--lake", f"{scratch}/lake", "--claims", claims, "--cptcodes", cpt], spark=spark)
+    assert out["claims"] == fixtures.claims_rows(spark, SF_SMALL).count() and out["cptcodes"] > 0
