@@ -210,95 +210,82 @@ SILVER_CTES = {
 # ---- gold ----------------------------------------------------------------------------
 
 GOLD_SQL = {
+    # G1: charge per provider and department name (current providers only)
     "gold_charge_by_provider_dept": f"""
-SELECT p.provider_key, p.firstname AS provider_first_name, p.lastname AS provider_last_name,
-       p.specialization, d.dept_name, p.datasource,
-       {money_sql('t.amount')} AS total_charge_amount,
-       COUNT(t.transaction_key) AS total_transactions, {TS} AS last_updated_at
-FROM fact_transactions t
-JOIN dim_providers p ON t.provider_key = p.provider_key
-JOIN dim_departments d ON t.dept_key = d.dept_key
-WHERE p.is_current = TRUE
-GROUP BY p.provider_key, p.firstname, p.lastname, p.specialization, d.dept_name, p.datasource""",
+SELECT dp.provider_key, dp.firstname AS provider_first_name, dp.lastname AS provider_last_name,
+       dp.specialization, dd.dept_name, dp.datasource,
+       {money_sql('ft.amount')} AS total_charge_amount,
+       COUNT(ft.transaction_key) AS total_transactions, {TS} AS last_updated_at
+FROM fact_transactions ft, dim_providers dp, dim_departments dd
+WHERE ft.provider_key = dp.provider_key AND ft.dept_key = dd.dept_key AND dp.is_current
+GROUP BY ALL""",
+    # Every encounter of a current patient, once per transaction (or once without)
     "gold_patient_history": f"""
-SELECT p.patient_key, p.source_patient_id, p.firstname || ' ' || p.lastname AS patient_full_name,
-       p.gender, p.dob AS date_of_birth, e.encounter_key, e.encounter_date, e.encountertype AS visit_type,
-       prov.firstname || ' ' || prov.lastname AS provider_name, dept.dept_name AS department_name,
-       t.icdcode AS diagnosis_code, t.procedurecode, t.amount AS charged_amount, t.paidamount AS amount_paid,
-       t.paid_date, t.amounttype AS payment_method, p.datasource, {TS} AS last_updated_at
-FROM dim_patients p
-JOIN fact_encounters e ON p.patient_key = e.patient_key
-LEFT JOIN fact_transactions t ON e.encounter_key = t.encounter_key
-LEFT JOIN dim_providers prov ON e.provider_key = prov.provider_key
-LEFT JOIN dim_departments dept ON e.dept_key = dept.dept_key
-WHERE p.is_current = TRUE""",
+SELECT pa.patient_key, pa.source_patient_id, pa.firstname || ' ' || pa.lastname AS patient_full_name,
+       pa.gender, pa.dob AS date_of_birth, en.encounter_key, en.encounter_date, en.encountertype AS visit_type,
+       pr.firstname || ' ' || pr.lastname AS provider_name, de.dept_name AS department_name,
+       tx.icdcode AS diagnosis_code, tx.procedurecode, tx.amount AS charged_amount, tx.paidamount AS amount_paid,
+       tx.paid_date, tx.amounttype AS payment_method, pa.datasource, {TS} AS last_updated_at
+FROM fact_encounters en
+INNER JOIN dim_patients pa ON pa.patient_key = en.patient_key AND pa.is_current
+LEFT OUTER JOIN fact_transactions tx ON tx.encounter_key = en.encounter_key
+LEFT OUTER JOIN dim_providers pr ON pr.provider_key = en.provider_key
+LEFT OUTER JOIN dim_departments de ON de.dept_key = en.dept_key""",
+    # Per current provider, encounters / billing / claims, zeros where absent
     "gold_provider_performance": f"""
-WITH provider_encounters AS (
-    SELECT provider_key, COUNT(DISTINCT encounter_key) AS total_encounters
-    FROM fact_encounters GROUP BY provider_key),
-provider_financials AS (
-    SELECT provider_key, {sum_dec('amount')} AS billed FROM fact_transactions GROUP BY provider_key),
-provider_claims AS (
-    SELECT provider_key, COUNT(claimid) AS total_claims,
-           CAST(COUNT_IF(claimstatus = 'Approved') AS BIGINT) AS approved_claims
-    FROM fact_claims GROUP BY provider_key)
-SELECT p.provider_key, p.firstname AS provider_first_name, p.lastname AS provider_last_name,
-       p.specialization, p.datasource,
-       COALESCE(e.total_encounters, 0) AS total_encounters,
-       COALESCE(CAST(f.billed AS DOUBLE), 0) AS total_billed_amount,
-       COALESCE(c.total_claims, 0) AS total_claims,
-       COALESCE(c.approved_claims, 0) AS total_approved_claims,
-       COALESCE({ratio_sql('c.approved_claims', 'c.total_claims', factor=100)}, 0) AS claim_success_rate_percentage,
+SELECT dp.provider_key, dp.firstname AS provider_first_name, dp.lastname AS provider_last_name,
+       dp.specialization, dp.datasource,
+       COALESCE(ve.n_enc, 0) AS total_encounters,
+       COALESCE(CAST(vb.billed AS DOUBLE), 0) AS total_billed_amount,
+       COALESCE(vc.n_claims, 0) AS total_claims,
+       COALESCE(vc.n_approved, 0) AS total_approved_claims,
+       COALESCE({ratio_sql('vc.n_approved', 'vc.n_claims', factor=100)}, 0) AS claim_success_rate_percentage,
        {TS} AS last_updated_at
-FROM dim_providers p
-LEFT JOIN provider_encounters e ON p.provider_key = e.provider_key
-LEFT JOIN provider_financials f ON p.provider_key = f.provider_key
-LEFT JOIN provider_claims c ON p.provider_key = c.provider_key
-WHERE p.is_current = TRUE""",
+FROM dim_providers dp
+LEFT JOIN (SELECT provider_key AS k, COUNT(DISTINCT encounter_key) AS n_enc
+           FROM fact_encounters GROUP BY 1) ve ON ve.k = dp.provider_key
+LEFT JOIN (SELECT provider_key AS k, {sum_dec('amount')} AS billed
+           FROM fact_transactions GROUP BY 1) vb ON vb.k = dp.provider_key
+LEFT JOIN (SELECT provider_key AS k, COUNT(claimid) AS n_claims,
+                  CAST(SUM(CASE WHEN claimstatus = 'Approved' THEN 1 ELSE 0 END) AS BIGINT) AS n_approved
+           FROM fact_claims GROUP BY 1) vc ON vc.k = dp.provider_key
+WHERE dp.is_current""",
+    # Per department, volume from encounters, money from transactions, staff from providers
     "gold_department_performance": f"""
-WITH dept_encounters AS (
-    SELECT dept_key, COUNT(DISTINCT encounter_key) AS total_encounters,
-           COUNT(DISTINCT patient_key) AS unique_patients
-    FROM fact_encounters GROUP BY dept_key),
-dept_finance AS (
-    SELECT dept_key, {sum_dec('amount')} AS billed, {sum_dec('paidamount')} AS collected
-    FROM fact_transactions GROUP BY dept_key),
-dept_staffing AS (
-    SELECT dept_key, COUNT(DISTINCT provider_key) AS total_providers
-    FROM dim_providers WHERE is_current = TRUE GROUP BY dept_key)
-SELECT d.dept_key, d.dept_name, d.datasource,
-       COALESCE(e.unique_patients, 0) AS patient_volume,
-       COALESCE(e.total_encounters, 0) AS total_encounters,
-       COALESCE(CAST(f.billed AS DOUBLE), 0) AS total_billed_amount,
-       COALESCE(CAST(f.collected AS DOUBLE), 0) AS total_revenue,
-       COALESCE(s.total_providers, 0) AS provider_count,
-       {ratio_sql('e.total_encounters', 's.total_providers')} AS avg_encounters_per_provider,
-       {ratio_sql('f.collected * 100', 'f.billed * 100', factor=100)} AS collection_rate_percentage,
+SELECT dd.dept_key, dd.dept_name, dd.datasource,
+       COALESCE(ve.n_pat, 0) AS patient_volume,
+       COALESCE(ve.n_enc, 0) AS total_encounters,
+       COALESCE(CAST(vm.billed AS DOUBLE), 0) AS total_billed_amount,
+       COALESCE(CAST(vm.paid AS DOUBLE), 0) AS total_revenue,
+       COALESCE(vs.n_staff, 0) AS provider_count,
+       {ratio_sql('ve.n_enc', 'vs.n_staff')} AS avg_encounters_per_provider,
+       {ratio_sql('vm.paid * 100', 'vm.billed * 100', factor=100)} AS collection_rate_percentage,
        {TS} AS last_updated_at
-FROM dim_departments d
-LEFT JOIN dept_encounters e ON d.dept_key = e.dept_key
-LEFT JOIN dept_finance f ON d.dept_key = f.dept_key
-LEFT JOIN dept_staffing s ON d.dept_key = s.dept_key""",
+FROM dim_departments dd
+LEFT JOIN (SELECT dept_key AS k, COUNT(DISTINCT encounter_key) AS n_enc, COUNT(DISTINCT patient_key) AS n_pat
+           FROM fact_encounters GROUP BY 1) ve ON ve.k = dd.dept_key
+LEFT JOIN (SELECT dept_key AS k, {sum_dec('amount')} AS billed, {sum_dec('paidamount')} AS paid
+           FROM fact_transactions GROUP BY 1) vm ON vm.k = dd.dept_key
+LEFT JOIN (SELECT dept_key AS k, COUNT(DISTINCT provider_key) AS n_staff
+           FROM dim_providers WHERE is_current GROUP BY 1) vs ON vs.k = dd.dept_key""",
+    # Monthly billing (visit month) beside monthly claims (service month), newest first
     "gold_financial_metrics": f"""
-WITH financial_base AS (
-    SELECT datasource, last_day(visit_date) AS month_end_date,
-           {sum_dec('amount')} AS billed, {sum_dec('paidamount')} AS revenue,
-           COUNT(DISTINCT transaction_key) AS transaction_count
-    FROM fact_transactions GROUP BY datasource, last_day(visit_date)),
-claim_base AS (
-    SELECT datasource, last_day(servicedate) AS month_end_date, COUNT(claimid) AS total_claims,
-           CAST(COUNT_IF(claimstatus = 'Approved') AS BIGINT) AS approved_claims
-    FROM fact_claims GROUP BY datasource, last_day(servicedate))
-SELECT COALESCE(f.datasource, c.datasource) AS datasource,
-       COALESCE(f.month_end_date, c.month_end_date) AS reporting_month,
-       CAST(f.revenue AS DOUBLE) AS total_revenue, CAST(f.billed AS DOUBLE) AS total_billed_amount,
-       f.transaction_count, CAST(round(f.billed - f.revenue, 2) AS DOUBLE) AS outstanding_balance,
-       c.total_claims, c.approved_claims,
-       {ratio_sql('c.approved_claims', 'c.total_claims', factor=100)} AS claim_success_rate_percentage,
+SELECT COALESCE(mb.src, mc.src) AS datasource,
+       COALESCE(mb.mon, mc.mon) AS reporting_month,
+       CAST(mb.paid AS DOUBLE) AS total_revenue, CAST(mb.billed AS DOUBLE) AS total_billed_amount,
+       mb.n_txn AS transaction_count, CAST(round(mb.billed - mb.paid, 2) AS DOUBLE) AS outstanding_balance,
+       mc.n_claims AS total_claims, mc.n_approved AS approved_claims,
+       {ratio_sql('mc.n_approved', 'mc.n_claims', factor=100)} AS claim_success_rate_percentage,
        {TS} AS last_updated_at
-FROM financial_base f
-FULL OUTER JOIN claim_base c ON f.datasource = c.datasource AND f.month_end_date = c.month_end_date
-ORDER BY reporting_month DESC, datasource""",
+FROM (SELECT datasource AS src, last_day(visit_date) AS mon, {sum_dec('amount')} AS billed,
+             {sum_dec('paidamount')} AS paid, COUNT(DISTINCT transaction_key) AS n_txn
+      FROM fact_transactions GROUP BY 1, 2) mb
+FULL OUTER JOIN
+     (SELECT datasource AS src, last_day(servicedate) AS mon, COUNT(claimid) AS n_claims,
+             CAST(SUM(CASE WHEN claimstatus = 'Approved' THEN 1 ELSE 0 END) AS BIGINT) AS n_approved
+      FROM fact_claims GROUP BY 1, 2) mc
+  ON mb.src = mc.src AND mb.mon = mc.mon
+ORDER BY reporting_month DESC, datasource ASC""",
 }
 
 
