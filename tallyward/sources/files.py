@@ -68,19 +68,50 @@ def read_landing(spark: SparkSession, landing_root: str, hospital: Hospital, ent
     return spark.read.schema(schemas.landing_schema(entity, hospital)).json(landing_dir(landing_root, hospital, entity))
 
 
+def read_landing_history(
+    spark: SparkSession, landing_root: str, archive_root: str, hospital: Hospital, entity: str
+) -> DataFrame:
+    """S6 with ``scope="all"``: the latest batch plus every archived batch of the
+    table (full-load tables then repeat once per batch)."""
+    from tallyward.operators.archive import read_archive
+    from tallyward.sources.tables import path_exists
+
+    latest = read_landing(spark, landing_root, hospital, entity)
+    archive_dir = f"{archive_root.rstrip('/')}/{hospital.name}/{entity}"
+    if not path_exists(spark, archive_dir):
+        return latest
+    own = schemas.landing_schema(entity, hospital, with_load_date=False)
+    older = read_archive(spark, archive_dir, own).select(
+        *own.fieldNames(), F.concat("day", "month", "year").alias(schemas.LOAD_DATE)
+    )
+    return latest.unionByName(older)
+
+
 def bronze_from_landing(
     spark: SparkSession,
     landing_root: str,
     claims: DataFrame | None = None,
     cptcodes: DataFrame | None = None,
     hospitals: Sequence[Hospital] = HOSPITALS,
+    scope: str = "latest",
+    archive_root: str | None = None,
 ) -> BronzeLayer:
-    """S6 for all hospitals and entities: the bronze layer over landing folders."""
+    """S6 for all hospitals and entities: the bronze layer over landing folders.
+
+    ``scope="latest"`` (the pipeline's semantics) reads the latest batch only;
+    ``scope="all"`` adds the archived batches from ``archive_root``.
+    """
+    if scope not in ("latest", "all"):
+        raise ValueError(f"scope must be 'latest' or 'all', not {scope!r}")
+    if scope == "all" and not archive_root:
+        raise ValueError("scope='all' needs the archive root")
+
+    def one(h, entity):
+        if scope == "all":
+            return read_landing_history(spark, landing_root, archive_root, h, entity)
+        return read_landing(spark, landing_root, h, entity)
+
     frames = LazyFrames(
-        {
-            (h.name, entity): (lambda h=h, entity=entity: read_landing(spark, landing_root, h, entity))
-            for h in hospitals
-            for entity in ENTITIES
-        }
+        {(h.name, entity): (lambda h=h, entity=entity: one(h, entity)) for h in hospitals for entity in ENTITIES}
     )
     return BronzeLayer(frames=frames, claims=claims, cptcodes=cptcodes, hospitals=hospitals)

@@ -86,3 +86,21 @@ def test_jobs_cli_runs_land_then_bronze(spark, scratch):
     assert sorted(t["table"] for t in out["landed"]) == sorted(fixtures.OPERATIONAL)
     out = jobs.main(["bronze", "--lake", f"{scratch}/lake", "--claims", claims, "--cptcodes", cpt], spark=spark)
     assert out["claims"] == fixtures.claims_rows(spark, SF_SMALL).count() and out["cptcodes"] > 0
+
+
+def test_bronze_scope_all_adds_archived_batches(spark, scratch):
+    from tallyward.sources.files import bronze_from_landing
+
+    lake = Lake(scratch)
+    config = spark.createDataFrame(
+        [("hospital_a", "hospital_a_db", "departments", "full", "", "1", "x")], LOAD_CONFIG
+    )
+    src = FixtureSource(spark, SF_SMALL, HOSPITAL_A)
+    for day in (1, 2):
+        land_hospital(spark, HOSPITAL_A, src, config, lake, dt.datetime(2024, 6, day), EventLog())
+    latest = bronze_from_landing(spark, lake.landing).frames[("hospital-a", "departments")]
+    every = bronze_from_landing(spark, lake.landing, scope="all", archive_root=lake.archive).frames[
+        ("hospital-a", "departments")
+    ]
+    assert every.count() == 2 * latest.count()
+    assert {r.load_date for r in every.select("load_date").distinct().collect()} == {"01062024", "02062024"}
