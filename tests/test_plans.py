@@ -78,3 +78,20 @@ def test_distinct_counts_shuffle_on_group_and_value(spark, queries, name, keys):
     text = _plan(queries[name](spark, SF_SMALL))
     parts = re.findall(r"hashpartitioning\(([^)]*)\)", text)
     assert any(all(k in p for k in keys) and len(p.split(",")) > len(keys) - 1 for p in parts), parts
+
+
+def test_dimensions_fall_back_to_sort_merge_beyond_the_threshold(spark, queries):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    expected = sorted(map(tuple, queries["gold_charge_by_provider_dept"](spark, SF_SMALL).collect()))
+    try:
+        for k in keys:
+            spark.conf.set(k, "1b")
+        df = queries["gold_charge_by_provider_dept"](spark, SF_SMALL)
+        got = sorted(map(tuple, df.collect()))
+        final = _plan(df, "simple")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "BroadcastHashJoin" not in final and "SortMergeJoin" in final
+    assert got == expected
