@@ -30,7 +30,7 @@ from tallyward.sinks.logs import EventLog, append_event_log, write_event_log_jso
 from tallyward.sources.files import read_load_config  # noqa: E402
 from tallyward.sources.jdbc import JdbcConnection, JdbcSource  # noqa: E402
 from tallyward.sources.tables import Lake  # noqa: E402
-from tallyward.specs import HOSPITALS  # noqa: E402
+from tallyward.specs import HOSPITALS, MSG_CONFIG_READ  # noqa: E402
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -91,13 +91,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     run_ts = _run_ts(args.run_ts)
     as_of = run_ts.strftime("%Y-%m-%d %H:%M:%S")
 
+    log = EventLog(clock=lambda: run_ts)
+    if args.job in ("land", "refresh"):
+        config = read_load_config(spark, args.config)
+        log.log("INFO", MSG_CONFIG_READ)
+
     if args.job == "land":
         h = _hospital(args.hospital)
-        log = EventLog(clock=lambda: run_ts)
         try:
-            rows = land_hospital(
-                spark, h, _source(spark, args, h, args.jdbc_url), read_load_config(spark, args.config), lake, run_ts, log
-            )
+            rows = land_hospital(spark, h, _source(spark, args, h, args.jdbc_url), config, lake, run_ts, log)
         finally:
             append_event_log(spark, log, lake.path("control", "pipeline_logs"))
             write_event_log_json(spark, log, f"{lake.root}/logs", run_ts.strftime("%Y%m%d%H%M%S"))
@@ -111,7 +113,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     urls = _options(args.jdbc_url_for)
     sources = {h.name: _source(spark, args, h, urls.get(h.name)) for h in HOSPITALS}
-    result = refresh(spark, lake, sources, read_load_config(spark, args.config), args.claims, args.cptcodes, run_ts)
+    result = refresh(spark, lake, sources, config, args.claims, args.cptcodes, run_ts, log=log)
     return {"counts": [{"layer": layer, "table": t, "rows": n} for layer, t, n in result.counts]}
 
 

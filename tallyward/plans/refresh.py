@@ -85,9 +85,10 @@ def refresh(
     cpt_path: str,
     run_ts: dt.datetime,
     hospitals: Sequence[Hospital] = HOSPITALS,
+    log: EventLog | None = None,
 ) -> RefreshResult:
     as_of = run_ts.strftime("%Y-%m-%d %H:%M:%S")
-    log = EventLog(clock=lambda: run_ts)
+    log = log if log is not None else EventLog(clock=lambda: run_ts)
     result = RefreshResult(log=log)
 
     try:

@@ -41,6 +41,7 @@ class Hospital:
 #   "Successfully extracted data from {table}"
 #   "Audit log updated for {table}"
 #   "Error processing {table}: {error}"
+#   "Successfully read the config file"
 HOSPITAL_A = Hospital(
     name="hospital-a",
     key_prefix="HOSP-A-",
@@ -70,6 +71,7 @@ MSG_WATERMARK = "Latest watermark for {table}: {watermark}"
 MSG_EXTRACTED = "Successfully extracted data from {table}"
 MSG_AUDITED = "Audit log updated for {table}"
 MSG_ERROR = "Error processing {table}: {error}"
+MSG_CONFIG_READ = "Successfully read the config file"
 # --- end of fixed values ---
 
 HOSPITALS: tuple[Hospital, ...] = (HOSPITAL_A, HOSPITAL_B)
