@@ -35,6 +35,9 @@ def write_landing(df: DataFrame, table_dir: str, load_date: str) -> int:
     out = landing_form(df).withColumn(LOAD_DATE, F.lit(load_date)).observe(seen, F.count(F.lit(1)).alias("rows"))
     (
         out.write.mode("overwrite")
+        # the whole folder is replaced even where the cluster defaults to dynamic
+        # partition overwrite: older days must not stay visible to bronze
+        .option("partitionOverwriteMode", "static")
         .option("ignoreNullFields", "false")
         .partitionBy(LOAD_DATE)
         .json(table_dir)

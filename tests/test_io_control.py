@@ -124,3 +124,18 @@ def test_event_rows_have_a_table_column_even_when_null(spark):
     df = log.frame(spark)
     assert df.schema["table"].dataType.simpleString() == "string"
     assert df.where(F.col("table").isNull()).count() == 1
+
+
+def test_landing_overwrite_replaces_older_days_even_with_dynamic_mode(spark, scratch):
+    df = spark.createDataFrame([("D1", "Cardio")], "deptid string, name string")
+    table_dir = f"{scratch}/landing/{HOSPITAL_A.name}/departments"
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "dynamic")
+        write_landing(df, table_dir, "01062024")
+        write_landing(df, table_dir, "02062024")
+    finally:
+        spark.conf.set(key, before)
+    back = read_landing(spark, f"{scratch}/landing", HOSPITAL_A, "departments")
+    assert [r.load_date for r in back.collect()] == ["02062024"]
