@@ -8,6 +8,7 @@ recomputes from the last written layer, not from the sources.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -67,6 +68,7 @@ class RefreshResult:
     counts: list[tuple[str, str, int]] = field(default_factory=list)
     audit_rows: list[tuple] = field(default_factory=list)
     log: EventLog | None = None
+    seconds: dict[str, float] = field(default_factory=dict)  # wall time per layer
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.counts, COUNTS_SCHEMA)
@@ -92,16 +94,26 @@ def refresh(
     result = RefreshResult(log=log)
 
     try:
+        clock = time.perf_counter()
+
+        def lap(layer: str) -> None:
+            nonlocal clock
+            now = time.perf_counter()
+            result.seconds[layer] = round(now - clock, 3)
+            clock = now
+
         # landing: one job per hospital (archive, extract, write, audit)
         for h in hospitals:
             result.audit_rows += land_hospital(spark, h, sources[h.name], config, lake, run_ts, log)
         for row in result.audit_rows:
             db, table, rows = row[0], row[1], row[3]
             result.counts.append(("landing", f"{hospital_by_database(db).name}/{table}", rows))
+        lap("landing")
 
         # bronze: claims and procedure codes from their files
         result.counts.append(("bronze", "claims", load_claims(spark, claims_glob, lake, as_of)))
         result.counts.append(("bronze", "cptcodes", load_cptcodes(spark, cpt_path, lake, as_of)))
+        lap("bronze")
 
         # silver: conformed tables over the landing folders and bronze tables
         bronze = bronze_from_landing(
@@ -114,11 +126,13 @@ def refresh(
         silver = build_silver(bronze, as_of)
         for name, df in silver.tables().items():
             result.counts.append(("silver", name, lake.overwrite(df, "silver", name)))
+        lap("silver")
 
         # gold: KPI tables over the written silver tables
         written = read_silver(spark, lake)
         for name, fn in GOLD_TABLES.items():
             result.counts.append(("gold", name, lake.overwrite(fn(written, as_of), "gold", name)))
+        lap("gold")
         log.log("SUCCESS", "Medallion refresh finished")
     except Exception as exc:
         log.log("ERROR", f"Medallion refresh failed: {type(exc).__name__}: {exc}")
