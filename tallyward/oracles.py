@@ -428,5 +428,11 @@ def io_sql() -> dict[str, str]:
                    CASE WHEN l_orderkey % 2 = 0 THEN 'hospital-a' ELSE 'hospital-b' END AS datasource,
                    {TS} AS extraction_timestamp
             FROM lineitem WHERE l_linenumber = 1""",
+        "incremental_second_run": fixtures_only(
+            """SELECT *, '30062024' AS load_date FROM a_patients
+            UNION ALL
+            SELECT *, '30092024' AS load_date FROM a_patients
+            WHERE modifieddate > epoch_ms(TIMESTAMP '2024-06-30 00:00:00')"""
+        ),
         "medallion_refresh_counts": _refresh_counts_sql(),
     }

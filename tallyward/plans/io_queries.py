@@ -19,7 +19,7 @@ from tallyward.operators.control import active_load_specs, latest_watermarks, se
 from tallyward.plans.bronze_job import load_claims
 from tallyward.plans.landing_job import FixtureSource, land_hospital, load_date_of, run_id_of
 from tallyward.plans.refresh import default_load_config, refresh
-from tallyward.schemas import AUDIT_LOG, landing_schema
+from tallyward.schemas import AUDIT_LOG, LOAD_CONFIG, landing_schema
 from tallyward.session import apply_pipeline_conf, fresh_dir
 from tallyward.sinks.landing import landing_form, write_landing
 from tallyward.sinks.logs import (
@@ -31,6 +31,7 @@ from tallyward.sinks.logs import (
     write_event_log_json,
 )
 from tallyward.sources.files import (
+    bronze_from_landing,
     landing_dir,
     read_claims_csv,
     read_cptcodes_csv,
@@ -42,6 +43,7 @@ from tallyward.specs import HOSPITAL_A, HOSPITAL_B, HOSPITALS
 
 AS_OF = "2024-06-30 00:00:00"
 RUN_TS = dt.datetime(2024, 6, 30, 0, 0, 0)
+SECOND_RUN_TS = dt.datetime(2024, 9, 30, 6, 0, 0)
 INCREMENTAL_MARK = "1998-06-30 00:00:00"
 
 
@@ -210,6 +212,22 @@ def bronze_claims_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2+C3+C5+S6: hospital A's patients landed twice (incremental); bronze over
+    the latest batch and the archive holds the first full batch plus the delta of
+    rows modified after the first run."""
+    lake = _lake(spark, "two-runs")
+    config = spark.createDataFrame(
+        [("hospital_a", HOSPITAL_A.database, "patients", "incremental", "modifieddate", "1", "landing")],
+        LOAD_CONFIG,
+    )
+    source = FixtureSource(spark, sf_dir, HOSPITAL_A)
+    for run_ts in (RUN_TS, SECOND_RUN_TS):
+        land_hospital(spark, HOSPITAL_A, source, config, lake, run_ts, EventLog(clock=lambda: run_ts))
+    bronze = bronze_from_landing(spark, lake.landing, scope="all", archive_root=lake.archive)
+    return bronze.frames[(HOSPITAL_A.name, "patients")]
+
+
 def medallion_refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full refresh (landing, bronze, silver, gold) and its row counts."""
     lake = _lake(spark, "refresh")
@@ -239,6 +257,7 @@ IO_QUERIES = {
     "archive_partitioned_roundtrip": archive_partitioned_roundtrip,
     "audit_record_count": audit_record_count,
     "bronze_claims_lineage": bronze_claims_lineage,
+    "incremental_second_run": incremental_second_run,
     "medallion_refresh_counts": medallion_refresh_counts,
 }
 
