@@ -40,9 +40,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(v) if os.environ.get("ORACLE_EXACT") else repr(round(v, 6))
     if isinstance(v, decimal.Decimal):
-        return repr(round(float(v), 6))
+        return repr(float(v)) if os.environ.get("ORACLE_EXACT") else repr(round(float(v), 6))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (dt.date, bool, int, str)):
