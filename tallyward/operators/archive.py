@@ -1,10 +1,9 @@
 """Archive the previous landing batch before a new one replaces it.
 
-The archive is a distributed copy: the landing folder is read as text lines and
-appended to ``archive/<table>`` partitioned by year / month / day (from the
-batch's date) and run id. No file passes through the driver, and the archive
-is complete before the landing folder is overwritten (it is a separate,
-earlier job).
+The batch is moved (renamed) into ``archive/<hospital>/<table>`` under
+year / month / day (from the batch's date) and run id folders, the layout a
+partitioned text table reads back. Nothing passes through the driver or the
+executors; the archive is complete before the landing folder is rewritten.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.sources.tables import path_exists
+from tallyward.sources.tables import file_system, path_exists
 
 
 def file_date_parts(path: Column) -> dict[str, Column]:
@@ -34,21 +33,41 @@ def file_date_parts(path: Column) -> dict[str, Column]:
     }
 
 
-def _landing_lines(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    if not path_exists(spark, table_dir):  # first load of the table: nothing to archive
-        return None
-    return spark.read.text(table_dir)
+def name_date_parts(name: str) -> tuple[str, str, str]:
+    """C4 on one file or folder name (driver side, for moves): year, month, day."""
+    if name.startswith("load_date="):
+        part = name.split("=", 1)[1]
+    else:
+        part = name.split("_")[-1].split(".")[0]
+    return part[-4:], part[2:4], part[:2]
 
 
-def archive_landing(spark: SparkSession, table_dir: str, archive_dir: str, run_id: str) -> int:
-    """Copy every landing line of one table to its archive; returns the number
-    of lines archived (0 when the landing folder is absent or empty)."""
-    lines = _landing_lines(spark, table_dir)
-    if lines is None:
-        return 0
+def _archive_target(archive_dir: str, name: str, run_id: str) -> str:
+    year, month, day = name_date_parts(name)
+    return f"{archive_dir.rstrip('/')}/year={year}/month={month}/day={day}/run_ts={run_id}"
+
+
+def _move_batch(fs, table_dir: str, archive_dir: str, run_id: str) -> int:
+    """Move the landing batch into the archive: ``load_date=`` folders (our writer)
+    and ``<table>_<ddMMyyyy>.json`` files (dropped by other writers). Renames
+    only; returns the number of entries moved."""
+    moved = 0
+    for name, path, is_dir in fs.children(table_dir):
+        if is_dir and name.startswith("load_date="):
+            fs.move(path, _archive_target(archive_dir, name, run_id))
+            moved += 1
+        elif not is_dir and name.endswith(".json"):
+            fs.move(path, f"{_archive_target(archive_dir, name, run_id)}/{name}")
+            moved += 1
+    return moved
+
+
+def _copy_batch(spark: SparkSession, table_dir: str, archive_dir: str, run_id: str) -> int:
+    """Distributed copy of the landing lines (for sessions without file-system
+    access); returns the number of lines copied."""
     parts = file_date_parts(F.input_file_name())
     seen = Observation("archive")
-    out = lines.select(
+    out = spark.read.text(table_dir).select(
         "value",
         parts["year"].alias("year"),
         parts["month"].alias("month"),
@@ -59,6 +78,25 @@ def archive_landing(spark: SparkSession, table_dir: str, archive_dir: str, run_i
     return int(seen.get["rows"] or 0)
 
 
+def archive_landing(spark: SparkSession, table_dir: str, archive_dir: str, run_id: str) -> int:
+    """Move the table's previous landing batch to
+    ``archive_dir/year=/month=/day=/run_ts=``; returns how much was archived
+    (0 when there is no landing folder or it holds no batch).
+
+    A move is a rename per batch folder or file: nothing is read or rewritten, so
+    its cost does not grow with the batch (on object stores the rename is a
+    server-side copy). Without file-system access the batch is copied by a
+    distributed job instead. Either way the archive is complete before the new
+    batch is written.
+    """
+    if not path_exists(spark, table_dir):  # first load of the table: nothing to archive
+        return 0
+    fs = file_system(spark, table_dir)
+    if fs is not None:
+        return _move_batch(fs, table_dir, archive_dir, run_id)
+    return _copy_batch(spark, table_dir, archive_dir, run_id)
+
+
 def read_archive(spark: SparkSession, archive_dir: str, schema) -> DataFrame:
     """Archived batches of one table, typed, with their partition columns as strings."""
     lines = spark.read.schema("value STRING, year STRING, month STRING, day STRING, run_ts STRING").text(archive_dir)

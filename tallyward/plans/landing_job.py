@@ -99,7 +99,7 @@ def land_hospital(
             table_dir = landing_dir(lake.landing, hospital, table)
             archived = archive_landing(spark, table_dir, f"{lake.archive}/{hospital.name}/{table}", run_id_of(run_ts))
             if archived:
-                log.log("INFO", f"Archived {archived} rows of {hospital.name}/{table}", table)
+                log.log("INFO", f"Moved {archived} landing batches of {hospital.name}/{table} to the archive", table)
             else:
                 log.log("INFO", MSG_NO_FILES.format(table=table), table)
             mark = spec["last_watermark"] if kind == INCREMENTAL else None

@@ -139,3 +139,32 @@ def test_landing_overwrite_replaces_older_days_even_with_dynamic_mode(spark, scr
         spark.conf.set(key, before)
     back = read_landing(spark, f"{scratch}/landing", HOSPITAL_A, "departments")
     assert [r.load_date for r in back.collect()] == ["02062024"]
+
+
+def test_archive_moves_batches_and_dropped_files(spark, scratch):
+    from tallyward.operators.archive import _copy_batch, archive_landing, name_date_parts, read_archive
+
+    assert name_date_parts("orders_02012024.json") == ("2024", "01", "02")
+    assert name_date_parts("load_date=30062024") == ("2024", "06", "30")
+
+    df = spark.createDataFrame([("D1", "Cardio"), ("D2", "Lab")], "deptid string, name string")
+    table_dir = f"{scratch}/landing/{HOSPITAL_A.name}/departments"
+    write_landing(df, table_dir, "30062024")
+    _write_text(f"{table_dir}/departments_02012024.json", '{"deptid":"D9","name":"Old"}\n')
+    archive_dir = f"{scratch}/archive/{HOSPITAL_A.name}/departments"
+    assert archive_landing(spark, table_dir, archive_dir, "010203000000") == 2
+    schema = schemas.landing_schema("departments", HOSPITAL_A, with_load_date=False)
+    rows = sorted((r.deptid, r.year, r.month, r.day, r.run_ts) for r in read_archive(spark, archive_dir, schema).collect())
+    assert rows == [
+        ("D1", "2024", "06", "30", "010203000000"),
+        ("D2", "2024", "06", "30", "010203000000"),
+        ("D9", "2024", "01", "02", "010203000000"),
+    ]
+    assert archive_landing(spark, table_dir, archive_dir, "020000000000") == 0  # nothing left to move
+
+    # the copy used where the file system is not reachable gives the same layout
+    write_landing(df, table_dir, "01072024")
+    copy_dir = f"{scratch}/archive-copy"
+    assert _copy_batch(spark, table_dir, copy_dir, "030000000000") == 2
+    copied = {(r.deptid, r.year, r.month, r.day) for r in read_archive(spark, copy_dir, schema).collect()}
+    assert copied == {("D1", "2024", "07", "01"), ("D2", "2024", "07", "01")}
