@@ -434,5 +434,7 @@ def io_sql() -> dict[str, str]:
             SELECT *, '30092024' AS load_date FROM a_patients
             WHERE modifieddate > epoch_ms(TIMESTAMP '2024-06-30 00:00:00')"""
         ),
+        "silver_from_landing": silver_sql("fact_transactions"),
+        "refresh_financial_metrics": medallion_sql(GOLD_SQL["gold_financial_metrics"]),
         "medallion_refresh_counts": _refresh_counts_sql(),
     }

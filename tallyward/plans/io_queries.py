@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyward import fixtures
 from tallyward.functions import claims_hospital_name
 from tallyward.operators.archive import archive_landing, file_date_parts, read_archive
+from tallyward.operators.silver import fact_transactions
 from tallyward.operators.control import active_load_specs, latest_watermarks, select_batch, watermarks_for
 from tallyward.plans.bronze_job import load_claims
 from tallyward.plans.landing_job import FixtureSource, land_hospital, load_date_of, run_id_of
@@ -228,14 +229,38 @@ def incremental_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.frames[(HOSPITAL_A.name, "patients")]
 
 
-def medallion_refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full refresh (landing, bronze, silver, gold) and its row counts."""
-    lake = _lake(spark, "refresh")
+def silver_from_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 -> V5: ``fact_transactions`` built from both hospitals' landing JSON."""
+    lake = _lake(spark, "silver-landing")
+    for h in HOSPITALS:
+        write_landing(
+            fixtures.operational(spark, sf_dir, h, "transactions"),
+            landing_dir(lake.landing, h, "transactions"),
+            load_date_of(RUN_TS),
+        )
+    return fact_transactions(bronze_from_landing(spark, lake.landing), AS_OF)
+
+
+def refresh_financial_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 end to end: G5 as the refresh writes it (transactions through landing
+    JSON, claims through the CSV files), read back from the lake."""
+    lake, _ = _run_refresh(spark, sf_dir, "refresh-g5")
+    return lake.read(spark, "gold", "financial_metrics")
+
+
+def _run_refresh(spark: SparkSession, sf_dir: str, label: str):
+    lake = _lake(spark, label)
     claims_glob = fixtures.stage_claim_files(spark, sf_dir, f"{lake.root}/drops/claims")
     cpt_path = fixtures.stage_cpt_file(spark, sf_dir, f"{lake.root}/drops/cptcodes/cptcodes.csv")
     config_path = fixtures.stage_load_config(spark, sf_dir, f"{lake.root}/configs/load_config.csv", default_load_config(spark))
     sources = {h.name: FixtureSource(spark, sf_dir, h) for h in HOSPITALS}
     result = refresh(spark, lake, sources, read_load_config(spark, config_path), claims_glob, cpt_path, RUN_TS)
+    return lake, result
+
+
+def medallion_refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh (landing, bronze, silver, gold) and its row counts."""
+    _, result = _run_refresh(spark, sf_dir, "refresh")
     return result.frame(spark)
 
 
@@ -258,6 +283,8 @@ IO_QUERIES = {
     "audit_record_count": audit_record_count,
     "bronze_claims_lineage": bronze_claims_lineage,
     "incremental_second_run": incremental_second_run,
+    "silver_from_landing": silver_from_landing,
+    "refresh_financial_metrics": refresh_financial_metrics,
     "medallion_refresh_counts": medallion_refresh_counts,
 }
 
