@@ -213,14 +213,27 @@ def department_performance(silver: SilverLayer, as_of: str) -> DataFrame:
 
 def financial_metrics(silver: SilverLayer, as_of: str) -> DataFrame:
     """G5 ``financial_metrics``: monthly billing (by visit month) full-outer-joined
-    to monthly claims (by service month), latest month first."""
-    billing = silver.transactions.groupBy(
-        F.col("datasource").alias("f_datasource"), F.last_day("visit_date").alias("f_month")
-    ).agg(
+    to monthly claims (by service month), latest month first.
+
+    The money sums and the distinct transaction count are separate aggregates,
+    joined on the (source, month) key: the sums collapse map-side to one row per
+    month, and the distinct count's shuffle carries keys only instead of two
+    decimal sum buffers per transaction key.
+    """
+    month_keys = [F.col("datasource").alias("f_datasource"), F.last_day("visit_date").alias("f_month")]
+    sums = silver.transactions.groupBy(*month_keys).agg(
         money_total(F.col("amount")).alias("billed"),
         money_total(F.col("paidamount")).alias("revenue"),
-        F.count_distinct("transaction_key").alias("transaction_count"),
     )
+    distinct = silver.transactions.groupBy(*month_keys).agg(
+        F.count_distinct("transaction_key").alias("transaction_count")
+    )
+    # same groups on both sides; the null-safe key keeps a NULL month's row
+    billing = sums.join(
+        distinct.withColumnsRenamed({"f_datasource": "d_datasource", "f_month": "d_month"}),
+        (F.col("f_datasource").eqNullSafe(F.col("d_datasource"))) & (F.col("f_month").eqNullSafe(F.col("d_month"))),
+        "inner",
+    ).drop("d_datasource", "d_month")
     claims = _claim_counts(
         silver.claims.select(
             F.col("datasource").alias("c_datasource"),
