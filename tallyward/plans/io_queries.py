@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from tallyward import fixtures
 from tallyward.functions import claims_hospital_name
 from tallyward.operators.archive import archive_landing, file_date_parts, read_archive
-from tallyward.operators.silver import fact_transactions
 from tallyward.operators.control import active_load_specs, latest_watermarks, select_batch, watermarks_for
+from tallyward.operators.silver import fact_transactions
 from tallyward.plans.bronze_job import load_claims
 from tallyward.plans.landing_job import FixtureSource, land_hospital, load_date_of, run_id_of
 from tallyward.plans.refresh import default_load_config, refresh
-from tallyward.schemas import AUDIT_LOG, LOAD_CONFIG, landing_schema
+from tallyward.schemas import LOAD_CONFIG, landing_schema
 from tallyward.session import apply_pipeline_conf, fresh_dir
 from tallyward.sinks.landing import landing_form, write_landing
 from tallyward.sinks.logs import (
@@ -287,5 +287,3 @@ IO_QUERIES = {
     "refresh_financial_metrics": refresh_financial_metrics,
     "medallion_refresh_counts": medallion_refresh_counts,
 }
-
-__all__ = ["AUDIT_LOG", "IO_QUERIES"]
