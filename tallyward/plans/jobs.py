@@ -78,6 +78,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--jdbc-url")
         if name == "refresh":
             s.add_argument("--jdbc-url-for", action="append", help="hospital=url")
+            s.add_argument("--scope", choices=("latest", "all"), default="latest", help="landing batches silver reads")
         if name in ("bronze", "refresh"):
             s.add_argument("--claims", required=True, help="claims CSV glob")
             s.add_argument("--cptcodes", required=True, help="procedure-code CSV")
@@ -113,7 +114,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     urls = _options(args.jdbc_url_for)
     sources = {h.name: _source(spark, args, h, urls.get(h.name)) for h in HOSPITALS}
-    result = refresh(spark, lake, sources, config, args.claims, args.cptcodes, run_ts, log=log)
+    result = refresh(spark, lake, sources, config, args.claims, args.cptcodes, run_ts, log=log, scope=args.scope)
     return {"counts": [{"layer": layer, "table": t, "rows": n} for layer, t, n in result.counts]}
 
 

@@ -88,7 +88,11 @@ def refresh(
     run_ts: dt.datetime,
     hospitals: Sequence[Hospital] = HOSPITALS,
     log: EventLog | None = None,
+    scope: str = "latest",
 ) -> RefreshResult:
+    """Run one refresh at ``run_ts``. ``scope="latest"`` (the pipeline's
+    semantics) builds silver from the latest landing batch of every table;
+    ``scope="all"`` from every batch, archived ones included."""
     as_of = run_ts.strftime("%Y-%m-%d %H:%M:%S")
     log = log if log is not None else EventLog(clock=lambda: run_ts)
     result = RefreshResult(log=log)
@@ -122,6 +126,8 @@ def refresh(
             claims=lambda: lake.read(spark, "bronze", "claims"),
             cptcodes=lambda: lake.read(spark, "bronze", "cptcodes"),
             hospitals=hospitals,
+            scope=scope,
+            archive_root=lake.archive,
         )
         silver = build_silver(bronze, as_of)
         for name, df in silver.tables().items():
