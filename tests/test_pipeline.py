@@ -104,3 +104,21 @@ def test_bronze_scope_all_adds_archived_batches(spark, scratch):
     ]
     assert every.count() == 2 * latest.count()
     assert {r.load_date for r in every.select("load_date").distinct().collect()} == {"01062024", "02062024"}
+
+
+def test_cli_refresh_with_all_batches(spark, scratch):
+    from tallyward.plans import jobs
+
+    claims = fixtures.stage_claim_files(spark, SF_SMALL, f"{scratch}/drops/claims")
+    cpt = fixtures.stage_cpt_file(spark, SF_SMALL, f"{scratch}/drops/cpt.csv")
+    cfg = fixtures.stage_load_config(spark, SF_SMALL, f"{scratch}/configs/load_config.csv", default_load_config(spark))
+    base = ["refresh", "--lake", f"{scratch}/lake", "--config", cfg, "--claims", claims, "--cptcodes", cpt,
+            "--sf-dir", SF_SMALL]
+    first = jobs.main(base + ["--run-ts", "2024-06-30T00:00:00"], spark=spark)
+    second = jobs.main(base + ["--run-ts", "2024-07-01T00:00:00", "--scope", "all"], spark=spark)
+    rows1 = {(c["layer"], c["table"]): c["rows"] for c in first["counts"]}
+    rows2 = {(c["layer"], c["table"]): c["rows"] for c in second["counts"]}
+    # all batches: the first run's transactions (archived) plus an empty second delta
+    assert rows2[("silver", "fact_transactions")] == rows1[("silver", "fact_transactions")]
+    # full-load dimensions repeat once per batch
+    assert rows2[("silver", "dim_departments")] == 2 * rows1[("silver", "dim_departments")]
