@@ -177,14 +177,15 @@ CLAIM_COLUMNS = (
 
 
 def claims_rows(spark, sf_dir) -> DataFrame:
-    """Claim rows (first line of each order) with the file each one arrives in."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    """Claim rows (one per line item, the claim its transaction refers to) with
+    the file each one arrives in."""
+    li = table(spark, sf_dir, "lineitem")
     return li.selectExpr(*CLAIM_COLUMNS, f"{CLAIM_FILE} AS claim_file")
 
 
 def claims_bronze(spark, sf_dir, as_of: str) -> DataFrame:
     """Bronze ``claims`` as the CSV load writes it (with lineage columns)."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    li = table(spark, sf_dir, "lineitem")
     return li.selectExpr(
         *CLAIM_COLUMNS,
         f"concat('{CLAIMS_DIR}/', {CLAIM_FILE}) AS source_file_path",

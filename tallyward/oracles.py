@@ -124,7 +124,7 @@ CLAIM_FILE = "CASE WHEN l_orderkey % 2 = 0 THEN 'hospital1_claim_data.csv' ELSE
 
 _CLAIMS = f"""SELECT {CLAIM_COLUMNS},
         'landing/claims/' || {CLAIM_FILE} AS source_file_path, {TS} AS extraction_timestamp
-    FROM lineitem WHERE l_linenumber = 1"""
+    FROM lineitem"""
 
 CPT_CODE = "CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE CAST(p_partkey AS INTEGER) END"
 CPT_DESC = "CASE WHEN p_partkey % 10 = 0 THEN p_name || chr(10) || p_type ELSE p_name END"
@@ -383,7 +383,7 @@ def io_sql() -> dict[str, str]:
         for t in ENTITIES
     )
     return {
-        "csv_claims_scan": f"SELECT {CLAIM_COLUMNS} FROM lineitem WHERE l_linenumber = 1",
+        "csv_claims_scan": f"SELECT {CLAIM_COLUMNS} FROM lineitem",
         "csv_cptcodes_scan": f"""SELECT p_type AS procedure_code_category, {CPT_CODE} AS cpt_codes,
             {CPT_DESC} AS procedure_code_descriptions, p_brand AS code_status FROM part""",
         "load_config_scan": control("SELECT * FROM load_config"),
@@ -427,7 +427,7 @@ def io_sql() -> dict[str, str]:
                    {CLAIM_FILE} AS claim_file,
                    CASE WHEN l_orderkey % 2 = 0 THEN 'hospital-a' ELSE 'hospital-b' END AS datasource,
                    {TS} AS extraction_timestamp
-            FROM lineitem WHERE l_linenumber = 1""",
+            FROM lineitem""",
         "incremental_second_run": fixtures_only(
             """SELECT *, '30062024' AS load_date FROM a_patients
             UNION ALL
