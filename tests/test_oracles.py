@@ -1,0 +1,32 @@
+"""The driver's correctness gate, in pytest: silver and gold queries against
+their DuckDB oracles at the smallest scale (exact float comparison)."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_mod
+from oracle_check import check, duck
+
+from conftest import SF_SMALL
+
+NAMES = [
+    "dim_departments", "fact_encounters", "dim_patients", "dim_providers", "fact_transactions",
+    "dim_cptcodes", "fact_claims", "gold_charge_by_provider_dept", "gold_patient_history",
+    "gold_provider_performance", "gold_department_performance", "gold_financial_metrics",
+    "active_load_specs", "latest_watermark_default", "archive_path_parse",
+]
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_SMALL)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name, monkeypatch):
+    monkeypatch.setitem(os.environ, "ORACLE_EXACT", "1")
+    ok, n_spark, n_duck, _, detail = check(
+        spark, con, SF_SMALL, name, entry_mod.queries()[name], entry_mod.oracle_sql()[name]
+    )
+    assert ok, f"{name}: rows {n_spark}/{n_duck} {detail}"
