@@ -95,3 +95,33 @@ def test_dimensions_fall_back_to_sort_merge_beyond_the_threshold(spark, queries)
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "BroadcastHashJoin" not in final and "SortMergeJoin" in final
     assert got == expected
+
+
+def test_results_do_not_depend_on_physical_choices(spark, queries):
+    names = [
+        "gold_charge_by_provider_dept",
+        "gold_patient_history",
+        "gold_provider_performance",
+        "gold_department_performance",
+        "gold_financial_metrics",
+    ]
+    baseline = {n: sorted(map(tuple, queries[n](spark, SF_SMALL).collect()), key=repr) for n in names}
+    other = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "37",
+    }
+    before = {k: spark.conf.get(k, None) for k in other}
+    try:
+        for k, v in other.items():
+            spark.conf.set(k, v)
+        for n in names:
+            df = queries[n](spark, SF_SMALL)
+            # queries re-apply the pipeline settings; force the alternative plan again
+            for k, v in other.items():
+                spark.conf.set(k, v)
+            got = sorted(map(tuple, df.collect()), key=repr)
+            assert got == baseline[n], n
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
