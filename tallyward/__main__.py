@@ -1,8 +1,6 @@
 """``python -m tallyward <land|bronze|refresh> ...`` — the job entry points."""
 
-import json
-
-from tallyward.plans.jobs import main
+from tallyward.plans.jobs import cli
 
 if __name__ == "__main__":
-    print(json.dumps(main()))
+    cli()

@@ -118,5 +118,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return {"counts": [{"layer": layer, "table": t, "rows": n} for layer, t, n in result.counts]}
 
 
-if __name__ == "__main__":
+def cli() -> None:
     print(json.dumps(main()))
+
+
+if __name__ == "__main__":
+    cli()
