@@ -122,3 +122,19 @@ def test_cli_refresh_with_all_batches(spark, scratch):
     assert rows2[("silver", "fact_transactions")] == rows1[("silver", "fact_transactions")]
     # full-load dimensions repeat once per batch
     assert rows2[("silver", "dim_departments")] == 2 * rows1[("silver", "dim_departments")]
+
+
+def test_failed_refresh_still_keeps_its_events(spark, scratch):
+    import pytest
+
+    lake = Lake(scratch)
+    config = spark.createDataFrame(
+        [("hospital_a", "hospital_a_db", "departments", "full", "", "1", "x")], LOAD_CONFIG
+    )
+    sources = {h.name: FixtureSource(spark, SF_SMALL, h) for h in HOSPITALS}
+    with pytest.raises(Exception):
+        refresh(spark, lake, sources, config, f"{scratch}/no-such-claims/*.csv", f"{scratch}/no-cpt.csv",
+                dt.datetime(2024, 6, 30))
+    events = spark.read.parquet(lake.path("control", "pipeline_logs")).collect()
+    assert any(e.event_type == "ERROR" and "refresh failed" in e.message for e in events)
+    assert any(e.event_type == "SUCCESS" and e.table == "departments" for e in events)
