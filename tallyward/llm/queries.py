@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import bpe, packing
+from tallyward.llm import ann, bpe, packing, simhash
 from tallyward.llm.common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), VOCABULARY, end_id=2, size=1024)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_bpe, op7_best_fit_packing)}
+def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_bpe, op7_best_fit_packing, op9_cross_polytope, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {}
