@@ -7,16 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import ann, bpe, fingerprints, packing, simhash
+from tallyward.llm import ann, bpe, fingerprints, packing, quality, simhash, toxicity
 from tallyward.llm.common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -33,6 +41,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_closed_syncmers, op6_bpe, op7_best_fit_packing, op9_cross_polytope, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_random_indexing, op2_closed_syncmers, op3_toxicity, op6_bpe, op7_best_fit_packing, op9_cross_polytope, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {}
