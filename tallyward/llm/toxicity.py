@@ -99,7 +99,7 @@ def features(flat: Flat, lexicon: Lexicon) -> np.ndarray:
     uppers = np.concatenate([[0], np.cumsum(upper)])
     size = ends - starts
     with_digit = digits[ends] - digits[starts]
-    mixed = (with_digit > 0) & (with_digit < size) & ((data[starts] >= 0x41))
+    mixed = (with_digit > 0) & (with_digit < size)
     disguised = np.zeros(len(h), bool)
     if mixed.any():
         total, down = prefix_hash(_LEET[data])
