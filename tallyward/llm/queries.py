@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import ann, bpe, fingerprints, packing, quality, simhash, toxicity
+from tallyward.llm import ann, bpe, fingerprints, licenses, packing, quality, simhash, toxicity, url_filters
 from tallyward.llm.common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filters.judge(url_filters.captures_of(pages), url_filters.entries_of(pages))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(read_table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -41,6 +50,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_random_indexing, op2_closed_syncmers, op3_toxicity, op6_bpe, op7_best_fit_packing, op9_cross_polytope, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_random_indexing, op2_closed_syncmers, op3_toxicity, op4_url_filters, op5_license_scan, op6_bpe, op7_best_fit_packing, op9_cross_polytope, op10_simhash)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filters.ORACLE_SQL}
