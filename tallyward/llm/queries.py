@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import ann, bpe, fingerprints, licenses, packing, quality, simhash, toxicity, url_filters
+from tallyward.llm import ann, bpe, fingerprints, licenses, packing, quality, simhash, substring_dedup, toxicity, url_filters
 from tallyward.llm.common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +42,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), VOCABULARY, end_id=2, size=1024)
 
 
+def op8_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
 
@@ -50,6 +54,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_random_indexing, op2_closed_syncmers, op3_toxicity, op4_url_filters, op5_license_scan, op6_bpe, op7_best_fit_packing, op9_cross_polytope, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_random_indexing, op2_closed_syncmers, op3_toxicity, op4_url_filters, op5_license_scan, op6_bpe, op7_best_fit_packing, op8_run_length_index, op9_cross_polytope, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filters.ORACLE_SQL}
