@@ -89,7 +89,7 @@ def test_window_owners_do_not_depend_on_the_size_of_an_index(monkeypatch):
         monkeypatch.setattr(sd, "INDEX_BYTES", size)
         found.append(sd._window_owners(data, windows, anchor, owner).tolist())
     least = {}
-    for (_, c), o in zip(contexts, owners.tolist()):
+    for (_, c), o in zip(contexts, owner.tolist()):
         for x in range(len(c) - 49):
             least[c[x : x + 50]] = min(o, least.get(c[x : x + 50], o))
     assert found[0] == found[1] == found[2] == [least[c[x : x + 50]] for _, c in contexts for x in range(len(c) - 49)]
