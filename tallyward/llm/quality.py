@@ -150,7 +150,7 @@ class Network:
         return _sigmoid(self.logits(x).astype(np.float64) / self.temperature)
 
 
-def fit_network(x: np.ndarray, y: np.ndarray, epochs: int = 40, batch: int = 256, decay: float = 1e-4) -> Network:
+def fit_network(x: np.ndarray, y: np.ndarray, steps: int = 2000, batch: int = 256, decay: float = 1e-4) -> Network:
     """Adam on the cross entropy; the last fifth of the (shuffled) rows fits the temperature."""
     rng = np.random.default_rng(SEED)
     order = rng.permutation(len(x))
@@ -161,21 +161,20 @@ def fit_network(x: np.ndarray, y: np.ndarray, epochs: int = 40, batch: int = 256
     z = ((fit_x - net.mean) / net.scale).astype(np.float32)
     params = [net.w1, net.b1, net.w2, np.array([net.b2], np.float32)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    step = 0
-    for epoch in range(epochs):
-        rate = 0.004 * (1 - epoch / epochs)
-        order = rng.permutation(len(z))
-        for at in range(0, len(z), batch):
-            rows = order[at : at + batch]
-            hidden = np.tanh(z[rows] @ params[0] + params[1])
-            error = (_sigmoid(hidden @ params[2] + params[3]) - fit_y[rows])[:, None] / len(rows)
-            back = error * params[2] * (1 - hidden * hidden)
-            slopes = [z[rows].T @ back + decay * params[0], back.sum(axis=0), (hidden * error).sum(axis=0) + decay * params[2], error.sum(axis=0)]
-            step += 1
-            for p, g, m, v in zip(params, slopes, first, second):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    order = np.zeros(0, np.int64)
+    for step in range(1, steps + 1):
+        if len(order) < batch:  # another pass over the rows
+            order = np.concatenate([order, rng.permutation(len(z))])
+        rows, order = order[:batch], order[batch:]
+        hidden = np.tanh(z[rows] @ params[0] + params[1])
+        error = (_sigmoid(hidden @ params[2] + params[3]) - fit_y[rows])[:, None] / len(rows)
+        back = error * params[2] * (1 - hidden * hidden)
+        slopes = [z[rows].T @ back + decay * params[0], back.sum(axis=0), (hidden * error).sum(axis=0) + decay * params[2], error.sum(axis=0)]
+        rate = 0.004 * (1 - step / (steps + 1))
+        for p, g, m, v in zip(params, slopes, first, second):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     net.w1, net.b1, net.w2, net.b2 = params[0], params[1], params[2], float(params[3][0])
     if kept_back >= 20:
         logits, truth = net.logits(x[:kept_back]).astype(np.float64), y[:kept_back]
@@ -209,8 +208,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", hel
     return QualityModel(vectors, fit_network(np.array([np.frombuffer(bytes(r["x"]), np.float32) for r in rows]), y))
 
 
-def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """``docs`` with the column ``score``: the probability of label 1, from the text alone."""
+def score_quality(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
+    """``docs`` with the column ``name``: the probability of label 1, from the text alone."""
+    docs = docs.select(*[F.col(c) for c in docs.columns if c != name])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,9 +218,9 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
             score = np.full(batch.num_rows, 0.5)
             for flat in flat_slices(column) if model.network else ():
                 score[flat.first : flat.first + len(flat)] = model.network.probabilities(pooled(flat, model.vectors))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, held: Fold = (5, 0), threshold: float = 0.3) -> DataFrame:

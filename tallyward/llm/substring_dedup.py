@@ -331,9 +331,11 @@ def _covered(c: Contexts, flat: Flat, ids: np.ndarray, bits: int, answers: dict[
     return np.cumsum(edge[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, cut_text: bool = False) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, ...) with n_bytes, n_removed, n_spans and
-    ``kept`` (binary: the bytes that stay)."""
+    ``kept`` (binary: the bytes that stay). With ``cut_text`` the text column is what stays,
+    without the remains of code points that a removal cut, and the input's columns
+    alone are returned."""
     fields = [f for f in docs.schema.fields if f.name not in ("n_bytes", "n_removed", "n_spans", "kept")]
     docs = docs.select(*[F.col(f.name).cast("long" if f.name == "doc_id" else "string").alias(f.name) if f.name in ("doc_id", "text") else F.col(f.name) for f in fields])
     batches = _batches(docs)
@@ -357,10 +359,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 kept_at = flat.offsets - sums[0]
                 kept = flat.data[~gone].tobytes()
                 texts = [kept[a:b] for a, b in zip(kept_at[:-1].tolist(), kept_at[1:].tolist())]
+                if cut_text:
+                    at = rows.schema.get_field_index("text")
+                    # a null text stays null
+                    cut = pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string(), mask=rows.column(at).is_null().to_numpy(zero_copy_only=False))
+                    yield rows.set_column(at, rows.schema.field(at), cut)
+                    continue
                 more = [pa.array(np.diff(x), pa.int64()) for x in (flat.offsets, *sums)] + [pa.array(texts, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
+    schema = docs.schema if cut_text else T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
     return flagged.join(marks, "batch", "left").select("rows", "flags", "marks").mapInArrow(run, schema)
 
 

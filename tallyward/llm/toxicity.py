@@ -306,16 +306,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", held
     return ToxicityModel(lexicon, trees, fit_isotonic(_sigmoid(trees.margin(x[held_back])), y[held_back]))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs`` with the column ``score``: the probability of label 1, from the text alone."""
+def score_toxicity(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:
+    """``docs`` with the column ``name``: the probability of label 1, from the text alone."""
+    docs = docs.select(*[F.col(c) for c in docs.columns if c != name])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [model.scores(flat) for flat in flat_slices(batch.column(batch.schema.get_field_index("text")))]
             score = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def classify_toxicity(docs: DataFrame, labels: DataFrame, held: Fold = (3, 1), threshold: float = 0.7) -> DataFrame:
