@@ -38,7 +38,7 @@ WORD_S, CHAR_S, SPAN = 2, 4, 4
 #: Hashes of a fingerprint.
 SKETCH = 64
 #: Bytes of text to a bucket of neighbouring ids, and buckets at most (their bounds are literals, as a range partitioner's are).
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 2 << 20
 MOST_BUCKETS = 1 << 14
 
 
@@ -145,10 +145,11 @@ def next_document(docs: DataFrame, columns: list[str]) -> DataFrame:
         F.when(F.col("_key") == F.lit(largest if largest is not None else 0), F.array(place(F.lit(0), 1))).otherwise(none),
     )
     dealt = keyed.withColumn("_place", F.explode(places))
-    order = Window.partitionBy("_place.bucket").orderBy(F.col("_place.extra"), F.col("_key").desc(), F.col("text"))
-    for c in columns:
-        dealt = dealt.withColumn(f"next_{c}", F.lead(c).over(order))
-    return dealt.where(F.col("_place.extra") == 0).drop("_key", "_place")
+    dealt = dealt.select(*docs.columns, "_key", F.col("_place.bucket").alias("_bucket"), F.col("_place.extra").alias("_extra"))
+    # one window for all columns: the texts are shuffled once
+    order = Window.partitionBy("_bucket").orderBy("_extra", F.col("_key").desc(), "text")
+    rows = dealt.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
+    return rows.where("_extra = 0").drop("_key", "_bucket", "_extra")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
