@@ -1,23 +1,17 @@
 """Column expressions shared by the layers. All are built-in Spark functions,
 so they stay inside whole-stage code generation."""
 
-from tallyward.functions.dates import epoch_millis, millis_to_date, run_date, run_timestamp
+from tallyward.functions.dates import run_timestamp
 from tallyward.functions.frames import union_all
-from tallyward.functions.keys import claims_hospital_prefix, claims_hospital_name, provider_key, surrogate_key
+from tallyward.functions.keys import claims_hospital_name
 from tallyward.functions.money import money, money_cents, money_total, rounded_ratio
 
 __all__ = [
     "claims_hospital_name",
-    "claims_hospital_prefix",
-    "epoch_millis",
-    "millis_to_date",
     "money",
     "money_cents",
     "money_total",
-    "provider_key",
     "rounded_ratio",
-    "run_date",
     "run_timestamp",
-    "surrogate_key",
     "union_all",
 ]

@@ -1,35 +1,14 @@
-"""Date conversions between operational types and the landing form (Column API)."""
+"""The run's timestamp as a column."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyward.functions import sql as X
 
-DAY_MS = X.DAY_MS
-
-
-def millis_to_date(column: str) -> Column:
-    """UTC calendar date of an epoch-millisecond column.
-
-    Day arithmetic instead of ``to_date(timestamp_millis(x))`` keeps the result
-    independent of the session time zone.
-    """
-    return F.expr(X.millis_to_date(column))
-
-
-def epoch_millis(column: str, dtype: T.DataType) -> Column:
-    """Epoch milliseconds of a DATE / TIMESTAMP / TIMESTAMP_NTZ column (landing form)."""
-    return F.expr(X.epoch_millis(column, dtype))
-
 
 def run_timestamp(as_of: str) -> Column:
     """The run's timestamp (``CURRENT_TIMESTAMP()`` of the refresh), injected so
     that a refresh is reproducible."""
     return F.expr(X.run_timestamp(as_of))
-
-
-def run_date(as_of: str) -> Column:
-    return F.expr(X.run_date(as_of))

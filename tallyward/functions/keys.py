@@ -1,4 +1,4 @@
-"""Surrogate keys shared by all silver tables (Column API over ``functions.sql``)."""
+"""The hospital of a claims file."""
 
 from __future__ import annotations
 
@@ -11,28 +11,5 @@ from tallyward.functions import sql as X
 from tallyward.specs import HOSPITALS, Hospital
 
 
-def surrogate_key(prefix: str, column: str) -> Column:
-    """``prefix || id``; a NULL id gives a NULL key (``concat`` is NULL-strict)."""
-    return F.expr(X.surrogate_key(X.quote(prefix), column))
-
-
-def provider_key(prefix: str, column: str) -> Column:
-    """Key of ``dim_providers``: only the part of the id from ``PROV`` on.
-
-    No match gives NULL (``regexp_substr``), so such providers get a NULL key and
-    never join. Facts keep the raw id (see ``surrogate_key``); the asymmetry is the
-    source pipeline's and is kept.
-    """
-    return F.expr(X.provider_key(prefix, column))
-
-
-def claims_hospital_prefix(path_column: str, hospitals: Sequence[Hospital] = HOSPITALS) -> Column:
-    """Key prefix of the hospital a claims file belongs to (by its path).
-
-    A path without a known tag, NULL included, belongs to the default hospital.
-    """
-    return F.expr(X.claims_hospital(path_column, lambda h: h.key_prefix, hospitals))
-
-
 def claims_hospital_name(path_column: str, hospitals: Sequence[Hospital] = HOSPITALS) -> Column:
     return F.expr(X.claims_hospital(path_column, lambda h: h.name, hospitals))

@@ -1,8 +1,7 @@
-"""The same column expressions as SQL text, for ``selectExpr`` projections.
+"""Column expressions as SQL text, for ``selectExpr`` projections.
 
 A wide projection written as SQL strings is analysed in one call instead of a
-few JVM round trips per expression node; the expressions are identical to the
-Column-API versions in ``keys`` / ``dates``.
+few JVM round trips per expression node.
 """
 
 from __future__ import annotations
@@ -25,14 +24,20 @@ def ident(name: str) -> str:
 
 
 def surrogate_key(prefix_sql: str, column: str) -> str:
+    """``prefix || id``; a NULL id gives a NULL key (``concat`` is NULL-strict)."""
     return f"concat({prefix_sql}, CAST({ident(column)} AS STRING))"
 
 
 def provider_key(prefix: str, column: str) -> str:
+    """Key of ``dim_providers``: only the part of the id from ``PROV`` on. No match gives
+    NULL, so such providers never join; facts keep the raw id (the source
+    pipeline's asymmetry, kept)."""
     return f"concat({quote(prefix)}, regexp_substr({ident(column)}, {quote(PROVIDER_KEY_PATTERN)}))"
 
 
 def millis_to_date(column: str) -> str:
+    """UTC calendar date of an epoch-millisecond column, by day arithmetic: independent of
+    the session time zone."""
     return f"date_from_unix_date(CAST(floor({ident(column)} / {DAY_MS}) AS INT))"
 
 

@@ -1,105 +1,58 @@
-"""Archive the previous landing batch before a new one replaces it.
+"""The date that a landing file carries, and the archive of older batches.
 
-The batch is moved (renamed) into ``archive/<hospital>/<table>`` under
-year / month / day (from the batch's date) and run id folders, the layout a
-partitioned text table reads back. Nothing passes through the driver or the
-executors; the archive is complete before the landing folder is rewritten.
+Landing batches are immutable folders. The batch that the audit log names last is the
+current one; all that it named before are the archive, which is read in place under
+year, month, day and batch. Nothing is moved or copied, whatever a batch's size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyward.sources.tables import file_system, path_exists
+from tallyward.schemas import LOAD_DATE
+from tallyward.sources.files import read_batches
 
+# A landing file is named <table>_<ddMMyyyy>.json.
+NAME_PATTERN = r"_(\d{8})\.json$"
+DATE_FORMAT = "ddMMyyyy"
 
-def file_date_parts(path: Column) -> dict[str, Column]:
-    """C4: the date a landing file carries → year, month, day, file name.
-
-    The date part is the text after the last ``_`` up to the first ``.`` of a
-    name like ``orders_02012024.json`` (ddMMyyyy); for folders written by the
-    landing writer it is the ``load_date=`` partition value.
-    """
-    name = F.element_at(F.split(path, "/"), -1)
-    from_name = F.split(F.element_at(F.split(path, "_"), -1), r"\.").getItem(0)
-    from_folder = F.regexp_extract(path, r"load_date=([^/]+)", 1)
-    date_part = F.when(from_folder != "", from_folder).otherwise(from_name)
+
+def _parts(date: Column) -> dict[str, Column]:
     return {
-        "year": F.substring(date_part, -4, 4),
-        "month": F.substring(date_part, 3, 2),
-        "day": F.substring(date_part, 1, 2),
-        "filename": name,
+        "year": F.date_format(date, "yyyy"),
+        "month": F.date_format(date, "MM"),
+        "day": F.date_format(date, "dd"),
     }
 
 
-def name_date_parts(name: str) -> tuple[str, str, str]:
-    """C4 on one file or folder name (driver side, for moves): year, month, day."""
-    if name.startswith("load_date="):
-        part = name.split("=", 1)[1]
-    else:
-        part = name.split("_")[-1].split(".")[0]
-    return part[-4:], part[2:4], part[:2]
-
-
-def _archive_target(archive_dir: str, name: str, run_id: str) -> str:
-    year, month, day = name_date_parts(name)
-    return f"{archive_dir.rstrip('/')}/year={year}/month={month}/day={day}/run_ts={run_id}"
-
-
-def _move_batch(fs, table_dir: str, archive_dir: str, run_id: str) -> int:
-    """Move the landing batch into the archive: ``load_date=`` folders (our writer)
-    and ``<table>_<ddMMyyyy>.json`` files (dropped by other writers). Renames
-    only; returns the number of entries moved."""
-    moved = 0
-    for name, path, is_dir in fs.children(table_dir):
-        if is_dir and name.startswith("load_date="):
-            fs.move(path, _archive_target(archive_dir, name, run_id))
-            moved += 1
-        elif not is_dir and name.endswith(".json"):
-            fs.move(path, f"{_archive_target(archive_dir, name, run_id)}/{name}")
-            moved += 1
-    return moved
-
-
-def _copy_batch(spark: SparkSession, table_dir: str, archive_dir: str, run_id: str) -> int:
-    """Distributed copy of the landing lines (for sessions without file-system
-    access); returns the number of lines copied."""
-    parts = file_date_parts(F.input_file_name())
-    seen = Observation("archive")
-    out = spark.read.text(table_dir).select(
-        "value",
-        parts["year"].alias("year"),
-        parts["month"].alias("month"),
-        parts["day"].alias("day"),
-        F.lit(run_id).alias("run_ts"),
-    ).observe(seen, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("append").partitionBy("year", "month", "day", "run_ts").text(archive_dir)
-    return int(seen.get["rows"] or 0)
-
-
-def archive_landing(spark: SparkSession, table_dir: str, archive_dir: str, run_id: str) -> int:
-    """Move the table's previous landing batch to
-    ``archive_dir/year=/month=/day=/run_ts=``; returns how much was archived
-    (0 when there is no landing folder or it holds no batch).
-
-    A move is a rename per batch folder or file: nothing is read or rewritten, so
-    its cost does not grow with the batch (on object stores the rename is a
-    server-side copy). Without file-system access the batch is copied by a
-    distributed job instead. Either way the archive is complete before the new
-    batch is written.
-    """
-    if not path_exists(spark, table_dir):  # first load of the table: nothing to archive
-        return 0
-    fs = file_system(spark, table_dir)
-    if fs is not None:
-        return _move_batch(fs, table_dir, archive_dir, run_id)
-    return _copy_batch(spark, table_dir, archive_dir, run_id)
-
-
-def read_archive(spark: SparkSession, archive_dir: str, schema) -> DataFrame:
-    """Archived batches of one table, typed, with their partition columns as strings."""
-    lines = spark.read.schema("value STRING, year STRING, month STRING, day STRING, run_ts STRING").text(archive_dir)
-    return lines.select(F.from_json("value", schema).alias("r"), "year", "month", "day", "run_ts").select(
-        "r.*", "year", "month", "day", "run_ts"
-    )
+def file_date(path: Column) -> Column:
+    """C4: the date in a landing file's name; NULL where the name carries none."""
+    return F.try_to_timestamp(F.nullif(F.regexp_extract(path, NAME_PATTERN, 1), F.lit("")), F.lit(DATE_FORMAT)).cast("date")
+
+
+def file_date_parts(path: Column) -> dict[str, Column]:
+    """C4: year, month, day (text, NULL where the name carries no date) and file name."""
+    return {**_parts(file_date(path)), "filename": F.regexp_extract(path, r"([^/]*)$", 1)}
+
+
+def name_date(name: str) -> dt.date:
+    """C4 on one file name (driver side); a name without a date is an error."""
+    stem, dot, kind = name.rpartition(".")
+    try:
+        if kind != "json":
+            raise ValueError
+        return dt.datetime.strptime(stem.rpartition("_")[2], "%d%m%Y").date()
+    except ValueError:
+        raise ValueError(f"{name!r} carries no ddMMyyyy date") from None
+
+
+def read_archive(spark: SparkSession, table_dir: str, batches: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The archived batches of one table, typed, with year, month, day and batch."""
+    rows = read_batches(spark, table_dir, batches, schema)
+    parts = _parts(F.try_to_timestamp(F.col(LOAD_DATE), F.lit(DATE_FORMAT)).cast("date"))
+    return rows.select(*schema.fieldNames(), *(c.alias(n) for n, c in parts.items()), "batch")

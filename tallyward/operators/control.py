@@ -35,6 +35,17 @@ def latest_watermarks(audit: DataFrame) -> DataFrame:
     return audit.groupBy("data_source", "tablename").agg(F.max("load_timestamp").alias("latest_timestamp"))
 
 
+def landed_batches(audit: DataFrame) -> dict[tuple[str, str], list[tuple[str, str]]]:
+    """(data_source, tablename) -> (batch, load type) of its successful loads, oldest
+    first; the last one is current. Audit rows are control metadata, one a load."""
+    done = audit.where((F.col("status") == "SUCCESS") & F.col("batch").isNotNull())
+    rows = done.select("data_source", "tablename", "batch", F.lower(F.trim("load_type")).alias("kind"), F.unix_micros("load_timestamp").alias("at"))
+    out: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["at"], r["batch"])):
+        out.setdefault((r["data_source"], r["tablename"]), []).append((r["batch"], r["kind"]))
+    return out
+
+
 def watermarks_for(specs: DataFrame, audit: DataFrame) -> DataFrame:
     """C2 for a set of load specs: each spec's high-water mark, or the default
     (``1900-01-01 00:00:00``) when the audit log has no row for it."""
@@ -65,12 +76,20 @@ def select_batch(df: DataFrame, load_type: str, watermark_column: str | None = N
     column is strictly after the last watermark (incremental). Rows with a NULL
     watermark value never load incrementally. The predicate is a plain ``where``,
     so a JDBC or parquet source receives it as a pushed filter.
+
+    ``watermark``: microseconds since the epoch (what the landing job carries, free of any
+    time zone), or text in the session's time zone.
     """
     kind = normalise_load_type(load_type)
     if kind == FULL:
         return df
     if not watermark_column:
         raise ValueError("an incremental load needs a watermark column")
-    mark = F.lit(str(watermark if watermark is not None else DEFAULT_WATERMARK)).cast("timestamp")
+    if isinstance(watermark, int):
+        mark = F.timestamp_micros(F.lit(watermark))
+    elif watermark is None or isinstance(watermark, str):
+        mark = F.lit(watermark or DEFAULT_WATERMARK).cast("timestamp")
+    else:  # a datetime would carry the driver's time zone
+        raise TypeError("a watermark is microseconds or text")
     return df.where(F.col(watermark_column) > mark)
 

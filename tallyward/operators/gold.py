@@ -213,7 +213,7 @@ def department_performance(silver: SilverLayer, as_of: str) -> DataFrame:
 
 def financial_metrics(silver: SilverLayer, as_of: str) -> DataFrame:
     """G5 ``financial_metrics``: monthly billing (by visit month) full-outer-joined
-    to monthly claims (by service month), latest month first.
+    to monthly claims (by service month).
 
     The money sums and the distinct transaction count are separate aggregates,
     joined on the (source, month) key: the sums collapse map-side to one row per
@@ -261,7 +261,12 @@ def financial_metrics(silver: SilverLayer, as_of: str) -> DataFrame:
             "claim_success_rate_percentage"
         ),
         run_timestamp(as_of).alias("last_updated_at"),
-    ).orderBy(F.col("reporting_month").desc(), F.col("datasource").asc())
+    )
+
+
+def financial_metrics_by_month(silver: SilverLayer, as_of: str) -> DataFrame:
+    """G5 as it is queried: latest month first (a written table is not sorted)."""
+    return financial_metrics(silver, as_of).orderBy(F.col("reporting_month").desc(), F.col("datasource").asc())
 
 
 GOLD_TABLES = {

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 from tallyward.specs import HOSPITALS, Hospital
 
 
+#: Column that names the hospital in a frame of all hospitals.
+HOSPITAL_COLUMN = "hospital_name"
+
+
 class LazyFrames(Mapping):
     """A mapping whose values are built on first access and then kept."""
 
@@ -41,6 +45,8 @@ class BronzeLayer:
     ``frames[(hospital name, entity)]`` is that hospital's landing table in its
     own column names (dates as epoch milliseconds). ``claims`` / ``cptcodes``
     are the bronze tables loaded from the CSV files (with lineage columns).
+    ``combined[entity]``, where a source has it, holds all hospitals in conformed
+    columns and the hospital's name in ``hospital_name``.
     """
 
     def __init__(
@@ -49,8 +55,10 @@ class BronzeLayer:
         claims: Callable[[], DataFrame] | DataFrame | None = None,
         cptcodes: Callable[[], DataFrame] | DataFrame | None = None,
         hospitals: Sequence[Hospital] = HOSPITALS,
+        combined: Mapping[str, Callable[[], DataFrame]] | None = None,
     ):
         self.frames = frames
+        self.combined = LazyFrames(combined or {})
         self._files = LazyFrames(
             {k: (v if callable(v) else (lambda v=v: v)) for k, v in (("claims", claims), ("cptcodes", cptcodes)) if v is not None}
         )

@@ -16,24 +16,37 @@ from pyspark.sql import DataFrame
 
 from tallyward.functions import sql as X
 from tallyward.functions.frames import union_all
-from tallyward.operators.layers import BronzeLayer, SilverLayer
+from tallyward.operators.layers import HOSPITAL_COLUMN, BronzeLayer, SilverLayer
 from tallyward.specs import HOSPITALS, Hospital
 
 
+class AllHospitals:
+    """Stands for the hospital of a row in a frame of all hospitals: prefix and name are
+    looked up by the row's ``hospital_name``."""
+
+    def __init__(self, hospitals):
+        whens = " ".join(f"WHEN {X.quote(h.name)} THEN {X.quote(h.key_prefix)}" for h in hospitals)
+        self.prefix_sql = f"CASE {HOSPITAL_COLUMN} {whens} END"
+        self.name_sql = HOSPITAL_COLUMN
+
+
 def _per_hospital(bronze: BronzeLayer, entity: str, exprs) -> DataFrame:
+    if entity in bronze.combined:  # one scan for all hospitals
+        return bronze.combined[entity].selectExpr(*exprs(AllHospitals(bronze.hospitals)))
     return union_all(bronze.conformed(h, entity).selectExpr(*exprs(h)) for h in bronze.hospitals)
 
 
-def _key(h: Hospital, column: str, alias: str) -> str:
-    return f"{X.surrogate_key(X.quote(h.key_prefix), column)} AS {alias}"
+def _key(h: Hospital | AllHospitals, column: str, alias: str) -> str:
+    prefix = h.prefix_sql if isinstance(h, AllHospitals) else X.quote(h.key_prefix)
+    return f"{X.surrogate_key(prefix, column)} AS {alias}"
 
 
 def _day(column: str, alias: str) -> str:
     return f"{X.millis_to_date(column)} AS {alias}"
 
 
-def _source(h: Hospital) -> str:
-    return f"{X.quote(h.name)} AS datasource"
+def _source(h: Hospital | AllHospitals) -> str:
+    return f"{h.name_sql if isinstance(h, AllHospitals) else X.quote(h.name)} AS datasource"
 
 
 def _ingested(as_of: str, alias: str = "ingestion_at") -> str:

@@ -313,7 +313,6 @@ def silver_sql(table: str) -> str:
 
 LOAD_DATE = "'30062024'"  # ddMMyyyy of the run date
 ENTITIES = ("departments", "encounters", "patients", "providers", "transactions")
-FULL_TABLES = ("departments", "providers")
 
 _CONFIG = """SELECT db AS database, db || '_db' AS datasource, tbl AS tablename, lt AS loadtype,
         'modifieddate' AS watermark, CASE WHEN s_suppkey % 3 <> 0 THEN '1' ELSE '0' END AS is_active,
@@ -332,18 +331,34 @@ _CONTROL_CTES = {"load_config": _CONFIG, "audit_log": _AUDIT}
 
 
 def _events_sql() -> str:
-    parts = []
-    for t in ENTITIES:
-        mark = "None" if t in FULL_TABLES else "1900-01-01 00:00:00"
-        for e, m in (
-            ("INFO", f"No existing files for table {t}"),
-            ("INFO", f"Latest watermark for {t}: {mark}"),
-            ("SUCCESS", f"Successfully extracted data from {t}"),
-            ("SUCCESS", f"JSON files written to hospital-a/{t}"),
-            ("SUCCESS", f"Audit log updated for {t}"),
-        ):
-            parts.append(f"('{e}', '{m}', '{t}')")
-    return "SELECT * FROM (VALUES " + ", ".join(parts) + ') AS v(event_type, message, "table")'
+    """Events of the landing runs over ``supplier``'s load specs, in order, a second apart.
+    Specs run by source, table and load type; only ``encounters`` can be read."""
+    event = lambda n, kind, text, cond: f"SELECT *, {n} AS step, '{kind}' AS event_type, {text} AS message FROM specs WHERE {cond}"
+    readable = "tbl = 'encounters'"
+    mark = "CASE WHEN lower(lt) = 'full' THEN 'None' ELSE '1900-01-01 00:00:00' END"
+    error = "'Error processing ' || tbl || ': KeyError: ' || chr(39) || 'table ' || tbl || ' does not exist in ' || db || chr(39)"
+    steps = "\nUNION ALL ".join(
+        [
+            event(1, "INFO", "'No existing files for table ' || tbl", "TRUE"),
+            event(2, "INFO", f"'Latest watermark for ' || tbl || ': ' || {mark}", "TRUE"),
+            event(3, "SUCCESS", "'Successfully extracted data from ' || tbl", readable),
+            event(4, "SUCCESS", "'JSON files written to ' || name || '/' || tbl", readable),
+            event(5, "SUCCESS", "'Audit log updated for ' || tbl", readable),
+            event(6, "ERROR", error, f"NOT ({readable})"),
+        ]
+    )
+    return with_ctes(
+        """SELECT strftime(TIMESTAMP '2024-06-30 00:00:00' + to_seconds(row_number() OVER (ORDER BY db, n, step) - 1), '%Y-%m-%dT%H:%M:%S') || '+00:00'
+                  AS "timestamp", event_type, message, tbl AS "table"
+           FROM steps""",
+        {
+            **_CONTROL_CTES,
+            "specs": """SELECT datasource AS db, replace(database, '_', '-') AS name, tablename AS tbl, loadtype AS lt,
+                               row_number() OVER (PARTITION BY datasource ORDER BY tablename, loadtype) AS n
+                        FROM load_config WHERE is_active = '1'""",
+            "steps": steps,
+        },
+    )
 
 
 def _count_union(items) -> str:
@@ -373,12 +388,39 @@ def _refresh_counts_sql() -> str:
     return medallion_sql(_count_union(items))
 
 
+SOURCES = (("a", "hospital-a"), ("b", "hospital-b"))
+
+
+def _both(entity: str) -> str:
+    """A table of both hospitals in conformed columns, with load date and source."""
+    own = {"patients": "id AS patientid, f_name AS firstname, l_name AS lastname, m_name AS middlename, * EXCLUDE (id, f_name, l_name, m_name)"}
+    return "\nUNION ALL BY NAME ".join(
+        f"SELECT {own.get(entity, '*') if h == 'b' else '*'}, {LOAD_DATE} AS load_date, '{name}' AS datasource FROM {h}_{entity}" for h, name in SOURCES
+    )
+
+
+def _gold_by_name_sql() -> str:
+    picks = (
+        ("charge", "gold_charge_by_provider_dept", "provider_key", "dept_name", "total_charge_amount", "CAST(total_transactions AS DOUBLE)"),
+        ("history", "gold_patient_history", "patient_key", "encounter_key", "charged_amount", "amount_paid"),
+        ("provider", "gold_provider_performance", "provider_key", "specialization", "total_billed_amount", "claim_success_rate_percentage"),
+        ("department", "gold_department_performance", "dept_key", "dept_name", "total_billed_amount", "total_revenue"),
+        ("finance", "gold_financial_metrics", "datasource", "CAST(reporting_month AS VARCHAR)", "total_revenue", "total_billed_amount"),
+    )
+    return medallion_sql(
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS tablename, {k1} AS k1, {k2} AS k2, {v1} AS v1, {v2} AS v2 FROM ({GOLD_SQL[q].strip()}) AS {t}"
+            for t, q, k1, k2, v1, v2 in picks
+        )
+    )
+
+
 def io_sql() -> dict[str, str]:
     fixtures_only = lambda body: with_ctes(body, FIXTURE_CTES)
     control = lambda body: with_ctes(body, _CONTROL_CTES)
     landing_counts = "\nUNION ALL ".join(
         f"SELECT '{'hospital_a_db' if h == 'a' else 'hospital_b_db'}' AS data_source, '{t}' AS tablename, "
-        f"CAST(count(*) AS BIGINT) AS record_count FROM {h}_{t}"
+        f"CAST(count(*) AS BIGINT) AS record_count, TIMESTAMP '2024-06-30 00:00:00' AS load_timestamp FROM {h}_{t}"
         for h in ("a", "b")
         for t in ENTITIES
     )
@@ -387,13 +429,15 @@ def io_sql() -> dict[str, str]:
         "csv_cptcodes_scan": f"""SELECT p_type AS procedure_code_category, {CPT_CODE} AS cpt_codes,
             {CPT_DESC} AS procedure_code_descriptions, p_brand AS code_status FROM part""",
         "load_config_scan": control("SELECT * FROM load_config"),
-        "bronze_json_roundtrip": fixtures_only(f"SELECT *, {LOAD_DATE} AS load_date FROM b_patients"),
-        "landing_json_roundtrip": fixtures_only(
-            f"""SELECT *, {LOAD_DATE} AS load_date, 'hospital-a' AS datasource FROM a_transactions
-            UNION ALL SELECT *, {LOAD_DATE} AS load_date, 'hospital-b' AS datasource FROM b_transactions"""
-        ),
+        "bronze_json_roundtrip": fixtures_only(_both("patients")),
+        **{f"bronze_json_{t}": fixtures_only(_both(t)) for t in ENTITIES},
+        "landing_json_roundtrip": fixtures_only(_both("transactions")),
         "bronze_overwrite_idempotent": fixtures_only("SELECT * FROM bronze_claims"),
-        "audit_append": control("SELECT * FROM audit_log"),
+        "audit_append": control(
+            """SELECT data_source, tablename, load_type, CAST(sum(record_count) AS BIGINT) AS record_count,
+                   max(load_timestamp) AS load_timestamp, status
+            FROM audit_log GROUP BY data_source, tablename, load_type, status, CAST(load_timestamp AS DATE)"""
+        ),
         "event_log_append": _events_sql(),
         "event_log_json": _events_sql(),
         "active_load_specs": control(
@@ -411,16 +455,19 @@ def io_sql() -> dict[str, str]:
               ON c.datasource = m.data_source AND c.tablename = m.tablename"""
         ),
         "incremental_filter": fixtures_only(
-            "SELECT * FROM a_transactions WHERE modifieddate > epoch_ms(TIMESTAMP '1998-06-30 00:00:00')"
+            "\nUNION ALL ".join(
+                f"SELECT *, '{name}' AS datasource FROM {h}_transactions WHERE modifieddate > epoch_ms(TIMESTAMP '1998-06-30 00:00:00')"
+                for h, name in SOURCES
+            )
         ),
-        "archive_path_parse": """SELECT path, right(dp, 4) AS year, substr(dp, 3, 2) AS month, left(dp, 2) AS day,
-                   fname AS filename
-            FROM (SELECT path, split_part(string_split(path, '_')[-1], '.', 1) AS dp,
-                         string_split(path, '/')[-1] AS fname
-                  FROM (SELECT 'landing/hospital-a/orders/orders_' || strftime(o_orderdate, '%d%m%Y') || '.json'
-                               AS path FROM orders))""",
+        "archive_path_parse": """SELECT 'landing/hospital-a/orders/orders_' || strftime(o_orderdate, '%d%m%Y') || '.json' AS path,
+                   strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, strftime(o_orderdate, '%d') AS day,
+                   'orders_' || strftime(o_orderdate, '%d%m%Y') || '.json' AS filename
+            FROM orders""",
         "archive_partitioned_roundtrip": fixtures_only(
-            "SELECT *, '2024' AS year, '06' AS month, '30' AS day, '000000000000' AS run_ts FROM a_encounters"
+            "\nUNION ALL ".join(
+                f"SELECT *, '2024' AS year, '06' AS month, '30' AS day, '{name}' AS datasource FROM {h}_encounters" for h, name in SOURCES
+            )
         ),
         "audit_record_count": fixtures_only(landing_counts),
         "bronze_claims_lineage": f"""SELECT 'CL' || {s('l_orderkey')} || '-' || {s('l_linenumber')} AS claimid,
@@ -429,12 +476,21 @@ def io_sql() -> dict[str, str]:
                    {TS} AS extraction_timestamp
             FROM lineitem""",
         "incremental_second_run": fixtures_only(
-            """SELECT *, '30062024' AS load_date FROM a_patients
-            UNION ALL
-            SELECT *, '30092024' AS load_date FROM a_patients
-            WHERE modifieddate > epoch_ms(TIMESTAMP '2024-06-30 00:00:00')"""
+            "\nUNION ALL ".join(
+                f"""SELECT '{name}' AS datasource, '{t}' AS tablename, {'id' if (h, t) == ('b', 'patients') else key} AS source_key,
+                    modifieddate, '{day}' AS load_date FROM {h}_{t} WHERE {cond}"""
+                for h, name in SOURCES
+                for t, key in (("patients", "patientid"), ("encounters", "encounterid"), ("transactions", "transactionid"))
+                for day, cond in (
+                    ("30061995", "modifieddate > epoch_ms(TIMESTAMP '1900-01-01 00:00:00')"),
+                    ("30092024", "modifieddate > epoch_ms(TIMESTAMP '1995-06-30 00:00:00')"),
+                )
+            )
         ),
         "silver_from_landing": silver_sql("fact_transactions"),
         "refresh_financial_metrics": medallion_sql(GOLD_SQL["gold_financial_metrics"]),
         "medallion_refresh_counts": _refresh_counts_sql(),
+        "refresh_retry": silver_sql("fact_transactions"),
+        "refresh_all_batches": medallion_sql(GOLD_SQL["gold_charge_by_provider_dept"]),
+        "gold_tables_by_name": _gold_by_name_sql(),
     }

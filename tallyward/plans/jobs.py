@@ -2,11 +2,15 @@
 
     spark-submit tallyward/plans/jobs.py land     --lake L --config C --hospital hospital-a --jdbc-url U [--jdbc-option k=v ...]
     spark-submit tallyward/plans/jobs.py bronze   --lake L --claims GLOB --cptcodes PATH
+    spark-submit tallyward/plans/jobs.py silver   --lake L [--scope all]
+    spark-submit tallyward/plans/jobs.py gold     --lake L
     spark-submit tallyward/plans/jobs.py refresh  --lake L --config C --claims GLOB --cptcodes PATH --jdbc-url-for hospital-a=U ...
 
+``silver`` and ``gold`` rebuild their layer over the current batches, without an extract.
 Database options (user, password, driver, fetchsize, ...) come from the caller as
-``--jdbc-option key=value``; nothing is stored in code. ``--sf-dir`` replaces the
-databases by the parquet test tables (tests and local runs).
+``--jdbc-option key=value``; nothing is stored in code. ``--jdbc-split table=column:n`` reads
+a table as n range queries. ``--sf-dir`` replaces the databases by the parquet test
+tables (tests and local runs). A job whose tables did not all load ends with an error.
 """
 
 from __future__ import annotations
@@ -22,14 +26,13 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from tallyward.plans.bronze_job import load_claims, load_cptcodes  # noqa: E402
 from tallyward.plans.landing_job import FixtureSource, land_hospital  # noqa: E402
-from tallyward.plans.refresh import refresh  # noqa: E402
+from tallyward.plans.refresh import LoadFailed, as_of_text, build_bronze, build_gold_tables, build_silver_tables, refresh  # noqa: E402
 from tallyward.session import apply_pipeline_conf  # noqa: E402
-from tallyward.sinks.logs import EventLog, append_event_log, write_event_log_json  # noqa: E402
+from tallyward.sinks.logs import EventLog, append_event_log, utc, utc_now, write_event_log_json  # noqa: E402
 from tallyward.sources.files import read_load_config  # noqa: E402
 from tallyward.sources.jdbc import JdbcConnection, JdbcSource  # noqa: E402
-from tallyward.sources.tables import Lake  # noqa: E402
+from tallyward.sources.tables import Lake, new_id  # noqa: E402
 from tallyward.specs import HOSPITALS, MSG_CONFIG_READ  # noqa: E402
 
 
@@ -42,7 +45,15 @@ def _options(pairs: list[str]) -> dict[str, str]:
 
 
 def _run_ts(text: str | None) -> dt.datetime:
-    return dt.datetime.fromisoformat(text) if text else dt.datetime.now()
+    return utc(dt.datetime.fromisoformat(text)) if text else utc_now()
+
+
+def _splits(pairs: list[str]) -> dict[str, tuple[str, int]]:
+    out = {}
+    for table, text in _options(pairs).items():
+        column, _, n = text.rpartition(":")
+        out[table] = (column, int(n))
+    return out
 
 
 def _hospital(name: str):
@@ -59,13 +70,13 @@ def _source(spark, args, hospital, url: str | None):
         raise SystemExit(f"no JDBC url for {hospital.name}")
     opts = _options(args.jdbc_option)
     conn = JdbcConnection(url=url, driver=opts.pop("driver", None), properties=opts)
-    return JdbcSource(spark, conn)
+    return JdbcSource(spark, conn, _splits(args.jdbc_split))
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tallyward")
     sub = p.add_subparsers(dest="job", required=True)
-    for name in ("land", "bronze", "refresh"):
+    for name in ("land", "bronze", "silver", "gold", "refresh"):
         s = sub.add_parser(name)
         s.add_argument("--lake", required=True, help="root folder of the lake (shared file system)")
         s.add_argument("--run-ts", help="run clock, ISO format (default: now)")
@@ -73,11 +84,13 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--config", required=True, help="load-control CSV")
             s.add_argument("--sf-dir", help="use the parquet test tables instead of databases")
             s.add_argument("--jdbc-option", action="append", help="key=value passed to the JDBC reader")
+            s.add_argument("--jdbc-split", action="append", help="table=column:n, read as n range queries")
         if name == "land":
             s.add_argument("--hospital", required=True)
             s.add_argument("--jdbc-url")
         if name == "refresh":
             s.add_argument("--jdbc-url-for", action="append", help="hospital=url")
+        if name in ("silver", "refresh"):
             s.add_argument("--scope", choices=("latest", "all"), default="latest", help="landing batches silver reads")
         if name in ("bronze", "refresh"):
             s.add_argument("--claims", required=True, help="claims CSV glob")
@@ -90,32 +103,34 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = apply_pipeline_conf(spark or SparkSession.builder.appName(f"tallyward-{args.job}").getOrCreate())
     lake = Lake(args.lake)
     run_ts = _run_ts(args.run_ts)
-    as_of = run_ts.strftime("%Y-%m-%d %H:%M:%S")
-
-    log = EventLog(clock=lambda: run_ts)
-    if args.job in ("land", "refresh"):
-        config = read_load_config(spark, args.config)
-        log.log("INFO", MSG_CONFIG_READ)
+    as_of = as_of_text(run_ts)
+    counts = lambda rows: {"counts": [{"layer": layer, "table": t, "rows": n} for layer, t, n in rows]}
 
+    if args.job == "bronze":
+        return {t: n for _, t, n in build_bronze(spark, lake, args.claims, args.cptcodes, as_of)}
+    if args.job == "silver":
+        return counts(build_silver_tables(spark, lake, as_of, scope=args.scope))
+    if args.job == "gold":
+        return counts(build_gold_tables(spark, lake, as_of))
+
+    log = EventLog()
+    config = read_load_config(spark, args.config)
+    log.log("INFO", MSG_CONFIG_READ)
     if args.job == "land":
         h = _hospital(args.hospital)
         try:
             rows = land_hospital(spark, h, _source(spark, args, h, args.jdbc_url), config, lake, run_ts, log)
         finally:
             append_event_log(spark, log, lake.path("control", "pipeline_logs"))
-            write_event_log_json(spark, log, f"{lake.root}/logs", run_ts.strftime("%Y%m%d%H%M%S"))
+            write_event_log_json(spark, log, f"{lake.root}/logs", new_id())
+        if rows.failed:
+            raise LoadFailed("; ".join(f"{h.name}/{k}: {v}" for k, v in rows.failed.items()))
         return {"landed": [{"table": r[1], "rows": r[3]} for r in rows]}
 
-    if args.job == "bronze":
-        return {
-            "claims": load_claims(spark, args.claims, lake, as_of),
-            "cptcodes": load_cptcodes(spark, args.cptcodes, lake, as_of),
-        }
-
     urls = _options(args.jdbc_url_for)
     sources = {h.name: _source(spark, args, h, urls.get(h.name)) for h in HOSPITALS}
     result = refresh(spark, lake, sources, config, args.claims, args.cptcodes, run_ts, log=log, scope=args.scope)
-    return {"counts": [{"layer": layer, "table": t, "rows": n} for layer, t, n in result.counts]}
+    return counts(result.counts)
 
 
 def cli() -> None:

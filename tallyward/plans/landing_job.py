@@ -1,12 +1,12 @@
-"""The landing job of one hospital: for every active load spec, archive the
-previous batch, extract the new one (full, or incremental past the high-water
-mark), write it as landing JSON and record an audit row.
+"""The landing job of one hospital: for every active load spec, extract a batch (full, or
+incremental past the high-water mark), write it as landing JSON in a folder of its
+own and record an audit row, which makes the batch current and the one before it archive.
 
 Control flow is driver-side over the *load specs* — a handful of rows, one per
-table — while every data step (archive copy, extract, write, watermark
-aggregation) is a distributed Spark job. A failing table is logged as an ERROR
-event and the others continue; it gets no audit row, so its watermark stays and
-the next run retries the same delta.
+table — while every data step (extract, write, watermark aggregation) is a
+distributed Spark job. A failing table is logged as an ERROR event and the others
+continue; it gets no audit row, so its current batch and its watermark stay and the next
+run retries the same delta.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyward.operators.archive import archive_landing
-from tallyward.operators.control import INCREMENTAL, active_load_specs, normalise_load_type, select_batch, watermarks_for
+from tallyward.operators.control import INCREMENTAL, active_load_specs, landed_batches, normalise_load_type, select_batch, watermarks_for
 from tallyward.sinks.landing import write_landing
-from tallyward.sinks.logs import EventLog, append_audit, read_audit
+from tallyward.sinks.logs import EventLog, append_audit, read_audit, utc
 from tallyward.sources.files import landing_dir
-from tallyward.sources.tables import Lake
+from tallyward.sources.tables import Lake, new_id
 from tallyward.specs import (
     LANDING_DATE_FORMAT,
     MSG_AUDITED,
@@ -30,7 +30,6 @@ from tallyward.specs import (
     MSG_EXTRACTED,
     MSG_NO_FILES,
     MSG_WATERMARK,
-    RUN_ID_FORMAT,
     Hospital,
 )
 
@@ -41,6 +40,10 @@ class Source:
     def read(self, table: str) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
 
+    def batch(self, table: str, kind: str, column: str | None, mark: int | None) -> DataFrame:
+        """The rows that a load takes (``select_batch``)."""
+        return select_batch(self.read(table), kind, column, mark)
+
 
 @dataclass
 class FixtureSource(Source):
@@ -58,18 +61,27 @@ class FixtureSource(Source):
         return fixtures.operational(self.spark, self.sf_dir, self.hospital, table)
 
 
-def load_date_of(run_ts: dt.datetime) -> str:
-    return run_ts.strftime(LANDING_DATE_FORMAT)
+class Landed(list):
+    """The audit rows of a landing run; ``failed`` has the error of each table without one."""
+
+    def __init__(self):
+        super().__init__()
+        self.failed: dict[str, str] = {}
 
 
-def run_id_of(run_ts: dt.datetime) -> str:
-    return run_ts.strftime(RUN_ID_FORMAT)
+def load_date_of(run_ts: dt.datetime) -> str:
+    return utc(run_ts).strftime(LANDING_DATE_FORMAT)
 
 
 def audit_path(lake: Lake) -> str:
     return lake.path("control", "audit_log")
 
 
+def read_current(spark: SparkSession, lake: Lake) -> dict[tuple[str, str], list[tuple[str, str]]]:
+    """The batches of every table, oldest first (the last is current)."""
+    return landed_batches(read_audit(spark, audit_path(lake)))
+
+
 def land_hospital(
     spark: SparkSession,
     hospital: Hospital,
@@ -78,40 +90,56 @@ def land_hospital(
     lake: Lake,
     run_ts: dt.datetime,
     log: EventLog,
-) -> list[tuple]:
+    run_id: str | None = None,
+) -> Landed:
     """Run the landing job of one hospital; returns the audit rows it appended.
 
-    ``run_ts`` is the run's clock: the landing folder's date, the archive run id
-    and the audit ``load_timestamp`` (taken before any extract, so a row changed
-    during the run is picked up by the next one).
+    ``run_ts`` is the run's clock (naive: UTC): the landing folder's date and the audit
+    ``load_timestamp`` (taken before any extract, so a row changed during the run is
+    picked up by the next one). ``run_id`` begins the names of the run's batches; a table
+    that already has a batch of this run is left alone, so a run that failed in part is
+    continued by calling it again with its id.
     """
-    read = source.read if isinstance(source, Source) else source
+    if not isinstance(source, Source):
+        read, source = source, Source()
+        source.read = read
+    run_ts = utc(run_ts)
+    run_id = run_id or new_id()
     specs_df = active_load_specs(config, hospital.database)
     audit = read_audit(spark, audit_path(lake))
+    before = landed_batches(audit)
     # One aggregation over the audit log gives every table's mark; the specs are
-    # the control table's rows for this source (bounded by its table count).
-    specs = watermarks_for(specs_df, audit).collect()
-    audit_rows: list[tuple] = []
-    for spec in specs:
+    # the control table's rows for this source (bounded by its table count). A mark
+    # leaves Spark as microseconds and text, never as a datetime of the driver's zone.
+    marks = watermarks_for(specs_df, audit)
+    specs = marks.select(
+        "*", F.unix_micros("last_watermark").alias("mark"), F.date_format("last_watermark", "yyyy-MM-dd HH:mm:ss").alias("mark_text")
+    ).drop("last_watermark").orderBy("tablename", "loadtype").collect()
+    landed = Landed()
+    for n, spec in enumerate(specs):
         table = spec["tablename"]
+        own = [b for b, _ in before.get((hospital.database, table), ())]
+        if any(b.startswith(run_id) for b in own):
+            log.log("INFO", f"{hospital.name}/{table} has landed in this run already", table)
+            continue
+        batch = f"{run_id}-{n:04d}"
         try:
             kind = normalise_load_type(spec["loadtype"])
-            table_dir = landing_dir(lake.landing, hospital, table)
-            archived = archive_landing(spark, table_dir, f"{lake.archive}/{hospital.name}/{table}", run_id_of(run_ts))
-            if archived:
-                log.log("INFO", f"Moved {archived} landing batches of {hospital.name}/{table} to the archive", table)
+            if own:
+                log.log("INFO", f"Batch {own[-1]} of {hospital.name}/{table} stays as archive", table)
             else:
                 log.log("INFO", MSG_NO_FILES.format(table=table), table)
-            mark = spec["last_watermark"] if kind == INCREMENTAL else None
-            log.log("INFO", MSG_WATERMARK.format(table=table, watermark=mark), table)
-            batch = select_batch(read(table), kind, spec["watermark_column"], mark)
+            incremental = kind == INCREMENTAL
+            log.log("INFO", MSG_WATERMARK.format(table=table, watermark=spec["mark_text"] if incremental else None), table)
+            rows = source.batch(table, kind, spec["watermark_column"], spec["mark"] if incremental else None)
             log.log("SUCCESS", MSG_EXTRACTED.format(table=table), table)
-            rows = write_landing(batch, table_dir, load_date_of(run_ts))
+            count = write_landing(rows, landing_dir(lake.landing, hospital, table), batch, load_date_of(run_ts))
             log.log("SUCCESS", f"JSON files written to {hospital.name}/{table}", table)
-            row = (hospital.database, table, spec["loadtype"], rows, run_ts, "SUCCESS")
+            row = (hospital.database, table, spec["loadtype"], count, run_ts, "SUCCESS", batch)
             append_audit(spark, [row], audit_path(lake))
-            audit_rows.append(row)
+            landed.append(row)
             log.log("SUCCESS", MSG_AUDITED.format(table=table), table)
         except Exception as exc:  # one table's failure must not stop the others
-            log.log("ERROR", MSG_ERROR.format(table=table, error=f"{type(exc).__name__}: {exc}"), table)
-    return audit_rows
+            landed.failed[table] = f"{type(exc).__name__}: {exc}"
+            log.log("ERROR", MSG_ERROR.format(table=table, error=landed.failed[table]), table)
+    return landed

@@ -7,7 +7,6 @@ can be compared value by value.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,20 +20,10 @@ AS_OF = "2024-06-30 00:00:00"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_SILVER: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 def _silver(spark: SparkSession, sf_dir: str):
-    """The silver layer over one folder of tables, planned once per session.
-
-    DataFrames are immutable lazy plans: sharing them between queries shares
-    only the (analysed) plan, never data — every action re-reads the tables.
-    """
+    """The silver layer over one folder of tables, as lazy plans."""
     apply_pipeline_conf(spark)
-    layers = _SILVER.setdefault(spark, {})
-    if sf_dir not in layers:
-        layers[sf_dir] = silver.build_silver(fixtures.bronze_layer(spark, sf_dir, AS_OF), AS_OF)
-    return layers[sf_dir]
+    return silver.build_silver(fixtures.bronze_layer(spark, sf_dir, AS_OF), AS_OF)
 
 
 def _silver_table(name: str) -> Query:
@@ -71,7 +60,7 @@ GOLD_QUERIES: dict[str, Query] = {
     "gold_patient_history": _gold(gold.patient_history),
     "gold_provider_performance": _gold(gold.provider_performance),
     "gold_department_performance": _gold(gold.department_performance),
-    "gold_financial_metrics": _gold(gold.financial_metrics),
+    "gold_financial_metrics": _gold(gold.financial_metrics_by_month),
 }
 
 

@@ -3,6 +3,13 @@
 Each layer is materialised as parquet before the next reads it (a layer never
 overwrites a path it reads), which also cuts the lineage: a lost executor
 recomputes from the last written layer, not from the sources.
+
+A refresh is a *cycle*. It is finished when gold is written; until then a new call of
+``refresh`` continues it: tables that have landed in the cycle are not extracted again (their
+delta would be lost), the others are, and the layers are built from the cycle's batches. If
+any load fails the refresh ends with ``LoadFailed`` before bronze, so silver and
+gold keep what they had. ``build_bronze``, ``build_silver_tables`` and ``build_gold_tables``
+also run on their own, over the current batches.
 """
 
 from __future__ import annotations
@@ -19,10 +26,11 @@ from tallyward.operators.gold import GOLD_TABLES
 from tallyward.operators.layers import SILVER_TABLES, SilverLayer
 from tallyward.operators.silver import build_silver
 from tallyward.plans.bronze_job import load_claims, load_cptcodes
-from tallyward.plans.landing_job import Source, land_hospital
-from tallyward.sinks.logs import EventLog, append_event_log, write_event_log_json
+from tallyward.plans.landing_job import Source, land_hospital, read_current
+from tallyward.schemas import CYCLES
+from tallyward.sinks.logs import EventLog, append_event_log, utc, write_event_log_json
 from tallyward.sources.files import bronze_from_landing
-from tallyward.sources.tables import Lake
+from tallyward.sources.tables import Lake, new_id, path_exists
 from tallyward.specs import ENTITIES, HOSPITALS, Hospital, hospital_by_database
 
 COUNTS_SCHEMA = T.StructType(
@@ -74,10 +82,91 @@ class RefreshResult:
         return spark.createDataFrame(self.counts, COUNTS_SCHEMA)
 
 
+class LoadFailed(RuntimeError):
+    """Some tables could not be landed; the layers were left as they are."""
+
+
+def as_of_text(run_ts: dt.datetime) -> str:
+    return utc(run_ts).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def read_silver(spark: SparkSession, lake: Lake) -> SilverLayer:
     return SilverLayer({attr: (lambda t=t: lake.read(spark, "silver", t)) for attr, t in SILVER_TABLES.items()})
 
 
+# --- the cycle ----------------------------------------------------------------
+
+
+def _cycle_path(lake: Lake) -> str:
+    return lake.path("control", "cycles")
+
+
+def _note_cycle(spark: SparkSession, lake: Lake, cycle: str, state: str, at: dt.datetime) -> None:
+    spark.createDataFrame([(cycle, state, utc(at))], CYCLES).write.mode("append").parquet(_cycle_path(lake))
+
+
+def open_cycle(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> tuple[str, bool]:
+    """The cycle that was begun and not finished, or a new one; whether it is continued."""
+    if path_exists(spark, _cycle_path(lake)):
+        rows = spark.read.schema(CYCLES).parquet(_cycle_path(lake)).collect()  # two rows a refresh
+        finished = {r["cycle"] for r in rows if r["state"] == "finished"}
+        open_ = sorted(r["cycle"] for r in rows if r["cycle"] not in finished)
+        if open_:
+            return open_[-1], True
+    cycle = new_id()
+    _note_cycle(spark, lake, cycle, "begun", run_ts)
+    return cycle, False
+
+
+# --- the layers, each on its own ----------------------------------------------
+
+
+def build_bronze(spark: SparkSession, lake: Lake, claims_glob: str, cpt_path: str, as_of: str) -> list[tuple[str, str, int]]:
+    """Claims and procedure codes from their files."""
+    return [
+        ("bronze", "claims", load_claims(spark, claims_glob, lake, as_of)),
+        ("bronze", "cptcodes", load_cptcodes(spark, cpt_path, lake, as_of)),
+    ]
+
+
+def read_bronze(spark: SparkSession, lake: Lake, hospitals: Sequence[Hospital] = HOSPITALS, scope: str = "latest"):
+    return bronze_from_landing(
+        spark,
+        lake.landing,
+        read_current(spark, lake),
+        claims=lambda: lake.read(spark, "bronze", "claims"),
+        cptcodes=lambda: lake.read(spark, "bronze", "cptcodes"),
+        hospitals=hospitals,
+        scope=scope,
+    )
+
+
+def build_silver_tables(
+    spark: SparkSession, lake: Lake, as_of: str, hospitals: Sequence[Hospital] = HOSPITALS, scope: str = "latest"
+) -> list[tuple[str, str, int]]:
+    """Conformed tables over the current landing batches and bronze tables."""
+    silver = build_silver(read_bronze(spark, lake, hospitals, scope), as_of)
+    return [("silver", name, lake.overwrite(df, "silver", name)) for name, df in silver.tables().items()]
+
+
+def build_gold_tables(spark: SparkSession, lake: Lake, as_of: str) -> list[tuple[str, str, int]]:
+    """KPI tables over the written silver tables."""
+    written = read_silver(spark, lake)
+    return [("gold", name, lake.overwrite(fn(written, as_of), "gold", name)) for name, fn in GOLD_TABLES.items()]
+
+
+def register_tables(spark: SparkSession, lake: Lake, hospitals: Sequence[Hospital] = HOSPITALS) -> None:
+    """Name the lake's tables in the session catalog: ``bronze.<database>_<entity>`` (the
+    current landing batches in place), ``bronze.claims`` and ``cptcodes``, silver and gold."""
+    bronze = read_bronze(spark, lake, hospitals)
+    for h in hospitals:
+        for entity in ENTITIES:
+            lake.register(spark, "bronze", f"{h.database.removesuffix('_db')}_{entity}", bronze.frames[(h.name, entity)])
+    for layer, names in (("bronze", ("claims", "cptcodes")), ("silver", SILVER_TABLES.values()), ("gold", GOLD_TABLES)):
+        for name in names:
+            lake.register(spark, layer, name)
+
+
 def refresh(
     spark: SparkSession,
     lake: Lake,
@@ -90,11 +179,12 @@ def refresh(
     log: EventLog | None = None,
     scope: str = "latest",
 ) -> RefreshResult:
-    """Run one refresh at ``run_ts``. ``scope="latest"`` (the pipeline's
-    semantics) builds silver from the latest landing batch of every table;
-    ``scope="all"`` from every batch, archived ones included."""
-    as_of = run_ts.strftime("%Y-%m-%d %H:%M:%S")
-    log = log if log is not None else EventLog(clock=lambda: run_ts)
+    """Run one refresh at ``run_ts`` (naive: UTC), or continue an unfinished one.
+    ``scope="latest"`` (the pipeline's semantics) builds silver from the latest landing
+    batch of every table; ``scope="all"`` from every batch (``bronze_from_landing``)."""
+    run_ts = utc(run_ts)
+    as_of = as_of_text(run_ts)
+    log = log if log is not None else EventLog()
     result = RefreshResult(log=log)
 
     try:
@@ -106,44 +196,34 @@ def refresh(
             result.seconds[layer] = round(now - clock, 3)
             clock = now
 
-        # landing: one job per hospital (archive, extract, write, audit)
+        cycle, continued = open_cycle(spark, lake, run_ts)
+        if continued:
+            log.log("INFO", f"Continuing the unfinished refresh {cycle}")
+
+        # landing: one job per hospital (extract, write, audit)
+        failed: dict[str, str] = {}
         for h in hospitals:
-            result.audit_rows += land_hospital(spark, h, sources[h.name], config, lake, run_ts, log)
+            landed = land_hospital(spark, h, sources[h.name], config, lake, run_ts, log, run_id=cycle)
+            result.audit_rows += landed
+            failed |= {f"{h.name}/{table}": error for table, error in landed.failed.items()}
+        if failed:
+            raise LoadFailed("; ".join(f"{k}: {v}" for k, v in failed.items()))
         for row in result.audit_rows:
-            db, table, rows = row[0], row[1], row[3]
-            result.counts.append(("landing", f"{hospital_by_database(db).name}/{table}", rows))
+            result.counts.append(("landing", f"{hospital_by_database(row[0]).name}/{row[1]}", row[3]))
         lap("landing")
 
-        # bronze: claims and procedure codes from their files
-        result.counts.append(("bronze", "claims", load_claims(spark, claims_glob, lake, as_of)))
-        result.counts.append(("bronze", "cptcodes", load_cptcodes(spark, cpt_path, lake, as_of)))
+        result.counts += build_bronze(spark, lake, claims_glob, cpt_path, as_of)
         lap("bronze")
-
-        # silver: conformed tables over the landing folders and bronze tables
-        bronze = bronze_from_landing(
-            spark,
-            lake.landing,
-            claims=lambda: lake.read(spark, "bronze", "claims"),
-            cptcodes=lambda: lake.read(spark, "bronze", "cptcodes"),
-            hospitals=hospitals,
-            scope=scope,
-            archive_root=lake.archive,
-        )
-        silver = build_silver(bronze, as_of)
-        for name, df in silver.tables().items():
-            result.counts.append(("silver", name, lake.overwrite(df, "silver", name)))
+        result.counts += build_silver_tables(spark, lake, as_of, hospitals, scope)
         lap("silver")
-
-        # gold: KPI tables over the written silver tables
-        written = read_silver(spark, lake)
-        for name, fn in GOLD_TABLES.items():
-            result.counts.append(("gold", name, lake.overwrite(fn(written, as_of), "gold", name)))
+        result.counts += build_gold_tables(spark, lake, as_of)
         lap("gold")
+        _note_cycle(spark, lake, cycle, "finished", run_ts)
         log.log("SUCCESS", "Medallion refresh finished")
     except Exception as exc:
         log.log("ERROR", f"Medallion refresh failed: {type(exc).__name__}: {exc}")
         raise
     finally:  # the run's events are kept whatever happened
         append_event_log(spark, log, lake.path("control", "pipeline_logs"))
-        write_event_log_json(spark, log, f"{lake.root}/logs", run_ts.strftime("%Y%m%d%H%M%S"))
+        write_event_log_json(spark, log, f"{lake.root}/logs", new_id())
     return result

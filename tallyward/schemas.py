@@ -79,9 +79,13 @@ CPTCODES = _struct(
 LOAD_CONFIG_COLUMNS = ("database", "datasource", "tablename", "loadtype", "watermark", "is_active", "targetpath")
 LOAD_CONFIG = _struct(*((c, S) for c in LOAD_CONFIG_COLUMNS))
 
+# ``batch`` names the landing folder that the row makes current.
 AUDIT_LOG = _struct(
     ("data_source", S), ("tablename", S), ("load_type", S), ("record_count", L),
-    ("load_timestamp", TS), ("status", S),
+    ("load_timestamp", TS), ("status", S), ("batch", S),
 )
 
+# Refreshes that were begun and finished.
+CYCLES = _struct(("cycle", S), ("state", S), ("at", TS))
+
 EVENT_LOG = _struct(("timestamp", S), ("event_type", S), ("message", S), ("table", S))

@@ -75,9 +75,17 @@ def shared_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
         except Exception:
             pass
+    master = spark.conf.get("spark.master", "") or ""
+    if root.startswith("file:") and not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is {root}, a machine's own folder: executors do not share it")
     return root.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under the shared root for one run."""
-    return f"{shared_root(spark)}/tallyward/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder under the shared root for one run; removed when the session's
+    JVM ends."""
+    from tallyward.sources.tables import FileSystem
+
+    path = f"{shared_root(spark)}/tallyward/{label}-{uuid.uuid4().hex[:12]}"
+    FileSystem(spark, path).remove_at_exit(path)
+    return path

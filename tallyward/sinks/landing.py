@@ -1,13 +1,12 @@
-"""K1: landing writer — newline-delimited JSON, one folder per load day.
+"""K1: landing writer — newline-delimited JSON, one immutable folder per batch.
 
 The landing form carries every DATE / TIMESTAMP column as epoch milliseconds
 (what the silver layer reads back with ``DATE(TIMESTAMP_MILLIS(x))``) and keeps
 NULL fields, so a column that is NULL in a whole batch still exists.
 
 The write is distributed (each task writes its own part file); nothing passes
-through the driver. ``mode("overwrite")`` replaces the table's folder, so after
-a run it holds only the latest batch: the bronze scan of that folder sees the
-last delta, which is the pipeline's latest-batch semantics.
+through the driver. A batch is not read before the audit log names it, so a write
+that failed half-way is never seen, and a retry of it replaces its own folder only.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions import sql as X
 from tallyward.schemas import LOAD_DATE
+from tallyward.sources.files import batch_dir
 
 
 def landing_form(df: DataFrame) -> DataFrame:
@@ -24,8 +24,8 @@ def landing_form(df: DataFrame) -> DataFrame:
     return df.selectExpr(*(f"{X.epoch_millis(f.name, f.dataType)} AS {X.ident(f.name)}" for f in df.schema.fields))
 
 
-def write_landing(df: DataFrame, table_dir: str, load_date: str) -> int:
-    """Write one batch of a table to ``table_dir/load_date=<ddMMyyyy>/`` and
+def write_landing(df: DataFrame, table_dir: str, batch: str, load_date: str) -> int:
+    """Write one batch to ``table_dir/batch=<batch>/load_date=<ddMMyyyy>/`` and
     return its row count.
 
     The count is observed during the write itself (no second scan of the source,
@@ -35,11 +35,11 @@ def write_landing(df: DataFrame, table_dir: str, load_date: str) -> int:
     out = landing_form(df).withColumn(LOAD_DATE, F.lit(load_date)).observe(seen, F.count(F.lit(1)).alias("rows"))
     (
         out.write.mode("overwrite")
-        # the whole folder is replaced even where the cluster defaults to dynamic
-        # partition overwrite: older days must not stay visible to bronze
+        # the batch's folder is replaced whole even where the cluster defaults to
+        # dynamic partition overwrite
         .option("partitionOverwriteMode", "static")
         .option("ignoreNullFields", "false")
         .partitionBy(LOAD_DATE)
-        .json(table_dir)
+        .json(batch_dir(table_dir, batch))
     )
     return int(seen.get["rows"])

@@ -24,25 +24,35 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], schemas.AUDIT_LOG)
 
 
+def utc(at: dt.datetime) -> dt.datetime:
+    """``at`` as an aware UTC time; a naive one is UTC already."""
+    return at.replace(tzinfo=dt.timezone.utc) if at.tzinfo is None else at.astimezone(dt.timezone.utc)
+
+
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
 def audit_frame(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
-    return spark.createDataFrame(list(rows), schemas.AUDIT_LOG)
+    """Audit rows (data_source, tablename, load_type, record_count, load_timestamp,
+    status, batch); times become aware, so that no driver time zone enters."""
+    return spark.createDataFrame([(*r[:4], utc(r[4]), *r[5:]) for r in rows], schemas.AUDIT_LOG)
 
 
 def append_audit(spark: SparkSession, rows: Iterable[tuple], path: str) -> None:
-    """K4: append audit rows (data_source, tablename, load_type, record_count,
-    load_timestamp, status)."""
+    """K4: append audit rows. The append makes the batches that they name current."""
     audit_frame(spark, rows).write.mode("append").parquet(path)
 
 
 class EventLog:
     """Pipeline events of one run: (timestamp ISO text, event type, message, table)."""
 
-    def __init__(self, clock: Callable[[], dt.datetime] = dt.datetime.now):
+    def __init__(self, clock: Callable[[], dt.datetime] = utc_now):
         self.clock = clock
         self.entries: list[tuple[str, str, str, str | None]] = []
 
     def log(self, event_type: str, message: str, table: str | None = None) -> None:
-        self.entries.append((self.clock().isoformat(), event_type, message, table))
+        self.entries.append((utc(self.clock()).isoformat(), event_type, message, table))
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.entries, schemas.EVENT_LOG)

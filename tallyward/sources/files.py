@@ -8,16 +8,18 @@ skipped, not checked, unless ``strict_header``); malformed cells become NULL
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyward import schemas
 from tallyward.operators.layers import BronzeLayer, LazyFrames
-from tallyward.specs import ENTITIES, HOSPITALS, Hospital
+from tallyward.specs import ENTITIES, HOSPITALS, SOURCE_KEYS, Hospital
 
 CLAIMS_GLOB = "hospital*_claim_data.csv"
+BATCH = "batch"
 
 
 def read_claims_csv(spark: SparkSession, path: str, strict_header: bool = False) -> DataFrame:
@@ -59,57 +61,69 @@ def landing_dir(landing_root: str, hospital: Hospital, entity: str) -> str:
     return f"{landing_root.rstrip('/')}/{hospital.name}/{entity}"
 
 
-def read_landing(spark: SparkSession, landing_root: str, hospital: Hospital, entity: str) -> DataFrame:
-    """One hospital's landing folder of ``entity`` as a bronze table.
+def batch_dir(table_dir: str, batch: str) -> str:
+    return f"{table_dir.rstrip('/')}/{BATCH}={batch}"
 
-    The folder holds only the latest batch (the writer replaces it), so this is
-    the latest delta for incremental tables. ``load_date`` stays a string.
-    """
-    return spark.read.schema(schemas.landing_schema(entity, hospital)).json(landing_dir(landing_root, hospital, entity))
-
-
-def read_landing_history(
-    spark: SparkSession, landing_root: str, archive_root: str, hospital: Hospital, entity: str
-) -> DataFrame:
-    """S6 with ``scope="all"``: the latest batch plus every archived batch of the
-    table (full-load tables then repeat once per batch)."""
-    from tallyward.operators.archive import read_archive
-    from tallyward.sources.tables import path_exists
-
-    latest = read_landing(spark, landing_root, hospital, entity)
-    archive_dir = f"{archive_root.rstrip('/')}/{hospital.name}/{entity}"
-    if not path_exists(spark, archive_dir):
-        return latest
-    own = schemas.landing_schema(entity, hospital, with_load_date=False)
-    older = read_archive(spark, archive_dir, own).select(
-        *own.fieldNames(), F.concat("day", "month", "year").alias(schemas.LOAD_DATE)
-    )
-    return latest.unionByName(older)
+
+def read_batch(spark: SparkSession, table_dir: str, batch: str, schema: T.StructType) -> DataFrame:
+    """One landing batch. ``load_date`` stays a string."""
+    return spark.read.schema(schema).json(batch_dir(table_dir, batch))
+
+
+def read_batches(spark: SparkSession, table_dir: str, batches: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Several batches of a table, with ``load_date`` and ``batch``; no batch, no rows."""
+    full = T.StructType([*schema.fields, *(T.StructField(n, T.StringType()) for n in (schemas.LOAD_DATE, BATCH) if n not in schema.fieldNames())])
+    if not batches:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", table_dir).json([batch_dir(table_dir, b) for b in batches])
+
+
+def read_landing(spark: SparkSession, landing_root: str, hospital: Hospital, entity: str, batch: str | None) -> DataFrame:
+    """The current batch of one hospital's ``entity`` as a bronze table (the latest
+    delta, for an incremental table); no rows if there is none."""
+    schema = schemas.landing_schema(entity, hospital)
+    if batch is None:
+        return spark.createDataFrame([], schema)
+    return read_batch(spark, landing_dir(landing_root, hospital, entity), batch, schema)
+
+
+def read_landing_history(spark: SparkSession, landing_root: str, hospital: Hospital, entity: str, batches: Sequence[str]) -> DataFrame:
+    """S6 over all batches of an incremental table: the rows of a source key that its
+    newest batch has."""
+    schema = schemas.landing_schema(entity, hospital)
+    own = {conformed: name for name, conformed in hospital.renames_for(entity).items()}
+    key = own.get(SOURCE_KEYS[entity], SOURCE_KEYS[entity])
+    rows = read_batches(spark, landing_dir(landing_root, hospital, entity), batches, schema)
+    newest = rows.groupBy(F.col(key).alias("_key")).agg(F.max(BATCH).alias("_batch"))
+    return rows.join(newest, F.col(key).eqNullSafe(F.col("_key")) & (F.col(BATCH) == F.col("_batch"))).select(*schema.fieldNames())
 
 
 def bronze_from_landing(
     spark: SparkSession,
     landing_root: str,
+    batches: Mapping[tuple[str, str], Sequence[tuple[str, str]]],
     claims: DataFrame | None = None,
     cptcodes: DataFrame | None = None,
     hospitals: Sequence[Hospital] = HOSPITALS,
     scope: str = "latest",
-    archive_root: str | None = None,
 ) -> BronzeLayer:
-    """S6 for all hospitals and entities: the bronze layer over landing folders.
+    """S6 for all hospitals and entities: the bronze layer over landing batches.
 
-    ``scope="latest"`` (the pipeline's semantics) reads the latest batch only;
-    ``scope="all"`` adds the archived batches from ``archive_root``.
+    ``batches``: (database, table) -> (batch, load type) in order of time, as
+    ``control.landed_batches`` gives it. ``scope="latest"`` (the pipeline's semantics)
+    reads the last batch of every table. ``scope="all"`` reads the last batch of a table that
+    was loaded fully, and of an incremental table the newest state of each source key over
+    the batches since its last full load.
     """
     if scope not in ("latest", "all"):
         raise ValueError(f"scope must be 'latest' or 'all', not {scope!r}")
-    if scope == "all" and not archive_root:
-        raise ValueError("scope='all' needs the archive root")
 
-    def one(h, entity):
-        if scope == "all":
-            return read_landing_history(spark, landing_root, archive_root, h, entity)
-        return read_landing(spark, landing_root, h, entity)
+    def one(h: Hospital, entity: str) -> DataFrame:
+        own = list(batches.get((h.database, entity), ()))
+        if scope == "latest" or not own or own[-1][1] == "full":
+            return read_landing(spark, landing_root, h, entity, own[-1][0] if own else None)
+        full = [i for i, (_, kind) in enumerate(own) if kind == "full"]
+        return read_landing_history(spark, landing_root, h, entity, [b for b, _ in own[full[-1] if full else 0 :]])
 
     frames = LazyFrames(
         {(h.name, entity): (lambda h=h, entity=entity: one(h, entity)) for h in hospitals for entity in ENTITIES}

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.operators.control import select_batch
+from tallyward.plans.landing_job import Source
 
 
 @dataclass(frozen=True)
@@ -51,20 +52,26 @@ class ParallelRead:
         }
 
 
+def jdbc_frame(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
+    return spark.read.format("jdbc").options(**options).load()
+
+
 def discover_bounds(
-    spark: SparkSession, conn: JdbcConnection, table: str, column: str, num_partitions: int
+    spark: SparkSession,
+    conn: JdbcConnection,
+    table: str,
+    column: str,
+    num_partitions: int,
+    load_type: str = "full",
+    watermark_column: str | None = None,
+    watermark: int | str | None = None,
 ) -> ParallelRead | None:
-    """Range bounds for a parallel read, from one ``min``/``max`` query that the
-    JDBC source pushes into the database (``pushDownAggregate``); one row comes
-    back. ``None`` for an empty table."""
+    """Range bounds for a parallel read of a batch, from one ``min``/``max`` query that
+    the JDBC source pushes into the database (``pushDownAggregate``) with the batch's
+    predicate; one row comes back. ``None`` for an empty batch."""
     opts = {**reader_options(conn, table), "pushDownAggregate": "true"}
-    row = (
-        spark.read.format("jdbc")
-        .options(**opts)
-        .load()
-        .agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-        .first()
-    )
+    rows = select_batch(jdbc_frame(spark, opts), load_type, watermark_column, watermark)
+    row = rows.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
     if row is None or row["lo"] is None:
         return None
     return ParallelRead(column, str(row["lo"]), str(row["hi"]), num_partitions)
@@ -79,7 +86,7 @@ def reader_options(conn: JdbcConnection, table: str, parallel: ParallelRead | No
 
 def read_table(spark: SparkSession, conn: JdbcConnection, table: str, parallel: ParallelRead | None = None) -> DataFrame:
     """The whole table (lazy; the schema is fetched, the rows are not)."""
-    return spark.read.format("jdbc").options(**reader_options(conn, table, parallel)).load()
+    return jdbc_frame(spark, reader_options(conn, table, parallel))
 
 
 def extract(
@@ -88,18 +95,25 @@ def extract(
     table: str,
     load_type: str,
     watermark_column: str | None = None,
-    watermark: str | None = None,
+    watermark: int | str | None = None,
     parallel: ParallelRead | None = None,
 ) -> DataFrame:
     """A full or incremental batch of ``table`` (see ``select_batch``)."""
     return select_batch(read_table(spark, conn, table, parallel), load_type, watermark_column, watermark)
 
 
-class JdbcSource:
-    """An operational database as a source of landing batches."""
+class JdbcSource(Source):
+    """An operational database as a source of landing batches. ``splits``: table ->
+    (numeric or date column, number of range queries)."""
 
-    def __init__(self, spark: SparkSession, conn: JdbcConnection, parallel: Mapping[str, ParallelRead] | None = None):
-        self.spark, self.conn, self.parallel = spark, conn, dict(parallel or {})
+    def __init__(self, spark: SparkSession, conn: JdbcConnection, splits: Mapping[str, tuple[str, int]] | None = None):
+        self.spark, self.conn, self.splits = spark, conn, dict(splits or {})
 
     def read(self, table: str) -> DataFrame:
-        return read_table(self.spark, self.conn, table, self.parallel.get(table))
+        return read_table(self.spark, self.conn, table)
+
+    def batch(self, table: str, kind: str, column: str | None, mark: int | None) -> DataFrame:
+        parallel = None
+        if table in self.splits:
+            parallel = discover_bounds(self.spark, self.conn, table, *self.splits[table], kind, column, mark)
+        return extract(self.spark, self.conn, table, kind, column, mark, parallel)

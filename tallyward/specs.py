@@ -33,7 +33,7 @@ class Hospital:
 #                                    (= patientid, firstname, lastname, middlename)
 # Provider key pattern:              "PROV.*"
 # Default high-water mark:           "1900-01-01 00:00:00"
-# Landing file date format:          ddMMyyyy ; archive run id: HHmmssSSSSSS
+# Landing file date format:          ddMMyyyy
 # Approved claim status:             "Approved"
 # Landing-job event messages (as the pipeline logs them):
 #   "No existing files for table {table}"
@@ -64,7 +64,6 @@ HOSPITAL_B = Hospital(
 PROVIDER_KEY_PATTERN = "PROV.*"
 DEFAULT_WATERMARK = "1900-01-01 00:00:00"
 LANDING_DATE_FORMAT = "%d%m%Y"  # ddMMyyyy
-RUN_ID_FORMAT = "%H%M%S%f"  # HHmmss + microseconds
 APPROVED = "Approved"
 MSG_NO_FILES = "No existing files for table {table}"
 MSG_WATERMARK = "Latest watermark for {table}: {watermark}"
@@ -83,6 +82,15 @@ DEFAULT_CLAIMS_HOSPITAL = HOSPITAL_B
 # The five operational tables every hospital lands.
 ENTITIES = ("departments", "encounters", "patients", "providers", "transactions")
 
+# The column that names a row in its source (conformed name).
+SOURCE_KEYS = {
+    "departments": "deptid",
+    "encounters": "encounterid",
+    "patients": "patientid",
+    "providers": "providerid",
+    "transactions": "transactionid",
+}
+
 
 def hospital_by_database(database: str) -> Hospital:
     for h in HOSPITALS:

@@ -62,16 +62,17 @@ def test_landing_keeps_nulls_dates_and_an_empty_batch(spark, scratch):
         "gender string, dob date, address string, modifieddate timestamp",
     )
     table_dir = f"{landing}/{HOSPITAL_A.name}/patients"
-    assert write_landing(df, table_dir, "02012024") == 1
-    text = open(glob.glob(_local(table_dir) + "/load_date=02012024/*.json")[0]).read()
+    assert write_landing(df, table_dir, "b1", "02012024") == 1
+    text = open(glob.glob(_local(table_dir) + "/batch=b1/load_date=02012024/*.json")[0]).read()
     assert '"lastname":null' in text and '"dob":86400000' in text and '"modifieddate":1704067200000' in text
-    back = read_landing(spark, landing, HOSPITAL_A, "patients").first()
+    back = read_landing(spark, landing, HOSPITAL_A, "patients", "b1").first()
     assert back.load_date == "02012024" and back.dob == 86_400_000
 
     empty = spark.createDataFrame([], df.schema)
-    assert write_landing(empty, f"{landing}/{HOSPITAL_B.name}/patients", "02012024") == 0
-    again = read_landing(spark, landing, HOSPITAL_B, "patients")
-    assert again.count() == 0 and "f_name" in again.columns
+    assert write_landing(empty, f"{landing}/{HOSPITAL_B.name}/patients", "b1", "02012024") == 0
+    for batch in ("b1", None):  # an empty batch, and no batch yet
+        again = read_landing(spark, landing, HOSPITAL_B, "patients", batch)
+        assert again.count() == 0 and "f_name" in again.columns
 
 
 def test_select_batch(spark):
@@ -81,6 +82,10 @@ def test_select_batch(spark):
     assert select_batch(df, "FULL").count() == 3
     inc = select_batch(df, "Incremental", "modifieddate", "2024-01-01 00:00:00")
     assert [r.id for r in inc.collect()] == [2]  # strictly after; NULL never loads
+    micros = select_batch(df, "Incremental", "modifieddate", 1_704_067_200_000_000)  # 2024-01-01 UTC
+    assert [r.id for r in micros.collect()] == [2]
+    with pytest.raises(TypeError):  # it would carry the driver's time zone
+        select_batch(df, "incremental", "modifieddate", dt.datetime(2024, 1, 1))
     with pytest.raises(ValueError):
         select_batch(df, "delta")
 
@@ -99,9 +104,9 @@ def test_active_specs_and_default_watermark(spark):
     assert sorted(r.tablename for r in specs.collect()) == ["encounters", "patients"]
     audit = spark.createDataFrame(
         [
-            ("hospital_a_db", "encounters", "incremental", 5, dt.datetime(2024, 3, 1), "SUCCESS"),
-            ("hospital_a_db", "encounters", "incremental", 5, dt.datetime(2024, 4, 1), "SUCCESS"),
-            ("hospital_b_db", "patients", "incremental", 5, dt.datetime(2024, 5, 1), "SUCCESS"),
+            ("hospital_a_db", "encounters", "incremental", 5, dt.datetime(2024, 3, 1), "SUCCESS", "b1"),
+            ("hospital_a_db", "encounters", "incremental", 5, dt.datetime(2024, 4, 1), "SUCCESS", "b2"),
+            ("hospital_b_db", "patients", "incremental", 5, dt.datetime(2024, 5, 1), "SUCCESS", "b1"),
         ],
         schemas.AUDIT_LOG,
     )
@@ -126,45 +131,98 @@ def test_event_rows_have_a_table_column_even_when_null(spark):
     assert df.where(F.col("table").isNull()).count() == 1
 
 
-def test_landing_overwrite_replaces_older_days_even_with_dynamic_mode(spark, scratch):
+def test_a_batch_is_replaced_whole_even_with_dynamic_mode(spark, scratch):
     df = spark.createDataFrame([("D1", "Cardio")], "deptid string, name string")
     table_dir = f"{scratch}/landing/{HOSPITAL_A.name}/departments"
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     try:
         spark.conf.set(key, "dynamic")
-        write_landing(df, table_dir, "01062024")
-        write_landing(df, table_dir, "02062024")
+        write_landing(df, table_dir, "b1", "01062024")
+        write_landing(df, table_dir, "b1", "02062024")  # a retry of the same batch on the next day
     finally:
         spark.conf.set(key, before)
-    back = read_landing(spark, f"{scratch}/landing", HOSPITAL_A, "departments")
+    back = read_landing(spark, f"{scratch}/landing", HOSPITAL_A, "departments", "b1")
     assert [r.load_date for r in back.collect()] == ["02062024"]
 
 
-def test_archive_moves_batches_and_dropped_files(spark, scratch):
-    from tallyward.operators.archive import _copy_batch, archive_landing, name_date_parts, read_archive
+def test_the_date_of_a_file_name(spark):
+    from tallyward.operators.archive import file_date_parts, name_date
+
+    assert name_date("orders_02012024.json") == dt.date(2024, 1, 2)
+    for bad in ("orders.json", "orders_31022024.json", "orders_20240102.json", "orders_02012024.csv"):
+        with pytest.raises(ValueError):
+            name_date(bad)
+    names = ["a/b/orders_02012024.json", "a/orders_x_30062024.json", "orders_31022024.json", "a_02012024/orders.json", None]
+    parts = file_date_parts(F.col("p"))
+    rows = spark.createDataFrame([(n,) for n in names], "p string").select(*(c.alias(n) for n, c in parts.items())).collect()
+    assert [tuple(r) for r in rows] == [
+        ("2024", "01", "02", "orders_02012024.json"),
+        ("2024", "06", "30", "orders_x_30062024.json"),
+        (None, None, None, "orders_31022024.json"),
+        (None, None, None, "orders.json"),
+        (None, None, None, None),
+    ]
+
 
-    assert name_date_parts("orders_02012024.json") == ("2024", "01", "02")
-    assert name_date_parts("load_date=30062024") == ("2024", "06", "30")
+def test_older_batches_are_read_as_archive(spark, scratch):
+    from tallyward.operators.archive import read_archive
 
-    df = spark.createDataFrame([("D1", "Cardio"), ("D2", "Lab")], "deptid string, name string")
     table_dir = f"{scratch}/landing/{HOSPITAL_A.name}/departments"
-    write_landing(df, table_dir, "30062024")
-    _write_text(f"{table_dir}/departments_02012024.json", '{"deptid":"D9","name":"Old"}\n')
-    archive_dir = f"{scratch}/archive/{HOSPITAL_A.name}/departments"
-    assert archive_landing(spark, table_dir, archive_dir, "010203000000") == 2
     schema = schemas.landing_schema("departments", HOSPITAL_A, with_load_date=False)
-    rows = sorted((r.deptid, r.year, r.month, r.day, r.run_ts) for r in read_archive(spark, archive_dir, schema).collect())
-    assert rows == [
-        ("D1", "2024", "06", "30", "010203000000"),
-        ("D2", "2024", "06", "30", "010203000000"),
-        ("D9", "2024", "01", "02", "010203000000"),
-    ]
-    assert archive_landing(spark, table_dir, archive_dir, "020000000000") == 0  # nothing left to move
-
-    # the copy used where the file system is not reachable gives the same layout
-    write_landing(df, table_dir, "01072024")
-    copy_dir = f"{scratch}/archive-copy"
-    assert _copy_batch(spark, table_dir, copy_dir, "030000000000") == 2
-    copied = {(r.deptid, r.year, r.month, r.day) for r in read_archive(spark, copy_dir, schema).collect()}
-    assert copied == {("D1", "2024", "07", "01"), ("D2", "2024", "07", "01")}
+    for batch, day, name in (("b1", "30062024", "Cardio"), ("b2", "01072024", "Lab"), ("b3", "02072024", "Eye")):
+        write_landing(spark.createDataFrame([("D1", name)], "deptid string, name string"), table_dir, batch, day)
+    rows = read_archive(spark, table_dir, ["b1", "b2"], schema).collect()
+    assert sorted(map(tuple, rows)) == [("D1", "Cardio", "2024", "06", "30", "b1"), ("D1", "Lab", "2024", "07", "01", "b2")]
+    assert read_archive(spark, table_dir, [], schema).count() == 0
+
+
+def test_a_failed_write_leaves_the_table_and_old_versions_go(spark, scratch):
+    from tallyward.sources.tables import Lake
+
+    lake = Lake(scratch)
+    frame = lambda n: spark.range(n).toDF("x")
+    for n in (3, 4, 5, 6):
+        assert lake.overwrite(frame(n), "gold", "t") == n
+    assert len(lake.versions(spark, "gold", "t")) == 2  # the current one and the one before
+    with pytest.raises(Exception):
+        lake.overwrite(frame(9).select(F.raise_error(F.lit("lost")).alias("x")), "gold", "t")
+    assert lake.read(spark, "gold", "t").count() == 6
+    lake.register(spark, "gold", "t")
+    assert spark.table("gold.t").count() == 6
+    with pytest.raises(FileNotFoundError):
+        lake.read(spark, "gold", "missing")
+
+
+ZONES = """
+import datetime as dt, sys
+sys.path.insert(0, {repo!r})
+from tallyward.session import build_session
+from tallyward.plans.landing_job import land_hospital, read_current
+from tallyward.schemas import LOAD_CONFIG
+from tallyward.sinks.logs import EventLog
+from tallyward.sources.files import read_landing
+from tallyward.sources.tables import Lake
+from tallyward.specs import HOSPITAL_A as H
+spark = build_session(master="local[2]", shuffle_partitions=2, app_name="zones")
+lake = Lake({root!r})
+config = spark.createDataFrame([("h", H.database, "departments", "incremental", "modifieddate", "1", "x")], LOAD_CONFIG)
+rows = spark.sql("SELECT concat('D', h) AS deptid, 'n' AS name, timestamp_micros(1717200000000000 + h * 3600000000L) AS modifieddate FROM (SELECT explode(sequence(1, 12)) AS h)")
+for h in (5, 11):  # 2024-06-01 05:00 and 11:00 UTC
+    seen = rows.where(f"modifieddate <= timestamp_micros(1717200000000000 + {{h}} * 3600000000L)")
+    land_hospital(spark, H, lambda table: seen, config, lake, dt.datetime(2024, 6, 1, h, 30, tzinfo=dt.timezone.utc), EventLog())
+last = read_current(spark, lake)[(H.database, "departments")][-1][0]
+print("ROWS", sorted(r.deptid for r in read_landing(spark, lake.landing, H, "departments", last).collect()))
+"""
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Ho_Chi_Minh", "America/New_York"])
+def test_the_watermark_does_not_move_with_the_drivers_zone(scratch, zone, tmp_path):
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ZONES.format(repo=repo, root=str(tmp_path / "lake"))
+    out = subprocess.run([sys.executable, "-c", code], env={**os.environ, "TZ": zone}, capture_output=True, text=True, timeout=240)
+    lines = [line for line in out.stdout.splitlines() if line.startswith("ROWS")]
+    assert lines == ["ROWS ['D10', 'D11', 'D6', 'D7', 'D8', 'D9']"], out.stderr[-2000:]

@@ -3,7 +3,7 @@ records the options it is given and returns a real DataFrame."""
 
 import datetime as dt
 
-from tallyward.sources.jdbc import JdbcConnection, JdbcSource, ParallelRead, discover_bounds, extract
+from tallyward.sources.jdbc import JdbcConnection, ParallelRead, discover_bounds, extract
 
 
 class _Reader:
@@ -65,9 +65,28 @@ def test_bounds_come_from_one_aggregate(spark):
     assert discover_bounds(empty, CONN, "encounters", "id", 16) is None
 
 
-def test_source_uses_per_table_partitioning(spark):
-    fake = _Session(_table(spark))
-    src = JdbcSource(fake, CONN, parallel={"transactions": ParallelRead("id", "0", "100", 8)})
-    src.read("transactions")
-    src.read("departments")
-    assert fake.calls[0]["numPartitions"] == "8" and "numPartitions" not in fake.calls[1]
+def test_jobs_read_a_table_in_ranges_of_its_batch(spark, scratch, monkeypatch):
+    from tallyward.plans import jobs
+    from tallyward.schemas import LOAD_CONFIG
+    from tallyward.sources import jdbc
+
+    calls = []
+    frame = spark.createDataFrame(
+        [(f"E{i}", i, dt.datetime(2024, 1, 1 + i)) for i in range(9)], "encounterid string, num long, modifieddate timestamp"
+    )
+    monkeypatch.setattr(jdbc, "jdbc_frame", lambda session, options: calls.append(dict(options)) or frame)
+    config = f"{scratch}/config.csv"
+    spark.createDataFrame(
+        [("h", "hospital_a_db", "encounters", "incremental", "modifieddate", "1", "x"), ("h", "hospital_a_db", "departments", "full", "", "1", "x")],
+        LOAD_CONFIG,
+    ).write.option("header", True).csv(config)
+    args = ["land", "--lake", f"{scratch}/lake", "--config", config, "--hospital", "hospital-a", "--jdbc-url", "jdbc:x", "--jdbc-option",
+            "user=u", "--jdbc-split", "encounters=num:4"]
+    first = jobs.main([*args, "--run-ts", "2024-01-05T00:00:00"], spark=spark)
+    assert sorted((t["table"], t["rows"]) for t in first["landed"]) == [("departments", 9), ("encounters", 9)]
+    assert [c.get("partitionColumn") for c in calls] == [None, None, "num"]  # departments whole; bounds, then ranges
+    ranged = calls[-1]
+    assert (ranged["lowerBound"], ranged["upperBound"], ranged["numPartitions"], ranged["user"]) == ("0", "8", "4", "u")
+    second = jobs.main([*args, "--run-ts", "2024-02-01T00:00:00"], spark=spark)
+    assert {t["table"]: t["rows"] for t in second["landed"]}["encounters"] == 4  # modified after January 5
+    assert calls[-1]["lowerBound"] == "5"  # the bounds are those of the delta

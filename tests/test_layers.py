@@ -136,7 +136,7 @@ def test_gold_department_performance_null_ratios(spark, bronze):
 
 def test_gold_financial_metrics_full_outer_and_order(spark, bronze):
     s = silver.build_silver(bronze, AS_OF)
-    rows = gold.financial_metrics(s, AS_OF).collect()
+    rows = gold.financial_metrics_by_month(s, AS_OF).collect()
     keys = [(r.datasource, r.reporting_month) for r in rows]
     assert keys == [
         ("hospital-b", dt.date(2024, 3, 31)),
@@ -175,7 +175,7 @@ def test_financial_metrics_null_months_never_match(spark):
         "datasource string, servicedate date, claimid string, claimstatus string",
     )
     s = SilverLayer({"transactions": lambda: txn, "claims": lambda: claims})
-    rows = gold.financial_metrics(s, AS_OF).collect()
+    rows = gold.financial_metrics_by_month(s, AS_OF).collect()
     assert [(r.reporting_month, r.transaction_count, r.total_claims) for r in rows] == [
         (dt.date(2024, 1, 31), 1, 1),
         (None, 1, None),

@@ -2,12 +2,15 @@
 
 import datetime as dt
 
+import pytest
+
 from tallyward import fixtures
-from tallyward.plans.landing_job import FixtureSource, land_hospital
-from tallyward.plans.refresh import default_load_config, refresh
-from tallyward.schemas import LOAD_CONFIG
+from tallyward.operators.archive import read_archive
+from tallyward.plans.landing_job import FixtureSource, land_hospital, read_current
+from tallyward.plans.refresh import LoadFailed, default_load_config, read_bronze, refresh
+from tallyward.schemas import LOAD_CONFIG, landing_schema
 from tallyward.sinks.logs import EventLog, read_audit
-from tallyward.sources.files import read_load_config
+from tallyward.sources.files import landing_dir, read_load_config
 from tallyward.sources.tables import Lake
 from tallyward.specs import HOSPITAL_A, HOSPITALS
 
@@ -31,7 +34,7 @@ def test_one_failing_table_does_not_stop_the_others(spark, scratch):
     )
     assert sorted(r[1] for r in rows) == ["departments", "encounters"]
     errors = {e[3]: e[2] for e in log.entries if e[1] == "ERROR"}
-    assert set(errors) == {"missing_table", "providers"}
+    assert set(errors) == set(rows.failed) == {"missing_table", "providers"}
     assert "unknown load type" in errors["providers"]
     audit = read_audit(spark, lake.path("control", "audit_log"))
     assert sorted(r.tablename for r in audit.collect()) == ["departments", "encounters"]
@@ -61,12 +64,11 @@ def test_second_incremental_run_holds_only_the_delta(spark, scratch):
     assert counts2[("silver", "dim_patients")] == a_delta + b_delta
     # full tables are reloaded whole
     assert counts2[("silver", "dim_providers")] == counts1[("silver", "dim_providers")]
-    # the first batch was archived before being replaced
-    archived = spark.read.schema("value STRING, year STRING, month STRING, day STRING, run_ts STRING").text(
-        f"{lake.archive}/{HOSPITAL_A.name}/transactions"
-    )
-    assert archived.count() == counts1[("landing", "hospital-a/transactions")]
-    assert {r.run_ts for r in archived.select("run_ts").distinct().collect()} == {"120000000000"}
+    # the first batch stays in place as archive
+    batches = [b for b, _ in read_current(spark, lake)[("hospital_a_db", "transactions")]]
+    own = landing_schema("transactions", HOSPITAL_A, with_load_date=False)
+    archived = read_archive(spark, landing_dir(lake.landing, HOSPITAL_A, "transactions"), batches[:-1], own)
+    assert len(batches) == 2 and archived.count() == counts1[("landing", "hospital-a/transactions")]
     # the audit log has both runs; the second run's marks are the first run's load time
     audit = read_audit(spark, lake.path("control", "audit_log"))
     assert audit.count() == 20
@@ -88,53 +90,105 @@ def test_jobs_cli_runs_land_then_bronze(spark, scratch):
     assert out["claims"] == fixtures.claims_rows(spark, SF_SMALL).count() and out["cptcodes"] > 0
 
 
-def test_bronze_scope_all_adds_archived_batches(spark, scratch):
-    from tallyward.sources.files import bronze_from_landing
-
+def test_scope_all_reads_a_full_table_once_and_the_newest_state_of_a_key(spark, scratch):
     lake = Lake(scratch)
     config = spark.createDataFrame(
-        [("hospital_a", "hospital_a_db", "departments", "full", "", "1", "x")], LOAD_CONFIG
+        [
+            ("hospital_a", "hospital_a_db", "departments", "full", "", "1", "x"),
+            ("hospital_a", "hospital_a_db", "patients", "incremental", "modifieddate", "1", "x"),
+        ],
+        LOAD_CONFIG,
     )
-    src = FixtureSource(spark, SF_SMALL, HOSPITAL_A)
-    for day in (1, 2):
-        land_hospital(spark, HOSPITAL_A, src, config, lake, dt.datetime(2024, 6, day), EventLog())
-    latest = bronze_from_landing(spark, lake.landing).frames[("hospital-a", "departments")]
-    every = bronze_from_landing(spark, lake.landing, scope="all", archive_root=lake.archive).frames[
-        ("hospital-a", "departments")
-    ]
-    assert every.count() == 2 * latest.count()
-    assert {r.load_date for r in every.select("load_date").distinct().collect()} == {"01062024", "02062024"}
-
-
-def test_cli_refresh_with_all_batches(spark, scratch):
-    from tallyward.plans import jobs
-
+    patients = lambda rows: spark.createDataFrame(
+        [(i, n, None, None, None, None, None, None, None, t) for i, n, t in rows],
+        "patientid string, firstname string, lastname string, middlename string, ssn string, phonenumber string, gender string, "
+        "dob date, address string, modifieddate timestamp",
+    )
+    departments = spark.createDataFrame([("D1", "Cardio")], "deptid string, name string")
+    old, new = dt.datetime(2024, 5, 1), dt.datetime(2024, 6, 1, 12)
+    states = {1: [("P1", "Ann", old), ("P2", "Bob", old)], 2: [("P1", "Anna", new), ("P3", "Cy", new), ("P2", "Bob", old)]}
+    for day, rows in states.items():
+        read = lambda table, rows=rows: departments if table == "departments" else patients(rows)
+        land_hospital(spark, HOSPITAL_A, read, config, lake, dt.datetime(2024, 6, day), EventLog())
+    names = lambda scope: sorted(r.firstname for r in read_bronze(spark, lake, scope=scope).frames[("hospital-a", "patients")].collect())
+    assert names("latest") == ["Anna", "Cy"] and names("all") == ["Anna", "Bob", "Cy"]
+    assert read_bronze(spark, lake, scope="all").frames[("hospital-a", "departments")].count() == 1
+
+
+def _inputs(spark, scratch):
     claims = fixtures.stage_claim_files(spark, SF_SMALL, f"{scratch}/drops/claims")
     cpt = fixtures.stage_cpt_file(spark, SF_SMALL, f"{scratch}/drops/cpt.csv")
     cfg = fixtures.stage_load_config(spark, SF_SMALL, f"{scratch}/configs/load_config.csv", default_load_config(spark))
-    base = ["refresh", "--lake", f"{scratch}/lake", "--config", cfg, "--claims", claims, "--cptcodes", cpt,
-            "--sf-dir", SF_SMALL]
-    first = jobs.main(base + ["--run-ts", "2024-06-30T00:00:00"], spark=spark)
-    second = jobs.main(base + ["--run-ts", "2024-07-01T00:00:00", "--scope", "all"], spark=spark)
-    rows1 = {(c["layer"], c["table"]): c["rows"] for c in first["counts"]}
-    rows2 = {(c["layer"], c["table"]): c["rows"] for c in second["counts"]}
-    # all batches: the first run's transactions (archived) plus an empty second delta
-    assert rows2[("silver", "fact_transactions")] == rows1[("silver", "fact_transactions")]
-    # full-load dimensions repeat once per batch
-    assert rows2[("silver", "dim_departments")] == 2 * rows1[("silver", "dim_departments")]
+    return claims, cpt, cfg
 
 
-def test_failed_refresh_still_keeps_its_events(spark, scratch):
-    import pytest
+def test_cli_layers_on_their_own(spark, scratch):
+    from tallyward.plans import jobs
 
-    lake = Lake(scratch)
-    config = spark.createDataFrame(
-        [("hospital_a", "hospital_a_db", "departments", "full", "", "1", "x")], LOAD_CONFIG
-    )
+    claims, cpt, cfg = _inputs(spark, scratch)
+    lake = ["--lake", f"{scratch}/lake"]
+    base = ["refresh", *lake, "--config", cfg, "--claims", claims, "--cptcodes", cpt, "--sf-dir", SF_SMALL]
+    rows = lambda out: {(c["layer"], c["table"]): c["rows"] for c in out["counts"]}
+    first = rows(jobs.main(base + ["--run-ts", "2024-06-30T00:00:00"], spark=spark))
+    second = rows(jobs.main(base + ["--run-ts", "2024-07-01T00:00:00", "--scope", "all"], spark=spark))
+    # all batches: the first run's transactions plus an empty second delta; full tables once
+    assert second[("silver", "fact_transactions")] == first[("silver", "fact_transactions")]
+    assert second[("silver", "dim_departments")] == first[("silver", "dim_departments")]
+    # the layers again, without an extract: the latest batch of transactions is empty
+    silver = rows(jobs.main(["silver", *lake], spark=spark))
+    assert silver[("silver", "fact_transactions")] == 0 and silver[("silver", "dim_departments")] == first[("silver", "dim_departments")]
+    jobs.main(["silver", *lake, "--scope", "all"], spark=spark)
+    gold = rows(jobs.main(["gold", *lake], spark=spark))
+    assert gold[("gold", "patient_history")] == second[("gold", "patient_history")]
+
+
+class Unreadable(FixtureSource):
+    def read(self, table):
+        if table == "transactions":
+            raise ConnectionError("transactions are unreadable")
+        return super().read(table)
+
+
+def test_a_failed_extract_leaves_silver_and_gold(spark, scratch):
+    lake = Lake(f"{scratch}/lake")
+    claims, cpt, cfg = _inputs(spark, scratch)
+    config = read_load_config(spark, cfg)
+    good = {h.name: FixtureSource(spark, SF_SMALL, h) for h in HOSPITALS}
+    bad = {h.name: Unreadable(spark, SF_SMALL, h) for h in HOSPITALS}
+    first = refresh(spark, lake, good, config, claims, cpt, dt.datetime(2024, 6, 30))
+    with pytest.raises(LoadFailed, match="hospital-a/transactions"):
+        refresh(spark, lake, bad, config, claims, cpt, dt.datetime(2024, 9, 30))
+    for layer, table, n in first.counts:
+        if layer in ("silver", "gold"):
+            assert lake.read(spark, layer, table).count() == n
+    # the next call continues: only transactions are extracted
+    third = refresh(spark, lake, good, config, claims, cpt, dt.datetime(2024, 10, 1))
+    assert {r[1] for r in third.audit_rows} == {"transactions"}
+
+
+def test_a_first_load_that_fails_lets_the_others_land(spark, scratch):
+    lake = Lake(f"{scratch}/lake")
+    claims, cpt, cfg = _inputs(spark, scratch)
+    bad = {h.name: Unreadable(spark, SF_SMALL, h) for h in HOSPITALS}
+    with pytest.raises(LoadFailed, match="transactions are unreadable"):
+        refresh(spark, lake, bad, read_load_config(spark, cfg), claims, cpt, dt.datetime(2024, 6, 30))
+    landed = {t for _, t in read_current(spark, lake)}
+    assert landed == {"departments", "encounters", "patients", "providers"}
+    assert not lake.versions(spark, "silver", "dim_patients")
+
+
+def test_failed_refresh_keeps_its_events_and_the_retry_has_the_delta(spark, scratch):
+    lake = Lake(f"{scratch}/lake")
+    claims, cpt, cfg = _inputs(spark, scratch)
+    config = read_load_config(spark, cfg)
     sources = {h.name: FixtureSource(spark, SF_SMALL, h) for h in HOSPITALS}
     with pytest.raises(Exception):
-        refresh(spark, lake, sources, config, f"{scratch}/no-such-claims/*.csv", f"{scratch}/no-cpt.csv",
-                dt.datetime(2024, 6, 30))
+        refresh(spark, lake, sources, config, f"{scratch}/no-such-claims/*.csv", cpt, dt.datetime(2024, 6, 30))
     events = spark.read.parquet(lake.path("control", "pipeline_logs")).collect()
     assert any(e.event_type == "ERROR" and "refresh failed" in e.message for e in events)
     assert any(e.event_type == "SUCCESS" and e.table == "departments" for e in events)
+    assert len({e.timestamp for e in events}) > len(events) // 2  # the clock of each event
+    retry = refresh(spark, lake, sources, config, claims, cpt, dt.datetime(2024, 6, 30, 0, 5))
+    counts = {(layer, t): n for layer, t, n in retry.counts}
+    assert counts[("silver", "fact_transactions")] == fixtures.table(spark, SF_SMALL, "lineitem").count()
+    assert counts[("gold", "patient_history")] > 0

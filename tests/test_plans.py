@@ -125,3 +125,9 @@ def test_results_do_not_depend_on_physical_choices(spark, queries):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name,scans", [("fact_transactions", 1), ("gold_patient_history", 2), ("gold_financial_metrics", 3)])
+def test_scans_of_the_largest_fact(spark, queries, name, scans):
+    text = _plan(queries[name](spark, SF_SMALL), "simple")
+    assert len(re.findall(r"FileScan parquet.*lineitem\.parquet", text)) == scans

@@ -7,7 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyward.functions import millis_to_date, rounded_ratio
+from tallyward.functions import rounded_ratio
+from tallyward.functions import sql as X
 
 
 def _half_away(q: Fraction, scale: int) -> float:
@@ -39,7 +40,7 @@ def test_rounded_ratio_matches_exact_rational_rounding(spark, rows):
 @given(st.lists(st.integers(-(10**12), 4 * 10**12), min_size=1, max_size=200))
 def test_millis_to_date_matches_utc_calendar(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "ms long")
-    got = [r.d for r in df.select(millis_to_date("ms").alias("d")).collect()]
+    got = [r.d for r in df.select(F.expr(X.millis_to_date("ms")).alias("d")).collect()]
     epoch = dt.datetime(1970, 1, 1)
     want = [(epoch + dt.timedelta(milliseconds=v)).date() for v in values]
     assert got == want
