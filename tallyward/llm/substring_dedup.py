@@ -43,10 +43,10 @@ LENGTH = 50
 K = 16
 #: K-byte strings in a window.
 SPAN = LENGTH - K + 1
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Bytes of text to a bucket, about; bytes of contexts to one index.
-BUCKET_BYTES = 16 << 20
-INDEX_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
+INDEX_BYTES = 1 << 20
 
 _PLACE_BITS = 24  # of a place inside a batch, in the key that finds the least hash
 
@@ -86,7 +86,8 @@ class Contexts:
         self.first = start[at]
         self.windows = np.diff(np.append(at, len(start)))
         self.row = row[self.first]
-        self.anchor = h[place[self.first]]
+        # least hashes are small numbers: mixed again, they spread over all buckets
+        self.anchor = mix(h[place[self.first]] + np.uint64(0x9E3779B97F4A7C15))
 
     def pick(self, which: np.ndarray) -> None:
         self.anchor, self.first, self.windows, self.row = (x[which] for x in (self.anchor, self.first, self.windows, self.row))
