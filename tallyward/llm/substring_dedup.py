@@ -18,7 +18,11 @@ Strings are brought together by content. Every ``LENGTH``-byte window has an *an
 4. A batch marks the bytes of its windows and keeps the others.
 
 What repeats in a batch leaves it once (a line that all documents share is one context a
-batch), rows are packed arrays, and the number of buckets grows with the text.
+batch), rows are packed arrays, and the number of buckets grows with the text. Where such a
+line meets the rest of each document, though, its outermost anchors have as many
+contexts as there are documents. An anchor that more than ``hot_batches`` batches hold is
+*hot*: its windows are dealt one by one, by their own hash, to buckets that answer in
+the same way, so they spread however many there are.
 
 Rows: a null or empty text has nothing to remove; of rows with equal doc_id none is the
 smaller; a null doc_id is neither compared nor cut; an empty table gives no rows; extra
@@ -47,6 +51,8 @@ BATCH_BYTES = 2 << 20
 #: Bytes of text to a bucket, about; bytes of contexts to one index.
 BUCKET_BYTES = 4 << 20
 INDEX_BYTES = 1 << 20
+#: Batches that may hold an anchor whose contexts still meet in one bucket.
+HOT_BATCHES = 1024
 
 _PLACE_BITS = 24  # of a place inside a batch, in the key that finds the least hash
 
@@ -68,6 +74,7 @@ class Contexts:
         n = len(flat.data)
         self.anchor, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.windows, self.row = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hot = np.zeros(0, bool)
         if n < LENGTH:
             return
         total, down = prefix_hash(flat.data)
@@ -88,9 +95,12 @@ class Contexts:
         self.row = row[self.first]
         # least hashes are small numbers: mixed again, they spread over all buckets
         self.anchor = mix(h[place[self.first]] + np.uint64(0x9E3779B97F4A7C15))
+        self.hot = np.zeros(len(at), bool)
 
-    def pick(self, which: np.ndarray) -> None:
-        self.anchor, self.first, self.windows, self.row = (x[which] for x in (self.anchor, self.first, self.windows, self.row))
+    def pick(self, which: np.ndarray) -> Contexts:
+        out = object.__new__(Contexts)
+        out.anchor, out.first, out.windows, out.row, out.hot = (x[which] for x in (self.anchor, self.first, self.windows, self.row, self.hot))
+        return out
 
 
 def _bucket(anchor: np.ndarray, bits: int) -> np.ndarray:
@@ -164,22 +174,29 @@ def _deal_anchors(batches: DataFrame, bits: int) -> DataFrame:
     return batches.select("batch", "rows").mapInArrow(run, "bucket long, batch long, packed binary")
 
 
-def _shared(rows: pa.Table) -> pa.Table:
-    """One bucket: for each batch a bit for each of its anchors."""
-    raws = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, 5) for x in rows.column("packed")]
-    wide = np.zeros((sum(map(len, raws)), 8), np.uint8)
-    wide[:, :5] = np.concatenate(raws)
-    value = wide.view("<u8").ravel()
-    order = np.argsort(value >> np.uint64(1), kind="stable")
-    sorted_ = value[order]
-    at = np.flatnonzero(np.concatenate([[True], np.diff(sorted_ >> np.uint64(1)) != 0]))
-    sizes = np.diff(np.append(at, len(value)))
-    several = (sizes > 1) | (np.maximum.reduceat(sorted_ & np.uint64(1), at) > 0)
-    bit = np.empty(len(value), bool)
-    bit[order] = np.repeat(several, sizes)
-    ends = np.cumsum([len(x) for x in raws])
-    bits = [np.packbits(bit[e - len(x) : e]).tobytes() for e, x in zip(ends, raws)]
-    return pa.table({"batch": rows.column("batch"), "bucket": rows.column("bucket"), "answer": pa.array(bits, pa.binary())})
+def _shared(hot_batches: int) -> Callable[[pa.Table], pa.Table]:
+    """One bucket: for each batch a bit for each of its anchors (do two documents hold it?)
+    and, behind these, another (is it hot?)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        raws = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, 5) for x in rows.column("packed")]
+        wide = np.zeros((sum(map(len, raws)), 8), np.uint8)
+        wide[:, :5] = np.concatenate(raws)
+        value = wide.view("<u8").ravel()
+        order = np.argsort(value >> np.uint64(1), kind="stable")
+        sorted_ = value[order]
+        at = np.flatnonzero(np.concatenate([[True], np.diff(sorted_ >> np.uint64(1)) != 0]))
+        sizes = np.diff(np.append(at, len(value)))
+        several = (sizes > 1) | (np.maximum.reduceat(sorted_ & np.uint64(1), at) > 0)
+        bit, hot = np.empty(len(value), bool), np.empty(len(value), bool)
+        bit[order] = np.repeat(several, sizes)
+        hot[order] = np.repeat(sizes > hot_batches, sizes)
+        ends = np.cumsum([len(x) for x in raws])
+        bits = [np.packbits(y[e - len(x) : e]).tobytes() for e, x in zip(ends, raws) for y in (bit, hot)]
+        answers = [a + b for a, b in zip(bits[::2], bits[1::2])]
+        return pa.table({"batch": rows.column("batch"), "bucket": rows.column("bucket"), "answer": pa.array(answers, pa.binary())})
+
+    return run
 
 
 _ANSWER = "batch long, bucket long, answer binary"
@@ -203,11 +220,14 @@ def _shared_contexts(flat: Flat, ids: np.ndarray, skip: np.ndarray, bits: int, a
     """The contexts of a batch whose anchors other documents hold."""
     c = Contexts(flat, skip)
     anchor, _ = _distinct_anchors(c, ids)
-    shared = np.zeros(len(anchor), bool)
+    shared, hot = np.zeros(len(anchor), bool), np.zeros(len(anchor), bool)
     for b, s in _by_bucket(_bucket(anchor, bits)):
-        shared[s] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=s.stop - s.start).astype(bool)
+        raw, n = np.frombuffer(answers[b], np.uint8), s.stop - s.start
+        shared[s], hot[s] = (np.unpackbits(x, count=n).astype(bool) for x in np.split(raw, 2))
     if len(anchor):
-        c.pick(shared[np.searchsorted(anchor, c.anchor)])
+        at = np.searchsorted(anchor, c.anchor)
+        c.hot = hot[at]
+        c = c.pick(shared[at])
     return c
 
 
@@ -225,8 +245,25 @@ def _distinct_contexts(c: Contexts, flat: Flat, ids: np.ndarray) -> tuple[np.nda
     return order[new], number
 
 
+def _distinct_windows(c: Contexts, flat: Flat, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The windows of hot contexts: start, row, number of the window among the different ones,
+    and for each different one, by hash, its hash, anchor and smallest doc_id."""
+    start = np.repeat(c.first, c.windows) + np.arange(int(c.windows.sum())) - np.repeat(np.cumsum(c.windows) - c.windows, c.windows)
+    row, anchor = np.repeat(c.row, c.windows), np.repeat(c.anchor, c.windows)
+    if not len(start):
+        return start, row, start, anchor, anchor, ids[row]
+    h = span_hash(flat.data, start, start + LENGTH)
+    order = np.lexsort((ids[row], anchor, h))
+    new = np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(anchor[order]) != 0)])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    one = order[new]
+    return start, row, number, h[one], anchor[one], ids[row[one]]
+
+
 def _deal_contexts(batches: DataFrame, bits: int) -> DataFrame:
-    """(bucket, batch, packed): anchor (low half), doc_id, windows and bytes of each different context."""
+    """(bucket, batch, packed): anchor (low half), doc_id, windows and bytes of each different
+    context; hash, anchor and doc_id of each different window of hot ones."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
@@ -234,8 +271,13 @@ def _deal_contexts(batches: DataFrame, bits: int) -> DataFrame:
             for batch, raw, answers in zip(*part.columns):
                 _, flat, ids, skip = _unpack(raw)
                 c = _shared_contexts(flat, ids, skip, bits, _joined(answers))
-                which, _ = _distinct_contexts(c, flat, ids)
+                *_, h, anchor, doc = _distinct_windows(c.pick(c.hot), flat, ids)
                 found = []
+                for b, s in _by_bucket(_bucket(h, bits)):  # windows go to buckets behind those of contexts
+                    body = [np.array([s.stop - s.start], "<i8"), doc[s].astype("<i8"), h[s].astype("<u8"), anchor[s].astype("<u8")]
+                    found.append((b + (1 << bits), packer.compress(b"".join(x.tobytes() for x in body))))
+                c = c.pick(~c.hot)
+                which, _ = _distinct_contexts(c, flat, ids)
                 for b, s in _by_bucket(_bucket(c.anchor[which], bits)):
                     own = which[s]
                     size = c.windows[own] + LENGTH - 1
@@ -276,7 +318,32 @@ def _window_owners(data: np.ndarray, windows: np.ndarray, anchor: np.ndarray, ow
     return out
 
 
-def _match(rows: pa.Table) -> pa.Table:
+def _match(bits: int) -> Callable[[pa.Table], pa.Table]:
+    def run(rows: pa.Table) -> pa.Table:
+        of = _match_windows if rows.column("bucket")[0].as_py() >> bits else _match_contexts
+        return pa.table({"batch": rows.column("batch"), "bucket": rows.column("bucket"), "answer": pa.array(of(rows), pa.binary())})
+
+    return run
+
+
+def _match_windows(rows: pa.Table) -> list[bytes]:
+    """One bucket of hot windows: for each batch a bit for each window that a smaller doc_id has."""
+    unpacker = zstandard.ZstdDecompressor()
+    parts = []
+    for x in rows.column("packed"):
+        raw = np.frombuffer(unpacker.decompress(x.as_py()), np.uint8)
+        n = int(raw[:8].view("<i8")[0])
+        parts.append((raw[8 : 8 + 8 * n].view("<i8"), raw[8 + 8 * n : 8 + 16 * n].view("<u8"), raw[8 + 16 * n :].view("<u8")))
+    doc, h, anchor = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    order = np.lexsort((doc, anchor, h))
+    at = np.flatnonzero(np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(anchor[order]) != 0)]))
+    least = np.empty(len(doc), np.int64)
+    least[order] = np.repeat(doc[order][at], np.diff(np.append(at, len(doc))))
+    ends = np.cumsum([len(p[0]) for p in parts])
+    return [np.packbits((least < doc)[e - len(p[0]) : e]).tobytes() for e, p in zip(ends, parts)]
+
+
+def _match_contexts(rows: pa.Table) -> list[bytes]:
     """One bucket: for each batch, eight bytes a context, a bit for each window that a
     smaller doc_id has."""
     unpacker = zstandard.ZstdDecompressor()
@@ -306,8 +373,7 @@ def _match(rows: pa.Table) -> pa.Table:
     place = np.arange(len(where)) - np.repeat(np.cumsum(windows) - windows, windows)
     bits = np.add.reduceat(earlier.astype(np.uint64) << place.astype(np.uint64), np.cumsum(windows) - windows)
     stops = np.cumsum([len(p[0]) for p in parts])
-    answers = [bits[e - len(p[0]) : e].astype("<u8").tobytes() for e, p in zip(stops, parts)]
-    return pa.table({"batch": rows.column("batch"), "bucket": rows.column("bucket"), "answer": pa.array(answers, pa.binary())})
+    return [bits[e - len(p[0]) : e].astype("<u8").tobytes() for e, p in zip(stops, parts)]
 
 
 # --- 4. what stays ------------------------------------------------------------
@@ -316,6 +382,19 @@ def _match(rows: pa.Table) -> pa.Table:
 def _covered(c: Contexts, flat: Flat, ids: np.ndarray, bits: int, answers: dict[int, bytes]) -> np.ndarray:
     """Bytes of a batch that a window covers which a smaller doc_id has."""
     edge = np.zeros(len(flat.data) + 1, np.int32)
+
+    def mark(start: np.ndarray) -> None:
+        edge[start] += 1  # starts are different, and so are the ends
+        edge[start + LENGTH] -= 1
+
+    start, row, number, h, _, doc = _distinct_windows(c.pick(c.hot), flat, ids)
+    if len(start):
+        earlier = np.zeros(len(h), bool)
+        for b, s in _by_bucket(_bucket(h, bits)):
+            earlier[s] = np.unpackbits(np.frombuffer(answers[b + (1 << bits)], np.uint8), count=s.stop - s.start)
+        mark(start[earlier[number] | (ids[row] > doc[number])])
+
+    c = c.pick(~c.hot)
     which, number = _distinct_contexts(c, flat, ids)
     if len(which):
         found = np.zeros(len(which), np.uint64)
@@ -326,13 +405,11 @@ def _covered(c: Contexts, flat: Flat, ids: np.ndarray, bits: int, answers: dict[
         start = np.repeat(c.first, c.windows)
         place = np.arange(len(start)) - np.repeat(np.cumsum(c.windows) - c.windows, c.windows)
         hit = (np.repeat(mask, c.windows) >> place.astype(np.uint64)) & np.uint64(1)
-        start = (start + place)[hit > 0]
-        edge[start] += 1
-        edge[start + LENGTH] -= 1  # starts are different, and so are these ends
+        mark((start + place)[hit > 0])
     return np.cumsum(edge[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, cut_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, cut_text: bool = False, hot_batches: int = HOT_BATCHES) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, ...) with n_bytes, n_removed, n_spans and
     ``kept`` (binary: the bytes that stay). With ``cut_text`` the text column is what stays,
     without the remains of code points that a removal cut, and the input's columns
@@ -342,9 +419,9 @@ def remove_repeats(docs: DataFrame, cut_text: bool = False) -> DataFrame:
     batches = _batches(docs)
     total = batches.agg(F.sum("n_bytes")).first()[0] or 0
     bits = max(0, (total // BUCKET_BYTES).bit_length())
-    flags = written(_answers(_deal_anchors(batches, bits), _shared, "flags"), "flags")
+    flags = written(_answers(_deal_anchors(batches, bits), _shared(hot_batches), "flags"), "flags")
     flagged = batches.select("batch", "rows").join(flags, "batch", "left")
-    marks = written(_answers(_deal_contexts(flagged, bits), _match, "marks"), "marks")
+    marks = written(_answers(_deal_contexts(flagged, bits), _match(bits), "marks"), "marks")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -74,6 +74,7 @@ def test_mixed_copies_against_brute_force(spark, monkeypatch, bucket):
     rows += [(500, "a" * 400), (501, "a" * 49), (502, "a" * 50), (503, "ab" * 300), (504, "b" + "ab" * 40), (505, None), (506, ""), (507, "é" * 60), (508, "x" + "é" * 60), (None, passages[4]), (None, None), (3, passages[4]), (2, passages[4]), (-7, passages[5])]
     df = frame(spark, rows)
     assert got(sd.remove_repeats(df)) == slow(rows)
+    assert got(sd.remove_repeats(df, hot_batches=0)) == slow(rows)
     assert {"batch", "rows"} <= set(sd.remove_repeats(df).columns)
 
 
@@ -103,7 +104,10 @@ def test_very_long_and_hot_texts(spark):
     rows = [(1, long_text), (2, long_text[40_000:] + "tail"), (3, long_text[:100])]
     rows += [(10 + i, f"{i} own words {i * 7} {line} and {i * i} after") for i in range(200)]
     rows += [(300 + i, line * 3) for i in range(100)]
-    assert got(sd.remove_repeats(frame(spark, rows, 5))) == slow(rows)
+    df = frame(spark, rows, 5)
+    assert got(sd.remove_repeats(df)) == slow(rows)
+    for hot in (0, 1, 3):  # every anchor, or those that several batches hold, dealt by windows
+        assert got(sd.remove_repeats(df, hot_batches=hot)) == slow(rows)
 
 
 def test_empty_table(spark):
