@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm import packing, quality, simhash, substring_dedup, toxicity
-from tallyward.llm.common import read_table, written
+from tallyward.llm.common import read_table, workers_import, written
 from tallyward.llm.queries import VOCABULARY
 
 #: Classifiers, shingles and packing have no SQL form; tests compare with brute force.
@@ -45,6 +45,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     groups = simhash.simhash_components(docs, shingle=4, max_bits=4)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi")
@@ -54,11 +55,13 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_array_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     cut = substring_dedup.remove_repeats(docs, cut_text=True)
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     return packing.best_fit_packing(docs, VOCABULARY, end_id=2, size=1024)
 
 

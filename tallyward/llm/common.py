@@ -3,6 +3,8 @@ stages, Arrow batches as flat byte arrays, and vectorised tokens over them."""
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +20,18 @@ from tallyward.session import fresh_dir
 SLICE_BYTES = 2 << 20
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (local mode, or a
+    folder that all machines have; elsewhere the job is submitted with it, ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    given = spark.sparkContext.environment
+    paths = [p for p in given.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        given["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -30,6 +43,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, partitions: int, label: str) -> DataFrame:
+    """``df`` as a written table bucketed by ``key``: joins by the key shuffle the other side
+    only. At least as many buckets as a shuffle has partitions, or joins would not use them.
+    The table is scratch like ``written``; where the catalog outlives the session, its
+    entry (``llm_<label>_<id>``) stays and may be dropped."""
+    spark = df.sparkSession
+    name = f"llm_{label}_{uuid.uuid4().hex[:12]}"
+    n = max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.bucketBy(n, key).sortBy(key).option("path", fresh_dir(spark, f"llm-{label}")).saveAsTable(name)
+    return spark.table(name)
+
+
 def fold(column: str, modulus: int):
     """crc32 of an id as text, modulo ``modulus`` (a null id counts as empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(modulus))
