@@ -192,3 +192,20 @@ def test_failed_refresh_keeps_its_events_and_the_retry_has_the_delta(spark, scra
     counts = {(layer, t): n for layer, t, n in retry.counts}
     assert counts[("silver", "fact_transactions")] == fixtures.table(spark, SF_SMALL, "lineitem").count()
     assert counts[("gold", "patient_history")] > 0
+
+
+def test_landing_batches_have_names_in_the_catalog(spark, scratch):
+    lake = Lake(f"{scratch}/lake")
+    config = default_load_config(spark).where("tablename in ('departments', 'patients')")
+    for h in HOSPITALS:
+        land_hospital(spark, h, FixtureSource(spark, SF_SMALL, h), config, lake, dt.datetime(2024, 6, 30), EventLog())
+    bronze = read_bronze(spark, lake)
+    for h in HOSPITALS:
+        for entity in ("departments", "patients", "providers"):  # providers: no batch yet
+            frame = bronze.frames[(h.name, entity)]
+            name = f"{h.database.removesuffix('_db')}_{entity}"
+            lake.register(spark, "bronze", name, frame)
+            named = spark.table(f"bronze.{name}")
+            assert named.columns == frame.columns
+            assert sorted(map(str, named.collect())) == sorted(map(str, frame.collect()))
+            assert (named.count() > 0) == (entity != "providers")
