@@ -82,10 +82,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under the shared root for one run; removed when the session's
-    JVM ends."""
+    """A new, unique folder for one run, under a folder of the application in the shared
+    root that is removed when the session's JVM ends."""
     from tallyward.sources.tables import FileSystem
 
-    path = f"{shared_root(spark)}/tallyward/{label}-{uuid.uuid4().hex[:12]}"
-    FileSystem(spark, path).remove_at_exit(path)
-    return path
+    own = f"{shared_root(spark)}/tallyward/{spark.sparkContext.applicationId}"
+    FileSystem(spark, own).scratch(own)
+    return f"{own}/{label}-{uuid.uuid4().hex[:12]}"
