@@ -56,4 +56,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_random_indexing, op2_closed_syncmers, op3_toxicity, op4_url_filters, op5_license_scan, op6_bpe, op7_best_fit_packing, op8_run_length_index, op9_cross_polytope, op10_simhash)}
 
-ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filters.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filters.ORACLE_SQL, "op8_run_length_index": substring_dedup.ORACLE_SQL}

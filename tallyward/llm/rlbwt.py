@@ -1,14 +1,15 @@
 """A run-compressed Burrows-Wheeler index of short strings, for matches of one length.
 
 Suffixes are sorted by their first ``depth`` symbols and then by the owner (a number) of
-their string. The transform is kept as runs; a rank counts symbols in runs.
-Owners are sampled where a match class begins (there the smallest owner stands, by the
-order of the sort), so the interval of a match gives its smallest owner.
+their string; equal prefixes form a class. The transform is kept as runs, and a rank counts
+symbols in runs. Samples: the smallest owner of each class (it stands first), and the class
+of each string's last ``depth`` symbols.
 
-``first_owners`` streams the strings from right to left. The matching statistics of
-a string in the index against the index only grow, so they are cut at ``depth``: the interval
-of the last depth - 1 symbols is widened from that of depth symbols by the borders of the
-classes one symbol shorter.
+``first_owners`` streams the strings from right to left, from the sampled end on. The
+matching statistics of a string in the index against the index only grow, so they are cut at
+``depth``: a step drops the last symbol (the class one symbol shorter begins at a stored
+border) and takes one more on the left by a rank at that border, which is the beginning of
+the next class.
 """
 
 from __future__ import annotations
@@ -20,27 +21,27 @@ _PACKED = 7
 
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     sorted_ = keys[order]
     out = np.empty(len(keys), np.int64)
     out[order] = np.cumsum(np.concatenate([[0], sorted_[1:] != sorted_[:-1]]))
     return out
 
 
-def _prefix_ranks(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of every suffix by its first ``depth`` symbols (equal prefixes, equal ranks)."""
+def _prefix_ranks(symbols: np.ndarray, depths: list[int]) -> list[np.ndarray]:
+    """Ranks of every suffix by its first symbols (equal prefixes, equal ranks), for each of
+    ``depths``: by doubling, the last step of each overlaps."""
     n = len(symbols)
-    span = min(_PACKED, depth)
+    after = lambda x, step, end: np.concatenate([x[step:], np.full(min(step, n), end)])[:n]
+    span = min(_PACKED, *depths)
     keys = np.zeros(n, np.int64)
     for i in range(span):
-        keys = (keys << _BITS) | np.concatenate([symbols[i:], np.zeros(min(i, n), np.int64)])[:n]
+        keys = (keys << _BITS) | after(symbols, i, 0)
     rank = _ranks(keys)
-    while span < depth:
-        step = min(span, depth - span)  # the second half may overlap the first
-        after = np.concatenate([rank[step:], np.full(min(step, n), -1)])[:n]
-        rank = _ranks(rank * (n + 1) + after + 1)
-        span += step
-    return rank
+    while 2 * span < min(depths):
+        rank = _ranks(rank * (n + 1) + after(rank, span, -1) + 1)
+        span *= 2
+    return [rank if d == span else _ranks(rank * (n + 1) + after(rank, d - span, -1) + 1) for d in depths]
 
 
 class RunIndex:
@@ -50,57 +51,63 @@ class RunIndex:
         self.lengths = lengths
         ends = np.cumsum(lengths + 1)
         self.begins = ends - lengths - 1
-        symbols = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
-        inside = np.ones(len(symbols), bool)
+        n = int(ends[-1]) if len(ends) else 0
+        symbols = np.zeros(n, np.int64)
+        inside = np.ones(n, bool)
         inside[ends - 1] = False
         symbols[inside] = data.astype(np.int64) + 1
         self.symbols = symbols
-        n = len(symbols)
-        shorter, full = (_prefix_ranks(symbols, d) for d in (depth - 1, depth))
-        owner = np.repeat(owners, lengths + 1)
-        order = np.lexsort((owner, full))
-        classes = np.concatenate([[True], np.diff(full[order]) != 0]) if n else np.zeros(0, bool)
-        self.class_starts = np.flatnonzero(classes)
-        self.class_owners = owner[order[self.class_starts]]
-        short = np.concatenate([[True], np.diff(shorter[order]) != 0]) if n else np.zeros(0, bool)
-        self.short_starts = np.append(np.flatnonzero(short), n)
+        if not n:
+            return
+        shorter, full = _prefix_ranks(symbols, [depth - 1, depth])
+        known, number = np.unique(owners, return_inverse=True)
+        owner = np.repeat(number, lengths + 1)
+        order = np.argsort(full * len(known) + owner)
+        new = lambda x: np.concatenate([[True], x[1:] != x[:-1]])
+        begins_class, begins_short = new(full[order]), new(shorter[order])
+        class_starts = np.flatnonzero(begins_class)
+        self.class_of = np.cumsum(begins_class) - 1
+        self.class_owners = known[owner[order[class_starts]]]
+        # where the class one symbol shorter begins
+        self.short_start = np.flatnonzero(begins_short)[np.cumsum(begins_short)[class_starts] - 1]
+        # samples: the class of the last ``depth`` symbols of each string
+        inverse = np.empty(n, np.int64)
+        inverse[order] = np.arange(n)
+        self.long = np.flatnonzero(lengths >= depth)
+        self.last_class = self.class_of[inverse[self.begins[self.long] + lengths[self.long] - depth]]
         # the transform, as runs by symbol
         transform = symbols[order - 1]  # before the first symbol stands the end of the last string
-        heads = np.flatnonzero(np.concatenate([[True], transform[1:] != transform[:-1]])) if n else np.zeros(0, np.int64)
-        self.run_starts = heads
-        self.run_symbols = transform[heads]
-        sizes = np.diff(np.append(heads, n))
+        begins_run = new(transform)
+        self.run_starts = np.flatnonzero(begins_run)
+        self.run_of = np.cumsum(begins_run) - 1
+        self.run_symbols = transform[self.run_starts]
+        sizes = np.diff(np.append(self.run_starts, n))
         by = np.argsort(self.run_symbols, kind="stable")
-        self.keys = self.run_symbols[by] * (len(heads) + 1) + by  # (symbol, run), ascending
+        self.keys = self.run_symbols[by] * (len(by) + 1) + by  # (symbol, run), ascending
         self.before = np.concatenate([[0], np.cumsum(sizes[by])])
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=258))])  # suffixes that begin with a smaller symbol
 
-    def _rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How often each symbol stands before each place, plus ``first`` of the symbol."""
-        run = np.searchsorted(self.run_starts, at, side="right") - 1
-        inside = at - self.run_starts[run]
+    def _step(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Suffixes before the ones that begin with each symbol and go on as the suffix at each
+        place: those of smaller symbols, and the symbol's own before that place."""
+        run = self.run_of[at]
         j = np.searchsorted(self.keys, symbol * (len(self.run_starts) + 1) + run)
-        # whole runs of the symbol before ``run``, of all smaller symbols too: that is ``first``
-        return self.before[j] + np.where(self.run_symbols[run] == symbol, inside, 0)
+        return self.before[j] + np.where(self.run_symbols[run] == symbol, at - self.run_starts[run], 0)
 
     def first_owners(self) -> np.ndarray:
         """The smallest owner of the ``depth`` bytes at each place of the strings (the
         strings' bytes one after the other), or -1 where a string has fewer left."""
-        n = len(self.symbols)
-        out = np.full(n, -1, np.int64)
-        alive = np.arange(len(self.lengths))
-        lo, hi = np.zeros(len(alive), np.int64), np.full(len(alive), n, np.int64)
-        for step in range(1, int(self.lengths.max(initial=0)) + 1):
-            on = self.lengths[alive] >= step
+        out = np.full(len(self.symbols), -1, np.int64)
+        if not len(out):
+            return out
+        left = self.lengths[self.long] - self.depth  # symbols still to take
+        place, match = self.begins[self.long] + left, self.last_class
+        out[place] = self.class_owners[match]
+        while True:
+            on = left > 0
             if not on.all():
-                alive, lo, hi = alive[on], lo[on], hi[on]
-            place = self.begins[alive] + self.lengths[alive] - step
-            if step > self.depth:
-                k = np.searchsorted(self.short_starts, lo, side="right") - 1
-                lo, hi = self.short_starts[k], self.short_starts[k + 1]
-            symbol = self.symbols[place]
-            lo, hi = self._rank(symbol, lo), self._rank(symbol, hi)
-            if step >= self.depth:
-                k = np.searchsorted(self.class_starts, lo, side="right") - 1
-                out[place] = self.class_owners[k]
-        return out[self.symbols > 0]
+                left, place, match = left[on], place[on], match[on]
+            if not len(left):
+                return out[self.symbols > 0]
+            left, place = left - 1, place - 1
+            match = self.class_of[self._step(self.symbols[place], self.short_start[match])]
+            out[place] = self.class_owners[match]

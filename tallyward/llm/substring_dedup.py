@@ -7,7 +7,8 @@ Strings are brought together by content. Every ``LENGTH``-byte window has an *an
 ``K`` bytes in it with the least hash; consecutive windows with one anchor make a *context*
 (their bytes together). Equal windows have equal anchors, so:
 
-1. Texts are stored as compressed batches (about ``BATCH_BYTES`` of text), once.
+1. Texts are stored as compressed batches (about ``BATCH_BYTES`` of text), once, in a table
+   bucketed by batch: what comes back to a batch is joined without shuffling texts.
 2. Batches deal the different anchors that they hold, packed, to buckets by hash. A bucket
    answers each batch with one bit for each anchor: does another document hold it?
 3. Batches deal the different contexts of shared anchors, packed, to buckets by anchor.
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.llm.common import Flat, flat_slices, mix, prefix_hash, span_hash, written
+from tallyward.llm.common import Flat, bucketed, flat_slices, mix, prefix_hash, span_hash, written
 from tallyward.llm.rlbwt import RunIndex
 
 LENGTH = 50
@@ -131,7 +132,7 @@ def _batches(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([len(flat.data)], pa.int64()), pa.array([raw], pa.binary())], names=["n_bytes", "rows"])
 
     packed = docs.mapInArrow(run, "n_bytes long, rows binary")
-    return written(packed.select(F.monotonically_increasing_id().alias("batch"), "n_bytes", "rows"), "batches")
+    return bucketed(packed.select(F.monotonically_increasing_id().alias("batch"), "n_bytes", "rows"), "batch", docs.rdd.getNumPartitions(), "batches")
 
 
 def _unpack(raw) -> tuple[pa.RecordBatch, Flat, np.ndarray, np.ndarray]:
@@ -454,3 +455,30 @@ def dedup_digests(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
     rows = remove_repeats(docs.select("doc_id", "text"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The contract as DuckDB SQL, by a table of all windows in hex.
+ORACLE_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT *, length(h) // 2 AS n FROM docs),
+blocks AS (  -- so that no window is sought in a long text
+  SELECT rid, doc_id, n, s, substr(h, 2 * s + 1, 2 * (256 + 49)) AS seg
+  FROM (SELECT rid, doc_id, n, h, unnest(range(0, n - 49, 256)) AS s FROM sized WHERE n >= 50)),
+windows AS MATERIALIZED (
+  SELECT rid, doc_id, s + j AS x, substr(seg, 2 * j + 1, 100) AS w
+  FROM (SELECT *, unnest(range(0, least(256, n - 49 - s))) AS j FROM blocks)),
+first AS (SELECT w, min(doc_id) AS m FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT rid, x FROM windows JOIN first USING (w) WHERE m < doc_id),
+steps AS (SELECT rid, x, CASE WHEN x <= lag(x) OVER (PARTITION BY rid ORDER BY x) + 50 THEN 0 ELSE 1 END AS begins FROM hits),
+runs AS (SELECT rid, x, sum(begins) OVER (PARTITION BY rid ORDER BY x) AS run FROM steps),
+spans AS (SELECT rid, run, min(x) AS a, max(x) + 50 AS b FROM runs GROUP BY rid, run),
+gaps AS (SELECT rid, run, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM spans),
+cut AS (
+  SELECT rid, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(b) AS last,
+         CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans
+  FROM gaps JOIN sized USING (rid) GROUP BY rid)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM sized LEFT JOIN cut USING (rid)
+"""
