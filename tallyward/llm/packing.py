@@ -20,6 +20,7 @@ null doc_id stays null; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -31,9 +32,6 @@ from pyspark.sql import functions as F
 from tallyward.llm.codec import Codec
 from tallyward.llm.common import flat_slices, written
 
-#: Pieces of one length that share a salt, about.
-ROWS_PER_SALT = 50_000
-
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
@@ -132,7 +130,8 @@ def pack(cut: DataFrame, size: int) -> DataFrame:
     for row in histogram:
         counts[row["length"]] = row["count"]
     table = slots(best_two_fit(counts, size))
-    n_salts = max(1, int(counts.max(initial=0)) // ROWS_PER_SALT + 1)
+    # salts grow with the root of the largest count, and so do the rows of each (length, salt)
+    n_salts = math.isqrt(int(counts.max(initial=0))) // 8 + 1
 
     salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_salts)).cast("int"))
     within = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
