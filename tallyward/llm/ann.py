@@ -6,7 +6,13 @@ looks at the buckets of its nearest ``probes`` signed axes of every table; what
 meets there is scored exactly on the original vectors, in double precision.
 
 Largest inner product becomes largest cosine by one more coordinate: candidates are
-scaled by the largest norm and completed to length 1, queries get 0 there.
+scaled by the largest norm and completed to length 1, queries get 0 there. So that
+shorter vectors do not crowd round that coordinate, candidates are cut into bands of norm
+(a factor of the square root of 2 wide) and each band is scaled by its own largest norm.
+The longest bands, together at most ``HEAD`` vectors of a dimension, are scored exactly
+against all queries: there a neighbour may have almost any angle. A query then probes every
+other band but those whose largest norm times its own is under the k-th best score it has,
+which hold none of its neighbours.
 
 Buckets are split: blocks of at most ``BLOCK`` candidates meet blocks of at most
 ``BLOCK`` of the queries that probe them, so a bucket that holds a third of all vectors is
@@ -26,26 +32,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import written
 
 BLOCK = 4096
+#: Vectors of the longest bands of a dimension that are scored exactly.
+HEAD = 1024
+#: Bands of norm to a factor of 2.
+BANDS = 2
 SEED = 20_240_611
 
-_KEY = ["tbl", "bucket", "c_block", "q_block"]
+_BUCKET = ["band", "tbl", "bucket"]
+_KEY = [*_BUCKET, "c_block", "q_block"]
 _FOUND = "query_id long, vec_id long, score double"
 
 
 def valid_vectors(table: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """(vec_id, vec array<double>, norm) of the rows that take part."""
+    """(vec_id, vec array<double>, norm, dim, band) of the rows that take part."""
     vec = F.col(vector_column).cast("array<double>")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), vec.alias("vec")).where("vec_id is not null and vec is not null")
     good = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.coalesce(good, F.lit(False))).dropDuplicates(["vec_id", "vec"])
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
-    return rows.withColumn("norm", norm).where("norm > 0")
+    rows = rows.withColumn("norm", norm).where("norm > 0")
+    # rounded, so that norms about 1 are not cut at 1
+    return rows.withColumn("dim", F.size("vec")).withColumn("band", F.floor(F.log2("norm") * BANDS + 0.5).cast("int"))
+
+
+def norm_bands(vectors: DataFrame) -> DataFrame:
+    """(dim, band, largest, exact): the bands that have rows, their largest norm, and whether they are scored exactly."""
+    bands = vectors.groupBy("dim", "band").agg(F.max("norm").alias("largest"), F.count("*").alias("n"))
+    longer = Window.partitionBy("dim").orderBy(F.col("band").desc())
+    return bands.select("dim", "band", "largest", (F.sum("n").over(longer) <= HEAD).alias("exact"))
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -79,13 +99,15 @@ def signed_axes(unit: np.ndarray, tables: int, probes: int) -> np.ndarray:
     return out
 
 
-def _dealt(vectors: DataFrame, largest: float, tables: int, probes: int, query: bool) -> DataFrame:
-    """(tbl, bucket, vec_id, vec) for each table and probe; the dimension is part of tbl."""
+def _dealt(vectors: DataFrame, tables: int, probes: int, query: bool) -> DataFrame:
+    """(band, tbl, bucket, vec_id, vec) of (vec_id, vec, band, largest) for each table and probe; the dimension is part of tbl."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             lists = batch.column(1)
+            bands = batch.column(2)
+            largest = batch.column(3).to_numpy(zero_copy_only=False)
             sizes = np.diff(lists.offsets.to_numpy())
             for dim in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == dim)
@@ -95,25 +117,26 @@ def _dealt(vectors: DataFrame, largest: float, tables: int, probes: int, query:
                 if query:
                     unit = np.column_stack([vec / norm[:, None], np.zeros(len(vec))])
                 else:
-                    scaled = vec / largest
+                    scaled = vec / largest[rows, None]
                     unit = np.column_stack([scaled, np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1)))])
                 buckets = signed_axes(unit, tables, probes)
+                band = bands.take(pa.array(rows))
                 for t in range(tables):
                     for p in range(probes):
                         if p and (buckets[:, t, p] == buckets[:, t, 0]).all():
                             continue
                         tbl = pa.array(np.full(len(rows), dim * tables + t), pa.int64())
-                        yield pa.RecordBatch.from_arrays([tbl, pa.array(buckets[:, t, p], pa.int32()), pa.array(ids[rows]), own], names=["tbl", "bucket", "vec_id", "vec"])
+                        yield pa.RecordBatch.from_arrays([band, tbl, pa.array(buckets[:, t, p], pa.int32()), pa.array(ids[rows]), own], names=[*_BUCKET, "vec_id", "vec"])
 
-    return vectors.select("vec_id", "vec").mapInArrow(run, "tbl long, bucket int, vec_id long, vec array<double>")
+    return vectors.select("vec_id", "vec", "band", "largest").mapInArrow(run, "band int, tbl long, bucket int, vec_id long, vec array<double>")
 
 
 def _blocks(rows: DataFrame, buckets: DataFrame, own: str, other: str) -> DataFrame:
     """Each row in a block of its bucket, once for every block of the other side."""
-    rows = rows.join(buckets, ["tbl", "bucket"])
+    rows = rows.join(buckets, _BUCKET)
     mine = F.pmod(F.xxhash64("vec_id"), F.col(f"{own}_n")).cast("int").alias(own)
     theirs = F.explode(F.sequence(F.lit(0), (F.col(f"{other}_n") - 1).cast("int"))).alias(other)
-    return rows.select("tbl", "bucket", "vec_id", "vec", mine, theirs)
+    return rows.select(*_BUCKET, "vec_id", "vec", mine, theirs)
 
 
 def _best(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
@@ -147,8 +170,8 @@ def _best(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
 
 def _scored(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k best of each query in every block of the buckets that it is dealt to."""
-    size = lambda df, name: df.groupBy("tbl", "bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias(name))
-    buckets = size(candidates, "c_block_n").join(size(queries, "q_block_n"), ["tbl", "bucket"])
+    size = lambda df, name: df.groupBy(*_BUCKET).agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias(name))
+    buckets = size(candidates, "c_block_n").join(size(queries, "q_block_n"), _BUCKET)
     c = _blocks(candidates, buckets, "c_block", "q_block")
     q = _blocks(queries, buckets, "q_block", "c_block")
     return c.groupBy(*_KEY).cogroup(q.groupBy(*_KEY)).applyInArrow(lambda a, b: _best(b, a, k), _FOUND)
@@ -165,14 +188,21 @@ def nearest(table: DataFrame, every: int, k: int, tables: int = 14, probes: int
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each row whose id is
     divisible by ``every``, among all other rows."""
     vectors = written(valid_vectors(table, id_column, vector_column), "vectors")
-    queries = vectors.where(F.col("vec_id") % every == 0)
-    largest = vectors.agg(F.max("norm")).first()[0] or 1.0
-    found = _scored(_dealt(vectors, largest, tables, 1, False), _dealt(queries, largest, tables, probes, True), k)
-    top = written(_ranked(found, k), "nearest")
+    queries = written(vectors.where(F.col("vec_id") % every == 0).select("vec_id", "vec", "norm", "dim"), "queries")
+    bands = written(norm_bands(vectors), "bands")
+    alone = lambda df: df.select(F.lit(0).alias("band"), F.size("vec").cast("long").alias("tbl"), F.lit(0).alias("bucket"), "vec_id", "vec")
+    banded = vectors.join(bands, ["dim", "band"])
+    head = written(_scored(alone(banded.where("exact")), alone(queries), k), "head")
+    kth = _ranked(head, k).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
+    wanted = queries.join(bands.where("not exact"), "dim").join(kth, "vec_id", "left")
+    # a score is rounded by far less than this
+    reach = F.col("norm") * F.col("largest") * (1 + 1e-9)
+    wanted = wanted.where(F.col("kth").isNull() | (reach >= F.col("kth")))
+    found = _scored(_dealt(banded.where("not exact"), tables, 1, False), _dealt(wanted, tables, probes, True), k)
+    top = written(_ranked(head.union(found), k), "nearest")
     few = queries.join(top.groupBy("query_id").count().where(F.col("count") >= k), queries.vec_id == F.col("query_id"), "left_anti")
     few = written(few.select("vec_id", "vec"), "few")
     if few.isEmpty():
         return top
-    alone = lambda df: df.select(F.size("vec").cast("long").alias("tbl"), F.lit(0).alias("bucket"), "vec_id", "vec")
     rest = _ranked(_scored(alone(vectors), alone(few), k), k)
     return top.join(few, top.query_id == few.vec_id, "left_anti").union(rest)

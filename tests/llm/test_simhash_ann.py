@@ -150,3 +150,19 @@ def test_a_hot_bucket_is_split_and_whole(spark, monkeypatch):
     for q in (0, 30, 60, 90, 120):  # all hot: ties to the smaller id
         own = [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])]
         assert own == [j for _, j in expected[q]]
+
+
+@pytest.mark.parametrize("norms", ["spread", "two", "one long"])
+def test_recall_where_norms_differ(spark, monkeypatch, norms):
+    monkeypatch.setattr(ann, "HEAD", 100)
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(3000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    length = {"spread": np.exp(rng.normal(size=3000)), "two": np.where(np.arange(3000) % 2, 1.0, 0.1), "one long": np.where(np.arange(3000) == 7, 10.0, 1.0)}[norms]
+    vectors = (vectors * length[:, None]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), None, None, None) for i, v in enumerate(vectors)], VECS)
+    expected = brute(range(3000), vectors.astype(float), 50, 20)
+    got = ann.nearest(df, 50, 20).toPandas()
+    hits = sum(len(set(got[got.query_id == q].vec_id) & {j for _, j in best}) for q, best in expected.items())
+    assert len(got) == 20 * len(expected)
+    assert hits / (20 * len(expected)) >= 0.9, hits / (20 * len(expected))
