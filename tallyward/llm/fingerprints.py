@@ -10,7 +10,11 @@ equal distances. A text too short for a k-mer has one anchor, its whole sequence
 The fingerprint is the ``SKETCH`` smallest different anchor hashes, in hex: equal
 texts have equal fingerprints, and the likeness of two is the share of common
 hashes among the smallest of both (the Jaccard index of the anchors, exact where a
-text has no more than that many).
+text has no more than that many). Two fingerprints of different units have nothing in common,
+and a short passage that two long texts share may leave no trace in them.
+
+``match`` takes two texts by the same unit (code points if either would be, else words)
+and compares all their anchors.
 
 ``next_document`` gives every row the text of the row with the next smaller id without a
 global sort: ids are cut at quantiles into buckets, a bucket's largest id is dealt to
@@ -75,20 +79,54 @@ def _of_units(units: Column, s: int, pick) -> Column:
     return _let(units, of)
 
 
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(text, r"\s+"), "")
+
+
+def _by_points(text: Column, pick) -> Column:
+    return _of_units(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), CHAR_S, pick)
+
+
 def _anchors(text: Column, pick) -> Column:
-    words = F.array_remove(F.split(text, r"\s+"), "")
-    points = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    by_points = _of_units(points, CHAR_S, pick)
+    by_points = _by_points(text, pick)
 
     def of(w: Column) -> Column:
         return F.when(F.size(w) * SPARSE < F.char_length(text), by_points).otherwise(_of_units(w, WORD_S, pick))
 
-    return F.when(F.char_length(text) < SHORT, by_points).otherwise(_let(words, of))
+    return F.when(F.char_length(text) < SHORT, by_points).otherwise(_let(_words(text), of))
+
+
+def _placed(h: Column, i: Column) -> Column:
+    return F.struct(h.alias("hash"), i.cast("int").alias("pos"))
 
 
 def anchors(text: Column) -> Column:
     """array<struct<hash, pos>>: every anchor of a text with the unit that it starts at."""
-    return _anchors(text, lambda h, i: F.struct(h.alias("hash"), i.cast("int").alias("pos")))
+    return _anchors(text, _placed)
+
+
+def _hashes(placed: Column) -> Column:
+    """The different anchor hashes."""
+    return F.array_distinct(F.transform(placed, lambda x: x["hash"]))
+
+
+def _points_taken(text: Column) -> Column:
+    return (F.char_length(text) < SHORT) | (F.size(_words(text)) * SPARSE < F.char_length(text))
+
+
+def match(a: Column, b: Column) -> Column:
+    """Share of common anchors among all of two texts, both taken by the same unit, 0 to 1."""
+
+    def share(p: Column) -> Column:
+        def of(common: Column) -> Column:
+            every = F.size(p["a"]) + F.size(p["b"]) - common
+            return F.when(every == 0, F.lit(1.0)).otherwise(common / F.greatest(every, F.lit(1)))
+
+        return _let(F.size(F.array_intersect(p["a"], p["b"])), of)
+
+    points = F.struct(*[_hashes(_by_points(t, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
+    words = F.struct(*[_hashes(_of_units(_words(t), WORD_S, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
+    return _let(F.when(_points_taken(a) | _points_taken(b), points).otherwise(words), share)
 
 
 def sketch(text: Column) -> Column:
@@ -155,7 +193,8 @@ def next_document(docs: DataFrame, columns: list[str]) -> DataFrame:
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Every text and its edited form (the last third replaced by the beginning of the
     next document): doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next."""
+    edited_fingerprint, near_edited, near_next (likeness of fingerprints), match_edited,
+    match_next (likeness of all anchors, by one unit)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = next_document(rows.withColumn("sketch", sketch(F.col("text"))), ["text", "sketch"])
     third = F.floor(F.col("n_chars") / 3).cast("int")
@@ -171,4 +210,6 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        match(F.col("text"), F.col("edited")).alias("match_edited"),
+        match(F.col("text"), F.col("next_text")).alias("match_next"),
     )

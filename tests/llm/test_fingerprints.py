@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import struct
 
@@ -93,6 +94,53 @@ def test_anchors_keep_their_place(spark):
     assert [(a.hash, a.pos) for a in df.select(fp.anchors(F.col("text")).alias("a")).first().a] == slow_anchors(text)
 
 
+def slow_placed(units, s):
+    if len(units) < s + 3:
+        return [(chained(units) >> 32, 0)] if units else []
+    inner = [signed(chained(units[i : i + s])) for i in range(len(units) - s + 1)]
+    windows = [inner[i : i + 4] for i in range(len(inner) - 3)]
+    return [(chained(w) >> 32, i) for i, w in enumerate(windows) if min(w) in (w[0], w[3])]
+
+
+def slow_match(a, b):
+    split = lambda t: [w for w in re.split(r"[ \t\n\x0b\f\r]+", t) if w]
+    points = any(len(t) < fp.SHORT or len(split(t)) * fp.SPARSE < len(t) for t in (a, b))
+    links = []
+    for t in (a, b):
+        placed = slow_placed(list(t), fp.CHAR_S) if points else slow_placed(split(t), fp.WORD_S)
+        links.append({x for x, _ in placed})
+    every = links[0] | links[1]
+    return len(links[0] & links[1]) / len(every) if every else 1.0
+
+
+def test_match_by_one_unit(spark):
+    rnd = random.Random(6)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage = words(60)
+    long = [" ".join(words(2000) + passage + words(2900)) for _ in range(2)]
+    text = " ".join(words(60))[:436]
+    pairs = [(text, text[:356]), tuple(long), (" ".join(words(300)), " ".join(words(300))), ("x" * 3000, "x" * 2000 + " a b c" * 300), ("中文没有空格" * 200, "中文没有空格" * 20)]
+    pairs += [(text, text), ("", ""), ("", "abc"), ("abc", "abc"), ("abc", "abd"), (long[0], "short"), (" \n", ""), ("one two", "one two three")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    both = lambda c: fp.sketch(F.col(c))
+    rows = df.select("i", fp.match(F.col("a"), F.col("b")).alias("m"), fp.likeness(both("a"), both("b")).alias("near")).orderBy("i").collect()
+    assert [r.m for r in rows] == [slow_match(a, b) for a, b in pairs]
+    assert rows[0].near == 0 and rows[0].m > 0.5  # on both sides of SHORT
+    assert rows[2].m == 0 and rows[5].m == 1
+
+
+def test_op2_matches_every_pair(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    ids = sorted(docs, reverse=True)
+    after = dict(zip(ids, ids[1:] + ids[:1]))
+    rows = op2_closed_syncmers(spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        text, nxt = docs[r.doc_id], docs[after[r.doc_id]]
+        third = len(text) // 3
+        assert (r.match_edited, r.match_next) == (slow_match(text, text[: len(text) - third] + nxt[:third]), slow_match(text, nxt))
+
+
 def test_plan_has_no_python(spark):
     plan = op2_closed_syncmers(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
