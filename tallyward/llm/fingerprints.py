@@ -13,8 +13,10 @@ hashes among the smallest of both (the Jaccard index of the anchors, exact where
 text has no more than that many). Two fingerprints of different units have nothing in common,
 and a short passage that two long texts share may leave no trace in them.
 
-``match`` takes two texts by the same unit (code points if either would be, else words)
-and compares all their anchors.
+``match`` has neither limit: it takes two texts by the same unit (code points if
+either would be, else words), keeps all their anchors, and compares *links*, two anchors
+that follow each other and their distance. Likeness is the share of common links among all
+of both, so one shared passage with two anchors shows in texts of any length.
 
 ``next_document`` gives every row the text of the row with the next smaller id without a
 global sort: ids are cut at quantiles into buckets, a bucket's largest id is dealt to
@@ -105,9 +107,15 @@ def anchors(text: Column) -> Column:
     return _anchors(text, _placed)
 
 
-def _hashes(placed: Column) -> Column:
-    """The different anchor hashes."""
-    return F.array_distinct(F.transform(placed, lambda x: x["hash"]))
+def _links(placed: Column) -> Column:
+    """Different hashes of every two anchors that follow each other with their distance (of a lone anchor itself)."""
+
+    def of(a: Column) -> Column:
+        firsts = F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
+        linked = F.transform(firsts, lambda x, i: F.xxhash64(x["hash"], a[i + 1]["hash"], a[i + 1]["pos"] - x["pos"]))
+        return F.array_distinct(F.when(F.size(a) == 1, F.transform(a, lambda x: F.xxhash64(x["hash"]))).otherwise(linked))
+
+    return _let(placed, of)
 
 
 def _points_taken(text: Column) -> Column:
@@ -115,7 +123,7 @@ def _points_taken(text: Column) -> Column:
 
 
 def match(a: Column, b: Column) -> Column:
-    """Share of common anchors among all of two texts, both taken by the same unit, 0 to 1."""
+    """Share of common links among all links of two texts, both taken by the same unit, 0 to 1."""
 
     def share(p: Column) -> Column:
         def of(common: Column) -> Column:
@@ -124,8 +132,8 @@ def match(a: Column, b: Column) -> Column:
 
         return _let(F.size(F.array_intersect(p["a"], p["b"])), of)
 
-    points = F.struct(*[_hashes(_by_points(t, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
-    words = F.struct(*[_hashes(_of_units(_words(t), WORD_S, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
+    points = F.struct(*[_links(_by_points(t, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
+    words = F.struct(*[_links(_of_units(_words(t), WORD_S, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
     return _let(F.when(_points_taken(a) | _points_taken(b), points).otherwise(words), share)
 
 
@@ -194,7 +202,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Every text and its edited form (the last third replaced by the beginning of the
     next document): doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next (likeness of fingerprints), match_edited,
-    match_next (likeness of all anchors, by one unit)."""
+    match_next (likeness of all anchors by their places)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = next_document(rows.withColumn("sketch", sketch(F.col("text"))), ["text", "sketch"])
     third = F.floor(F.col("n_chars") / 3).cast("int")

@@ -108,12 +108,12 @@ def slow_match(a, b):
     links = []
     for t in (a, b):
         placed = slow_placed(list(t), fp.CHAR_S) if points else slow_placed(split(t), fp.WORD_S)
-        links.append({x for x, _ in placed})
+        links.append({placed[0][0]} if len(placed) == 1 else {(x, y, j - i) for (x, i), (y, j) in zip(placed, placed[1:])})
     every = links[0] | links[1]
     return len(links[0] & links[1]) / len(every) if every else 1.0
 
 
-def test_match_by_one_unit(spark):
+def test_match_by_place_and_by_one_unit(spark):
     rnd = random.Random(6)
     words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
     passage = words(60)
@@ -126,6 +126,7 @@ def test_match_by_one_unit(spark):
     rows = df.select("i", fp.match(F.col("a"), F.col("b")).alias("m"), fp.likeness(both("a"), both("b")).alias("near")).orderBy("i").collect()
     assert [r.m for r in rows] == [slow_match(a, b) for a, b in pairs]
     assert rows[0].near == 0 and rows[0].m > 0.5  # on both sides of SHORT
+    assert rows[1].m > 0.004  # a passage of 60 of 5,000 words
     assert rows[2].m == 0 and rows[5].m == 1
 
 
