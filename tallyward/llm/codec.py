@@ -7,9 +7,11 @@ token's own string in a text becomes its id.
 A text may be cut before a space that follows a visible character: no
 alternative of the pre-token pattern spans such a place and none looks behind,
 so the pieces encode on their own to the ids of the whole. ``Codec`` cuts a batch
-there, finds the pieces by 64-bit hash in a table of ``SLOTS`` entries, and sends
-those it does not know to tiktoken in one call. Texts where a space follows white
-space go to tiktoken whole.
+there, finds the pieces in a table of ``SLOTS`` entries, and sends those it does not know
+to tiktoken in one call. Ids are reused for equal bytes only: an entry holds the bytes of its
+piece in 64-bit words, which are compared; pieces of more than ``PIECE_BYTES`` bytes are not
+kept and meet by their bytes inside a batch. Texts where a space follows white space go to
+tiktoken whole.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import re
 import numpy as np
 import tiktoken
 
-from tallyward.llm.common import Flat, span_hash
+from tallyward.llm.common import Flat, mix
 
 # Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -29,6 +31,12 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SLOTS = 1 << 20
 POOL = 6 << 20
 
+#: Bytes of the longest pieces that the table holds, in words of 8 bytes.
+WORDS = 3
+PIECE_BYTES = 8 * WORDS
+#: The first k bytes of a little-endian word.
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
 #: Bytes after which a space is no safe cut: white space, and the last bytes of white space beyond ASCII.
 _WHITE = np.zeros(256, bool)
 _WHITE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
@@ -51,6 +59,25 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1])) + np.repeat(starts - (ends - counts), counts)
 
 
+def _words(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The first PIECE_BYTES bytes of each span as rows of words, zeros after its end."""
+    padded = np.zeros(len(data) + PIECE_BYTES, np.uint8)
+    padded[: len(data)] = data
+    loads = np.ndarray((len(padded) - 7,), "<u8", buffer=padded, strides=(1,))
+    out = np.empty((len(starts), WORDS), np.uint64)
+    for k in range(WORDS):
+        out[:, k] = loads[starts + 8 * k] & _MASKS[np.clip(sizes - 8 * k, 0, 8)]
+    return out
+
+
+def _keys(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each row of words and its size; never 0, which marks a free place."""
+    key = sizes.astype(np.uint64)
+    for k in range(WORDS):
+        key = mix((key ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15))
+    return key | np.uint64(1 << 63)
+
+
 class Codec:
     _made: dict[str, Codec] = {}
 
@@ -63,7 +90,8 @@ class Codec:
         self.special_bytes = [x.encode() for x in self.special]
         ranks = {token: i for token, i in ranks.items() if i not in self.special.values()}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.hashes = np.zeros(SLOTS, np.uint64)
+        self.words = np.zeros((SLOTS, WORDS), np.uint64)
+        self.sizes = np.zeros(SLOTS, np.int64)  # 0: a free place
         self.places = np.zeros(SLOTS, np.int64)
         self.counts = np.zeros(SLOTS, np.int64)
         self.pool = np.zeros(POOL, "<u2")
@@ -116,11 +144,10 @@ class Codec:
         out[inside] = ids
         return out, counts
 
-    def _keep(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+    def _keep(self, slots: np.ndarray, words: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         """Enter pieces whose place in the table is free, as far as the pool goes."""
-        slots = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
         slots, first = np.unique(slots, return_index=True)
-        free = (self.hashes[slots] == 0) & (counts[first] <= 64)
+        free = (self.sizes[slots] == 0) & (counts[first] <= 64)
         slots, first = slots[free], first[free]
         n = counts[first]
         starts = np.cumsum(counts)[first] - n
@@ -130,7 +157,8 @@ class Codec:
         self.pool[self.used : self.used + total] = ids[_ranges(starts, n)]
         self.places[slots] = self.used + np.cumsum(n) - n
         self.counts[slots] = n
-        self.hashes[slots] = keys[first]
+        self.words[slots] = words[first]
+        self.sizes[slots] = sizes[first]
         self.used += total
 
     def _safe(self, flat: Flat) -> np.ndarray:
@@ -168,21 +196,32 @@ class Codec:
         if not safe.all():
             inside = safe[rows]
             starts, ends, rows = starts[inside], ends[inside], rows[inside]
-        keys = span_hash(data, starts, ends) | np.uint64(1 << 63)  # never 0, which marks a free place
+        sizes = ends - starts
+        short = sizes <= PIECE_BYTES
+        words = _words(data, starts, sizes)
+        keys = _keys(words, sizes)
         slots = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
-        known = self.hashes[slots] == keys
+        known = short & (self.sizes[slots] == sizes) & (self.words[slots] == words).all(axis=1)
         places, counts = self.places[slots], self.counts[slots]
         pool = self.pool[: self.used]
         if not known.all():
-            missing = np.flatnonzero(~known)
-            new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
-            at = missing[first]
+            missing = np.flatnonzero(~known & short)
+            _, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
+            one = missing[first]
+            same = (words[missing] == words[one][which]).all(axis=1) & (sizes[missing] == sizes[one][which])
             raw = data.tobytes()
-            ids, n = self._encode_pieces([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-            places[missing] = (self.used + np.cumsum(n) - n)[which]
-            counts[missing] = n[which]
+            # long pieces, and those whose key another piece has: by their bytes
+            rest = np.concatenate([np.flatnonzero(~short), missing[~same]])
+            own: dict[bytes, int] = {}
+            number = [own.setdefault(raw[a:b], len(own)) for a, b in zip(starts[rest].tolist(), ends[rest].tolist())]
+            pieces = [raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
+            ids, n = self._encode_pieces([*pieces, *own])
+            at = self.used + np.cumsum(n) - n
+            places[missing], counts[missing] = at[which], n[which]
+            which = len(pieces) + np.array(number, np.int64)
+            places[rest], counts[rest] = at[which], n[which]
             pool = np.concatenate([pool, ids])
-            self._keep(new, ids, n)
+            self._keep(slots[one], words[one], sizes[one], ids, n[: len(pieces)])
         out = pool[_ranges(places, counts)]
         sizes = np.bincount(rows, weights=counts, minlength=len(flat)).astype(np.int64)
         if safe.all():

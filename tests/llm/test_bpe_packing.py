@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tallyward.llm import bpe, packing
+from tallyward.llm import codec as codec_module
 from tallyward.llm.codec import Codec
 from tallyward.llm.queries import VOCABULARY, op6_bpe, op7_best_fit_packing
 
@@ -37,6 +38,37 @@ def test_codec_gives_the_ids_of_the_library(library):
         assert Codec.of(VOCABULARY).decode(ids) == library.decode(expected, skip_special_tokens=False)
 
 
+def twins(n):
+    """Two words whose polynomial hashes modulo 2^64 are equal for every odd base."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [8, 16, 24, 512, 1024, 2048])
+@pytest.mark.parametrize("apart", [False, True])
+def test_ids_are_reused_for_equal_bytes_only(library, n, apart):
+    codec, pair = Codec(VOCABULARY), [f"{t} {t}" for t in twins(n)]
+    batches = [[pair[0]], [pair[1]]] if apart else [pair]
+    got = [ids.tolist() for texts in batches for ids in codec.encode_many([t.encode() for t in texts])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in pair]
+
+
+def test_pieces_with_equal_keys_keep_their_own_ids(library, monkeypatch):
+    monkeypatch.setattr(codec_module, "_keys", lambda words, sizes: np.full(len(sizes), np.uint64(5)))
+    codec, texts = Codec(VOCABULARY), ODD + random_texts(200)
+    for _ in range(2):
+        for text, ids in zip(texts, codec.encode_many([t.encode() for t in texts])):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_colliding_words_in_encoding_and_packing(spark, library):
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in enumerate([*twins(1024), *twins(2048)])], SCHEMA)
+    for row in bpe.encode_documents(docs.coalesce(1), VOCABULARY).collect():
+        assert row.decoded in (*twins(1024), *twins(2048)) and row.token_ids == library.encode(row.decoded, add_special_tokens=False).ids
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    check_packing(packing.best_fit_packing(docs.coalesce(1), VOCABULARY).toPandas(), texts, library, 1024)
+
+
 @pytest.mark.parametrize("mean", [3, 40])
 def test_chunk_joins_are_repaired(library, monkeypatch, mean):
     monkeypatch.setattr(bpe, "MEAN_CHUNK", mean)
