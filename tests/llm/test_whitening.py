@@ -1,0 +1,92 @@
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tallyward.llm import whitening as W
+from tallyward.llm.queries import op11_bit_sliced_whitening
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())), T.StructField("n", T.StringType()), T.StructField("dim", T.StringType()), T.StructField("v", T.StringType())])
+
+
+def whole(c):
+    return int(Fraction(float(np.float64(256.0) * np.float64(c))).__floor__())
+
+
+def slow(rows, components=4):
+    """(n, S, covariance) over the distinct vectors, and the integers of each row, by plain loops."""
+    kept = [(i, tuple(map(whole, v))) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    fit = sorted({x for _, x in kept})
+    n, dim = len(fit), len(fit[0])
+    s = [sum(x[j] for x in fit) for j in range(dim)]
+    cov = [[float(Fraction(sum((n * x[i] - s[i]) * (n * x[j] - s[j]) for x in fit), n**3)) for j in range(dim)] for i in range(dim)]
+    return kept, fit, n, s, np.array(cov)
+
+
+def check(got, rows, components=4):
+    kept, fit, n, s, cov = slow(rows)
+    values = np.sort(np.linalg.eigvalsh(cov))[::-1]
+    k = min(components, int((values > values[0] * 1e-12).sum()))
+    assert len(got) == len(kept) * k
+    assert {r.n for r in got} <= {n}
+    dev = {(i, x): sum((n * a - b) ** 2 for a, b in zip(x, s)) for i, x in kept}
+    assert sorted((r.vec_id, int(r.deviation)) for r in got if r.component == 1) == sorted((i, d) for (i, x), d in dev.items() for _ in range(kept.count((i, x))))
+    for c in range(1, k + 1):
+        assert {r.explained for r in got if r.component == c}.pop() == pytest.approx(values[c - 1] / np.trace(cov), rel=1e-9)
+    assert {r.identity_error for r in got}.pop() < 1e-6
+    # one direction of the fit: the whitened rows of the distinct vectors have covariance 1
+    by = {}
+    for r in got:
+        by.setdefault(r.vec_id, [0.0] * k)[r.component - 1] = r.whitened
+    first = {x: by[i] for i, x in kept}
+    white = np.array([first[x] for x in fit])
+    assert np.abs(white.mean(axis=0)).max() < 1e-6
+    assert np.abs(white.T @ white / n - np.eye(k)).max() < 1e-6
+    # components are eigenvectors of falling eigenvalue
+    centred = np.array([[float(Fraction(n * a - b, n)) for a, b in zip(x, s)] for x in fit])
+    axes = centred.T @ white / n  # V q / sqrt(e) = sqrt(e) q
+    assert np.allclose(cov @ axes, axes * values[:k], rtol=1e-6, atol=1e-6 * values[0])
+
+
+@pytest.mark.parametrize("dim,top", [(1, 1.0), (5, 1.0), (70, 0.2), (6, 1e6), (4, 1e13)])
+def test_rows_are_those_of_plain_integer_loops(spark, dim, top):
+    rnd = random.Random(dim)
+    rows = [(i, [rnd.gauss(0.3, 1) * top for _ in range(dim)]) for i in range(60)]
+    rows += [(100 + i, list(rows[0][1])) for i in range(40)]
+    rows += [(200, None), (201, [None] * dim), (202, [float("nan")] * dim), (203, [float("inf")] * dim)]
+    frame = spark.createDataFrame([(*r, "a", "b", "c") for r in rows], SCHEMA).repartition(5)
+    check(W.whiten_embeddings(frame).collect(), rows)
+
+
+def test_scatter_equals_integer_products():
+    rng = np.random.default_rng(1)
+    for low, high, n in ((-200, 200, 130), (0, 2, 64), (-(2**62), 2**62, 9), (-(2**63), 2**63 - 1, 4), (5, 6, 7)):
+        x = rng.integers(low, high, (n, 7), endpoint=False)
+        s, xx = W.scatter(x)
+        o = x.astype(object)
+        assert (s == o.sum(axis=0)).all() and (xx == o.T @ o).all()
+
+
+def test_packed_vectors_come_back():
+    x = np.array([[1, -2, 3], [40_000, 0, 1], [-(2**63), 2**63 - 1, 0]])
+    back = [row.tolist() for keys in W.packed(x) for part in W.unpacked(keys) for row in part]
+    assert sorted(back) == sorted(x.tolist())
+
+
+def test_odd_rows(spark):
+    rows = [(None, [0.5, 1.0]), (1, [0.5, 1.0]), (1, [2.0, -1.0]), (2, []), (3, [1.0]), (4, [3.0]), (5, [1e308, 0.0]), (6, [-1e308, 0.0])]
+    got = W.whiten_embeddings(spark.createDataFrame([(*r, "", "", "") for r in rows], SCHEMA)).collect()
+    assert sorted({r.vec_id for r in got if r.vec_id is not None}) == [1, 3, 4, 5, 6] and any(r.vec_id is None for r in got)
+    assert {r.component for r in got if r.vec_id in (3, 4)} == {1}
+    same = spark.createDataFrame([(i, [1.0, 2.0], "", "", "") for i in range(5)], SCHEMA)
+    assert W.whiten_embeddings(same).collect() == []
+    assert W.whiten_embeddings(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_query(spark):
+    got = op11_bit_sliced_whitening(spark, SF)
+    assert dict(got.dtypes) | {"deviation": "bigint"} == dict(got.dtypes)
+    check(got.collect(), [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()])
