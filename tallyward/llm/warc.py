@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import written
 from tallyward.session import fresh_dir
 
-#: Records that the dictionary is built from, at most, and the longest payload among them.
+#: About how many records the dictionary is built from, and the longest payload among them.
 SAMPLE_RECORDS = 1024
 SAMPLE_BYTES = 16 << 10
 DICTIONARY_BYTES = 32 << 10
@@ -213,11 +213,22 @@ def with_first(rows: DataFrame, least_bytes: int) -> DataFrame:
 
 
 def sample_dictionary(rows: DataFrame, least_bytes: int, date: str) -> bytes:
-    """A dictionary from at most SAMPLE_RECORDS records, those with the smallest hash, whose
-    payloads have at most SAMPLE_BYTES bytes (16 MB in all); a payload counts once."""
-    short = rows.where(F.col("size") <= SAMPLE_BYTES).orderBy(F.xxhash64("digest", "page_id", "url")).limit(SAMPLE_RECORDS)
-    found = {r["digest"]: r for r in short.collect()}
-    return build_dictionary([page_record(r["page_id"], r["url"], bytes(r["payload"]), r["size"], r["digest"], None, r["size"] >= least_bytes, date) for r in found.values()])
+    """A dictionary from about SAMPLE_RECORDS records, at most twice as many (32 MB), whose payloads have
+    at most SAMPLE_BYTES bytes: the payloads whose digest is under a share of all digests that
+    follows from the number of rows. A payload counts once, and where most are copies the share grows."""
+    n = max(1, rows.count())
+    share = SAMPLE_RECORDS / n
+    while True:
+        # the first 13 hexadecimal digits of a digest as a number under 1
+        under = F.conv(F.substring("digest", 1, 13), 16, 10).cast("double") / float(16**13) < share
+        short = rows.where((F.col("size") <= SAMPLE_BYTES) & under)
+        one = short.groupBy("digest").agg(F.first(F.struct("page_id", "url", "payload", "size")).alias("page"))
+        found = [r["page"] for r in one.limit(2 * SAMPLE_RECORDS).collect()]
+        if len(found) >= SAMPLE_RECORDS // 8 or share >= 1:
+            break
+        share *= 8
+    made = [(p["page_id"], p["url"], bytes(p["payload"]), p["size"]) for p in found]
+    return build_dictionary([page_record(*page, hashlib.sha256(page[2]).hexdigest(), None, page[3] >= least_bytes, date) for page in sorted(made, key=str)])
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 100, date: str = _DATE, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html") -> None:
