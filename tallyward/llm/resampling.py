@@ -151,8 +151,10 @@ def _fixed(key: tuple[int, bool, int, int]) -> Column:
     return F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).alias("b"), F.lit(c).cast("long").alias("c"), F.lit(d).cast("long").alias("d"))
 
 
-def kth_key(keys: DataFrame, k: int, pivots: int = PIVOTS) -> tuple[int, bool, int, int]:
-    """The k-th (from 1) of the distinct keys in column ``key`` of a written table with at least k rows."""
+def kth_key(keys: DataFrame, n: int, k: int, pivots: int = PIVOTS) -> tuple[int, bool, int, int]:
+    """The k-th (from 1) of the n distinct keys in column ``key`` of a written table."""
+    if not 1 <= k <= n:
+        raise ValueError(f"there is no key {k} of {n}")
     inside, left, turn = keys, k, 0
     low = high = None
     while True:
@@ -160,7 +162,10 @@ def kth_key(keys: DataFrame, k: int, pivots: int = PIVOTS) -> tuple[int, bool, i
             inside = keys.where(F.col("key") > _fixed(low))
         if high is not None:
             inside = (inside if low is not None else keys).where(F.col("key") < _fixed(high))
-        drawn = inside.orderBy(F.xxhash64(F.lit(turn), F.col("key.d")), "key.d").limit(pivots).collect()
+        # about 4 x pivots rows by hash, so that a task sends its few and not its best ``pivots``
+        luck = F.pmod(F.xxhash64(F.lit(turn), F.col("key.d")), F.lit(1 << 31))
+        turn += 1
+        drawn = inside.where(luck <= int((1 << 31) * min(1.0, 4 * pivots / n))).orderBy(luck, "key.d").limit(pivots).collect()
         chosen = sorted(tuple(row["key"]) for row in drawn)
         # 2i: between pivots i - 1 and i; 2i + 1: at pivot i
         place = sum(((F.col("key") >= _fixed(p)).cast("int") + (F.col("key") > _fixed(p)).cast("int") for p in chosen), F.lit(0))
@@ -169,13 +174,11 @@ def kth_key(keys: DataFrame, k: int, pivots: int = PIVOTS) -> tuple[int, bool, i
             if left <= counts.get(at, 0):
                 break
             left -= counts.get(at, 0)
-        else:
-            raise ValueError(f"fewer than {k} keys")
         if at % 2:
             return chosen[at // 2]
         low = chosen[at // 2 - 1] if at else low
         high = chosen[at // 2] if at // 2 < len(chosen) else high
-        turn += 1
+        n = counts[at]
 
 
 def ranked(winners: DataFrame) -> DataFrame:
@@ -199,12 +202,13 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 10, least_words:
     scored = score_documents(docs, gains, runs, seed).withColumn("row", F.monotonically_increasing_id())
     scored = written(scored, "scored").withColumn("key", _key())
     able = F.col("n_words") >= least_words
-    k = percent * scored.where(able).count() // 100
+    n = scored.where(able).count()
+    k = percent * n // 100
     out = ["doc_id", "n_features", "weight", "score"]
     unranked = F.lit(None).cast("long").alias("rank")
     if not k:
         return scored.select(*out, unranked)
-    last = _fixed(kth_key(scored.where(able).select("key"), k))
+    last = _fixed(kth_key(scored.where(able).select("key"), n, k))
     drawn = able & (F.col("key") <= last)
     return ranked(scored.where(drawn)).select(*out, "rank").union(scored.where(~drawn).select(*out, unranked))
 

@@ -73,9 +73,9 @@ def test_kth_key_by_few_pivots(spark, n, distinct):
     frame = spark.createDataFrame(rows, "score long, doc_id long, row long").select(R._key().alias("key"))
     expected = sorted((-s, d is None, d or 0, i) for s, d, i in rows)
     for k in {1, n // 3 + 1, n}:
-        assert R.kth_key(frame, k, pivots=2) == expected[k - 1]
+        assert R.kth_key(frame, n, k, pivots=2) == expected[k - 1]
     with pytest.raises(ValueError):
-        R.kth_key(frame, n + 1, pivots=2)
+        R.kth_key(frame, n, n + 1, pivots=2)
 
 
 def test_ranks_follow_the_ranges(spark):
