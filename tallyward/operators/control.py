@@ -64,6 +64,22 @@ def watermarks_for(specs: DataFrame, audit: DataFrame) -> DataFrame:
     )
 
 
+def specs_with_marks(specs: DataFrame, marks: DataFrame) -> DataFrame:
+    """C2 over the audit log's marks: the distinct loads of load specs, each with its high-water
+    mark, the table's last batch, and how many specs ask for it (``copies``)."""
+    loads = specs.groupBy("datasource", "tablename", "loadtype", "watermark").agg(F.count("*").alias("copies"))
+    joined = loads.join(marks, (loads["datasource"] == marks["data_source"]) & (loads["tablename"] == marks["tablename"]), "left")
+    return joined.select(
+        loads["datasource"],
+        loads["tablename"],
+        loads["loadtype"],
+        loads["watermark"].alias("watermark_column"),
+        F.coalesce(marks["latest_timestamp"], F.lit(DEFAULT_WATERMARK).cast("timestamp")).alias("last_watermark"),
+        marks["landed"]["batch"].alias("batch"),
+        "copies",
+    )
+
+
 def normalise_load_type(load_type: str) -> str:
     kind = (load_type or "").strip().lower()
     if kind not in (FULL, INCREMENTAL):

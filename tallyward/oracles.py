@@ -415,6 +415,29 @@ def _gold_by_name_sql() -> str:
     )
 
 
+def _spend_sql() -> str:
+    """The three forms that a table takes in turn."""
+    return with_ctes(
+        "\nUNION ALL ".join(
+            f"SELECT CAST({i} AS INTEGER) AS rewrite, {key} AS k, count(*) AS n, {money_sql('amount')} AS amount FROM facts GROUP BY {key}"
+            for i, key in enumerate(("deptid", "payorid", "procedurecode"))
+        ),
+        {**FIXTURE_CTES, "facts": "SELECT deptid, payorid, procedurecode, amount FROM a_transactions UNION ALL SELECT deptid, payorid, procedurecode, amount FROM b_transactions"},
+    )
+
+
+def _bronze_names_sql() -> str:
+    """The last batch of each table after two landing runs: full tables whole, others their delta."""
+    keys = {"departments": "deptid", "encounters": "encounterid", "patients": "patientid", "providers": "providerid", "transactions": "transactionid"}
+    own = lambda h, t: "id" if (h, t) == ("b", "patients") else keys[t]
+    delta = "WHERE modifieddate > epoch_ms(TIMESTAMP '1995-06-30 00:00:00')"
+    return "\nUNION ALL ".join(
+        f"SELECT 'hospital_{h}_{t}' AS tablename, {own(h, t)} AS source_key, '30092024' AS load_date FROM {h}_{t} {'' if t in ('departments', 'providers') else delta}"
+        for h, _ in SOURCES
+        for t in ENTITIES
+    )
+
+
 def io_sql() -> dict[str, str]:
     fixtures_only = lambda body: with_ctes(body, FIXTURE_CTES)
     control = lambda body: with_ctes(body, _CONTROL_CTES)
@@ -493,4 +516,12 @@ def io_sql() -> dict[str, str]:
         "refresh_retry": silver_sql("fact_transactions"),
         "refresh_all_batches": medallion_sql(GOLD_SQL["gold_charge_by_provider_dept"]),
         "gold_tables_by_name": _gold_by_name_sql(),
+        "names_follow_rewrites": _spend_sql(),
+        "snapshot_reads": _spend_sql(),
+        "bronze_tables_by_name": fixtures_only(_bronze_names_sql()),
+        "audit_marks": control(
+            """SELECT data_source, tablename, max(load_timestamp) AS latest_timestamp, count(*) AS loads,
+                   CAST(sum(record_count) AS BIGINT) AS record_count FROM audit_log GROUP BY 1, 2"""
+        ),
+        "refresh_exclusive": fixtures_only(f"SELECT data_source, tablename, CAST(1 AS BIGINT) AS loads, record_count, load_timestamp FROM ({landing_counts}) AS landed"),
     }

@@ -29,6 +29,7 @@ from tallyward.sinks.logs import (
     append_audit,
     append_event_log,
     read_audit,
+    read_event_log,
     read_event_log_json,
     write_event_log_json,
 )
@@ -141,10 +142,9 @@ def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _logged_run(spark: SparkSession, sf_dir: str, label: str):
     """Landing runs of both hospitals over the load-control table of ``supplier``: its tables
-    are unreadable but for ``encounters``. The clock moves a second with every event."""
+    are unreadable but for ``encounters``. Each event of the log is a second after the one before."""
     lake = _lake(spark, label)
-    ticks = iter(range(1 << 40))
-    log = EventLog(clock=lambda: RUN_TS + dt.timedelta(seconds=next(ticks)))
+    log = EventLog(clock=lambda: RUN_TS, tick=dt.timedelta(seconds=1))
     config = fixtures.load_config_rows(spark, sf_dir)
     for h in HOSPITALS:
         land_hospital(spark, h, FixtureSource(spark, sf_dir, h), config, lake, RUN_TS, log)
@@ -156,7 +156,7 @@ def event_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, log = _logged_run(spark, sf_dir, "events-table")
     path = lake.path("control", "pipeline_logs")
     append_event_log(spark, log, path)
-    return spark.read.parquet(path).select("timestamp", "event_type", "message", "table")
+    return read_event_log(spark, path)
 
 
 def event_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:

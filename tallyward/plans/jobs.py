@@ -10,7 +10,8 @@
 Database options (user, password, driver, fetchsize, ...) come from the caller as
 ``--jdbc-option key=value``; nothing is stored in code. ``--jdbc-split table=column:n`` reads
 a table as n range queries. ``--sf-dir`` replaces the databases by the parquet test
-tables (tests and local runs). A job whose tables did not all load ends with an error.
+tables (tests and local runs). A job whose tables did not all load ends with an error, and so
+does one whose claim another run holds.
 """
 
 from __future__ import annotations
@@ -26,13 +27,14 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from tallyward.plans.landing_job import FixtureSource, land_hospital  # noqa: E402
+from tallyward.plans.claims import Claim  # noqa: E402
+from tallyward.plans.landing_job import WORKERS, FixtureSource, land_hospital  # noqa: E402
 from tallyward.plans.refresh import LoadFailed, as_of_text, build_bronze, build_gold_tables, build_silver_tables, refresh  # noqa: E402
 from tallyward.session import apply_pipeline_conf  # noqa: E402
-from tallyward.sinks.logs import EventLog, append_event_log, utc, utc_now, write_event_log_json  # noqa: E402
+from tallyward.sinks.logs import EventLog, append_event_log, utc, write_event_log_json  # noqa: E402
 from tallyward.sources.files import read_load_config  # noqa: E402
 from tallyward.sources.jdbc import JdbcConnection, JdbcSource  # noqa: E402
-from tallyward.sources.tables import Lake, new_id  # noqa: E402
+from tallyward.sources.tables import Lake, new_id, utc_now  # noqa: E402
 from tallyward.specs import HOSPITALS, MSG_CONFIG_READ  # noqa: E402
 
 
@@ -82,6 +84,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--run-ts", help="run clock, ISO format (default: now)")
         if name in ("land", "refresh"):
             s.add_argument("--config", required=True, help="load-control CSV")
+            s.add_argument("--workers", type=int, default=WORKERS, help="loads that run at once")
             s.add_argument("--sf-dir", help="use the parquet test tables instead of databases")
             s.add_argument("--jdbc-option", action="append", help="key=value passed to the JDBC reader")
             s.add_argument("--jdbc-split", action="append", help="table=column:n, read as n range queries")
@@ -106,12 +109,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     as_of = as_of_text(run_ts)
     counts = lambda rows: {"counts": [{"layer": layer, "table": t, "rows": n} for layer, t, n in rows]}
 
-    if args.job == "bronze":
-        return {t: n for _, t, n in build_bronze(spark, lake, args.claims, args.cptcodes, as_of)}
-    if args.job == "silver":
-        return counts(build_silver_tables(spark, lake, as_of, scope=args.scope))
-    if args.job == "gold":
-        return counts(build_gold_tables(spark, lake, as_of))
+    if args.job in ("bronze", "silver", "gold"):
+        with Claim(spark, lake, "refresh") as claim:  # not while a refresh writes the same tables
+            if args.job == "bronze":
+                return {t: n for _, t, n in build_bronze(spark, lake, args.claims, args.cptcodes, as_of, claim.check)}
+            if args.job == "silver":
+                return counts(build_silver_tables(spark, lake, as_of, scope=args.scope, check=claim.check))
+            return counts(build_gold_tables(spark, lake, as_of, claim.check))
 
     log = EventLog()
     config = read_load_config(spark, args.config)
@@ -119,7 +123,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.job == "land":
         h = _hospital(args.hospital)
         try:
-            rows = land_hospital(spark, h, _source(spark, args, h, args.jdbc_url), config, lake, run_ts, log)
+            rows = land_hospital(spark, h, _source(spark, args, h, args.jdbc_url), config, lake, run_ts, log, workers=args.workers)
         finally:
             append_event_log(spark, log, lake.path("control", "pipeline_logs"))
             write_event_log_json(spark, log, f"{lake.root}/logs", new_id())
@@ -129,7 +133,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     urls = _options(args.jdbc_url_for)
     sources = {h.name: _source(spark, args, h, urls.get(h.name)) for h in HOSPITALS}
-    result = refresh(spark, lake, sources, config, args.claims, args.cptcodes, run_ts, log=log, scope=args.scope)
+    result = refresh(spark, lake, sources, config, args.claims, args.cptcodes, run_ts, log=log, scope=args.scope, workers=args.workers)
     return counts(result.counts)
 
 

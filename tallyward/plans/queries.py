@@ -66,5 +66,6 @@ GOLD_QUERIES: dict[str, Query] = {
 
 def all_queries() -> dict[str, Query]:
     from tallyward.plans.io_queries import IO_QUERIES
+    from tallyward.plans.lake_queries import LAKE_QUERIES
 
-    return {**SILVER_QUERIES, **GOLD_QUERIES, **IO_QUERIES}
+    return {**SILVER_QUERIES, **GOLD_QUERIES, **IO_QUERIES, **LAKE_QUERIES}

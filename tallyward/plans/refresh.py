@@ -10,13 +10,17 @@ delta would be lost), the others are, and the layers are built from the cycle's
 any load fails the refresh ends with ``LoadFailed`` before bronze, so silver and
 gold keep what they had. ``build_bronze``, ``build_silver_tables`` and ``build_gold_tables``
 also run on their own, over the current batches.
+
+Of calls that overlap one runs, the others end with ``ClaimHeld``: a refresh holds a claim on the
+lake (``claims.py``), which carries the cycle. A dead run's claim ends by its time, and the next call
+continues its cycle; should the dead one wake, its next check ends it before it writes.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +30,12 @@ from tallyward.operators.gold import GOLD_TABLES
 from tallyward.operators.layers import SILVER_TABLES, SilverLayer
 from tallyward.operators.silver import build_silver
 from tallyward.plans.bronze_job import load_claims, load_cptcodes
-from tallyward.plans.landing_job import Source, land_hospital, read_current
-from tallyward.schemas import CYCLES
+from tallyward.plans.claims import Claim
+from tallyward.plans.landing_job import WORKERS, Source, current_batches, land, name_batch, read_current
 from tallyward.sinks.logs import EventLog, append_event_log, utc, write_event_log_json
 from tallyward.sources.files import bronze_from_landing
-from tallyward.sources.tables import Lake, new_id, path_exists
-from tallyward.specs import ENTITIES, HOSPITALS, Hospital, hospital_by_database
+from tallyward.sources.tables import Lake, new_id
+from tallyward.specs import ENTITIES, HOSPITALS, Hospital
 
 COUNTS_SCHEMA = T.StructType(
     [
@@ -97,43 +101,44 @@ def read_silver(spark: SparkSession, lake: Lake) -> SilverLayer:
 # --- the cycle ----------------------------------------------------------------
 
 
-def _cycle_path(lake: Lake) -> str:
-    return lake.path("control", "cycles")
+def open_cycle(claim: Claim) -> tuple[str, bool]:
+    """The cycle that was begun and not finished, or a new one; whether it is continued."""
+    if claim.facts.get("state") == "begun":
+        return claim.facts["cycle"], True
+    claim.note(cycle=new_id(), state="begun")
+    return claim.facts["cycle"], False
 
 
-def _note_cycle(spark: SparkSession, lake: Lake, cycle: str, state: str, at: dt.datetime) -> None:
-    spark.createDataFrame([(cycle, state, utc(at))], CYCLES).write.mode("append").parquet(_cycle_path(lake))
+def landed_counts(spark: SparkSession, lake: Lake, cycle: str, hospitals: Sequence[Hospital]) -> list[tuple[str, str, int]]:
+    """Rows of the tables that have landed in a cycle, in whichever of its calls."""
+    names = {h.database: h.name for h in hospitals}
+    found = [(names[db], table, c.rows) for (db, table), c in current_batches(spark, lake).items() if db in names and c.batch.startswith(cycle)]
+    return [("landing", f"{name}/{table}", n) for name, table, n in sorted(found)]
 
 
-def open_cycle(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> tuple[str, bool]:
-    """The cycle that was begun and not finished, or a new one; whether it is continued."""
-    if path_exists(spark, _cycle_path(lake)):
-        rows = spark.read.schema(CYCLES).parquet(_cycle_path(lake)).collect()  # two rows a refresh
-        finished = {r["cycle"] for r in rows if r["state"] == "finished"}
-        open_ = sorted(r["cycle"] for r in rows if r["cycle"] not in finished)
-        if open_:
-            return open_[-1], True
-    cycle = new_id()
-    _note_cycle(spark, lake, cycle, "begun", run_ts)
-    return cycle, False
+def _unchecked() -> None:
+    pass
 
 
 # --- the layers, each on its own ----------------------------------------------
 
 
-def build_bronze(spark: SparkSession, lake: Lake, claims_glob: str, cpt_path: str, as_of: str) -> list[tuple[str, str, int]]:
-    """Claims and procedure codes from their files."""
-    return [
-        ("bronze", "claims", load_claims(spark, claims_glob, lake, as_of)),
-        ("bronze", "cptcodes", load_cptcodes(spark, cpt_path, lake, as_of)),
-    ]
+def build_bronze(
+    spark: SparkSession, lake: Lake, claims_glob: str, cpt_path: str, as_of: str, check: Callable[[], None] = _unchecked
+) -> list[tuple[str, str, int]]:
+    """Claims and procedure codes from their files. ``check`` is called before each table, here and below."""
+    out = []
+    for name, load, path in (("claims", load_claims, claims_glob), ("cptcodes", load_cptcodes, cpt_path)):
+        check()
+        out.append(("bronze", name, load(spark, path, lake, as_of)))
+    return out
 
 
 def read_bronze(spark: SparkSession, lake: Lake, hospitals: Sequence[Hospital] = HOSPITALS, scope: str = "latest"):
     return bronze_from_landing(
         spark,
         lake.landing,
-        read_current(spark, lake),
+        {k: [(c.batch, c.kind)] for k, c in current_batches(spark, lake).items()} if scope == "latest" else read_current(spark, lake),
         claims=lambda: lake.read(spark, "bronze", "claims"),
         cptcodes=lambda: lake.read(spark, "bronze", "cptcodes"),
         hospitals=hospitals,
@@ -142,26 +147,41 @@ def read_bronze(spark: SparkSession, lake: Lake, hospitals: Sequence[Hospital] =
 
 
 def build_silver_tables(
-    spark: SparkSession, lake: Lake, as_of: str, hospitals: Sequence[Hospital] = HOSPITALS, scope: str = "latest"
+    spark: SparkSession,
+    lake: Lake,
+    as_of: str,
+    hospitals: Sequence[Hospital] = HOSPITALS,
+    scope: str = "latest",
+    check: Callable[[], None] = _unchecked,
 ) -> list[tuple[str, str, int]]:
     """Conformed tables over the current landing batches and bronze tables."""
     silver = build_silver(read_bronze(spark, lake, hospitals, scope), as_of)
-    return [("silver", name, lake.overwrite(df, "silver", name)) for name, df in silver.tables().items()]
+    out = []
+    for name, df in silver.tables().items():
+        check()
+        out.append(("silver", name, lake.overwrite(df, "silver", name)))
+    return out
 
 
-def build_gold_tables(spark: SparkSession, lake: Lake, as_of: str) -> list[tuple[str, str, int]]:
+def build_gold_tables(spark: SparkSession, lake: Lake, as_of: str, check: Callable[[], None] = _unchecked) -> list[tuple[str, str, int]]:
     """KPI tables over the written silver tables."""
     written = read_silver(spark, lake)
-    return [("gold", name, lake.overwrite(fn(written, as_of), "gold", name)) for name, fn in GOLD_TABLES.items()]
+    out = []
+    for name, fn in GOLD_TABLES.items():
+        check()
+        out.append(("gold", name, lake.overwrite(fn(written, as_of), "gold", name)))
+    return out
 
 
 def register_tables(spark: SparkSession, lake: Lake, hospitals: Sequence[Hospital] = HOSPITALS) -> None:
-    """Name the lake's tables in the session catalog: ``bronze.<database>_<entity>`` (the
-    current landing batches in place), ``bronze.claims`` and ``cptcodes``, silver and gold."""
-    bronze = read_bronze(spark, lake, hospitals)
+    """Name the lake's tables in a session catalog that has not seen their writes (each write
+    names its own): ``bronze.<database>_<entity>`` (the current landing batches in place),
+    ``bronze.claims`` and ``cptcodes``, silver and gold. Catalog calls only."""
+    current = current_batches(spark, lake)
     for h in hospitals:
         for entity in ENTITIES:
-            lake.register(spark, "bronze", f"{h.database.removesuffix('_db')}_{entity}", bronze.frames[(h.name, entity)])
+            last = current.get((h.database, entity))
+            name_batch(spark, lake, h, entity, last.batch if last else None, last.load_date if last else None)
     for layer, names in (("bronze", ("claims", "cptcodes")), ("silver", SILVER_TABLES.values()), ("gold", GOLD_TABLES)):
         for name in names:
             lake.register(spark, layer, name)
@@ -178,6 +198,7 @@ def refresh(
     hospitals: Sequence[Hospital] = HOSPITALS,
     log: EventLog | None = None,
     scope: str = "latest",
+    workers: int = WORKERS,
 ) -> RefreshResult:
     """Run one refresh at ``run_ts`` (naive: UTC), or continue an unfinished one.
     ``scope="latest"`` (the pipeline's semantics) builds silver from the latest landing
@@ -188,38 +209,35 @@ def refresh(
     result = RefreshResult(log=log)
 
     try:
-        clock = time.perf_counter()
-
-        def lap(layer: str) -> None:
-            nonlocal clock
-            now = time.perf_counter()
-            result.seconds[layer] = round(now - clock, 3)
-            clock = now
-
-        cycle, continued = open_cycle(spark, lake, run_ts)
-        if continued:
-            log.log("INFO", f"Continuing the unfinished refresh {cycle}")
-
-        # landing: one job per hospital (extract, write, audit)
-        failed: dict[str, str] = {}
-        for h in hospitals:
-            landed = land_hospital(spark, h, sources[h.name], config, lake, run_ts, log, run_id=cycle)
+        with Claim(spark, lake, "refresh") as claim:
+            clock = time.perf_counter()
+
+            def lap(layer: str) -> None:
+                nonlocal clock
+                now = time.perf_counter()
+                result.seconds[layer] = round(now - clock, 3)
+                clock = now
+
+            cycle, continued = open_cycle(claim)
+            if continued:
+                log.log("INFO", f"Continuing the unfinished refresh {cycle}")
+
+            # landing: the loads of all hospitals (extract, write, audit), several at once
+            landed = land(spark, hospitals, sources, config, lake, run_ts, log, cycle, workers, claim.check)
             result.audit_rows += landed
-            failed |= {f"{h.name}/{table}": error for table, error in landed.failed.items()}
-        if failed:
-            raise LoadFailed("; ".join(f"{k}: {v}" for k, v in failed.items()))
-        for row in result.audit_rows:
-            result.counts.append(("landing", f"{hospital_by_database(row[0]).name}/{row[1]}", row[3]))
-        lap("landing")
-
-        result.counts += build_bronze(spark, lake, claims_glob, cpt_path, as_of)
-        lap("bronze")
-        result.counts += build_silver_tables(spark, lake, as_of, hospitals, scope)
-        lap("silver")
-        result.counts += build_gold_tables(spark, lake, as_of)
-        lap("gold")
-        _note_cycle(spark, lake, cycle, "finished", run_ts)
-        log.log("SUCCESS", "Medallion refresh finished")
+            if landed.errors:
+                raise LoadFailed("; ".join(f"{hospital}/{table}: {error}" for (hospital, table), error in landed.errors.items()))
+            result.counts += landed_counts(spark, lake, cycle, hospitals)
+            lap("landing")
+
+            result.counts += build_bronze(spark, lake, claims_glob, cpt_path, as_of, claim.check)
+            lap("bronze")
+            result.counts += build_silver_tables(spark, lake, as_of, hospitals, scope, claim.check)
+            lap("silver")
+            result.counts += build_gold_tables(spark, lake, as_of, claim.check)
+            lap("gold")
+            claim.note(state="finished")
+            log.log("SUCCESS", "Medallion refresh finished")
     except Exception as exc:
         log.log("ERROR", f"Medallion refresh failed: {type(exc).__name__}: {exc}")
         raise

@@ -85,7 +85,12 @@ AUDIT_LOG = _struct(
     ("load_timestamp", TS), ("status", S), ("batch", S),
 )
 
-# Refreshes that were begun and finished.
-CYCLES = _struct(("cycle", S), ("state", S), ("at", TS))
+# What later runs need of the audit log, one row a table: the mark, and the last batch.
+MARKS = T.StructType(
+    [
+        *_struct(("data_source", S), ("tablename", S), ("latest_timestamp", TS)).fields,
+        T.StructField("landed", _struct(("load_timestamp", TS), ("batch", S), ("kind", S), ("record_count", L)), True),
+    ]
+)
 
 EVENT_LOG = _struct(("timestamp", S), ("event_type", S), ("message", S), ("table", S))

@@ -31,7 +31,7 @@ def write_landing(df: DataFrame, table_dir: str, batch: str, load_date: str) ->
     The count is observed during the write itself (no second scan of the source,
     so the audited count is the count of what was written).
     """
-    seen = Observation("landing_write")
+    seen = Observation()  # loads write at the same time
     out = landing_form(df).withColumn(LOAD_DATE, F.lit(load_date)).observe(seen, F.count(F.lit(1)).alias("rows"))
     (
         out.write.mode("overwrite")

@@ -23,3 +23,12 @@ def test_every_query_of_the_medallion_has_an_oracle():
     assert set(all_queries()) - set(all_oracles()) == NO_ORACLE
     assert set(all_queries()) <= set(qs)
     assert set(sqls) <= set(qs)
+
+
+def test_every_test_file_has_a_name_of_its_own():
+    """Two files of one name in different folders are not collected together."""
+    import collections
+    import pathlib
+
+    names = collections.Counter(p.name for p in pathlib.Path(__file__).parent.rglob("*.py"))
+    assert max(names.values()) == 1, [n for n, k in names.items() if k > 1]

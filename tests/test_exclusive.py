@@ -1,0 +1,336 @@
+"""Exclusive jobs, concurrent landing, and logs that several runs append to."""
+
+import datetime as dt
+import threading
+import time
+
+import pytest
+
+from tallyward import fixtures
+from tallyward.plans import claims as claims_module
+from tallyward.plans.claims import Claim, ClaimHeld, ClaimLost
+from tallyward.plans.landing_job import FixtureSource, Source, current_batches, land, land_hospital, read_current
+from tallyward.plans.refresh import LoadFailed, default_load_config, refresh
+from tallyward.schemas import AUDIT_LOG, LOAD_CONFIG
+from tallyward.sinks import logs
+from tallyward.sinks.logs import AuditLog, EventLog, audit_frame, append_event_log, marks_of, read_audit, read_event_log
+from tallyward.sources.files import read_load_config
+from tallyward.sources.tables import Lake, micros
+from tallyward.specs import HOSPITAL_A, HOSPITALS
+
+from conftest import SF_SMALL
+
+DAY = dt.datetime(2024, 6, 30, tzinfo=dt.timezone.utc)
+
+
+# --- claims ---
+
+
+class Clock:
+    def __init__(self):
+        self.at = DAY
+
+    def __call__(self):
+        return self.at
+
+
+def test_one_of_many_takers_holds_the_claim(spark, scratch):
+    lake, got, refused = Lake(scratch), [], []
+
+    def take():
+        try:
+            got.append(Claim(spark, lake, "job").take())
+        except ClaimHeld as exc:
+            refused.append(str(exc))
+
+    threads = [threading.Thread(target=take) for _ in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(got) == 1 and len(refused) == 7
+    assert all(got[0].owner in text and "job is running" in text for text in refused)
+
+
+def test_a_released_claim_is_free_and_keeps_its_facts(spark, scratch):
+    lake = Lake(scratch)
+    with Claim(spark, lake, "job") as claim:
+        claim.note(cycle="c1", state="begun")
+    with pytest.raises(ZeroDivisionError), Claim(spark, lake, "job") as claim:
+        assert claim.facts == {"cycle": "c1", "state": "begun"}
+        raise ZeroDivisionError
+    assert Claim(spark, lake, "job").take().facts["cycle"] == "c1"
+
+
+def test_a_dead_holder_is_replaced_and_learns_of_it(spark, scratch):
+    lake, clock = Lake(scratch), Clock()
+    dead = Claim(spark, lake, "job", clock=clock).take()
+    clock.at += claims_module.LIFETIME - dt.timedelta(minutes=1)
+    with pytest.raises(ClaimHeld):
+        Claim(spark, lake, "job", clock=clock).take()
+    clock.at += dt.timedelta(minutes=2)
+    second = Claim(spark, lake, "job", clock=clock).take()
+    for step in (dead.check, lambda: dead.note(x=1)):
+        with pytest.raises(ClaimLost):
+            step()
+    dead.release()  # does not end the other's claim
+    second.check()
+    with pytest.raises(ClaimHeld):
+        Claim(spark, lake, "job", clock=clock).take()
+
+
+def test_a_check_renews(spark, scratch):
+    lake, clock = Lake(scratch), Clock()
+    claim = Claim(spark, lake, "job", clock=clock).take()
+    for _ in range(5):
+        clock.at += claims_module.LIFETIME * 0.6
+        claim.check()
+    with pytest.raises(ClaimHeld):
+        Claim(spark, lake, "job", clock=clock).take()
+
+
+# --- refreshes that overlap ---
+
+
+def _inputs(spark, scratch):
+    claims = fixtures.stage_claim_files(spark, SF_SMALL, f"{scratch}/drops/claims")
+    cpt = fixtures.stage_cpt_file(spark, SF_SMALL, f"{scratch}/drops/cpt.csv")
+    cfg = fixtures.stage_load_config(spark, SF_SMALL, f"{scratch}/configs/load_config.csv", default_load_config(spark))
+    return read_load_config(spark, cfg), claims, cpt
+
+
+def test_of_two_refreshes_at_once_one_lands(spark, scratch):
+    lake = Lake(f"{scratch}/lake")
+    rest = _inputs(spark, scratch)
+    ready, ended, results = threading.Event(), threading.Event(), {}
+
+    class Slow(FixtureSource):
+        def batch(self, *args):
+            ready.set()
+            ended.wait(120)  # until the other call is over
+            return super().batch(*args)
+
+    def first():
+        results["first"] = refresh(spark, lake, {h.name: Slow(spark, SF_SMALL, h) for h in HOSPITALS}, *rest, DAY)
+
+    thread = threading.Thread(target=first)
+    thread.start()
+    assert ready.wait(120)
+    log = EventLog()
+    with pytest.raises(ClaimHeld, match="refresh is running"):
+        refresh(spark, lake, {h.name: FixtureSource(spark, SF_SMALL, h) for h in HOSPITALS}, *rest, DAY, log=log)
+    with pytest.raises(ClaimHeld, match="landing-hospital-a is running"):
+        land_hospital(spark, HOSPITAL_A, FixtureSource(spark, SF_SMALL, HOSPITAL_A), rest[0], lake, DAY, EventLog())
+    ended.set()
+    thread.join()
+    assert len(results["first"].audit_rows) == 10 and read_audit(spark, lake.path("control", "audit_log")).count() == 10
+    assert any("ClaimHeld" in e[2] for e in log.entries)
+
+
+def test_a_dead_refresh_is_continued_and_ends_when_it_wakes(spark, scratch, monkeypatch):
+    lake, clock = Lake(f"{scratch}/lake"), Clock()
+    monkeypatch.setattr(claims_module.Claim.__init__, "__defaults__", (claims_module.LIFETIME, clock))
+    rest = _inputs(spark, scratch)
+    good = {h.name: FixtureSource(spark, SF_SMALL, h) for h in HOSPITALS}
+    seen = {}
+
+    class Sleeping(FixtureSource):
+        """Its claim's time passes while it reads its first table, and another refresh runs meanwhile."""
+
+        def batch(self, table, *args):
+            if table == "departments" and self.hospital is HOSPITAL_A and not seen:
+                seen["done"] = True
+                clock.at += claims_module.LIFETIME + dt.timedelta(hours=1)
+                seen["result"] = refresh(spark, lake, good, *rest, DAY)
+            return super().batch(table, *args)
+
+    with pytest.raises(LoadFailed, match="ClaimLost"):
+        refresh(spark, lake, {h.name: Sleeping(spark, SF_SMALL, h) for h in HOSPITALS}, *rest, DAY, workers=1)
+    marks = current_batches(spark, lake)
+    assert len(marks) == 10
+    audit = read_audit(spark, lake.path("control", "audit_log")).collect()
+    assert len(audit) == 10 and len({(r.data_source, r.tablename) for r in audit}) == 10  # nothing landed twice
+    counts = {(layer, t): n for layer, t, n in seen["result"].counts}
+    assert sum(1 for layer, _ in counts if layer == "landing") == 10
+
+
+class Broken(FixtureSource):
+    def read(self, table):
+        if table == "transactions":
+            raise ConnectionError("transactions are unreadable")
+        return super().read(table)
+
+
+def test_counts_of_a_continued_refresh_are_whole(spark, scratch):
+    lake = Lake(f"{scratch}/lake")
+    rest = _inputs(spark, scratch)
+    whole = refresh(spark, Lake(f"{scratch}/other"), {h.name: FixtureSource(spark, SF_SMALL, h) for h in HOSPITALS}, *rest, DAY)
+    with pytest.raises(LoadFailed):
+        refresh(spark, lake, {h.name: Broken(spark, SF_SMALL, h) for h in HOSPITALS}, *rest, DAY)
+    again = refresh(spark, lake, {h.name: FixtureSource(spark, SF_SMALL, h) for h in HOSPITALS}, *rest, DAY)
+    assert len(again.audit_rows) == 2 and sorted(again.counts) == sorted(whole.counts)
+
+
+# --- concurrent landing ---
+
+
+class Waiting(Source):
+    """Five tables, each of which takes its time."""
+
+    def __init__(self, spark, seconds, broken=()):
+        self.frame, self.seconds, self.broken = spark.range(20).selectExpr("CAST(id AS STRING) AS deptid", "'n' AS name"), seconds, broken
+        self.running = self.most = 0
+        self.lock = threading.Lock()
+
+    def batch(self, table, kind, column, mark):
+        with self.lock:
+            self.running += 1
+            self.most = max(self.most, self.running)
+        time.sleep(self.seconds.get(table, 0))
+        with self.lock:
+            self.running -= 1
+        if table in self.broken:
+            raise ConnectionError(f"{table} is away")
+        return self.frame
+
+
+def _config(spark, n, load_type="full"):
+    return spark.createDataFrame([("h", "hospital_a_db", f"t{i}", load_type, "modifieddate", "1", "x") for i in range(n)], LOAD_CONFIG)
+
+
+def test_loads_run_at_once_within_the_bound(spark, scratch):
+    source = Waiting(spark, {f"t{i}": 2 for i in range(6)})
+    for workers in (6, 2):
+        lake = Lake(f"{scratch}/{workers}")
+        source.most = 0
+        t0 = time.perf_counter()
+        land_hospital(spark, HOSPITAL_A, source, _config(spark, 6), lake, DAY, EventLog(), workers=workers)
+        assert source.most == workers
+        assert workers < 6 or time.perf_counter() - t0 < 6 * 2  # one after the other would wait that long
+
+
+def test_rows_and_events_do_not_depend_on_which_load_ends_first(spark, scratch):
+    def run(label, seconds):
+        lake = Lake(f"{scratch}/{label}")
+        log = EventLog(clock=lambda: DAY, tick=dt.timedelta(seconds=1))
+        rows = land_hospital(spark, HOSPITAL_A, Waiting(spark, seconds, broken={"t2"}), _config(spark, 5), lake, DAY, log, run_id="run")
+        audit = sorted(tuple(r) for r in read_audit(spark, lake.path("control", "audit_log")).collect())
+        append_event_log(spark, log, lake.path("control", "pipeline_logs"))
+        events = sorted(tuple(r) for r in read_event_log(spark, lake.path("control", "pipeline_logs")).collect())
+        return list(rows), rows.failed, audit, events
+
+    rising = run("rising", {f"t{i}": 0.3 * i for i in range(5)})
+    falling = run("falling", {f"t{i}": 0.3 * (5 - i) for i in range(5)})
+    assert rising == falling and rising[1] == {"t2": "ConnectionError: t2 is away"}
+    assert [e[0] for e in rising[3]] == [f"2024-06-30T00:00:{i:02d}+00:00" for i in range(len(rising[3]))]
+    assert [e[3] for e in rising[3]] == sorted(e[3] for e in rising[3])  # in the order of the loads
+
+
+def test_control_rows_of_one_load_land_once_and_have_events_each(spark, scratch):
+    lake = Lake(scratch)
+    rows = [("h", "hospital_a_db", "departments", "full", "", "1", "x")] * 3 + [("h", "hospital_a_db", "nowhere", "full", "", "1", "x")] * 4
+    config = spark.createDataFrame(rows, LOAD_CONFIG)
+    log = EventLog()
+    landed = land_hospital(spark, HOSPITAL_A, FixtureSource(spark, SF_SMALL, HOSPITAL_A), config, lake, DAY, log)
+    assert len(landed) == 1 and list(landed.failed) == ["nowhere"]
+    frame = log.frame(spark)
+    assert frame.where("event_type = 'ERROR'").count() == 4 and frame.where("message like 'Audit log updated%'").count() == 3
+    assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, log.entries))
+
+
+def test_events_of_many_control_rows_come_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(logs, "COPIES", 7)
+    log = EventLog(clock=lambda: DAY, tick=dt.timedelta(seconds=1))
+    log.log("INFO", "before")
+    log.add_loads([("a", 20, [("INFO", "one", None), ("ERROR", "two", None)]), ("b", 1, [("INFO", "three", None)])])
+    log.log("INFO", "after")
+    got = sorted(tuple(r) for r in log.frame(spark).collect())
+    messages = ["before", *(["one", "two"] * 20), "three", "after"]
+    assert [g[0] for g in got] == [(DAY + dt.timedelta(seconds=i)).isoformat() for i in range(43)] and [g[2] for g in got] == messages
+
+
+def test_loads_of_two_hospitals_run_together(spark, scratch):
+    sources = {h.name: Waiting(spark, {"t0": 1.0}) for h in HOSPITALS}
+    rows = [("h", h.database, "t0", "full", "", "1", "x") for h in HOSPITALS]
+    t0 = time.perf_counter()
+    landed = land(spark, HOSPITALS, sources, spark.createDataFrame(rows, LOAD_CONFIG), Lake(scratch), DAY, EventLog())
+    assert [r[0] for r in landed] == [h.database for h in HOSPITALS] and time.perf_counter() - t0 < 60
+
+
+# --- the audit log ---
+
+
+def _load(n, table="t", status="SUCCESS"):
+    return ("db", table, " Full ", n, DAY + dt.timedelta(hours=n), status, f"b{n:04d}")
+
+
+def _rows(spark, n, table="t", status="SUCCESS"):
+    return audit_frame(spark, [_load(n, table, status)]).coalesce(1)
+
+
+def test_a_thousand_loads_read_a_bounded_number_of_files(spark, scratch):
+    log = AuditLog(spark, f"{scratch}/audit")
+    for n in range(0, 960, 24):  # in forty parts; a write for each load would only take time
+        log.append(audit_frame(spark, [_load(i, f"t{i % 10}") for i in range(n, n + 24)]).coalesce(1))
+    for n in range(960, 1000, 10):
+        log.append(audit_frame(spark, [_load(i, f"t{i % 10}") for i in range(n, n + 10)]).coalesce(1))
+    state = log.state()
+    assert len(state["history"]) == 1 and len(state["tail"]) <= logs.TAIL and state["marks"]
+    read = log.marks().inputFiles()
+    assert len(read) <= logs.TAIL + 1
+    assert log.read().count() == 1000
+    assert sorted(map(str, log.marks().collect())) == sorted(map(str, marks_of(log.read()).collect()))
+    assert log.marks().count() == 10
+
+
+def test_marks_take_the_last_success_and_the_latest_time(spark, scratch):
+    log = AuditLog(spark, f"{scratch}/audit", tail=2)
+    for n, status in enumerate(["SUCCESS", "SUCCESS", "FAILED", "FAILED"]):
+        log.append(_rows(spark, n, status=status))
+    row = log.marks().first()
+    assert (row.landed.batch, row.landed.kind, row.landed.record_count) == ("b0001", "full", 1)
+    assert log.marks().selectExpr("unix_micros(latest_timestamp) AS at").first().at == micros(DAY + dt.timedelta(hours=3))
+
+
+def test_appends_of_many_threads_are_all_read(spark, scratch):
+    path = f"{scratch}/audit"
+    frames = [_rows(spark, n) for n in range(12)]
+    threads = [threading.Thread(target=lambda f=f: AuditLog(spark, path, tail=3).append(f)) for f in frames]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    log = AuditLog(spark, path, tail=3)
+    assert sorted(r.record_count for r in log.read().collect()) == list(range(12))
+    assert log.marks().first().landed.batch == "b0011"
+
+
+def test_a_read_planned_before_a_compaction_is_whole(spark, scratch):
+    log = AuditLog(spark, f"{scratch}/audit", tail=3)
+    for n in range(3):
+        log.append(_rows(spark, n))
+    planned = log.read()
+    for n in range(3, 9):
+        log.append(_rows(spark, n))
+    assert planned.count() == 3 and log.read().count() == 9
+
+
+def test_a_log_of_files_in_its_folder_goes_on(spark, scratch):
+    path = f"{scratch}/audit"
+    for n in range(2):
+        _rows(spark, n).write.mode("append").parquet(path)
+    log = AuditLog(spark, path, tail=2)
+    assert log.read().count() == 2
+    for n in range(2, 6):
+        log.append(_rows(spark, n))
+    assert log.read().count() == 6 and log.marks().first().landed.batch == "b0005"
+
+
+def test_batches_of_the_whole_log_and_of_the_marks_agree(spark, scratch):
+    lake = Lake(scratch)
+    source = Waiting(spark, {})
+    for day in range(3):
+        land_hospital(spark, HOSPITAL_A, source, _config(spark, 2), lake, DAY + dt.timedelta(days=day), EventLog())
+    every = read_current(spark, lake)
+    assert {k: v[-1] for k, v in every.items()} == {k: (c.batch, c.kind) for k, c in current_batches(spark, lake).items()}
+    assert all(len(v) == 3 for v in every.values())

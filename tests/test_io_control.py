@@ -177,14 +177,16 @@ def test_older_batches_are_read_as_archive(spark, scratch):
     assert read_archive(spark, table_dir, [], schema).count() == 0
 
 
-def test_a_failed_write_leaves_the_table_and_old_versions_go(spark, scratch):
+def test_a_failed_write_leaves_the_table_and_replaced_versions_go_by_age(spark, scratch):
     from tallyward.sources.tables import Lake
 
     lake = Lake(scratch)
     frame = lambda n: spark.range(n).toDF("x")
     for n in (3, 4, 5, 6):
         assert lake.overwrite(frame(n), "gold", "t") == n
-    assert len(lake.versions(spark, "gold", "t")) == 2  # the current one and the one before
+    assert len(lake.versions(spark, "gold", "t")) == 4  # all were replaced just now
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=8)
+    assert len(lake.expire(spark, "gold", "t", now=later)) == 3 and len(lake.versions(spark, "gold", "t")) == 1
     with pytest.raises(Exception):
         lake.overwrite(frame(9).select(F.raise_error(F.lit("lost")).alias("x")), "gold", "t")
     assert lake.read(spark, "gold", "t").count() == 6

@@ -81,7 +81,7 @@ def test_jobs_read_a_table_in_ranges_of_its_batch(spark, scratch, monkeypatch):
         LOAD_CONFIG,
     ).write.option("header", True).csv(config)
     args = ["land", "--lake", f"{scratch}/lake", "--config", config, "--hospital", "hospital-a", "--jdbc-url", "jdbc:x", "--jdbc-option",
-            "user=u", "--jdbc-split", "encounters=num:4"]
+            "user=u", "--jdbc-split", "encounters=num:4", "--workers", "1"]
     first = jobs.main([*args, "--run-ts", "2024-01-05T00:00:00"], spark=spark)
     assert sorted((t["table"], t["rows"]) for t in first["landed"]) == [("departments", 9), ("encounters", 9)]
     assert [c.get("partitionColumn") for c in calls] == [None, None, "num"]  # departments whole; bounds, then ranges
