@@ -9,7 +9,8 @@
 ``silver`` and ``gold`` rebuild their layer over the current batches, without an extract.
 Database options (user, password, driver, fetchsize, ...) come from the caller as
 ``--jdbc-option key=value``; nothing is stored in code. ``--jdbc-split table=column:n`` reads
-a table as n range queries. ``--sf-dir`` replaces the databases by the parquet test
+a table as n strides of a column, ``--jdbc-ranges table=column+column:n`` as n ranges with
+equally many rows. ``--sf-dir`` replaces the databases by the parquet test
 tables (tests and local runs). A job whose tables did not all load ends with an error, and so
 does one whose claim another run holds.
 """
@@ -58,6 +59,10 @@ def _splits(pairs: list[str]) -> dict[str, tuple[str, int]]:
     return out
 
 
+def _ranges(pairs: list[str]) -> dict[str, tuple[list[str], int]]:
+    return {table: (columns.split("+"), n) for table, (columns, n) in _splits(pairs).items()}
+
+
 def _hospital(name: str):
     for h in HOSPITALS:
         if h.name == name:
@@ -72,7 +77,7 @@ def _source(spark, args, hospital, url: str | None):
         raise SystemExit(f"no JDBC url for {hospital.name}")
     opts = _options(args.jdbc_option)
     conn = JdbcConnection(url=url, driver=opts.pop("driver", None), properties=opts)
-    return JdbcSource(spark, conn, _splits(args.jdbc_split))
+    return JdbcSource(spark, conn, _splits(args.jdbc_split), _ranges(args.jdbc_ranges))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -87,7 +92,8 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--workers", type=int, default=WORKERS, help="loads that run at once")
             s.add_argument("--sf-dir", help="use the parquet test tables instead of databases")
             s.add_argument("--jdbc-option", action="append", help="key=value passed to the JDBC reader")
-            s.add_argument("--jdbc-split", action="append", help="table=column:n, read as n range queries")
+            s.add_argument("--jdbc-split", action="append", help="table=column:n, read as n strides")
+            s.add_argument("--jdbc-ranges", action="append", help="table=column[+column...]:n, read as n ranges of equally many rows")
         if name == "land":
             s.add_argument("--hospital", required=True)
             s.add_argument("--jdbc-url")
