@@ -12,11 +12,11 @@ Plan shape, chosen for large inputs:
   join. Nothing is broadcast on faith.
 * ``COUNT(DISTINCT x)`` shuffles on (group, x), which spreads a hot group across
   tasks.
-* G2 is row level. Its encounter→transaction outer join is split into an inner
-  join (whose skewed partitions AQE may split on either side) plus an anti join
-  against the *distinct* encounter keys of transactions, because Spark cannot
-  split the non-preserved side of an outer join. Dimension lookups happen on
-  encounter rows, before the transaction fan-out.
+* G2 is row level. Its encounter→transaction outer join is an inner join (whose skewed
+  partitions AQE may split on either side) with the transactions and one row of NULLs for each
+  encounter without any, because Spark cannot split the non-preserved side of an outer
+  join. Those encounters come from keys alone. Dimension lookups happen on encounter rows,
+  before the transaction fan-out, and are planned once.
 """
 
 from __future__ import annotations
@@ -107,16 +107,15 @@ def patient_history(silver: SilverLayer, as_of: str) -> DataFrame:
         .join(departments, "enc_dept_key", "left")
     )
 
+    # an encounter without transactions meets one row of NULLs, so visits are planned and shuffled once
     txn = silver.transactions.select(
-        "encounter_key", *(F.col(src).alias(dst) for src, dst in _TXN_HISTORY_COLUMNS.items())
-    )
-    billed_encounters = silver.transactions.select("encounter_key").distinct()
-    txn_types = dict(txn.dtypes)
-    with_txn = visits.join(txn, "encounter_key", "inner")
-    without_txn = visits.join(billed_encounters, "encounter_key", "left_anti").select(
-        "*", *(F.lit(None).cast(txn_types[c]).alias(c) for c in _TXN_HISTORY_COLUMNS.values())
-    )
-    return with_txn.unionByName(without_txn).select(
+        F.col("encounter_key").alias("billed_key"), *(F.col(src).alias(dst) for src, dst in _TXN_HISTORY_COLUMNS.items())
+    ).where("billed_key IS NOT NULL")
+    billed = silver.transactions.select("encounter_key").distinct()
+    unbilled = silver.encounters.select("encounter_key").distinct().join(billed, "encounter_key", "left_anti")
+    nothing = unbilled.select(F.col("encounter_key").alias("billed_key"), *(F.lit(None).cast(t).alias(c) for c, t in txn.dtypes if c != "billed_key"))
+    histories = visits.join(txn.unionByName(nothing), F.col("encounter_key").eqNullSafe(F.col("billed_key")), "inner")
+    return histories.select(
         "patient_key",
         "source_patient_id",
         "patient_full_name",
@@ -178,10 +177,9 @@ def provider_performance(silver: SilverLayer, as_of: str) -> DataFrame:
 def department_performance(silver: SilverLayer, as_of: str) -> DataFrame:
     """G4 ``department_performance_analytics``. Department comes from the
     encounter for volume and from the transaction for money."""
-    encounters = silver.encounters.groupBy("dept_key").agg(
-        F.count_distinct("encounter_key").alias("total_encounters"),
-        F.count_distinct("patient_key").alias("unique_patients"),
-    )
+    # an aggregate for each distinct count: together every row would be expanded into two
+    encounters = silver.encounters.groupBy("dept_key").agg(F.count_distinct("encounter_key").alias("total_encounters"))
+    seen = silver.encounters.groupBy("dept_key").agg(F.count_distinct("patient_key").alias("unique_patients"))
     finance = silver.transactions.groupBy("dept_key").agg(
         money_total(F.col("amount")).alias("billed"),
         money_total(F.col("paidamount")).alias("collected"),
@@ -191,6 +189,7 @@ def department_performance(silver: SilverLayer, as_of: str) -> DataFrame:
     )
     joined = (
         silver.departments.join(encounters, "dept_key", "left")
+        .join(seen, "dept_key", "left")
         .join(finance, "dept_key", "left")
         .join(staffing, "dept_key", "left")
     )

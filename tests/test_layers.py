@@ -187,3 +187,21 @@ def test_financial_metrics_null_months_never_match(spark):
     ]
     jan = rows[0]
     assert jan.claim_success_rate_percentage == 0.0 and jan.outstanding_balance == 0.0
+
+
+def test_patient_history_keeps_encounters_without_key_or_transaction(spark):
+    """NULL encounter keys, repeated keys without transactions, and transactions without a key."""
+    from tallyward.operators.gold import patient_history
+    from tallyward.operators.layers import SilverLayer
+
+    sql = spark.sql
+    frames = {
+        "patients": lambda: sql("SELECT 'P' AS patient_key, 's' AS source_patient_id, 'a' AS firstname, 'b' AS lastname, 'F' AS gender, DATE'2000-01-01' AS dob, 'h' AS datasource, TRUE AS is_current"),
+        "encounters": lambda: sql("SELECT 'P' AS patient_key, k AS encounter_key, DATE'2024-01-01' AS encounter_date, t AS encountertype, 'v' AS provider_key, 'd' AS dept_key FROM VALUES ('E1', 'x'), ('E2', 'y'), ('E2', 'z'), (CAST(NULL AS STRING), 'n'), (NULL, 'm') AS e(k, t)"),
+        "providers": lambda: sql("SELECT 'v' AS provider_key, 'f' AS firstname, 'l' AS lastname"),
+        "departments": lambda: sql("SELECT 'd' AS dept_key, 'D' AS dept_name"),
+        "transactions": lambda: sql("SELECT k AS encounter_key, 'i' AS icdcode, 'p' AS procedurecode, a AS amount, a AS paidamount, DATE'2024-01-02' AS paid_date, 'c' AS amounttype FROM VALUES ('E1', 1.0D), ('E1', 2.0D), (CAST(NULL AS STRING), 3.0D), ('E9', 4.0D) AS t(k, a)"),
+    }
+    got = patient_history(SilverLayer(frames), "2024-06-30 00:00:00").collect()
+    key = lambda r: (r.encounter_key or "", r.visit_type, r.charged_amount or 0.0)
+    assert sorted(map(key, got)) == [("", "m", 0.0), ("", "n", 0.0), ("E1", "x", 1.0), ("E1", "x", 2.0), ("E2", "y", 0.0), ("E2", "z", 0.0)]
