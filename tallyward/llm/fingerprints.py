@@ -1,22 +1,19 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text is a sequence of units: words between ASCII white space, or single code points
-where a text is short (under ``SHORT`` code points) or hardly has white space. A k-mer of
-units is an *anchor* (a closed syncmer) when the least of its inner s-mers, by hash,
-is its first or its last. That depends on the k-mer alone, so an edit
-changes only the anchors that it touches and equal passages have equal anchors at
-equal distances. A text too short for a k-mer has one anchor, its whole sequence.
-
-The fingerprint is the ``SKETCH`` smallest different anchor hashes, in hex: equal
-texts have equal fingerprints, and the likeness of two is the share of common
-hashes among the smallest of both (the Jaccard index of the anchors, exact where a
-text has no more than that many). Two fingerprints of different units have nothing in common,
-and a short passage that two long texts share may leave no trace in them.
-
-``match`` has neither limit: it takes two texts by the same unit (code points if
-either would be, else words), keeps all their anchors, and compares *links*, two anchors
-that follow each other and their distance. Likeness is the share of common links among all
-of both, so one shared passage with two anchors shows in texts of any length.
+A text is a sequence of units: pieces of up to ``UNIT`` code points of its words, cut from each word's
+beginning. A k-mer of ``SPAN`` units is an *anchor* (a closed syncmer) when the least of its
+units, by hash, is its first or its last. That depends on the k-mer alone, so an edit
+changes only the anchors that it touches, and equal passages have equal anchors at equal distances. Of
+any ``SPAN - 1`` k-mers that follow each other at least one is an anchor, so
+no passage of twice SPAN units is without, in texts of any length. A text too short for a k-mer has one
+anchor, its whole sequence.
+
+The fingerprint is all anchors in order, nine hexadecimal digits each: the hash, and the distance
+to the anchor before (of the first, its place). ``likeness`` compares *marks*: every different anchor, and every two
+that follow each other with their distance, so a match needs the same k-mers, and more so the same
+relative places. It is twice the number of common marks through the number of both (0 to 1): two
+thirds for a text of which one third was replaced, and above 0 whenever two texts share a passage of
+twice SPAN units, cut alike, however long they are.
 
 ``next_document`` gives every row the text of the row with the next smaller id without a
 global sort: ids are cut at quantiles into buckets, a bucket's largest id is dealt to
@@ -31,127 +28,83 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Texts under so many code points are taken by code points.
-SHORT = 400
-#: So are texts with more than this many code points to a word.
-SPARSE = 40
-#: Units of an inner s-mer; a k-mer has SPAN of them, overlapping: k = s + SPAN - 1.
-WORD_S, CHAR_S, SPAN = 2, 4, 4
-#: Hashes of a fingerprint.
-SKETCH = 64
+#: Code points of a unit, and units of a k-mer.
+UNIT, SPAN = 4, 6
 #: Bytes of text to a bucket of neighbouring ids, and buckets at most (their bounds are literals, as a range partitioner's are).
 BUCKET_BYTES = 2 << 20
 MOST_BUCKETS = 1 << 14
 
+_NONE = "array<struct<hash:bigint,pos:int>>"
+
 
 def _let(value: Column, body) -> Column:
     """``body`` of ``value`` evaluated once."""
     return F.transform(F.array(value), body)[0]
 
 
-def _inner(units: Column, s: int) -> Column:
-    """Hash of every s-mer of units."""
-    return F.when(F.size(units) < s, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.slice(units, 1, F.size(units) - (s - 1)), lambda u, i: F.xxhash64(u, *[units[i + d] for d in range(1, s)]))
-    )
-
-
-def _closed(inner: Column, i: Column) -> Column:
-    return F.least(inner[i], inner[i + 3]) <= F.least(inner[i + 1], inner[i + 2])
-
-
-def _kmer(inner: Column, i: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(*[inner[i + d] for d in range(SPAN)]), 32)
-
-
-def _of_units(units: Column, s: int, pick) -> Column:
-    def picked(inner: Column) -> Column:
-        kmers = F.slice(inner, 1, F.size(inner) - (SPAN - 1))
-        return F.array_compact(F.transform(kmers, lambda x, i: F.when(_closed(inner, i), pick(_kmer(inner, i), i))))
-
-    def of(u: Column) -> Column:
-        whole = pick(F.shiftrightunsigned(F.xxhash64(u), 32), F.lit(0))
-        few = F.when(F.size(u) > 0, F.array(whole)).otherwise(F.slice(F.array(whole), 1, 0))
-        return F.when(F.size(u) < s + SPAN - 1, few).otherwise(_let(_inner(u, s), picked))
-
-    return _let(units, of)
-
-
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, r"\s+"), "")
-
-
-def _by_points(text: Column, pick) -> Column:
-    return _of_units(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), CHAR_S, pick)
-
-
-def _anchors(text: Column, pick) -> Column:
-    by_points = _by_points(text, pick)
-
-    def of(w: Column) -> Column:
-        return F.when(F.size(w) * SPARSE < F.char_length(text), by_points).otherwise(_of_units(w, WORD_S, pick))
-
-    return F.when(F.char_length(text) < SHORT, by_points).otherwise(_let(_words(text), of))
-
-
-def _placed(h: Column, i: Column) -> Column:
-    return F.struct(h.alias("hash"), i.cast("int").alias("pos"))
+def _anchor(h: Column, pos: Column) -> Column:
+    return F.struct(F.shiftrightunsigned(h, 32).alias("hash"), pos.cast("int").alias("pos"))
 
 
 def anchors(text: Column) -> Column:
     """array<struct<hash, pos>>: every anchor of a text with the unit that it starts at."""
-    return _anchors(text, _placed)
 
+    def of(h: Column) -> Column:
+        inner = [h, *[None] * (SPAN - 1)]
 
-def _links(placed: Column) -> Column:
-    """Different hashes of every two anchors that follow each other with their distance (of a lone anchor itself)."""
+        def one(first: Column, i: Column) -> Column:
+            inner[0] = first
+            for d in range(1, SPAN):
+                inner[d] = h[i + d]
+            closed = F.least(inner[0], inner[-1]) <= F.least(*inner[1:-1])
+            return F.when(closed, _anchor(F.xxhash64(*inner), i))
 
-    def of(a: Column) -> Column:
-        firsts = F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
-        linked = F.transform(firsts, lambda x, i: F.xxhash64(x["hash"], a[i + 1]["hash"], a[i + 1]["pos"] - x["pos"]))
-        return F.array_distinct(F.when(F.size(a) == 1, F.transform(a, lambda x: F.xxhash64(x["hash"]))).otherwise(linked))
+        found = F.array_compact(F.transform(F.slice(h, 1, F.greatest(F.size(h) - (SPAN - 1), F.lit(0))), one))
+        whole = F.when(F.size(h) > 0, F.array(_anchor(F.xxhash64(h), F.lit(0)))).otherwise(F.array().cast(_NONE))
+        return F.when(F.size(h) < SPAN, whole).otherwise(found)
 
-    return _let(placed, of)
+    units = F.regexp_extract_all(text, F.lit(rf"\S{{1,{UNIT}}}"), F.lit(0))
+    return _let(F.transform(units, lambda u: F.xxhash64(u)), of)
 
 
-def _points_taken(text: Column) -> Column:
-    return (F.char_length(text) < SHORT) | (F.size(_words(text)) * SPARSE < F.char_length(text))
+def marks(anchors_: Column) -> Column:
+    """What two texts are compared by: different anchors, and pairs of neighbours with their distance."""
 
+    def of(a: Column) -> Column:
+        firsts = F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
+        pairs = F.transform(firsts, lambda x, i: F.xxhash64(x["hash"], a[i + 1]["hash"], a[i + 1]["pos"] - x["pos"]))
+        return F.array_distinct(F.concat(F.transform(a, lambda x: x["hash"]), pairs))
 
-def match(a: Column, b: Column) -> Column:
-    """Share of common links among all links of two texts, both taken by the same unit, 0 to 1."""
-
-    def share(p: Column) -> Column:
-        def of(common: Column) -> Column:
-            every = F.size(p["a"]) + F.size(p["b"]) - common
-            return F.when(every == 0, F.lit(1.0)).otherwise(common / F.greatest(every, F.lit(1)))
+    return _let(anchors_, of)
 
-        return _let(F.size(F.array_intersect(p["a"], p["b"])), of)
 
-    points = F.struct(*[_links(_by_points(t, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
-    words = F.struct(*[_links(_of_units(_words(t), WORD_S, _placed)).alias(n) for t, n in ((a, "a"), (b, "b"))])
-    return _let(F.when(_points_taken(a) | _points_taken(b), points).otherwise(words), share)
+def likeness(a: Column, b: Column) -> Column:
+    """Twice the common marks through all marks of two texts, 0 to 1."""
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(a, b)) / F.greatest(both, F.lit(1)))
 
 
-def sketch(text: Column) -> Column:
-    """The SKETCH smallest different anchor hashes of a text, in order."""
-    return F.slice(F.sort_array(F.array_distinct(_anchors(text, lambda h, i: h))), 1, SKETCH)
+def as_text(anchors_: Column) -> Column:
+    """The fingerprint: hash (8 digits) and distance to the anchor before (1 digit) of each anchor."""
 
+    def of(a: Column) -> Column:
+        step = lambda x, i: x["pos"] - F.when(i > 0, a[F.greatest(i - 1, F.lit(0))]["pos"]).otherwise(0)
+        return F.array_join(F.transform(a, lambda x, i: F.lower(F.concat(F.lpad(F.hex(x["hash"]), 8, "0"), F.hex(step(x, i))))), "")
 
-def as_text(sketch_: Column) -> Column:
-    return F.array_join(F.transform(sketch_, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    return _let(anchors_, of)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of common hashes among the SKETCH smallest of two sketches, 0 to 1."""
-    least = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(least, F.array_intersect(a, b)))
-    size = F.least(F.lit(SKETCH), F.size(F.array_union(a, b)))
-    return F.when(size == 0, F.lit(1.0)).otherwise(common / F.greatest(size, F.lit(1)))
+def from_text(fingerprint: Column) -> Column:
+    """The anchors of a fingerprint, whose marks ``likeness`` compares."""
+    number = lambda text: F.conv(text, 16, 10).cast("bigint")
+    items = F.regexp_extract_all(fingerprint, F.lit("[0-9a-f]{9}"), F.lit(0))
+    steps = F.transform(items, lambda t: number(F.substring(t, 9, 1)))
+    return F.transform(items, lambda t, i: F.struct(number(F.substring(t, 1, 8)).alias("hash"), F.aggregate(F.slice(steps, 1, i + 1), F.lit(0).cast("bigint"), lambda s, x: s + x).cast("int").alias("pos")))
 
 
 def _bucket(key: Column, bounds: list[int]) -> Column:
@@ -170,9 +123,10 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
     return F.least(F.lit(len(bounds)), _let(F.size(F.filter(lasts, lambda x: x < key)), of))
 
 
-def next_document(docs: DataFrame, columns: list[str]) -> DataFrame:
+def next_document(docs: DataFrame, with_columns: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
     """``docs`` (doc_id, text, ...) with next_<column> of the row that follows in
-    descending doc_id; after the last comes the first."""
+    descending doc_id; after the last comes the first. ``with_columns`` adds columns after the
+    shuffle, so that they need not travel."""
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     keyed = docs.withColumn("_key", key)
     size, largest = keyed.agg(F.sum(F.octet_length("text")), F.max("_key")).first()
@@ -192,8 +146,10 @@ def next_document(docs: DataFrame, columns: list[str]) -> DataFrame:
     )
     dealt = keyed.withColumn("_place", F.explode(places))
     dealt = dealt.select(*docs.columns, "_key", F.col("_place.bucket").alias("_bucket"), F.col("_place.extra").alias("_extra"))
-    # one window for all columns: the texts are shuffled once
-    order = Window.partitionBy("_bucket").orderBy("_extra", F.col("_key").desc(), "text")
+    # sorted as the window wants it, before columns are added: the texts are shuffled and sorted once
+    by = ["_extra", F.col("_key").desc(), "text"]
+    dealt = with_columns(dealt.repartition("_bucket").sortWithinPartitions("_bucket", *by))
+    order = Window.partitionBy("_bucket").orderBy(*by)
     rows = dealt.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
     return rows.where("_extra = 0").drop("_key", "_bucket", "_extra")
 
@@ -201,23 +157,24 @@ def next_document(docs: DataFrame, columns: list[str]) -> DataFrame:
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Every text and its edited form (the last third replaced by the beginning of the
     next document): doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next (likeness of fingerprints), match_edited,
-    match_next (likeness of all anchors by their places)."""
+    edited_fingerprint, near_edited, near_next (likeness of the fingerprints)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = next_document(rows.withColumn("sketch", sketch(F.col("text"))), ["text", "sketch"])
-    third = F.floor(F.col("n_chars") / 3).cast("int")
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("anchors", anchors(F.col("text"))).withColumn("marks", marks(F.col("anchors")))
+
+    rows = next_document(rows, marked, ["text", "marks"])
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
+    third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - third), F.substring(F.col("next_text"), F.lit(1), third))
     rows = rows.withColumn("edited", edited)
-    rows = rows.withColumn("edited_sketch", sketch(F.col("edited")))
+    rows = rows.withColumn("edited_anchors", anchors(F.col("edited")))
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("sketch")).alias("fingerprint"),
-        as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
-        match(F.col("text"), F.col("edited")).alias("match_edited"),
-        match(F.col("text"), F.col("next_text")).alias("match_next"),
+        as_text(F.col("anchors")).alias("fingerprint"),
+        as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
+        likeness(F.col("marks"), marks(F.col("edited_anchors"))).alias("near_edited"),
+        likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
     )

@@ -26,28 +26,34 @@ def signed(h):
     return h - (1 << 64) if h >> 63 else h
 
 
-def slow_anchors(text):
+def units_of(text):
     words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
-    by_points = len(text) < fp.SHORT or len(words) * fp.SPARSE < len(text)
-    units, s = (list(text), fp.CHAR_S) if by_points else (words, fp.WORD_S)
-    if len(units) < s + 3:
+    return [w[i : i + fp.UNIT] for w in words for i in range(0, len(w), fp.UNIT)]
+
+
+def slow_anchors(text):
+    units = [signed(chained([u])) for u in units_of(text)]
+    if len(units) < fp.SPAN:
         return [(chained(units) >> 32, 0)] if units else []
-    inner = [signed(chained(units[i : i + s])) for i in range(len(units) - s + 1)]
     out = []
-    for i in range(len(inner) - 3):
-        window = inner[i : i + 4]
-        if min(window) in (window[0], window[3]):
+    for i in range(len(units) - fp.SPAN + 1):
+        window = units[i : i + fp.SPAN]
+        if min(window) in (window[0], window[-1]):
             out.append((chained(window) >> 32, i))
     return out
 
 
-def slow_sketch(text):
-    return sorted({h for h, _ in slow_anchors(text)})[: fp.SKETCH]
+def slow_marks(placed):
+    return {(h,) for h, _ in placed} | {(x, y, j - i) for (x, i), (y, j) in zip(placed, placed[1:])}
+
+
+def slow_text(placed):
+    return "".join(f"{h:08x}{i - j:x}" for (h, i), (_, j) in zip(placed, [(0, 0), *placed]))
 
 
 def slow_likeness(a, b):
-    least = sorted(set(a) | set(b))[: fp.SKETCH]
-    return len(set(least) & set(a) & set(b)) / len(least) if least else 1.0
+    a, b = slow_marks(a), slow_marks(b)
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
 
 
 def expected(rows):
@@ -57,9 +63,8 @@ def expected(rows):
         after = rows[(k + 1) % len(rows)][1]
         third = len(text) // 3
         edited = text[: len(text) - third] + after[:third]
-        own, changed, nxt = map(slow_sketch, (text, edited, after))
-        hexed = lambda s: "".join(f"{h:08x}" for h in s)
-        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), hexed(own), hexed(changed), slow_likeness(own, changed), slow_likeness(own, nxt)))
+        own, changed, nxt = map(slow_anchors, (text, edited, after))
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), slow_text(own), slow_text(changed), slow_likeness(own, changed), slow_likeness(own, nxt)))
     return sorted(out, key=str)
 
 
@@ -94,52 +99,42 @@ def test_anchors_keep_their_place(spark):
     assert [(a.hash, a.pos) for a in df.select(fp.anchors(F.col("text")).alias("a")).first().a] == slow_anchors(text)
 
 
-def slow_placed(units, s):
-    if len(units) < s + 3:
-        return [(chained(units) >> 32, 0)] if units else []
-    inner = [signed(chained(units[i : i + s])) for i in range(len(units) - s + 1)]
-    windows = [inner[i : i + 4] for i in range(len(inner) - 3)]
-    return [(chained(w) >> 32, i) for i, w in enumerate(windows) if min(w) in (w[0], w[3])]
-
-
-def slow_match(a, b):
-    split = lambda t: [w for w in re.split(r"[ \t\n\x0b\f\r]+", t) if w]
-    points = any(len(t) < fp.SHORT or len(split(t)) * fp.SPARSE < len(t) for t in (a, b))
-    links = []
-    for t in (a, b):
-        placed = slow_placed(list(t), fp.CHAR_S) if points else slow_placed(split(t), fp.WORD_S)
-        links.append({placed[0][0]} if len(placed) == 1 else {(x, y, j - i) for (x, i), (y, j) in zip(placed, placed[1:])})
-    every = links[0] | links[1]
-    return len(links[0] & links[1]) / len(every) if every else 1.0
+def test_neighbours_are_near_and_a_digit_holds_their_distance(spark):
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice(["a", "bb", "the", "x" * 30, f"w{rnd.randrange(99)}"]) for _ in range(n)) for n in (3, 40, 900)] + ["same " * 200, "\u4e2d\u6587" * 400]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for r in df.select("i", fp.anchors(F.col("text")).alias("a"), fp.as_text(fp.anchors(F.col("text"))).alias("t"), fp.from_text(fp.as_text(fp.anchors(F.col("text")))).alias("back")).collect():
+        steps = [y.pos - x.pos for x, y in zip(r.a, r.a[1:])]
+        assert all(0 < x < fp.SPAN for x in steps) and len(r.t) == 9 * len(r.a)
+        assert r.back == r.a
 
 
-def test_match_by_place_and_by_one_unit(spark):
+def test_likeness_sees_shared_passages_in_texts_of_any_length(spark):
     rnd = random.Random(6)
     words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
-    passage = words(60)
-    long = [" ".join(words(2000) + passage + words(2900)) for _ in range(2)]
     text = " ".join(words(60))[:436]
-    pairs = [(text, text[:356]), tuple(long), (" ".join(words(300)), " ".join(words(300))), ("x" * 3000, "x" * 2000 + " a b c" * 300), ("中文没有空格" * 200, "中文没有空格" * 20)]
-    pairs += [(text, text), ("", ""), ("", "abc"), ("abc", "abc"), ("abc", "abd"), (long[0], "short"), (" \n", ""), ("one two", "one two three")]
+    pairs = [(text, text[:356]), (text, text), ("", ""), ("", "abc"), ("abc", "abc"), ("abc", "abd"), (" \n", ""), (" ".join(words(300)), " ".join(words(300)))]
+    for _ in range(20):  # a passage of 60 words in texts of 5,000 and of 20,000
+        passage = words(60)
+        pairs.append(tuple(" ".join(words(2000) + passage + words(2940)) for _ in range(2)))
+    passage = words(60)
+    pairs.append(tuple(" ".join(words(9000) + passage + words(10_940)) for _ in range(2)))
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
-    both = lambda c: fp.sketch(F.col(c))
-    rows = df.select("i", fp.match(F.col("a"), F.col("b")).alias("m"), fp.likeness(both("a"), both("b")).alias("near")).orderBy("i").collect()
-    assert [r.m for r in rows] == [slow_match(a, b) for a, b in pairs]
-    assert rows[0].near == 0 and rows[0].m > 0.5  # on both sides of SHORT
-    assert rows[1].m > 0.004  # a passage of 60 of 5,000 words
-    assert rows[2].m == 0 and rows[5].m == 1
+    m = lambda c: fp.marks(fp.anchors(F.col(c)))
+    near = [r.near for r in df.select("i", fp.likeness(m("a"), m("b")).alias("near")).orderBy("i").collect()]
+    assert near == [slow_likeness(slow_anchors(a), slow_anchors(b)) for a, b in pairs]
+    assert near[0] > 0.8 and near[1:5] == [1, 1, 0, 1] and near[7] == 0 and min(near[8:]) > 0
 
 
-def test_op2_matches_every_pair(spark):
-    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+def test_documents_whose_edit_is_much_shorter_stay_near(spark):
+    """Texts that end up on another side of any bound of length: 400 code points and their edits."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()}
     ids = sorted(docs, reverse=True)
-    after = dict(zip(ids, ids[1:] + ids[:1]))
-    rows = op2_closed_syncmers(spark, SF).collect()
-    assert len(rows) == len(docs)
-    for r in rows:
-        text, nxt = docs[r.doc_id], docs[after[r.doc_id]]
-        third = len(text) // 3
-        assert (r.match_edited, r.match_next) == (slow_match(text, text[: len(text) - third] + nxt[:third]), slow_match(text, nxt))
+    wanted = (4147, 5637, 5477, 499, 438, 6592)
+    rows = [(i, docs[i]) for d in wanted for i in (d, ids[ids.index(d) + 1])]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in sorted(set(rows))], DOCS)
+    near = {r.doc_id: r.near_edited for r in fp.fingerprint_edits(df).collect()}
+    assert all(near[d] > 0.5 for d in wanted)
 
 
 def test_plan_has_no_python(spark):
