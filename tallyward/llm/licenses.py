@@ -1,15 +1,20 @@
 """License scans by a positional index of rare words.
 
-Templates are word sequences, each with a key phrase that is mandatory. Document
-frequencies of all template words come from one pass over the corpus; the index then holds, for
-every template, the positions of its rarest words (highest IDF). A file looks up its
-words in it, a posting gives the place where the template would begin, postings of a
-template that agree on that place are one candidate, and a candidate stands if the
-words of the key phrase are found there. Its coverage is the share, weighted by IDF, of
-template words that stand in their places.
-
-The base phrases are templates that are all key phrase. Each place of such a phrase
-holds its rarest word, so none is missed.
+Templates are passages of public licences as word sequences, each with a key phrase that is
+mandatory. Document frequencies of all template words come from one pass over the corpus; the index then
+holds, for every ``SEGMENT`` words of a template, the positions of its ``RARE_WORDS`` rarest (highest
+IDF), so a file that quotes one segment is found as well as one that quotes all.
+
+A file looks up its words in the index. A posting says where the template would begin; postings are
+intersected by that relative place: a place is a candidate if at least ``AGREE`` different indexed words
+say so, within ``SLACK`` words, so that a copy with words left out, added or changed
+is found. A candidate stands if the words of the key phrase follow each other there, and the
+agreement holds about the very place of the key phrase. Its coverage is the share, weighted by IDF, of template words
+that stand in their places (shifted by up to SLACK words, in runs of ``RUN`` at least); its span reaches from the first
+to the last of them.
+
+The base phrases are templates that are all key phrase: every word is indexed, and all postings must agree
+exactly, so each place of the phrase is found and nothing else.
 
 Rows: a null or empty text has no words and no labels; repeated rows are scanned
 each; a null doc_id is scanned; an empty table gives no rows; other columns are
@@ -28,8 +33,12 @@ from pyspark.sql import functions as F
 
 from tallyward.llm.common import LOWER, Flat, flat_slices, hash_word, span_hash, tokens_of
 
-#: Rare words by which a longer template is indexed.
-RARE_WORDS = 3
+#: Words of a segment, and its rare words that are indexed.
+SEGMENT, RARE_WORDS = 12, 3
+#: Different indexed words that must agree on a place, and by how many words they may differ.
+AGREE, SLACK = 3, 6
+#: Words in a row that count away from the key phrase's own place.
+RUN = 3
 
 # Fixed values: (label, text, where its key phrase begins, words of the key phrase).
 BASE = (
@@ -56,6 +65,64 @@ TEMPLATES = (
     ("cc-by-sa", "licensed under cc by sa 4 0", 2, 3),
     ("cc-by", "creative commons attribution 4 0 international license", 0, 3),
     ("unlicense", "this is free and unencumbered software released into the public domain", 0, 6),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software "
+        "or the use or other dealings in the software",
+        75, 9,
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness "
+        "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+        40, 6,
+    ),
+    (
+        "bsd",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission "
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+        0, 7,
+    ),
+    (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at "
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied "
+        "see the license for the specific language governing permissions and limitations under the license",
+        31, 7,
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version of the license or at your option any later version "
+        "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details "
+        "you should have received a copy of the gnu general public license along with this program",
+        41, 11,
+    ),
+    (
+        "mpl",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at",
+        17, 10,
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary "
+        "for any purpose commercial or non commercial and by any means",
+        11, 7,
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions "
+        "the origin of this software must not be misrepresented you must not claim that you wrote the original software",
+        60, 8,
+    ),
 )
 
 
@@ -67,7 +134,8 @@ class Template:
     hashes: np.ndarray
     weights: np.ndarray  # IDF of each word
     rare: list[int]  # positions that are indexed
-    key: tuple[int, int]
+    key: tuple[int, int]  # where the key phrase begins, and its words
+    agree: int  # indexed words that must agree
 
 
 def template_words() -> list[str]:
@@ -117,57 +185,121 @@ def document_frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
 
 
 def build_templates(n_docs: int, frequencies: dict[str, int]) -> list[Template]:
+    """The templates whose key phrase has words of the corpus alone, with what is indexed of them."""
     out = []
     idf = lambda w: float(np.log((n_docs + 1) / (frequencies.get(w, 0) + 0.5)))
     for base, (label, text, begin, length) in [(True, t) for t in BASE] + [(False, t) for t in TEMPLATES]:
         words = text.split()
-        # words that stand nowhere can't find anything; the key phrase must hold an indexed word
-        order = sorted(range(begin, begin + length), key=lambda i: (-idf(words[i]), i))
-        rest = sorted((i for i in range(len(words)) if frequencies.get(words[i], 0)), key=lambda i: (-idf(words[i]), i))
-        rare = sorted({order[0], *([] if base else rest[:RARE_WORDS])})
-        weights = np.array([idf(w) for w in words])
-        out.append(Template(label, base, [w.encode() for w in words], np.array([hash_word(w) for w in words], np.uint64), np.maximum(weights, 1e-6), rare, (begin, length)))
+        if not all(frequencies.get(w, 0) for w in words[begin : begin + length]):
+            continue
+        rare = list(range(len(words)))
+        if not base:
+            rare = []
+            for at in range(0, len(words), SEGMENT):
+                here = [i for i in range(at, min(at + SEGMENT, len(words))) if frequencies.get(words[i], 0)]  # others find nothing
+                rare += sorted(here, key=lambda i: (-idf(words[i]), i))[:RARE_WORDS]
+        if not rare:
+            continue
+        agree = len(words) if base else min(AGREE, len(rare))
+        weights = np.maximum([idf(w) for w in words], 1e-6)
+        out.append(Template(label, base, [w.encode() for w in words], np.array([hash_word(w) for w in words], np.uint64), weights, sorted(rare), (begin, length), agree))
     return out
 
 
-def matches(flat: Flat, templates: list[Template]) -> tuple[np.ndarray, list[list[tuple[str, bool, int, float]]]]:
-    """Number of words of each row, and its matches (label, base, first word, coverage)."""
+def _candidates(t: Template, docs: np.ndarray, begins: np.ndarray, offsets: np.ndarray, slack: int) -> np.ndarray:
+    """Intersect postings by place: (doc, least begin, largest begin) of the stretches in which
+    enough different words agree. Two rows of stretches, half a stretch apart: each place with its slack is whole in one."""
+    width = 4 * slack + 2
+    found = []
+    for shift in (0, width // 2) if slack else (0,):
+        stretch = (begins + shift) // width if slack else begins
+        each = np.unique(np.stack([docs, stretch, offsets]), axis=1)
+        places, agree = np.unique(each[:2], axis=1, return_counts=True)
+        doc, stretch = places[:, agree >= t.agree]
+        low = stretch * width - shift if slack else stretch
+        found.append(np.stack([doc, low, low + (width - 1 if slack else 0)]))
+    return np.concatenate(found, axis=1)
+
+
+def _with_key(w: Words, flat: Flat, t: Template, candidates: np.ndarray) -> list[tuple[int, int]]:
+    """(doc, begin) of the places in candidates where the key phrase stands."""
+    first, length = t.key
+    steps = np.arange(int(candidates[2, 0] - candidates[1, 0]) + 1)
+    docs = np.repeat(candidates[0], len(steps))
+    begins = (candidates[1][:, None] + steps).reshape(-1)
+    inside = (begins + first >= w.first[docs]) & (begins + first + length <= w.first[docs + 1])
+    docs, begins = docs[inside], begins[inside]
+    for i in range(first, first + length):
+        same = w.hashes[begins + i] == t.hashes[i]
+        docs, begins = docs[same], begins[same]
+    places = np.unique(np.stack([docs, begins]), axis=1).T.tolist()
+    word = lambda at: LOWER[flat.data[w.starts[at] : w.ends[at]]].tobytes()
+    return [(d, b) for d, b in places if all(word(b + i) == t.words[i] for i in range(first, first + length))]
+
+
+def _covered(w: Words, t: Template, doc: int, begin: int, slack: int) -> tuple[float, int, int]:
+    """Coverage of a template at a place, and the first and last word of its span."""
+    n, covered, at_words = len(t.words), np.zeros(len(t.words), bool), []
+    for step in range(-slack, slack + 1):
+        at = np.arange(begin + step, begin + step + n)
+        stands = (at >= w.first[doc]) & (at < w.first[doc + 1])
+        stands[stands] = w.hashes[at[stands]] == t.hashes[stands]
+        if step:  # runs of RUN words only
+            run = np.convolve(stands, np.ones(RUN, int), "valid") == RUN if n >= RUN else np.zeros(0, bool)
+            stands = np.convolve(run, np.ones(RUN, int)) > 0 if len(run) else np.zeros(n, bool)
+        if stands.any():
+            covered |= stands
+            at_words += [at[stands][0], at[stands][-1]]
+    return float(t.weights[covered].sum() / t.weights.sum()), int(min(at_words)), int(max(at_words))
+
+
+def matches(flat: Flat, templates: list[Template]) -> tuple[np.ndarray, list[list[tuple[str, bool, int, int, int, float]]]]:
+    """Number of words of each row, and its matches (label, base, first word of the key phrase,
+    first and last word of the span, coverage)."""
     w = Words.of(flat)
-    found: list[list[tuple[str, bool, int, float]]] = [[] for _ in range(len(flat))]
+    found: list[list[tuple[str, bool, int, int, int, float]]] = [[] for _ in range(len(flat))]
     index = np.unique(np.array([t.hashes[i] for t in templates for i in t.rare], np.uint64))
-    hits = np.flatnonzero(index[np.minimum(np.searchsorted(index, w.hashes), len(index) - 1)] == w.hashes)
-    hit_hash = w.hashes[hits]
+    if not len(index) or not len(w.hashes):
+        return np.diff(w.first), found
+    which = np.minimum(np.searchsorted(index, w.hashes), len(index) - 1)
+    hits = np.flatnonzero(index[which] == w.hashes)
+    hits = hits[np.argsort(which[hits], kind="stable")]  # by word, then by place
+    bounds = np.searchsorted(which[hits], np.arange(len(index) + 1))
+    postings = lambda h: hits[bounds[(k := int(np.searchsorted(index, h)))] : bounds[k + 1]]
     for t in templates:
-        begins = [hits[hit_hash == t.hashes[i]] - i for i in t.rare]
-        # a posting may come from any copy of the word in its document
-        docs = np.concatenate([w.docs[b + i] for b, i in zip(begins, t.rare)]) if begins else np.zeros(0, np.int64)
-        if not len(docs):
+        places = [postings(t.hashes[i]) for i in t.rare]
+        offsets = np.repeat(np.array(t.rare), [len(p) for p in places])
+        at = np.concatenate(places)
+        if len(np.unique(offsets)) < t.agree:
             continue
-        places = np.unique(np.stack([docs, np.concatenate(begins)]), axis=1)
-        key = range(t.key[0], t.key[0] + t.key[1])
-        inside = (places[1] + t.key[0] >= w.first[places[0]]) & (places[1] + key[-1] < w.first[places[0] + 1])
-        for doc, begin in places[:, inside].T.tolist():
-            if any(w.hashes[begin + i] != t.hashes[i] for i in key):
-                continue
-            if any(LOWER[flat.data[w.starts[begin + i] : w.ends[begin + i]]].tobytes() != t.words[i] for i in key):
+        slack = 0 if t.base else SLACK
+        docs, begins = w.docs[at], at - offsets
+        candidates = _candidates(t, docs, begins, offsets, slack)
+        if not candidates.shape[1]:
+            continue
+        order = np.lexsort((begins, docs))
+        docs, begins, offsets = docs[order], begins[order], offsets[order]
+        far = np.int64(len(w.hashes) + len(t.words) + 4 * slack + 4)  # more than any two places of a document differ by
+        line = docs * (2 * far) + begins
+        for doc, begin in _with_key(w, flat, t, candidates):
+            low, high = np.searchsorted(line, [doc * 2 * far + begin - slack, doc * 2 * far + begin + slack + 1])
+            if len(np.unique(offsets[low:high])) < t.agree:
                 continue
-            at = np.arange(begin, begin + len(t.words))
-            stands = (at >= w.first[doc]) & (at < w.first[doc + 1])
-            stands[stands] = w.hashes[at[stands]] == t.hashes[stands]
-            found[doc].append((t.label, t.base, begin + t.key[0] - int(w.first[doc]), float(t.weights[stands].sum() / t.weights.sum())))
+            coverage, first, last = _covered(w, t, doc, begin, slack)
+            found[doc].append((t.label, t.base, begin + t.key[0] - int(w.first[doc]), first - int(w.first[doc]), last - int(w.first[doc]), coverage))
     return np.diff(w.first), found
 
 
-_SCHEMA = "doc_id long, n_words long, matches array<struct<label:string,base:boolean,first_word:bigint,coverage:double>>"
+_SCHEMA = "doc_id long, n_words long, matches array<struct<label:string,base:boolean,first_word:bigint,span_first:bigint,span_last:bigint,coverage:double>>"
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, matches): every place of a template's key phrase, with label and coverage."""
+    """(doc_id, n_words, matches): every place of a template's key phrase, with label, span and coverage."""
     templates = build_templates(*document_frequencies(docs))
-    kind = pa.list_(pa.struct([("label", pa.string()), ("base", pa.bool_()), ("first_word", pa.int64()), ("coverage", pa.float64())]))
+    kind = pa.list_(pa.struct([("label", pa.string()), ("base", pa.bool_()), ("first_word", pa.int64()), ("span_first", pa.int64()), ("span_last", pa.int64()), ("coverage", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("label", "base", "first_word", "coverage")
+        names = ("label", "base", "first_word", "span_first", "span_last", "coverage")
         for batch in batches:
             sizes, found = [], []
             for flat in flat_slices(batch.column(1)):

@@ -4,6 +4,7 @@ import random
 import re
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -113,3 +114,119 @@ def test_odd_texts_and_labels_of_the_method(spark):
     assert (labels[12], labels[13], labels[16], labels[17]) == ("bsd", "mit", "cc-by-nc", "gpl,lgpl" if "gpl" in labels[17].split(",") else "lgpl")
     assert labels[7] == "apache,apache-2.0" and labels[6] == "gpl"
     assert licenses.license_labels(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def slow_scan(texts):
+    """Matches of every text by plain loops over its words, and its labels and score."""
+    split = [WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for t in texts]
+    df = {}
+    for words in split:
+        for word in set(words):
+            df[word] = df.get(word, 0) + 1
+    idf = lambda w: float(np.log((len(texts) + 1) / (df.get(w, 0) + 0.5)))
+    out = []
+    for words in split:
+        found = []
+        places = {}
+        for at, word in enumerate(words):
+            places.setdefault(word, []).append(at)
+        for base, (label, text, k0, kn) in [(True, t) for t in licenses.BASE] + [(False, t) for t in licenses.TEMPLATES]:
+            t = text.split()
+            if not all(df.get(x, 0) for x in t[k0 : k0 + kn]):
+                continue
+            rare = []
+            for at in range(0, len(t), licenses.SEGMENT):
+                here = [i for i in range(at, min(at + licenses.SEGMENT, len(t))) if df.get(t[i], 0)]
+                rare += sorted(here, key=lambda i: (-idf(t[i]), i))[: licenses.RARE_WORDS]
+            rare = range(len(t)) if base else rare
+            need, slack = (len(t), 0) if base else (min(licenses.AGREE, len(rare)), licenses.SLACK)
+            weight = [max(idf(x), 1e-6) for x in t]
+            for begin in [p - k0 for p in places.get(t[k0], ()) if words[p : p + kn] == t[k0 : k0 + kn]]:
+                agree = sum(any(0 <= begin + s + i < len(words) and words[begin + s + i] == t[i] for s in range(-slack, slack + 1)) for i in rare)
+                if agree < need:
+                    continue
+                covered, span = set(), []
+                for s in range(-slack, slack + 1):
+                    on = [i for i in range(len(t)) if 0 <= begin + s + i < len(words) and words[begin + s + i] == t[i]]
+                    if s:
+                        on = [i for i in on if any(set(range(j, j + licenses.RUN)) <= set(on) for j in range(i - licenses.RUN + 1, i + 1))]
+                    covered |= set(on)
+                    span += [begin + s + i for i in on]
+                found.append((label, base, begin + k0, min(span), max(span), round(sum(weight[i] for i in covered) / sum(weight), 9)))
+        out.append(sorted(found))
+    return out
+
+
+def scanned(df):
+    return {r.doc_id: sorted((*tuple(m)[:5], round(m.coverage, 9)) for m in r.matches) for r in licenses.scan(df).collect()}
+
+
+def edited(text, rnd, drop, add):
+    words = [w for w in text.split() if rnd.random() > drop]
+    for _ in range(add):
+        words.insert(rnd.randrange(len(words)), f"extra{rnd.randrange(100)}")
+    return " ".join(words)
+
+
+def license_texts():
+    rnd = random.Random(8)
+    filler = lambda n: " ".join(f"word{rnd.randrange(400)}" for _ in range(n))
+    whole = [t for _, t, _, _ in licenses.TEMPLATES if len(t.split()) > 60]
+    texts = [f"{filler(40)} {t} {filler(30)}" for t in whole]
+    texts += [f"{filler(20)} {edited(t, rnd, 0.03, 3)} {filler(20)}" for t in whole for _ in range(3)]
+    texts += [" ".join(t.split()[i : i + 45]) for t in whole for i in (0, 20, 40)]
+    texts += [filler(300), "", None, "mit license " * 50, whole[0] + " " + whole[0], "the software is provided as is " * 40]
+    return texts
+
+
+def test_labels_score_and_spans_against_plain_loops(spark):
+    texts = license_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got, expected = scanned(df), slow_scan(texts)
+    assert [got[i] for i in range(len(texts))] == expected
+    rows = {r.doc_id: r for r in licenses.license_labels(df).collect()}
+    for i, found in enumerate(expected):
+        assert rows[i].labels == ",".join(sorted({m[0] for m in found})) and rows[i].score == pytest.approx(max((m[5] for m in found), default=0))
+
+
+def test_op5_labels_against_plain_loops_over_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    expected = {d.doc_id: found for d, found in zip(docs, slow_scan([d.text for d in docs]))}
+    rows = op5_license_scan(spark, SF).collect()
+    assert {r.doc_id: r.labels for r in rows} == {i: ",".join(sorted({m[0] for m in found})) for i, found in expected.items()}
+    assert all(r.score == pytest.approx(max((m[5] for m in expected[r.doc_id]), default=0)) for r in rows)
+
+
+def test_an_edited_licence_is_found_and_postings_decide(spark, monkeypatch):
+    label, text, k0, kn = next(t for t in licenses.TEMPLATES if t[0] == "mit" and len(t[1].split()) > 100)
+    words = text.split()
+    line = words[:20] + ["a", "changed", "line", "stands", "here", "now"] + words[26:]  # six words in place of others
+    gap = words[:20] + words[24:]  # four words left out before the key phrase
+    key = " ".join(words[k0 : k0 + kn])
+    texts = [text, " ".join(line), " ".join(gap), " ".join(words[k0 - 20 : k0 + 20]), "words of no licence at all"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {i: [m for m in own if m[0] == label and m[2] >= k0 - 10 - i * 60 and not m[1]] for i, own in scanned(df).items()}
+    best = {i: max(own, key=lambda m: m[5], default=None) for i, own in found.items()}
+    assert best[0][3:] == (0, len(words) - 1, 1.0)
+    assert best[1][3:5] == (0, len(words) - 1) and best[1][5] > 0.9
+    assert best[2][3:5] == (0, len(gap) - 1) and best[2][5] > 0.9
+    assert best[3][5] > 0.05 and best[4] is None
+    # the indexed words decide what is found
+    sizes = []
+    for n in (0, 1, 3):
+        monkeypatch.setattr(licenses, "RARE_WORDS", n)
+        sizes.append(sum(not m[1] for own in scanned(df).values() for m in own))
+    assert sizes[0] == 0 < sizes[2] and sizes[1] <= sizes[2]
+
+
+def test_postings_that_do_not_agree_on_a_place_find_nothing(spark):
+    """The key phrase with the template's rare words around it, but in other places."""
+    label, text, k0, kn = next(t for t in licenses.TEMPLATES if t[0] == "zlib")
+    words = text.split()
+    rnd = random.Random(5)
+    rest = words[:k0] + words[k0 + kn :]
+    rnd.shuffle(rest)
+    scattered = " ".join(rest[:50] + ["x"] * 30 + words[k0 : k0 + 2] + ["y"] * 20 + rest[50:])
+    df = spark.createDataFrame([(0, text), (1, scattered)], "doc_id long, text string")
+    got = scanned(df)
+    assert [m[0] for m in got[0] if m[0] == label] == [label] and not [m for m in got[1] if m[0] == label]
