@@ -117,3 +117,16 @@ def test_trees_learn_an_interaction():
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
     margin = toxicity.fit_trees(x, y).margin(x)
     assert np.mean((margin > 0) == (y == 1)) > 0.95
+
+
+def test_one_labelled_id_with_very_many_rows_is_one_row_of_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    from tallyward.llm.labelled import sample
+
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (4, 0)], "doc_id long, quality int")
+    docs = spark.range(100_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(2, "two"), (2, None), (3, "three"), (5, "five"), (None, "six")], "doc_id long, text string"))
+    rows = sample(docs, labels, "quality", (1, 9), 10).collect()
+    assert sorted((r.doc_id, r.text, r.label) for r in rows) == [(1, "text 0", 1), (2, "two", 0)]
+    assert sample(docs, labels, "quality", (1, 9), 1).count() <= 1
