@@ -60,7 +60,7 @@ def simhash(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(set_ * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int, seed: int = 42, id_column: str = "doc_id") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
                     out[flat.first + i] = simhash(shingle_hashes(flat.row(i), shingle, seed))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(run, "doc_id long, fp long")
 
 
@@ -187,9 +187,9 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
-    marked = written(fingerprints(docs, shingle), "fingerprints")
+def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_column: str = "doc_id") -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document; the ids are those of ``id_column``."""
+    marked = written(fingerprints(docs, shingle, id_column=id_column), "fingerprints")
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     edges = links(classes.select("fp"), max_bits)
     tied = connected_components(edges)
