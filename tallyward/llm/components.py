@@ -8,18 +8,26 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+#: Edges that make a node a hub, as a share of all edges: at most as many nodes are hubs.
+HUB_SHARE = 1000
+
+
+def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
     """Edges (a, b) -> edges to the least neighbour. Large star: every larger
     neighbour of a node is tied to the node's least neighbour; small star: the node
-    and its smaller neighbours are. The least neighbour is an aggregate joined back,
-    so a hub's edges are combined before they meet and may be split over tasks."""
+    and its smaller neighbours are. The least neighbour is an aggregate joined back. ``total``: the
+    rows by node, or less; nodes with over a HUB_SHARE-th of them are at most HUB_SHARE, so they
+    are broadcast, and their edges stay where they are."""
     if large:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.withColumn("m", F.least("m", "a"))
-    tied = both.join(least, "a")
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+    least = least.select("a", F.least("m", "a").alias("m"), "degree")
+    is_hub = F.col("degree") * HUB_SHARE > total
+    hubs = F.broadcast(least.where(is_hub).select("a", "m"))
+    others = both.join(hubs.select("a"), "a", "left_anti").join(least.where(~is_hub).select("a", "m"), "a")
+    tied = both.join(hubs, "a").union(others.select("a", "b", "m"))
     if large:
         out = tied.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -38,7 +46,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = written(edges.where(F.col("a") != F.col("b")), "edges")
     before = state(edges)
     while True:
-        edges = written(_star(_star(edges, large=True), large=False), "stars")
+        n = before[0]  # the large star of n edges has at most n
+        edges = written(_star(_star(edges, True, 2 * n), False, n), "stars")
         after = state(edges)
         if after == before:
             return edges

@@ -8,7 +8,8 @@ one-wildcard variants, equal variants meet, and pairs are verified on all bits.
 
 A bucket of many fingerprints is not paired off: it is split further by five blocks of
 the bits not yet fixed, one of which must agree (there are at most four
-differences), and what remains is searched breadth first, which gives each
+differences). Buckets with over a thousandth of all rows are split so before the shuffle, the
+others in their task, and what remains is searched breadth first, which gives each
 fingerprint one link into its component instead of all its pairs. Every link
 between different fingerprints is thereby kept up to the component it makes. Copies share
 a fingerprint and enter once.
@@ -35,6 +36,8 @@ from tallyward.llm.components import connected_components
 BITS = 64
 #: Buckets up to this size are compared pair by pair (in the task, vectorised).
 BUCKET = 2048
+#: Variants that make a bucket heavy, as a share of all variants: about as many buckets are heavy at most.
+HEAVY_SHARE = 1000
 
 
 def shingle_hashes(text: bytes, n: int, seed: int) -> np.ndarray:
@@ -82,14 +85,45 @@ def segments(max_bits: int) -> list[int]:
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(bounds, bounds[1:])]
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
+
 def variants(distinct: DataFrame, max_bits: int) -> DataFrame:
-    """(key, fp): each fingerprint under each segment with one bit taken out."""
-    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in segments(max_bits)]
-    masks = F.array(*[F.lit(m) for m in signed for _ in range(bin(m & ((1 << BITS) - 1)).count("1"))])
+    """(key, fp, segment): each fingerprint under each segment with one bit taken out."""
+    found = [(i, m) for i, m in enumerate(segments(max_bits)) for _ in range(m.bit_count())]
+    masks, numbers = F.array(*[F.lit(_signed(m)) for _, m in found]), F.array(*[F.lit(i) for i, _ in found])
     bit = F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("bit")
     rows = distinct.select("fp", bit)
     kept = F.expr("~shiftleft(1L, bit)").bitwiseAND(F.col("fp")).bitwiseAND(F.element_at(masks, F.col("bit") + 1))
-    return rows.select(F.xxhash64("bit", kept).alias("key"), "fp")
+    return rows.select(F.xxhash64("bit", kept).alias("key"), "fp", F.element_at(numbers, F.col("bit") + 1).alias("segment"))
+
+
+def blocks(max_bits: int) -> list[list[int]]:
+    """For each segment, masks of max_bits + 1 blocks of the bits beyond it: of two
+    fingerprints that differ in at most max_bits bits, one block agrees."""
+    out = []
+    for segment in segments(max_bits):
+        free = np.array([b for b in range(BITS) if not segment >> b & 1])
+        out.append([sum(1 << int(b) for b in part) for part in np.array_split(free, max_bits + 1)])
+    return out
+
+
+def split_heavy(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """(key, fp) of the variants of fingerprints, those of heavy buckets once for each block under a
+    key of its own. Which buckets are heavy is read from about 64 x HEAVY_SHARE variants of fingerprints
+    drawn by hash; a bucket that is judged wrongly is only split elsewhere."""
+    total = BITS * distinct.count()
+    rate = max(1, total // (64 * HEAVY_SHARE))
+    least = max(BUCKET / rate, total / (rate * HEAVY_SHARE))
+    drawn = variants(distinct.where(F.pmod(F.xxhash64(F.lit("drawn"), "fp"), F.lit(rate)) == 0), max_bits)
+    heavy = drawn.groupBy("key").count().where(F.col("count") > least).select("key")
+    heavy = F.broadcast(written(heavy, "heavy"))  # about HEAVY_SHARE keys at most
+    rows = variants(distinct, max_bits)
+    masks = F.array(*[F.array(*[F.lit(_signed(m)) for m in own]) for own in blocks(max_bits)])
+    parts = rows.join(heavy, "key").select("*", F.posexplode(F.element_at(masks, F.col("segment") + 1)).alias("block", "mask"))
+    parts = parts.select(F.xxhash64("key", "block", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp")
+    return rows.join(heavy, "key", "left_anti").select("key", "fp").union(parts)
 
 
 class Forest:
@@ -183,7 +217,7 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
         other = nodes != roots
         yield pa.RecordBatch.from_arrays([pa.array(nodes[other].view(np.int64)), pa.array(roots[other].view(np.int64))], names=["a", "b"])
 
-    dealt = variants(distinct, max_bits).repartition("key").sortWithinPartitions("key")
+    dealt = split_heavy(distinct, max_bits).repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "a long, b long")
 
 

@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import types as T
 
-from tallyward.llm import ann, simhash
+from tallyward.llm import ann, components, simhash
 from tallyward.llm.components import connected_components
 from tallyward.llm.queries import op9_cross_polytope, op10_simhash
 
@@ -60,8 +60,9 @@ def test_simhash_of_odd_rows(spark):
     assert simhash.simhash_components(spark.createDataFrame([], DOCS)).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [8, 2048])
-def test_links_join_what_all_pairs_join(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("bucket,heavy", [(8, 1000), (2048, 1000), (8, 10**9), (0, 10**9)])
+def test_links_join_what_all_pairs_join(spark, monkeypatch, bucket, heavy):
+    monkeypatch.setattr(simhash, "HEAVY_SHARE", heavy)  # 10**9: every bucket of more than ``bucket`` is split before the shuffle
     rnd = random.Random(3)
     fps = set()
     for _ in range(40):
@@ -97,6 +98,44 @@ def test_big_bucket_search_refines(monkeypatch):
     assert roots[0] == roots[1]
 
 
+def test_one_of_the_blocks_agrees_for_any_differences():
+    rnd = random.Random(9)
+    for most in (2, 4, 6):
+        for segment, own in zip(simhash.segments(most), simhash.blocks(most)):
+            assert len(own) == most + 1 and sum(own) == (1 << 64) - 1 - segment
+            for _ in range(200):
+                change = sum(1 << b for b in rnd.sample(range(64), most))
+                assert any(not change & block for block in own)
+
+
+def test_heavy_buckets_are_dealt_to_several_keys(spark):
+    """A third of all fingerprints agree in one segment: their key is split, the others' are not."""
+    rnd = random.Random(11)
+    low = (1 << 22) - 1
+    near = [rnd.getrandbits(64) & ~low | 5 for _ in range(4000)]
+    fps = near + [rnd.getrandbits(64) for _ in range(8000)]
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in set(fps)], "fp long").repartition(8)
+    before = simhash.variants(df, 4).groupBy("key").count().agg({"count": "max"}).first()[0]
+    split = simhash.split_heavy(df, 4)
+    after = split.groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert before >= 4000 and after < 200
+    assert split.select("fp").distinct().count() == len(set(fps))
+
+
+@pytest.mark.parametrize("share", [1, 1000])
+def test_components_do_not_depend_on_which_nodes_are_hubs(spark, monkeypatch, share):
+    monkeypatch.setattr(components, "HUB_SHARE", share)
+    rnd = random.Random(12)
+    edges = [(1, j) for j in range(2, 400)] + [(500 + rnd.randrange(300), 500 + rnd.randrange(300)) for _ in range(250)] + [(900, 390), (900, 901)]
+    roots = {}
+    find = lambda x: x if roots.setdefault(x, x) == x else find(roots[x])
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        roots[b] = a
+    got = {r.a: r.b for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()}
+    assert got == {x: find(x) for x in list(roots) if find(x) != x}
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, j) for j in range(200, 260)] + [(7, 7)]
     got = {r.a: r.b for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
