@@ -6,9 +6,9 @@ last return the columns of ``documents``:
 
 1. quality classifier: documents whose score is under 0.3 go;
 2. toxicity: documents whose score is 0.7 or more go;
-3. SimHash near-dedup: of each group the document with the smallest doc_id stays (of
-   rows that repeat this doc_id the first by text; rows without doc_id all stay, since no
-   group can name them);
+3. SimHash near-dedup: of each group of rows the one with the smallest doc_id stays (null last; of
+   several by a hash of the text, then any); groups are of rows, so unrelated texts under one
+   doc_id all stay;
 4. suffix-array dedup: bytes of passages that a document with a smaller doc_id has are cut from the
    text; n_chars follows; documents stay, if need be with empty text;
 5. best-fit packing: the pieces with their sequence and offset.
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.llm import packing, quality, simhash, substring_dedup, toxicity
@@ -32,6 +32,7 @@ from tallyward.llm.queries import VOCABULARY
 ORACLE_SQL = None
 
 _SCORE = "_pipeline_score"
+_ROW = "_pipeline_row"
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +47,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_import(spark)
-    groups = simhash.simhash_components(docs, shingle=4, max_bits=4)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn(_SCORE, F.row_number().over(order)).where(F.col(_SCORE) == 1).drop(_SCORE)
-    return kept.select(docs.columns).union(docs.where("doc_id is null"))
+    rows = written(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    groups = simhash.simhash_components(rows, shingle=4, max_bits=4, id_column=_ROW).select(F.col("doc_id").alias(_ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.col(_ROW))
+    ordered = rows.select(_ROW, order.alias("place")).join(groups, _ROW)
+    kept = ordered.groupBy("component_id").agg(F.min("place").alias("place")).select(F.col(f"place.{_ROW}").alias(_ROW))
+    return rows.join(kept, _ROW, "left_semi").select(docs.columns)
 
 
 def suffix_array_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
