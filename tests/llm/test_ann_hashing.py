@@ -1,0 +1,111 @@
+"""The parts of the cross-polytope search: buckets, probes, byte bounds, ranges and how its work grows."""
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tallyward.llm import ann
+
+VECS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+
+
+def unit_vectors(n, dim=64, seed=0):
+    v = np.random.default_rng(seed).normal(size=(n, dim))
+    return v / np.linalg.norm(v, axis=1)[:, None]
+
+
+def test_rotations_keep_lengths_and_a_bucket_is_the_first_probe():
+    unit = ann._units(unit_vectors(50), np.ones(50))
+    for y in ann.rotated(unit, 3):
+        assert np.allclose(np.linalg.norm(y, axis=1), 1)
+    assert (ann.probed(unit, 3, 1)[:, 0] == ann.bucket_of(unit, 3)).all()
+    assert (ann.bucket_of(unit, 3) != ann.bucket_of(unit, 4)).any()
+
+
+def test_probes_are_the_buckets_of_the_largest_sums():
+    unit = ann._units(unit_vectors(5, dim=6), None)
+    first, second = (np.concatenate([y, -y], axis=1) for y in ann.rotated(unit, 0))
+    width = first.shape[1]
+    for i in range(5):
+        total = (first[i][:, None] + second[i][None, :]).reshape(-1)
+        got = ann.probed(unit[i : i + 1], 0, 20)[0]
+        assert len(set(got.tolist())) == 20 and width * width == len(total)
+        assert sorted(total[got], reverse=True) == sorted(total, reverse=True)[:20]
+
+
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 1e4])
+def test_what_is_ruled_out_is_not_among_the_best(scale):
+    rng = np.random.default_rng(1)
+    c, q = rng.normal(size=(3000, 32)) * scale, rng.normal(size=(40, 32))
+    data, step, off = ann.in_bytes(c)
+    length = np.linalg.norm(q, axis=1)
+    score = (q.astype(np.float32) @ data.astype(np.float32).T) * step
+    bound = length[:, None] * off + length[:, None] * step * (127 * 32**1.5 * 2.0**-23)
+    exact = q @ c.T
+    assert (np.abs(exact - score) <= bound).all()
+    query = np.repeat(np.arange(40), 3000)
+    keep = ann.not_ruled_out(query, score.reshape(-1), bound.reshape(-1), 20)
+    left = {(int(query[i]), int(i % 3000)) for i in keep}
+    for i in range(40):
+        assert {(i, int(j)) for j in np.argsort(-exact[i])[:20]} <= left
+    assert len(left) < 40 * 60  # few over k
+
+
+def test_less_than_k_are_all_kept():
+    query, score, bound = np.array([2, 0, 2, 1]), np.array([1.0, 2.0, 3.0, 4.0]), np.zeros(4)
+    assert sorted(ann.not_ruled_out(query, score, bound, 3).tolist()) == [0, 1, 2, 3]
+    assert sorted(ann.not_ruled_out(query, score, bound, 1).tolist()) == [1, 2, 3]
+    assert len(ann.not_ruled_out(query[:0], score[:0], bound[:0], 3)) == 0
+
+
+def share_and_recall(n, queries=60, tables=10, k=20):
+    v = unit_vectors(n, seed=n)
+    unit, asked = ann._units(v, np.ones(n)), ann._units(v[:queries], None)
+    probes = int(np.ceil((2 * ann._size(65)) ** 2 * ann.probe_share(n)))
+    scores = v[:queries] @ v.T
+    scores[np.arange(queries), np.arange(queries)] = -9
+    best, met = np.argsort(-scores, axis=1)[:, :k], np.zeros((queries, n), bool)
+    for t in range(tables):
+        bucket, wanted = ann.bucket_of(unit, t), ann.probed(asked, t, probes)
+        for i in range(queries):
+            met[i] |= np.isin(bucket, wanted[i])
+    return met.mean(), np.take_along_axis(met, best, 1).mean()
+
+
+def test_the_share_of_pairs_falls_as_vectors_grow_and_recall_holds():
+    """Random unit vectors, for which hashing can do least."""
+    found = [share_and_recall(n) for n in (1500, 6000, 24_000)]
+    shares = [s for s, _ in found]
+    assert shares[0] > 1.2 * shares[1] > 1.2 * 1.2 * shares[2]
+    assert all(recall >= 0.9 for _, recall in found)
+
+
+def rows_of(spark, vectors, **kw):
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], VECS).repartition(5)
+    return sorted(map(tuple, ann.nearest(df, 20, 10, **kw).collect()))
+
+
+def test_ranges_and_blocks_do_not_change_the_result(spark, monkeypatch):
+    """Copies of one vector are a third of all rows, so one bucket is many blocks."""
+    monkeypatch.setattr(ann, "HEAD", 50)
+    v = unit_vectors(1500, dim=12, seed=5)
+    v[::3] = v[0]
+    whole = rows_of(spark, v, tables=4, probes=200)
+    monkeypatch.setattr(ann, "RANGE", 200)  # eight ranges a table, blocks of 200 candidates
+    monkeypatch.setattr(ann, "BLOCK", 30)
+    assert rows_of(spark, v, tables=4, probes=200) == whole
+    scores = v[::20] @ v.T
+    hits = 0
+    for q, row in zip(range(0, 1500, 20), scores):
+        row[q] = -9
+        hits += len(set(sorted(range(1500), key=lambda j: (-row[j], j))[:10]) & {r[2] for r in whole if r[0] == q})
+    assert hits >= 0.9 * 10 * 75
+
+
+def test_two_vectors_under_one_id_both_take_part(spark, monkeypatch):
+    monkeypatch.setattr(ann, "HEAD", 10)
+    v = unit_vectors(300, dim=8, seed=6)
+    rows = [(i, [float(x) for x in u]) for i, u in enumerate(v)] + [(7, [float(x) for x in v[0]])]
+    got = ann.nearest(spark.createDataFrame(rows, VECS), 20, 3, tables=8, probes=400).collect()
+    best = {r["rank"]: (r.vec_id, r.score) for r in got if r.query_id == 0}
+    assert best[1] == (7, float(np.sum(v[0] * v[0])))
