@@ -43,7 +43,7 @@ from tallyward.llm.common import written
 
 BLOCK = 4096
 #: Candidates of a range of buckets, about.
-RANGE = 1 << 15
+RANGE = 1 << 16
 #: Pairs scored in one step.
 STEP_PAIRS = 1 << 16
 #: Signed axes of a rotation that a query may probe, nearest first.
@@ -314,11 +314,15 @@ def _scored(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return c.groupBy(*key).cogroup(q.groupBy(*key)).applyInArrow(lambda a, b: _best(b, a, k), _FOUND)
 
 
-def _hashed(candidates: DataFrame, queries: DataFrame, vectors: DataFrame, k: int, tables: int, probes: dict[tuple[int, int], int]) -> DataFrame:
+def _hashed(candidates: DataFrame, queries: DataFrame, vectors: DataFrame, k: int, tables: int, probes: dict[tuple[int, int], int], small: bool) -> DataFrame:
     """(query_id, vec_id, score): what queries meet in the buckets they probe, exactly scored; of each
-    query all that may be among its k best of these."""
+    query all that may be among its k best of these. ``small``: no range has more than a block of either."""
     key = [*_RANGE, "c_block", "q_block"]
-    c, q = _split(_dealt_candidates(candidates, tables), _dealt_queries(queries, tables), _RANGE, RANGE)
+    c, q = _dealt_candidates(candidates, tables), _dealt_queries(queries, tables)
+    if small:
+        c, q = (df.withColumns({"c_block": F.lit(0), "q_block": F.lit(0)}) for df in (c, q))
+    else:
+        c, q = _split(c, q, _RANGE, RANGE)
     met = c.groupBy(*key).cogroup(q.groupBy(*key)).applyInArrow(lambda a, b: _met(a, b, k, tables, probes), "query_id long, vec_id long, score double, bound double")
     # of a query's different candidates, those not ruled out by all it met
     each = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.max("bound").alias("bound"))
@@ -371,7 +375,8 @@ def nearest(table: DataFrame, every: int, k: int, tables: int = 10, probes: int
         wanted = wanted.where(F.col("kth").isNull() | (reach >= F.col("kth")))
         wanted = written(wanted.select("vec_id", "vec", "band", "probes", "parts"), "wanted")
         rest = banded.where("not exact").join(F.broadcast(plan), ["dim", "band"])
-        top = head.union(_hashed(rest, wanted, vectors, k, tables, counts))
+        small = max(sizes.values()) <= RANGE and wanted.count() <= BLOCK
+        top = head.union(_hashed(rest, wanted, vectors, k, tables, counts, small))
     top = written(_ranked(top, k), "nearest")
     few = queries.join(top.groupBy("query_id").count().where(F.col("count") >= k), queries.vec_id == F.col("query_id"), "left_anti")
     few = written(few.select("dim", "vec_id", "vec"), "few")
