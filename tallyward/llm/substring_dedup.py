@@ -21,8 +21,8 @@ Strings are brought together by content. Every ``LENGTH``-byte window has an *an
 What repeats in a batch leaves it once (a line that all documents share is one context a
 batch), rows are packed arrays, and the number of buckets grows with the text. Where such a
 line meets the rest of each document, though, its outermost anchors have as many
-contexts as there are documents. An anchor that more than ``hot_batches`` batches hold is
-*hot*: its windows are dealt one by one, by their own hash, to buckets that answer in
+contexts as there are documents. An anchor whose different contexts, as its batches count them, have
+over ``hot_bytes`` bytes is *hot*: no index is larger than about that, at any size of the corpus. Its windows are dealt one by one, by their own hash, to buckets that answer in
 the same way, so they spread however many there are.
 
 Rows: a null or empty text has nothing to remove; of rows with equal doc_id none is the
@@ -52,8 +52,9 @@ BATCH_BYTES = 2 << 20
 #: Bytes of text to a bucket, about; bytes of contexts to one index.
 BUCKET_BYTES = 4 << 20
 INDEX_BYTES = 1 << 20
-#: Batches that may hold an anchor whose contexts still meet in one bucket.
-HOT_BATCHES = 1024
+#: Bytes that the contexts of an anchor may have and still meet in one bucket, and the most of a context.
+HOT_BYTES = INDEX_BYTES
+CONTEXT_BYTES = LENGTH + SPAN - 1
 
 _PLACE_BITS = 24  # of a place inside a batch, in the key that finds the least hash
 
@@ -69,13 +70,13 @@ def _sliding_min(x: np.ndarray, span: int) -> np.ndarray:
 
 
 class Contexts:
-    """The contexts of the texts of a batch: anchor hash, first window, windows, row."""
+    """The contexts of the texts of a batch: anchor hash, first window, windows, row, hash of the bytes."""
 
     def __init__(self, flat: Flat, skip: np.ndarray):
         n = len(flat.data)
         self.anchor, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.windows, self.row = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.hot = np.zeros(0, bool)
+        self.hot, self.hash = np.zeros(0, bool), np.zeros(0, np.uint64)
         if n < LENGTH:
             return
         total, down = prefix_hash(flat.data)
@@ -97,10 +98,11 @@ class Contexts:
         # least hashes are small numbers: mixed again, they spread over all buckets
         self.anchor = mix(h[place[self.first]] + np.uint64(0x9E3779B97F4A7C15))
         self.hot = np.zeros(len(at), bool)
+        self.hash = mix((total[self.first + self.windows + LENGTH - 1] - total[self.first]) * down[self.first])
 
     def pick(self, which: np.ndarray) -> Contexts:
         out = object.__new__(Contexts)
-        out.anchor, out.first, out.windows, out.row, out.hot = (x[which] for x in (self.anchor, self.first, self.windows, self.row, self.hot))
+        out.anchor, out.first, out.windows, out.row, out.hot, out.hash = (x[which] for x in (self.anchor, self.first, self.windows, self.row, self.hot, self.hash))
         return out
 
 
@@ -147,27 +149,31 @@ def _unpack(raw) -> tuple[pa.RecordBatch, Flat, np.ndarray, np.ndarray]:
 # --- 2. shared anchors --------------------------------------------------------
 
 
-def _distinct_anchors(c: Contexts, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different anchors of a batch, ascending, and whether two documents hold them."""
+def _distinct_anchors(c: Contexts, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different anchors of a batch, ascending, whether two documents hold them, and how many different
+    contexts they have, as the power of two that holds them."""
     if not len(c.anchor):
-        return c.anchor, np.zeros(0, bool)
-    doc = ids[c.row]
-    order = np.argsort(c.anchor, kind="stable")
-    anchor, doc = c.anchor[order], doc[order]
-    at = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    return anchor[at], np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+        return c.anchor, np.zeros(0, bool), np.zeros(0, np.uint8)
+    order = np.lexsort((c.windows, c.hash, c.anchor))
+    doc, anchor, h, windows = ids[c.row][order], c.anchor[order], c.hash[order], c.windows[order]
+    new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+    at = np.flatnonzero(new)
+    other = np.concatenate([[True], (h[1:] != h[:-1]) | (windows[1:] != windows[:-1])]) | new
+    contexts = np.add.reduceat(other.astype(np.int64), at)
+    return anchor[at], np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at), np.ceil(np.log2(contexts)).astype(np.uint8)
 
 
 def _deal_anchors(batches: DataFrame, bits: int) -> DataFrame:
-    """(bucket, batch, anchors): five bytes each, the last bit telling of two documents."""
+    """(bucket, batch, anchors): five bytes each, the last bit telling of two documents, and one for the contexts."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for batch, raw in zip(part.column(0), part.column(1)):
                 _, flat, ids, skip = _unpack(raw)
-                anchor, several = _distinct_anchors(Contexts(flat, skip), ids)
+                anchor, several, contexts = _distinct_anchors(Contexts(flat, skip), ids)
                 low = (anchor >> np.uint64(64 - bits - 39)) & np.uint64((1 << 39) - 1)
-                packed = ((low << np.uint64(1)) | several).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+                packed = ((low << np.uint64(1)) | several).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].copy()
+                packed[:, 5] = contexts
                 found = [(b, packed[s].tobytes()) for b, s in _by_bucket(_bucket(anchor, bits))]
                 columns = list(zip(*found)) if found else [(), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array([batch.as_py()] * len(found), pa.int64()), pa.array(columns[1], pa.binary())], names=["bucket", "batch", "packed"])
@@ -175,14 +181,16 @@ def _deal_anchors(batches: DataFrame, bits: int) -> DataFrame:
     return batches.select("batch", "rows").mapInArrow(run, "bucket long, batch long, packed binary")
 
 
-def _shared(hot_batches: int) -> Callable[[pa.Table], pa.Table]:
+def _shared(hot_bytes: int) -> Callable[[pa.Table], pa.Table]:
     """One bucket: for each batch a bit for each of its anchors (do two documents hold it?)
     and, behind these, another (is it hot?)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        raws = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, 5) for x in rows.column("packed")]
+        raws = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, 6) for x in rows.column("packed")]
         wide = np.zeros((sum(map(len, raws)), 8), np.uint8)
-        wide[:, :5] = np.concatenate(raws)
+        wide[:, :6] = np.concatenate(raws)
+        contexts = np.left_shift(1, wide[:, 5].astype(np.int64))
+        wide[:, 5] = 0
         value = wide.view("<u8").ravel()
         order = np.argsort(value >> np.uint64(1), kind="stable")
         sorted_ = value[order]
@@ -191,7 +199,7 @@ def _shared(hot_batches: int) -> Callable[[pa.Table], pa.Table]:
         several = (sizes > 1) | (np.maximum.reduceat(sorted_ & np.uint64(1), at) > 0)
         bit, hot = np.empty(len(value), bool), np.empty(len(value), bool)
         bit[order] = np.repeat(several, sizes)
-        hot[order] = np.repeat(sizes > hot_batches, sizes)
+        hot[order] = np.repeat(np.add.reduceat(contexts[order], at) * CONTEXT_BYTES > hot_bytes, sizes)
         ends = np.cumsum([len(x) for x in raws])
         bits = [np.packbits(y[e - len(x) : e]).tobytes() for e, x in zip(ends, raws) for y in (bit, hot)]
         answers = [a + b for a, b in zip(bits[::2], bits[1::2])]
@@ -220,7 +228,7 @@ def _joined(answers) -> dict[int, bytes]:
 def _shared_contexts(flat: Flat, ids: np.ndarray, skip: np.ndarray, bits: int, answers: dict[int, bytes]) -> Contexts:
     """The contexts of a batch whose anchors other documents hold."""
     c = Contexts(flat, skip)
-    anchor, _ = _distinct_anchors(c, ids)
+    anchor = np.unique(c.anchor)
     shared, hot = np.zeros(len(anchor), bool), np.zeros(len(anchor), bool)
     for b, s in _by_bucket(_bucket(anchor, bits)):
         raw, n = np.frombuffer(answers[b], np.uint8), s.stop - s.start
@@ -237,9 +245,8 @@ def _distinct_contexts(c: Contexts, flat: Flat, ids: np.ndarray) -> tuple[np.nda
     the number of each context's."""
     if not len(c.anchor):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = span_hash(flat.data, c.first, c.first + c.windows + LENGTH - 1)
-    order = np.lexsort((c.first, ids[c.row], c.windows, h, c.anchor))
-    a, h, w = c.anchor[order], h[order], c.windows[order]
+    order = np.lexsort((c.first, ids[c.row], c.windows, c.hash, c.anchor))
+    a, h, w = c.anchor[order], c.hash[order], c.windows[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
     number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(new) - 1
@@ -410,7 +417,7 @@ def _covered(c: Contexts, flat: Flat, ids: np.ndarray, bits: int, answers: dict[
     return np.cumsum(edge[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, cut_text: bool = False, hot_batches: int = HOT_BATCHES) -> DataFrame:
+def remove_repeats(docs: DataFrame, cut_text: bool = False, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, ...) with n_bytes, n_removed, n_spans and
     ``kept`` (binary: the bytes that stay). With ``cut_text`` the text column is what stays,
     without the remains of code points that a removal cut, and the input's columns
@@ -420,7 +427,7 @@ def remove_repeats(docs: DataFrame, cut_text: bool = False, hot_batches: int = H
     batches = _batches(docs)
     total = batches.agg(F.sum("n_bytes")).first()[0] or 0
     bits = max(0, (total // BUCKET_BYTES).bit_length())
-    flags = written(_answers(_deal_anchors(batches, bits), _shared(hot_batches), "flags"), "flags")
+    flags = written(_answers(_deal_anchors(batches, bits), _shared(hot_bytes), "flags"), "flags")
     flagged = batches.select("batch", "rows").join(flags, "batch", "left")
     marks = written(_answers(_deal_contexts(flagged, bits), _match(bits), "marks"), "marks")
 

@@ -74,7 +74,7 @@ def test_mixed_copies_against_brute_force(spark, monkeypatch, bucket):
     rows += [(500, "a" * 400), (501, "a" * 49), (502, "a" * 50), (503, "ab" * 300), (504, "b" + "ab" * 40), (505, None), (506, ""), (507, "é" * 60), (508, "x" + "é" * 60), (None, passages[4]), (None, None), (3, passages[4]), (2, passages[4]), (-7, passages[5])]
     df = frame(spark, rows)
     assert got(sd.remove_repeats(df)) == slow(rows)
-    assert got(sd.remove_repeats(df, hot_batches=0)) == slow(rows)
+    assert got(sd.remove_repeats(df, hot_bytes=0)) == slow(rows)
     assert {"batch", "rows"} <= set(sd.remove_repeats(df).columns)
 
 
@@ -106,8 +106,8 @@ def test_very_long_and_hot_texts(spark):
     rows += [(300 + i, line * 3) for i in range(100)]
     df = frame(spark, rows, 5)
     assert got(sd.remove_repeats(df)) == slow(rows)
-    for hot in (0, 1, 3):  # every anchor, or those that several batches hold, dealt by windows
-        assert got(sd.remove_repeats(df, hot_batches=hot)) == slow(rows)
+    for hot in (0, 100, 300):  # every anchor, or those with more bytes of contexts, dealt by windows
+        assert got(sd.remove_repeats(df, hot_bytes=hot)) == slow(rows)
 
 
 def test_empty_table(spark):
@@ -119,3 +119,33 @@ def test_op8_against_brute_force(spark):
     docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op8_run_length_index(spark, SF).collect())
     assert rows == [(*x[:4], hashlib.sha256(x[4]).hexdigest()) for x in slow(docs)]
+
+
+def test_an_anchor_is_hot_by_the_bytes_of_its_contexts():
+    """A line that many documents of few batches have, each with an end of its own."""
+    import pyarrow as pa
+
+    from tallyward.llm.common import flat_slices
+
+    rnd = random.Random(3)
+    line = "".join(rnd.choices("abcdefgh ", k=120))
+    tails = ["".join(rnd.choices("abcdefgh ", k=60)) for _ in range(400)]
+    dealt = []
+    for part in range(2):
+        (flat,) = flat_slices(pa.array([line + t for t in tails[200 * part : 200 * part + 200]]), 1 << 30)
+        c = sd.Contexts(flat, np.zeros(len(flat), bool))
+        anchor, several, contexts = sd._distinct_anchors(c, np.arange(200))
+        counts = {}
+        for a, h, w in zip(c.anchor.tolist(), c.hash.tolist(), c.windows.tolist()):
+            counts.setdefault(a, set()).add((h, w))
+        assert [int(2**k) >= len(counts[a]) > 2**k // 2 for a, k in zip(anchor.tolist(), contexts.tolist())] == [True] * len(anchor)
+        low = anchor >> np.uint64(64 - 39)
+        packed = ((low << np.uint64(1)) | several).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].copy()
+        packed[:, 5] = contexts
+        dealt.append((part, packed.tobytes(), len(anchor), max(len(x) for x in counts.values())))
+    rows = pa.table({"bucket": pa.array([0, 0], pa.int64()), "batch": pa.array([d[0] for d in dealt], pa.int64()), "packed": pa.array([d[1] for d in dealt], pa.binary())})
+    most = sum(d[3] for d in dealt)
+    for bytes_, some in ((0, True), (most * sd.CONTEXT_BYTES // 2, True), (4 * most * sd.CONTEXT_BYTES, False)):
+        answers = sd._shared(bytes_)(rows).column("answer").to_pylist()
+        hot = [np.unpackbits(np.split(np.frombuffer(a, np.uint8), 2)[1], count=d[2]) for a, d in zip(answers, dealt)]
+        assert any(h.any() for h in hot) == some
