@@ -22,7 +22,7 @@ import re
 import numpy as np
 import tiktoken
 
-from tallyward.llm.common import Flat, mix
+from tallyward.llm.common import Flat
 
 # Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -59,23 +59,27 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1])) + np.repeat(starts - (ends - counts), counts)
 
 
-def _words(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The first PIECE_BYTES bytes of each span as rows of words, zeros after its end."""
+def _words(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The first PIECE_BYTES bytes of each span as words, zeros after its end."""
     padded = np.zeros(len(data) + PIECE_BYTES, np.uint8)
     padded[: len(data)] = data
     loads = np.ndarray((len(padded) - 7,), "<u8", buffer=padded, strides=(1,))
-    out = np.empty((len(starts), WORDS), np.uint64)
-    for k in range(WORDS):
-        out[:, k] = loads[starts + 8 * k] & _MASKS[np.clip(sizes - 8 * k, 0, 8)]
+    out = [loads[starts] & _MASKS[np.minimum(sizes, 8)]]
+    for k in range(1, WORDS):
+        longer = np.flatnonzero(sizes > 8 * k)
+        word = np.zeros(len(starts), np.uint64)
+        word[longer] = loads[starts[longer] + 8 * k] & _MASKS[np.minimum(sizes[longer] - 8 * k, 8)]
+        out.append(word)
     return out
 
 
-def _keys(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A hash of each row of words and its size; never 0, which marks a free place."""
+def _keys(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """A hash of each piece's words and size."""
     key = sizes.astype(np.uint64)
-    for k in range(WORDS):
-        key = mix((key ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15))
-    return key | np.uint64(1 << 63)
+    for word in words:
+        key = (key ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(32)
+    return key
 
 
 class Codec:
@@ -90,7 +94,7 @@ class Codec:
         self.special_bytes = [x.encode() for x in self.special]
         ranks = {token: i for token, i in ranks.items() if i not in self.special.values()}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.words = np.zeros((SLOTS, WORDS), np.uint64)
+        self.words = [np.zeros(SLOTS, np.uint64) for _ in range(WORDS)]
         self.sizes = np.zeros(SLOTS, np.int64)  # 0: a free place
         self.places = np.zeros(SLOTS, np.int64)
         self.counts = np.zeros(SLOTS, np.int64)
@@ -144,7 +148,7 @@ class Codec:
         out[inside] = ids
         return out, counts
 
-    def _keep(self, slots: np.ndarray, words: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+    def _keep(self, slots: np.ndarray, words: list[np.ndarray], sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         """Enter pieces whose place in the table is free, as far as the pool goes."""
         slots, first = np.unique(slots, return_index=True)
         free = (self.sizes[slots] == 0) & (counts[first] <= 64)
@@ -157,7 +161,8 @@ class Codec:
         self.pool[self.used : self.used + total] = ids[_ranges(starts, n)]
         self.places[slots] = self.used + np.cumsum(n) - n
         self.counts[slots] = n
-        self.words[slots] = words[first]
+        for column, word in zip(self.words, words):
+            column[slots] = word[first]
         self.sizes[slots] = sizes[first]
         self.used += total
 
@@ -201,14 +206,18 @@ class Codec:
         words = _words(data, starts, sizes)
         keys = _keys(words, sizes)
         slots = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
-        known = short & (self.sizes[slots] == sizes) & (self.words[slots] == words).all(axis=1)
+        known = self.sizes[slots] == sizes  # long pieces are in no place
+        for column, word in zip(self.words, words):
+            known &= column[slots] == word
         places, counts = self.places[slots], self.counts[slots]
         pool = self.pool[: self.used]
         if not known.all():
             missing = np.flatnonzero(~known & short)
             _, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
             one = missing[first]
-            same = (words[missing] == words[one][which]).all(axis=1) & (sizes[missing] == sizes[one][which])
+            same = sizes[missing] == sizes[one][which]
+            for word in words:
+                same &= word[missing] == word[one][which]
             raw = data.tobytes()
             # long pieces, and those whose key another piece has: by their bytes
             rest = np.concatenate([np.flatnonzero(~short), missing[~same]])
@@ -221,7 +230,7 @@ class Codec:
             which = len(pieces) + np.array(number, np.int64)
             places[rest], counts[rest] = at[which], n[which]
             pool = np.concatenate([pool, ids])
-            self._keep(slots[one], words[one], sizes[one], ids, n[: len(pieces)])
+            self._keep(slots[one], [word[one] for word in words], sizes[one], ids, n[: len(pieces)])
         out = pool[_ranges(places, counts)]
         sizes = np.bincount(rows, weights=counts, minlength=len(flat)).astype(np.int64)
         if safe.all():
