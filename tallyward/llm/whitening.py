@@ -17,7 +17,7 @@ by the root of their eigenvalues.
 Rows: vectors null or holding null or non-finite entries are dropped, empty ones have no components; a
 null vec_id stays null; repeated rows are whitened each; vectors of different dimensions are
 whitened apart; components whose eigenvalue is 0 (to rounding) do not exist, so equal vectors have
-no rows; x beyond 64 bits is the largest or smallest long; a deviation over 38 digits is null; an empty
+no rows, nor has a vector of a dimension that was not fitted; x beyond 64 bits is the largest or smallest long; a deviation over 38 digits is null; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -219,7 +219,9 @@ def whiten(table: DataFrame, models: dict[int, Whitening], id_column: str = "vec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, x in quantised(batch.column(1)):
-                model = models[x.shape[1]]
+                model = models.get(x.shape[1])
+                if model is None:  # of another table: no vector of this dimension was fitted
+                    continue
                 k = len(model.values)
                 off, squares = deviations(x, model.n, model.sums)
                 white = (off / model.n) @ (model.axes / np.sqrt(model.values))

@@ -86,6 +86,15 @@ def test_odd_rows(spark):
     assert W.whiten_embeddings(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_a_table_may_be_whitened_by_anothers_components(spark):
+    fit = spark.createDataFrame([(i, [float(i), float(i * i % 7)], "", "", "") for i in range(20)], SCHEMA)
+    models = W.fit_whitening(fit)
+    other = spark.createDataFrame([(100, [3.0, 2.0], "", "", ""), (101, [1.0, 2.0, 3.0], "", "", "")], SCHEMA)
+    got = W.whiten(other, models).collect()
+    expected = {r.component: r.whitened for r in W.whiten(fit, models).collect() if r.vec_id == 3}
+    assert {r.component: r.whitened for r in got} == expected and {r.vec_id for r in got} == {100}
+
+
 def test_query(spark):
     got = op11_bit_sliced_whitening(spark, SF)
     assert dict(got.dtypes) | {"deviation": "bigint"} == dict(got.dtypes)
