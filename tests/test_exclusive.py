@@ -89,6 +89,17 @@ def test_a_check_renews(spark, scratch):
         Claim(spark, lake, "job", clock=clock).take()
 
 
+def test_a_living_process_keeps_its_claim_without_checks(spark, scratch):
+    lake = Lake(scratch)
+    claim = Claim(spark, lake, "job", lifetime=dt.timedelta(seconds=3)).take()
+    for _ in range(4):
+        time.sleep(1.5)
+        with pytest.raises(ClaimHeld):
+            Claim(spark, lake, "job", lifetime=dt.timedelta(seconds=3)).take()
+    claim.release()
+    Claim(spark, lake, "job").take().release()
+
+
 # --- refreshes that overlap ---
 
 
