@@ -95,9 +95,9 @@ class Codec:
         ranks = {token: i for token, i in ranks.items() if i not in self.special.values()}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.words = [np.zeros(SLOTS, np.uint64) for _ in range(WORDS)]
-        self.sizes = np.zeros(SLOTS, np.int64)  # 0: a free place
-        self.places = np.zeros(SLOTS, np.int64)
-        self.counts = np.zeros(SLOTS, np.int64)
+        self.sizes = np.zeros(SLOTS, np.uint8)  # 0: a free place
+        self.places = np.zeros(SLOTS, np.int32)
+        self.counts = np.zeros(SLOTS, np.uint8)
         self.pool = np.zeros(POOL, "<u2")
         self.used = 0
         size = max([*ranks.values(), *self.special.values()]) + 1
@@ -209,7 +209,7 @@ class Codec:
         known = self.sizes[slots] == sizes  # long pieces are in no place
         for column, word in zip(self.words, words):
             known &= column[slots] == word
-        places, counts = self.places[slots], self.counts[slots]
+        places, counts = self.places[slots].astype(np.int64), self.counts[slots].astype(np.int64)
         pool = self.pool[: self.used]
         if not known.all():
             missing = np.flatnonzero(~known & short)

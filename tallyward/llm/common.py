@@ -19,11 +19,16 @@ from tallyward.session import fresh_dir
 
 #: Bytes of text worked on at once inside a task (a longer text is worked on alone).
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch on its way to a Python worker (a longer row travels alone): both sides of
+#: the way hold a batch or two.
+ARROW_BYTES = 8 << 20
 
 
 def workers_import(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it (local mode, or a
-    folder that all machines have; elsewhere the job is submitted with it, ``--py-files``)."""
+    folder that all machines have; elsewhere the job is submitted with it, ``--py-files``), and
+    get their rows in batches of ``ARROW_BYTES`` (a setting of the session, 64 MB by default)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     given = spark.sparkContext.environment
     paths = [p for p in given.get("PYTHONPATH", "").split(os.pathsep) if p]
