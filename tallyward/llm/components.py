@@ -46,8 +46,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = written(edges.where(F.col("a") != F.col("b")), "edges")
     before = state(edges)
     while True:
-        n = before[0]  # the large star of n edges has at most n
-        edges = written(_star(_star(edges, True, 2 * n), False, n), "stars")
+        # each star is a written table: a plan refers to its edges several times. The large star of n edges has at most n
+        edges = written(_star(edges, True, 2 * before[0]), "large-stars")
+        edges = written(_star(edges, False, before[0]), "stars")
         after = state(edges)
         if after == before:
             return edges
