@@ -57,7 +57,8 @@ def shared_root(spark: SparkSession) -> str:
 
     A folder of our own is made only when the session names none *and* runs in
     local mode, as a bare test session does; on a cluster a machine-local folder
-    would not be visible to other executors, so an unset setting is an error.
+    would not be visible to other executors, so an unset setting is an error. A
+    ``file:`` folder may be a mount that all machines have; ``fresh_dir`` asks the executors.
     """
     root = None
     try:
@@ -75,17 +76,38 @@ def shared_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
         except Exception:
             pass
-    master = spark.conf.get("spark.master", "") or ""
-    if root.startswith("file:") and not master.startswith("local"):
-        raise RuntimeError(f"spark.checkpoint.dir is {root}, a machine's own folder: executors do not share it")
     return root.rstrip("/")
 
 
+def _require_shared(spark: SparkSession, root: str) -> None:
+    """An error if what executors write to ``root`` is not there for the driver: a write would
+    lose those rows without one. Only a ``file:`` folder on a cluster is tried, by as many
+    files as the executors have cores."""
+    from tallyward.sources.tables import FileSystem
+
+    fs = FileSystem(spark, root)
+    if fs.scheme != "file" or (spark.conf.get("spark.master", "") or "").startswith("local"):
+        return
+    n = spark.sparkContext.defaultParallelism
+    trial = f"{root}/tallyward-trial-{uuid.uuid4().hex[:12]}"
+    try:
+        spark.range(0, n, 1, n).write.parquet(trial)
+        found = sum(name.startswith("part-") for name in fs.files(trial))
+    finally:
+        fs.remove(trial)
+    if found != n:
+        raise RuntimeError(f"spark.checkpoint.dir is {root}, a machine's own folder: executors do not share it")
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder for one run, under a folder of the application in the shared
     root that is removed when the session's JVM ends."""
     from tallyward.sources.tables import FileSystem
 
-    own = f"{shared_root(spark)}/tallyward/{spark.sparkContext.applicationId}"
-    FileSystem(spark, own).scratch(own)
+    root = shared_root(spark)
+    own = f"{root}/tallyward/{spark.sparkContext.applicationId}"
+    fs = FileSystem(spark, own)
+    if not fs.exists(own):
+        _require_shared(spark, root)
+    fs.scratch(own)
     return f"{own}/{label}-{uuid.uuid4().hex[:12]}"

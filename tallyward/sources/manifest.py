@@ -31,6 +31,10 @@ class FileSystem:
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
+    @property
+    def scheme(self) -> str:
+        return self._fs.getScheme()
+
     def exists(self, path: str) -> bool:
         return bool(self._fs.exists(self._path(path)))
 
@@ -73,7 +77,7 @@ class FileSystem:
         finally:
             stream.close()
         try:
-            if self._fs.getScheme() == "file":  # a local rename would replace the file
+            if self.scheme == "file":  # a local rename would replace the file
                 os.link(beside.toUri().getPath(), target.toUri().getPath())
                 return True
             return not self._fs.exists(target) and bool(self._fs.rename(beside, target))
