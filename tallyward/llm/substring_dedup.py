@@ -49,14 +49,16 @@ K = 16
 #: K-byte strings in a window.
 SPAN = LENGTH - K + 1
 BATCH_BYTES = 2 << 20
-#: Bytes of text to a bucket, about; bytes of contexts to one index.
+#: Bytes of text to a bucket, about; bytes of contexts to one index (an anchor's stay together), few
+#: enough to be sorted in the processor's cache.
 BUCKET_BYTES = 4 << 20
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 16
 #: Bytes that the contexts of an anchor may have and still meet in one bucket, and the most of a context.
-HOT_BYTES = INDEX_BYTES
+HOT_BYTES = 1 << 20
 CONTEXT_BYTES = LENGTH + SPAN - 1
 
 _PLACE_BITS = 24  # of a place inside a batch, in the key that finds the least hash
+_BLOCK = 1 << 15  # windows whose hashes are made at once, so that they stay in the processor's cache
 
 
 def _sliding_min(x: np.ndarray, span: int) -> np.ndarray:
@@ -69,6 +71,22 @@ def _sliding_min(x: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
+def _anchor_places(total: np.ndarray, down: np.ndarray, n: int) -> np.ndarray:
+    """Where the anchor of the ``LENGTH`` bytes at each place begins, by ``prefix_hash`` of n bytes."""
+    bits = np.uint64(max(_PLACE_BITS, n.bit_length()))
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    out = np.empty(n - LENGTH + 1, np.int64)
+    for a in range(0, len(out), _BLOCK):
+        b = min(a + _BLOCK, len(out))
+        end = b + SPAN - 1
+        keys = mix((total[a + K : end + K] - total[a:end]) * down[a:end])
+        keys >>= bits
+        keys <<= bits
+        keys |= np.arange(a, end, dtype=np.uint64)
+        out[a:b] = _sliding_min(keys, SPAN) & low
+    return out
+
+
 class Contexts:
     """The contexts of the texts of a batch: anchor hash, first window, windows, row, hash of the bytes."""
 
@@ -80,23 +98,27 @@ class Contexts:
         if n < LENGTH:
             return
         total, down = prefix_hash(flat.data)
-        h = mix((total[K:] - total[:-K]) * down[: n - K + 1])
-        bits = max(_PLACE_BITS, n.bit_length())
-        keys = (h >> np.uint64(bits) << np.uint64(bits)) | np.arange(len(h), dtype=np.uint64)
-        place = (_sliding_min(keys, SPAN) & np.uint64((1 << bits) - 1)).astype(np.int64)
-        row = np.repeat(np.arange(len(flat)), np.diff(flat.offsets))[: len(place)]
-        whole = (np.arange(len(place)) + LENGTH <= flat.offsets[1:][row]) & ~skip[row]
-        start = np.flatnonzero(whole)
-        if not len(start):
+        place = _anchor_places(total, down, n)
+        # the last LENGTH - 1 places of a row begin no window, nor does a row that is skipped
+        ends = flat.offsets[1:]
+        none = np.where(skip, flat.offsets[:-1], np.maximum(flat.offsets[:-1], ends - LENGTH + 1))
+        edge = np.zeros(len(place) + 1, np.int32)
+        np.add.at(edge, np.minimum(none, len(place)), 1)
+        np.add.at(edge, np.minimum(ends, len(place)), -1)
+        whole = np.cumsum(edge[:-1], dtype=np.int32) == 0
+        # a context ends where the next place has another anchor or begins no window
+        cut = np.empty(len(place) + 1, bool)
+        cut[0] = cut[-1] = True
+        np.not_equal(place[1:], place[:-1], out=cut[1:-1])
+        cut[1:-1] |= whole[1:] != whole[:-1]
+        self.first = np.flatnonzero(cut[:-1] & whole)
+        if not len(self.first):
             return
-        # a row's windows are consecutive, and the last LENGTH - 1 places of a row are none
-        new = np.concatenate([[True], (np.diff(place[start]) != 0) | (np.diff(start) != 1)])
-        at = np.flatnonzero(new)
-        self.first = start[at]
-        self.windows = np.diff(np.append(at, len(start)))
-        self.row = row[self.first]
+        self.windows = np.flatnonzero(cut[1:] & whole) + 1 - self.first
+        self.row = np.searchsorted(ends, self.first, side="right")
         # least hashes are small numbers: mixed again, they spread over all buckets
-        self.anchor = mix(h[place[self.first]] + np.uint64(0x9E3779B97F4A7C15))
+        at = place[self.first]
+        self.anchor = mix(mix((total[at + K] - total[at]) * down[at]) + np.uint64(0x9E3779B97F4A7C15))
         self.hot = np.zeros(len(at), bool)
         self.hash = mix((total[self.first + self.windows + LENGTH - 1] - total[self.first]) * down[self.first])
 

@@ -149,3 +149,21 @@ def test_an_anchor_is_hot_by_the_bytes_of_its_contexts():
         answers = sd._shared(bytes_)(rows).column("answer").to_pylist()
         hot = [np.unpackbits(np.split(np.frombuffer(a, np.uint8), 2)[1], count=d[2]) for a, d in zip(answers, dealt)]
         assert any(h.any() for h in hot) == some
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 15])
+def test_contexts_are_those_of_every_window_at_any_block(monkeypatch, block):
+    monkeypatch.setattr(sd, "_BLOCK", block)
+    rng = random.Random(block)
+    rows = ["".join(rng.choice("ab") for _ in range(n)).encode() for n in (0, 49, 50, 51, 120, 0, 300, 70)]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    skip = np.array([False] * 7 + [True])
+    flat = sd.Flat(np.frombuffer(b"".join(rows), np.uint8), offsets, 0)
+    c = sd.Contexts(flat, skip)
+    windows = [(r, int(offsets[r]) + i) for r, text in enumerate(rows) if not skip[r] for i in range(len(text) - sd.LENGTH + 1)]
+    assert [(int(r), int(f) + i) for r, f, n in zip(c.row, c.first, c.windows) for i in range(n)] == windows
+    # equal windows have equal anchors, wherever they stand
+    anchors = np.repeat(c.anchor, c.windows)
+    for (r, start), anchor in zip(windows, anchors):
+        alone = sd.Contexts(sd.Flat(flat.data[start : start + sd.LENGTH], np.array([0, sd.LENGTH]), 0), np.zeros(1, bool))
+        assert alone.anchor[0] == anchor, (r, start)
