@@ -130,11 +130,12 @@ def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = fixtures.audit_log(spark, sf_dir).groupBy("data_source", "tablename", "load_type", "status", F.to_date("load_timestamp"))
     rows = daily.agg(F.sum("record_count").alias("n"), F.unix_micros(F.max("load_timestamp")).alias("at")).collect()
     epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    at = lambda micros: None if micros is None else epoch + dt.timedelta(microseconds=micros)
     for source in (HOSPITAL_A.database, HOSPITAL_B.database):
         own = [r for r in rows if r["data_source"] == source]
         append_audit(
             spark,
-            [(source, r["tablename"], r["load_type"], r["n"], epoch + dt.timedelta(microseconds=r["at"]), r["status"], None) for r in own],
+            [(source, r["tablename"], r["load_type"], r["n"], at(r["at"]), r["status"], None) for r in own],
             path,
         )
     return read_audit(spark, path).drop("batch")

@@ -46,7 +46,7 @@ def utc(at: dt.datetime) -> dt.datetime:
 def audit_frame(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     """Audit rows (data_source, tablename, load_type, record_count, load_timestamp,
     status, batch); times become aware, so that no driver time zone enters."""
-    return spark.createDataFrame([(*r[:4], utc(r[4]), *r[5:]) for r in rows], schemas.AUDIT_LOG)
+    return spark.createDataFrame([(*r[:4], r[4] and utc(r[4]), *r[5:]) for r in rows], schemas.AUDIT_LOG)
 
 
 class AuditLog:

@@ -51,3 +51,16 @@ def test_a_folder_that_executors_do_not_share_is_an_error(cluster, tmp_path, mon
     with pytest.raises(RuntimeError, match="do not share"):
         session.fresh_dir(cluster, "probe")
     assert not (tmp_path / "tallyward").exists()
+
+
+def test_audit_rows_without_a_load_time_are_appended(spark, tmp_path):
+    from tallyward.plans.io_queries import audit_append
+
+    rows = "SELECT 2L AS user_id, 'view' AS event_type, TIMESTAMP'2024-01-02 03:04:05' AS ts UNION ALL SELECT 4L, 'view', NULL UNION ALL SELECT 3L, NULL, NULL"
+    spark.sql(rows).write.parquet(f"{tmp_path}/events.parquet")
+    got = audit_append(spark, str(tmp_path)).selectExpr("data_source", "tablename", "record_count", "CAST(load_timestamp AS STRING) AS at").collect()
+    assert {tuple(r) for r in got} == {
+        ("hospital_a_db", "view", 2, "2024-01-02 03:04:05"),
+        ("hospital_a_db", "view", 4, None),
+        ("hospital_b_db", None, 3, None),
+    }
