@@ -23,7 +23,7 @@ from tallyward.plans.landing_job import FixtureSource, land_hospital, load_date_
 from tallyward.plans.refresh import default_load_config, read_bronze, refresh, register_tables
 from tallyward.schemas import LOAD_DATE, landing_schema
 from tallyward.session import apply_pipeline_conf, fresh_dir
-from tallyward.sinks.landing import landing_form, write_landing
+from tallyward.sinks.landing import CODEC, landing_form, write_landing
 from tallyward.sinks.logs import (
     EventLog,
     append_audit,
@@ -82,7 +82,7 @@ def load_config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed(spark: SparkSession, sf_dir: str, lake: Lake, h: Hospital, entity: str) -> DataFrame:
     """One table of one hospital written as a landing batch and read back."""
-    write_landing(fixtures.operational(spark, sf_dir, h, entity), landing_dir(lake.landing, h, entity), BATCH, load_date_of(RUN_TS))
+    write_landing(fixtures.operational(spark, sf_dir, h, entity), landing_dir(lake.landing, h, entity), BATCH, load_date_of(RUN_TS), CODEC)
     return read_landing(spark, lake.landing, h, entity, BATCH)
 
 
@@ -226,7 +226,7 @@ def audit_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     for h in HOSPITALS:
         for entity in fixtures.OPERATIONAL:
             n = write_landing(
-                fixtures.operational(spark, sf_dir, h, entity), landing_dir(lake.landing, h, entity), BATCH, load_date_of(RUN_TS)
+                fixtures.operational(spark, sf_dir, h, entity), landing_dir(lake.landing, h, entity), BATCH, load_date_of(RUN_TS), CODEC
             )
             rows.append((h.database, entity, "full", n, RUN_TS, "SUCCESS", BATCH))
     path = lake.path("control", "audit_log")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tallyward.operators.control import INCREMENTAL, active_load_specs, landed_batches, normalise_load_type, select_batch, specs_with_marks
 from tallyward.plans.claims import Claim
 from tallyward.schemas import LOAD_DATE, landing_schema
-from tallyward.sinks.landing import write_landing
+from tallyward.sinks.landing import CODEC, write_landing
 from tallyward.sinks.logs import Event, EventLog, append_audit, read_audit, read_marks, utc
 from tallyward.sources.files import landing_dir
 from tallyward.sources.tables import Lake, new_id
@@ -206,7 +206,7 @@ def _extract(load: Load, source: Source, lake: Lake, run_ts: dt.datetime, log: E
     """Extract and write the load's batch; returns its rows."""
     rows = source.batch(load.table, load.kind, load.column, load.mark if load.kind == INCREMENTAL else None)
     load.event(log, "SUCCESS", MSG_EXTRACTED.format(table=load.table))
-    count = write_landing(rows, landing_dir(lake.landing, load.hospital, load.table), load.batch, load_date_of(run_ts))
+    count = write_landing(rows, landing_dir(lake.landing, load.hospital, load.table), load.batch, load_date_of(run_ts), CODEC)
     load.event(log, "SUCCESS", f"JSON files written to {load.hospital.name}/{load.table}")
     return count
 

@@ -146,6 +146,42 @@ def test_a_batch_is_replaced_whole_even_with_dynamic_mode(spark, scratch):
     assert [r.load_date for r in back.collect()] == ["02062024"]
 
 
+def _batch_files(table_dir: str, batch: str) -> list[str]:
+    return sorted(f for d, _, names in os.walk(f"{_local(table_dir)}/batch={batch}") for f in (f"{d}/{n}" for n in names) if "part-" in f and not f.endswith(".crc"))
+
+
+def test_a_run_lands_compressed_files_of_bounded_rows(spark, scratch, monkeypatch):
+    from tallyward.operators.control import landed_batches
+    from tallyward.plans.landing_job import audit_path, bronze_name, land_hospital
+    from tallyward.plans.refresh import default_load_config
+    from tallyward.sinks import landing
+    from tallyward.sinks.logs import EventLog, read_audit
+    from tallyward.sources.files import landing_dir, read_batches
+    from tallyward.sources.tables import Lake
+
+    monkeypatch.setattr(landing, "FILE_ROWS", 400, raising=False)
+    rows = spark.range(0, 1000, 1, 1).selectExpr("concat('D', id) AS deptid", "CASE WHEN id % 3 = 0 THEN NULL ELSE concat('n\n\"', id) END AS name")
+    lake, config = Lake(scratch), default_load_config(spark).where("tablename = 'departments'")
+    table_dir = landing_dir(lake.landing, HOSPITAL_A, "departments")
+    write_landing(rows.limit(10), table_dir, "plain", "01012024")
+    landed = land_hospital(spark, HOSPITAL_A, lambda table: rows, config, lake, dt.datetime(2024, 6, 30), EventLog())
+    assert [r[3] for r in landed] == [1000]
+
+    batch = landed_batches(read_audit(spark, audit_path(lake)))[(HOSPITAL_A.database, "departments")][-1][0]
+    files = _batch_files(table_dir, batch)
+    assert [f.endswith(".json.gz") for f in files] == [True] * 3  # 400, 400 and 200 rows
+    plain = write_landing(rows, f"{scratch}/beside", "b1", "01012024")
+    size = lambda names: sum(map(os.path.getsize, names))
+    assert plain == 1000 and size(files) < size(_batch_files(f"{scratch}/beside", "b1")) / 3
+
+    want = sorted(map(str, rows.collect()))
+    schema = schemas.landing_schema("departments", HOSPITAL_A, with_load_date=False)
+    assert sorted(map(str, read_landing(spark, lake.landing, HOSPITAL_A, "departments", batch).drop("load_date").collect())) == want
+    assert sorted(map(str, spark.table(f"bronze.{bronze_name(HOSPITAL_A, 'departments')}").drop("load_date").collect())) == want
+    both = read_batches(spark, table_dir, ["plain", batch], schema)  # batches from before are read with it
+    assert both.groupBy("batch").count().orderBy("count").collect() == [("plain", 10), (batch, 1000)]
+
+
 def test_the_date_of_a_file_name(spark):
     from tallyward.operators.archive import file_date_parts, name_date
 
